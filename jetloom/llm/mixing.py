@@ -36,6 +36,12 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def _source_key(source_col: str) -> Column:
+    """A key that is never null: equal for equal sources, and one of its own for the null source."""
+    source = F.col(f"`{source_col}`")
+    return F.when(source.isNull(), "n").otherwise(F.concat(F.lit("s"), source.cast("string")))
+
+
 def source_targets(sizes: DataFrame, share: float = 1.5, ceiling: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """source_key, n_docs, source_size, target, limit (whole words) from (source, source_key, size).
 
@@ -126,12 +132,13 @@ def mix(
     ceiling: float = 2.0,
     weights: tuple[int, ...] = WEIGHTS,
     block_words: int = 1024,
+    with_key: bool = False,
 ) -> DataFrame:
-    """id, size, source_size, target, taken of every document."""
+    """id, size, source_size, target, taken of every document (``with_key``: also its shuffle key and source key)."""
     base = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
-        F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string"))).alias("source_key"),
+        _source_key(source_col).alias("source_key"),
         word_count(text_or_empty(text)).alias("size"),
         F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
     )
@@ -147,9 +154,34 @@ def mix(
     slots = schedule(sources, block_words).select("source_key", "block", "words")
     met = pieces.join(slots, ["source_key", "block"], "left")
     words = F.greatest(F.lit(0), F.least("hi", "words") - F.col("lo"))
-    row = ["source_key", "at", "id", "size", "source_size", "target"]
+    row = ["source_key", "key", "at", "id", "size", "source_size", "target"]
     taken = met.groupBy(*row).agg(F.coalesce(F.sum(F.when(F.col("words").isNotNull(), words)), F.lit(0)).alias("taken"))
     empty = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    out = ["id", "size", "source_size", "target", "taken"]
+    out = ["id", "size", "source_size", "target", "taken"] + ["key", "source_key"] * with_key
     both = taken.select(*out).unionByName(empty.select(*out))
-    return both.withColumnRenamed("id", id_col) if id_col != "id" else both
+    return both.withColumnRenamed("id", id_col) if not with_key else both
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text: str = "text", **options) -> DataFrame:
+    """The mix itself, with the columns that came in: a row for each whole time a document is taken, and one with its first words for a rest.
+
+    Rows that share id, source and size take an equal part of what these take together.
+    """
+    key = {
+        "__mix_key": F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))),
+        "__mix_source": _source_key(source_col),
+        "__mix_size": word_count(text_or_empty(f"`{text}`")),
+    }
+    shares = mix(docs, id_col, source_col, text, with_key=True, **options)
+    shares = shares.groupBy("key", "source_key", "size").agg(F.floor(F.sum("taken") / F.count("*")).alias("taken"))
+    shares = shares.where("taken > 0").toDF("__mix_key", "__mix_source", "__mix_size", "__mix_taken")
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[v.alias(k) for k, v in key.items()])
+    rows = rows.join(shares, list(key))
+    size, taken = F.col("__mix_size"), F.col("__mix_taken")
+    times = F.ceil(taken / size)
+    rows = rows.withColumn("__mix_time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    words = F.least(size, taken - (F.col("__mix_time") - 1) * size)
+    # the shortest beginning of the text with that many words
+    head = F.regexp_extract(F.col(f"`{text}`"), F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), words.cast("string"), F.lit("}")), 0)
+    rows = rows.withColumn(text, F.when(words < size, head).otherwise(F.col(f"`{text}`")))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, line_dedup, mixing, packing, quality, simhash, token_counts
+from . import chat, licenses, line_dedup, mixing, packing, quality, simhash, suffix_dedup, token_counts, topk
 from .common import read_table
 
 
@@ -43,10 +43,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.format_conversations(turns.unionByName(added))))
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup_report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -62,7 +70,9 @@ def queries() -> dict:
         "op3_token_counts": op3_token_counts,
         "op4_source_mixing": op4_source_mixing,
         "op5_chat_format": op5_chat_format,
+        "op6_exact_top_k": op6_exact_top_k,
         "op7_license_scan": op7_license_scan,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
     }
