@@ -134,8 +134,8 @@ def pack(
             if kinds is None:
                 item = pa.struct([("id", batch.schema.field("id").type), ("piece", pa.int32()), *[(c, pa.int64()) for c in ("start", "length", "crc", "offset")]])
                 kinds = pa.schema([("node", pa.int64()), ("sequence_id", pa.int64()), ("fill", pa.int64()), ("closed", pa.bool_()), ("items", pa.list_(item))])
-            for doc, body in zip(batch.column("id").to_pylist(), batch.column("body").cast(pa.binary()).to_pylist(), strict=True):
-                ids = encode(body) + end
+            for doc, ids in zip(batch.column("id").to_pylist(), encode(batch.column("body")), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     pieces.append({"id": doc, "piece": k, "start": at // 4, "length": len(part) // 4, "crc": zlib.crc32(part), "offset": 0})

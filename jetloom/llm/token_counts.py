@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, text_or_empty
 
-#: A worker forgets its memo of encoded chunks beyond this many entries.
-MEMO_ENTRIES = 200_000
+#: Entries of a generation of a worker's memo of encoded chunks; two are kept.
+MEMO_ENTRIES = 250_000
 #: Longer chunks are encoded without being remembered.
 MEMO_CHARS = 48
 #: A tokenizer file goes to the workers whole, so its size is bounded.
@@ -33,18 +33,28 @@ MAX_TOKENIZER_BYTES = 64 << 20
 
 
 class Memo(dict):
-    """chunk -> value, computed when first asked for and forgotten when full."""
+    """chunk -> value, computed when first asked for. When full it keeps one older generation, from which used chunks return."""
 
     def __init__(self, compute: Callable):
         super().__init__()
         self.compute = compute
+        self.older: dict = {}
 
-    def __missing__(self, chunk):
-        value = self.compute(chunk)
+    def knows(self, chunk) -> bool:
+        return chunk in self or chunk in self.older
+
+    def put(self, chunk, value) -> None:
         if len(chunk) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = value
+
+    def __missing__(self, chunk):
+        value = self.older.get(chunk)
+        if value is None:
+            value = self.compute(chunk)
+        self.put(chunk, value)
         return value
 
 
