@@ -29,10 +29,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``few_files``: a task writes several of the last shuffle's partitions, one after
+    another, so that there are at most two files for each core of the cluster.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if few_files:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -34,11 +34,11 @@ def stars(links: DataFrame) -> DataFrame:
     round changes nothing. No list of neighbours is gathered: both steps are a minimum
     per node and a join.
     """
-    links = written(links.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+    links = written(links.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links", few_files=True)
     state = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     now = state(links)
     while now[0]:
-        links = written(_small_star(_large_star(links)), "links")
+        links = written(_small_star(_large_star(links)), "links", few_files=True)
         before, now = now, state(links)
         if now == before:
             break

@@ -92,7 +92,7 @@ def links(nodes: DataFrame, block: int = 64) -> DataFrame:
     keys = F.array(*[F.struct(F.lit(k).alias("k"), _segment(F.col("fp"), k).alias("value")) for k in range(len(SEGMENTS))])
     keyed = nodes.select("fp", F.explode(keys).alias("s")).select("fp", "s.k", "s.value")
     sizes = keyed.groupBy("k", "value").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(sizes, ["k", "value"]), "simhash-blocks")
+    shared = written(keyed.join(sizes, ["k", "value"]), "simhash-blocks", few_files=True)
 
     small = shared.where(F.col("n") <= block)
     a, b = small.select("k", "value", F.col("fp").alias("u")), small.select("k", "value", F.col("fp").alias("v"))
