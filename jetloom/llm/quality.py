@@ -138,4 +138,5 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with exactly the columns that came in."""
     stats = measured(docs, *[F.col(f"`{c}`") for c in docs.columns], text=text)
-    return _verdict(stats, rules).where("kept").select("row.*")
+    # a generator, because a filter would be pushed below the projections, each statistic copied into it many times over
+    return _verdict(stats, rules).select(F.inline(F.filter(F.array("row"), lambda _: F.col("kept"))))
