@@ -181,7 +181,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     times = F.ceil(taken / size)
     rows = rows.withColumn("__mix_time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
     words = F.least(size, taken - (F.col("__mix_time") - 1) * size)
-    # the shortest beginning of the text with that many words
-    head = F.regexp_substr(F.col(f"`{text}`"), F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), words.cast("string"), F.lit("}")))
+    # the shortest beginning of the text with that many words: words with the white space before each
+    spaced = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(spaced, 1, words.cast("int")), "")
     rows = rows.withColumn(text, F.when(words < size, head).otherwise(F.col(f"`{text}`")))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
