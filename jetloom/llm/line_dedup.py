@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, written
+from .common import sliced, text_or_empty, written
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: The filters travel in slices of so many bytes.
@@ -63,28 +63,35 @@ def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes & mask, (hashes >> np.uint64(32)) & mask
 
 
+def _both_set(packed: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    bit = lambda p: (packed[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1
+    return (bit(a) & bit(b)).astype(bool)
+
+
 def _hashes(keys) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64)
 
 
 class Filters:
-    """Once-seen and twice-seen bits of one task; a key has two bits in each."""
+    """Once-seen and twice-seen bits of one task, packed; a key has two bits in each."""
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.once = np.zeros(bits, bool)
-        self.twice = np.zeros(bits, bool)
+        self.once = np.zeros(bits // 8, np.uint8)
+        self.twice = np.zeros(bits // 8, np.uint8)
 
     def add(self, hashes: np.ndarray) -> None:
         """Hashes of documents' distinct keys, one for each document that has the key."""
         unique, times = np.unique(hashes, return_counts=True)
         a, b = _slots(unique, self.bits)
-        again = (times > 1) | (self.once[a] & self.once[b])
-        self.twice[a[again]] = self.twice[b[again]] = True
-        self.once[a] = self.once[b] = True
+        again = (times > 1) | _both_set(self.once, a, b)
+        for slot in (a, b):
+            byte, bit = (slot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8)
+            np.bitwise_or.at(self.twice, byte[again], bit[again])
+            np.bitwise_or.at(self.once, byte, bit)
 
     def slices(self) -> Iterator[tuple[int, bytes, bytes]]:
-        once, twice = np.packbits(self.once).reshape(-1, SLICE), np.packbits(self.twice).reshape(-1, SLICE)
+        once, twice = self.once.reshape(-1, SLICE), self.twice.reshape(-1, SLICE)
         for n in np.flatnonzero(once.any(axis=1)):
             yield int(n), once[n].tobytes(), twice[n].tobytes()
 
@@ -113,7 +120,7 @@ def twice_seen(texts: DataFrame, filter_bits: int, min_chars: int) -> bytes:
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, pending = Filters(filter_bits), []
-        for batch in batches:
+        for batch in sliced(batches):
             for text in texts_of(batch, "body"):
                 pending.extend(keys_of(text, min_chars))
                 if len(pending) >= HELD:
@@ -135,8 +142,7 @@ def suspected(keys: list[bytes], packed: np.ndarray, bits: int) -> list[bytes]:
     if not keys:
         return []
     a, b = _slots(_hashes(keys), bits)
-    shift = lambda p: (packed[p >> np.uint64(3)] >> (np.uint64(7) - (p & np.uint64(7))).astype(np.uint8)) & 1
-    return [keys[i] for i in np.flatnonzero(shift(a) & shift(b))]
+    return [keys[i] for i in np.flatnonzero(_both_set(packed, a, b))]
 
 
 def repeated_lines(
@@ -172,7 +178,7 @@ def repeated_lines(
             held.clear()
             return pa.RecordBatch.from_arrays(out, schema.names)
 
-        for batch in batches:
+        for batch in sliced(batches):
             ids, kind = batch.column("id").to_pylist(), batch.schema.field("id").type
             for doc, body in zip(ids, texts_of(batch, "body"), strict=True):
                 lines = keys_of(body, min_chars)
@@ -220,7 +226,7 @@ def line_dedup(
     filter_bits: int = 1 << 25,
     broadcast_keys: int = 1 << 18,
 ) -> DataFrame:
-    """Columns ``row`` (the whole input row as a struct), ``kept_text``, ``n_lines``, ``n_dropped``, ``kept_sha256``.
+    """Columns ``row`` (a struct of the input row without its text), ``kept_text``, ``n_lines``, ``n_dropped``, ``kept_sha256``.
 
     Keys in ``min_docs`` documents or more lose all their lines, or all but the first
     occurrence, by (id, line), with ``keep_first``.
@@ -228,8 +234,8 @@ def line_dedup(
     spark = docs.sparkSession
     repeated = written(repeated_lines(docs, min_docs, min_chars, id_col, text, filter_bits), "repeated-lines")
     few = repeated.limit(broadcast_keys + 1).count() <= broadcast_keys
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.select("row", F.col(f"row.`{id_col}`").alias("id"), text_or_empty(f"row.`{text}`").alias("body"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    rows = docs.select(others.alias("row"), F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text}`").alias("body"))
     schema = T.StructType(
         [
             rows.schema["row"],
@@ -242,7 +248,7 @@ def line_dedup(
 
     def dropped(drops: Callable) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in sliced(batches):
                 out: tuple[list, ...] = ([], [], [], [])
                 ids = batch.column("id").to_pylist()
                 for doc, body, drop in zip(ids, texts_of(batch, "body"), drops(batch), strict=True):
@@ -265,7 +271,7 @@ def line_dedup(
     keyed = rows.withColumn("content", F.unhex(F.sha2("body", 256)))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             pairs = [
                 (c, xxhash.xxh3_128_digest(k))
                 for c, body in zip(batch.column("content").to_pylist(), texts_of(batch, "body"), strict=True)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty, written
+from .common import sliced, text_or_empty, written
 from .components import stars
 
 #: Lowest bit and width of the three segments.
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
     """id, fp (the 64 bits as a signed long) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("body").cast(pa.binary()).to_pylist()
             fps = np.frombuffer(b"".join(fingerprint(t, words, seed) for t in texts), ">i8").astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps)], ["id", "fp"])

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import sliced, text_or_empty, written
 from .lcp_merge import front_coded, merged
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -110,7 +110,7 @@ def _repeated_grams(texts: DataFrame, length: int, gram: int) -> DataFrame:
             h, n = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n > 1)], ["h", "twice"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for body in batch.column("body").cast(pa.binary()).to_pylist():
                 h = anchors(body, length, gram)[1]
                 held.append(h)
@@ -129,7 +129,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """h, short (64 bits of the text's key), at of every anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for short, body in zip(batch.column("short").to_pylist(), batch.column("body").cast(pa.binary()).to_pylist(), strict=True):
                 at, h, _, _ = anchors(body, length, gram)
@@ -171,7 +171,7 @@ def _runs(joined: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
                 [pa.array(list(out), pa.int32()), pa.array([front_coded(v) for v in out.values()], pa.binary())], ["part", "run"]
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             columns = (batch.column(c) for c in ("body", "copies", "wanted"))
             for body, copies, wanted in zip(*[c.cast(pa.binary()).to_pylist() if c.type == pa.string() else c.to_pylist() for c in columns], strict=True):
                 for _, g, suffix, payload in _contexts(body, wanted, length, gram):
@@ -264,7 +264,7 @@ def _occurrences(joined: DataFrame, length: int, gram: int) -> DataFrame:
     """key, at, digest of every suspected anchor of every distinct text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [
                 (key, a, _digest(suffix, payload))
                 for key, body, wanted in zip(
@@ -314,7 +314,7 @@ def repeated_strings(docs: DataFrame, text: str = "text", length: int = 200, gra
     found = spots.groupBy("key").agg(F.collect_list(F.struct("at", "mask")).alias("found"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             bodies = batch.column("body").cast(pa.binary()).to_pylist()
             rows = [cut(b, f, length) for b, f in zip(bodies, batch.column("found").to_pylist(), strict=True)]
             kinds = (pa.binary(), pa.int64(), pa.int64())

@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, text_or_empty
+from .common import fresh_path, sliced, text_or_empty
 
 #: Entries of a generation of a worker's memo of encoded chunks; two are kept.
 MEMO_ENTRIES = 250_000
@@ -145,7 +145,7 @@ def token_counts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(name, shipped.value)
-        for batch in batches:
+        for batch in sliced(batches):
             counts = [count(t) for t in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([version] * len(counts), pa.string()), batch.column("content"), pa.array(counts, pa.int64())],
