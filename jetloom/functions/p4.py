@@ -113,11 +113,12 @@ def sign_from(x) -> Column:
 
 
 def linspace(lo: float, hi: float, edges: int) -> list[float]:
-    return [lo + (hi - lo) * i / (edges - 1) for i in range(edges)]
+    step = (hi - lo) / (edges - 1)
+    return [lo + i * step for i in range(edges - 1)] + [hi]
 
 
 def logspace(lo: float, hi: float, edges: int) -> list[float]:
-    return [10.0 ** (lo + (hi - lo) * i / (edges - 1)) for i in range(edges)]
+    return [10.0**x for x in linspace(lo, hi, edges)]
 
 
 def digitize(x, edges: list[float]) -> Column:
@@ -133,7 +134,7 @@ def uniform_bin(x, lo: float, hi: float, bins: int, last_closed: bool = True) ->
     ``last_closed``: the upper edge belongs to the last bin.
     """
     x, step = col(x), (hi - lo) / bins
-    edge = lambda i: F.lit(float(lo)) + i * F.lit(hi - lo) / F.lit(float(bins))
+    edge = lambda i: F.lit(float(lo)) + i * F.lit(step)
     guess = F.floor((x - F.lit(float(lo))) / F.lit(step))
     guess = guess - F.when(x < edge(guess), 1).otherwise(0) + F.when(x >= edge(guess + 1), 1).otherwise(0)
     top = x <= F.lit(float(hi)) if last_closed else x < F.lit(float(hi))

@@ -38,7 +38,7 @@ def th(eta: str) -> str:
 
 def ubin(x: str, lo: float, hi: float, n: int) -> str:
     """Bin of equal width, last one closed."""
-    edge = f"list_transform(range(0, {n} + 1), lambda i: {lo} + i*({hi} - {lo})/{float(n)})"
+    edge = f"list_transform(range(0, {n} + 1), lambda i: {lo}e0 + i*{(hi - lo) / n!r}e0)"
     return f"CASE WHEN {x} < {lo} THEN -1 WHEN {x} > {hi} THEN {n} WHEN {x} = {hi} THEN {n - 1} ELSE len(list_filter({edge}, lambda q: q <= {x})) - 1 END"
 
 
@@ -91,7 +91,7 @@ def wmat() -> str:
 
 def cbin(x: str, lo: float, hi: float, n: int) -> str:
     h = (hi - lo) / n / 2
-    cs = f"list_transform(range(0, {n}), lambda i: {lo + h} + i*({hi - h} - {lo + h})/{float(n - 1)})"
+    cs = f"list_transform(range(0, {n}), lambda i: {lo + h!r}e0 + i*{((hi - h) - (lo + h)) / (n - 1)!r}e0)"
     return f"CAST(greatest(0, least({n - 1}, len(list_filter({cs}, lambda q: q <= {x})) - 1)) AS INTEGER)"
 
 
