@@ -481,3 +481,65 @@ def jets_substructure(spark, sf_dir):
 @query
 def thrust(spark, sf_dir):
     return clustering.event_thrust(_p(spark, sf_dir))
+
+
+def _tau_rows(p: DataFrame) -> DataFrame:
+    return taus.taus_with_daughters(_with_daughters(p))
+
+
+@query
+def jet_ntuple(spark, sf_dir):
+    from .pipelines import jet_ntuple as plan
+
+    p = _p(spark, sf_dir)
+    gen = fixture.generated(p).withColumns({"px": p4.px("pt", "phi"), "py": p4.py("pt", "phi"), "pz": p4.pz("pt", "eta"), "energy": p4.p("pt", "eta")})
+    out = plan(p, gen, fixture.vertices(spark, sf_dir), _tau_rows(p))
+    return out.select("event_id", "jet_id", r("reco_jet_p4.pt").alias("pt"), "gen_jet_tau_decaymode", F.size("cands").alias("n_cands"))
+
+
+@query
+def weighted_samples(spark, sf_dir):
+    from .pipelines import weighted_samples as plan
+
+    jets = _p(spark, sf_dir).select("event_id", F.col("pidx").alias("jet_id"), "is_signal", "pt", "eta")
+    out, _, _ = plan(jets)
+    return rounded(out.groupBy("is_signal", "split").agg(F.count("*").alias("n"), F.sum("cls_weight").alias("sum_w")), "sum_w", digits=4)
+
+
+@query
+def jet_tensors(spark, sf_dir):
+    from .pipelines import jet_tensors as plan
+
+    rows = _event_jet(_life(spark, sf_dir)).withColumn("jet_id", F.lit(0))
+    out = plan(rows)
+    return out.select("event_id", "jet_id", F.size("features").alias("width"), F.size(F.filter("mask", lambda m: m)).alias("n_valid"), F.round(F.get(F.get("kinematics", F.lit(0)), F.lit(3)).cast("double"), 3).alias("first_energy"))
+
+
+@query
+def archival_jets(spark, sf_dir):
+    from .pipelines import archival_jets as plan
+
+    out = plan(_p(spark, sf_dir), fixture.vertices(spark, sf_dir))
+    return out.select("event_id", "jet_id", "jet_nparticles", r("jet_pt").alias("jet_pt"), r("sdmass", 4).alias("sdmass"), r("tau1", 4).alias("tau1"), F.size("parts").alias("n_parts"))
+
+
+@query
+def archival_events(spark, sf_dir):
+    from .pipelines import archival_events as plan
+
+    p = _p(spark, sf_dir)
+    return rounded(plan(p, _seed_jets(p)).select("event_id", "met", "ht", "n_jets", "sphericity", "thrust"), "met", "ht", "sphericity", "thrust", digits=4)
+
+
+@query
+def validation_tables(spark, sf_dir):
+    from .pipelines import validate
+
+    p = _p(spark, sf_dir)
+    jets = shapes.summed_p4(p, "event_id", "is_signal").select("is_signal", F.col("p4.pt").alias("pt"), "mass", F.col("n").alias("n_cands"), (F.col("n") % 17).alias("decaymode"))
+    tables = validate({"signal": jets.where("is_signal"), "background": jets.where("not is_signal")})
+    out = None
+    for name, df in tables.items():
+        part = df.withColumn("variable", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
