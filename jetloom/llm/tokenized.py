@@ -17,7 +17,7 @@ _ENCODERS: dict[str, Callable[[pa.Array], Iterator[bytes]]] = {}
 #: ASCII signs that are neither letters nor digits (white space is never in a chunk).
 _SIGNS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 #: Bytes of text that are encoded together (a longer text is a group of its own).
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 
 
 def parts(chunk: str) -> tuple[str, str]:
@@ -106,17 +106,9 @@ def encoder(version: str, model: bytes) -> Callable[[pa.Array], Iterator[bytes]]
             if isinstance(coded, pa.ChunkedArray):
                 coded = coded.combine_chunks()
             values = list(map(chunk_ids, coded.dictionary.to_pylist()))
-            size = np.fromiter(map(len, values), np.int64, len(values)) // 4
-            first = np.cumsum(size) - size
-            flat = np.frombuffer(b"".join(values), "<u4")
-            index = coded.indices.to_numpy()[bounds[0] : bounds[-1]]
-            n = size[index]
-            ends = np.concatenate([[0], np.cumsum(n)])
-            where = np.repeat(first[index] - ends[:-1], n) + np.arange(ends[-1])
-            out = flat[where].tobytes()
-            marks = 4 * ends[bounds - bounds[0]]
-            for a, b in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
-                yield out[a:b]
+            index = coded.indices.to_numpy()
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                yield b"".join(map(values.__getitem__, index[a:b].tolist()))
 
     def whole(texts: pa.Array) -> Iterator[bytes]:
         for text in texts:
