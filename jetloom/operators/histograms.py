@@ -46,8 +46,9 @@ def reverse_cumulative(hist: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
 
 def hist_2d(df: DataFrame, x, y, x_axis: tuple[float, float, int], y_axis: tuple[float, float, int], weight=None, keys: tuple[str, ...] = ()) -> DataFrame:
     """keys, x_bin, y_bin, value of the bins that have something; axes are (low, high, bins), last bins closed."""
-    bx, by = uniform_bin(x, *x_axis), uniform_bin(y, *y_axis)
     w = F.lit(1.0) if weight is None else col(weight)
+    df = df.select(*keys, F.inline(F.array(F.struct(col(x).alias("__x"), col(y).alias("__y"), w.alias("__w")))))  # as in hist_1d
+    bx, by, w = uniform_bin("__x", *x_axis), uniform_bin("__y", *y_axis), F.col("__w")
     rows = df.select(*keys, bx.alias("x_bin"), by.alias("y_bin"), w.alias("w"))
     rows = rows.where(F.col("x_bin").between(0, x_axis[2] - 1) & F.col("y_bin").between(0, y_axis[2] - 1))
     return rows.groupBy(*keys, "x_bin", "y_bin").agg(F.sum("w").alias("value"))

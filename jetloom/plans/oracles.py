@@ -201,4 +201,20 @@ def oracle_sql() -> dict[str, str]:
         "tensor_targets": f"WITH {P}, {S} SELECT event_id, pidx, {rnd('ln(greatest(pt / greatest(jpt, 1e-6), 1e-6))', 'log_pt_ratio', 4)}, {rnd('eta - jeta', 'deta_target', 4)}, {rnd('sin(phi - jphi)', 'sin_dphi', 4)}, {rnd('cos(phi - jphi)', 'cos_dphi', 4)} FROM e WHERE jpt > 0.05",
         "tensor_labels": f"""WITH {P}, {TAUS}, c AS (SELECT event_id, tau_id, decaymode, CAST(CASE WHEN decaymode IN (0, 1) THEN decaymode WHEN decaymode IN (2, 3, 4) THEN 2 WHEN decaymode IN (5, 10) THEN 3 WHEN decaymode IN (15, 16) THEN 5 ELSE 4 END AS INTEGER) AS decay_class FROM tm)
  SELECT event_id, tau_id, decay_class, CAST(decaymode <> -1 AS INTEGER) AS is_tau, repeat('0', decay_class) || '1' || repeat('0', 5 - decay_class) AS one_hot FROM c""",
+        "hist_pt_ratio": f"""WITH {P}, {G}, {MATCH}, q AS (SELECT a.pt / g.pt AS x FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN g ON g.event_id = m.event_id AND g.pidx = right_id WHERE left_id <> right_id),
+ h AS ({hist('q', 'x', 0.75, 1.25, 100)}) SELECT bin, {rnd('value / (SELECT count(*) FROM q)', 'value')} FROM h""",
+        "hist_log_ratio": f"""WITH e AS (SELECT event_type, log10(value) AS x FROM events WHERE value > 0), r AS (SELECT min(x) AS lo, max(x) AS hi FROM e),
+ b AS (SELECT event_type, CAST(least(11, floor((x - lo)/(hi - lo)*12)) AS INTEGER) AS bin, count(*) AS n FROM e, r GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY event_type) AS f FROM b)
+ SELECT a.event_type, a.bin, {rnd('a.f / c.f', 'ratio')} FROM s a LEFT JOIN s c ON c.bin = a.bin AND c.event_type = 'click' WHERE a.event_type <> 'click'""",
+        "hist_decay_modes": f"WITH {P}, {TAUS}, h AS (SELECT CAST(i AS INTEGER) AS bin, CAST((SELECT count(*) FROM tm WHERE least(decaymode, 15) = i) AS DOUBLE) AS value FROM range(0, 16) r(i)) SELECT bin, value, round(100.0*value/sum(value) OVER (), 2) AS percent FROM h",
+        "hist_shape_by_mode": f"""WITH {P}, {S}, {TAUS}, f AS (SELECT event_id, min(decaymode) AS m FROM tm WHERE tau_id < 8 GROUP BY event_id),
+ q AS (SELECT CASE WHEN m IN (0, 1) THEN m WHEN m IN (2, 3, 4) THEN 2 WHEN m = 10 THEN 3 WHEN m BETWEEN 11 AND 14 THEN 4 ELSE 9 END AS mode, event_id, jeta - eta AS de, {dphi('jphi', 'phi')} AS dp, pt FROM e JOIN f USING (event_id)),
+ n AS (SELECT mode, count(DISTINCT event_id) AS n FROM q GROUP BY mode), b AS (SELECT mode, CAST({ubin('de', -1.95, 2.05, 20)} AS INTEGER) AS x_bin, CAST({ubin('dp', -1.95, 2.05, 20)} AS INTEGER) AS y_bin, pt FROM q WHERE mode <= 4)
+ SELECT CAST(mode AS INTEGER) AS mode, x_bin, y_bin, {rnd('sum(pt) / any_value(n.n)', 'value')} FROM b JOIN n USING (mode) WHERE x_bin BETWEEN 0 AND 19 AND y_bin BETWEEN 0 AND 19 GROUP BY mode, x_bin, y_bin""",
+        "hist_jet_pt": f"""WITH {P}, q AS (SELECT is_signal, least(sqrt(pow(sum(px), 2) + pow(sum(py), 2)), 219.0) AS x FROM p GROUP BY event_id, is_signal), h AS ({hist('q', 'x', 0.0, 220.0, 50, 'is_signal')})
+ SELECT is_signal, bin, {rnd('value / (sum(value) OVER (PARTITION BY is_signal) * 4.4)', 'value')} FROM h""",
+        "hist_weights": f"""WITH {P}, {wmat()}, {WAPPLY}, q AS (SELECT is_signal, round(cls_weight, 6)*0.999 + 0.0005 AS x FROM wy), h AS ({hist('q', 'x', 0.0, 1.0, 50, 'is_signal')})
+ SELECT is_signal, bin, {rnd('value / sum(value) OVER (PARTITION BY is_signal)', 'value')} FROM h""",
+        "track_impact_map": f"""{LIFE}, b AS (SELECT CAST({ubin('dz', 0.0, 0.2, 20)} AS INTEGER) AS x_bin, CAST({ubin('dxy', 0.0, 0.2, 20)} AS INTEGER) AS y_bin FROM l WHERE charge <> 0)
+ SELECT x_bin, y_bin, CAST(count(*) AS DOUBLE) AS value FROM b WHERE x_bin BETWEEN 0 AND 19 AND y_bin BETWEEN 0 AND 19 GROUP BY ALL""",
     }

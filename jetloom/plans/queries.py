@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jetloom.functions import arrays, p4, pdg
-from jetloom.operators import clustering, filters, histograms, lifetime, matching, sampling, shapes, taus, tensors, weights
+from jetloom.operators import clustering, filters, histograms, lifetime, matching, sampling, shapes, taus, tensors, validation, weights
 from jetloom.sources import fixture
 
 QUERIES: dict = {}
@@ -543,3 +543,51 @@ def validation_tables(spark, sf_dir):
         part = df.withColumn("variable", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def _pairs(spark, sf_dir):
+    """Particles with their nearest generated one: both pt."""
+    p = _p(spark, sf_dir)
+    m = matching.nearest(p, fixture.generated(p))
+    rows = m.join(p.select("event_id", F.col("pidx").alias("left_id"), F.col("pt").alias("reco_pt")), ["event_id", "left_id"])
+    return rows.join(fixture.generated(p).select("event_id", F.col("pidx").alias("right_id"), F.col("pt").alias("gen_pt")), ["event_id", "right_id"])
+
+
+@query
+def hist_pt_ratio(spark, sf_dir):
+    return rounded(validation.pt_ratio(_pairs(spark, sf_dir).where("left_id != right_id")), "value")
+
+
+@query
+def hist_log_ratio(spark, sf_dir):
+    return rounded(validation.pooled_log_ratio(fixture.table(spark, sf_dir, "events"), "value", "event_type", "click", 12), "ratio")
+
+
+@query
+def hist_decay_modes(spark, sf_dir):
+    return validation.decay_modes(_modes(spark, sf_dir))
+
+
+@query
+def hist_shape_by_mode(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    rows = _event_jet(p).withColumn("jet_id", F.lit(0)).join(_modes(spark, sf_dir).where("tau_id < 8").groupBy("event_id").agg(F.min("decaymode").alias("decaymode")), "event_id")
+    return rounded(validation.jet_shape(rows, by_mode=True, axis=(-1.95, 2.05, 20)), "value")
+
+
+@query
+def hist_jet_pt(spark, sf_dir):
+    jets = shapes.summed_p4(_p(spark, sf_dir), "event_id", "is_signal").select("is_signal", F.col("p4.pt").alias("pt"))
+    return rounded(validation.jet_pt(jets, keys=("is_signal",)), "value")
+
+
+@query
+def hist_weights(spark, sf_dir):
+    p, w = _weights(spark, sf_dir)
+    return rounded(validation.weight_distribution(weights.apply_weights(p, w).withColumn("cls_weight", r("cls_weight") * 0.999 + 0.0005), keys=("is_signal",)), "value")
+
+
+@query
+def track_impact_map(spark, sf_dir):
+    rows = _life(spark, sf_dir).where("charge != 0")
+    return histograms.hist_2d(rows, "dz", "dxy", (0.0, 0.2, 20), (0.0, 0.2, 20))
