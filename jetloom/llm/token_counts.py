@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, sliced, text_or_empty
+from .common import fresh_path, sliced, text_or_empty, written
 
 #: Entries of a generation of a worker's memo of encoded chunks; two are kept.
 MEMO_ENTRIES = 200_000
@@ -159,7 +159,8 @@ def token_counts(
     misses.mapInArrow(encode, "tokenizer string, content binary, n_tokens long").write.mode("append").parquet(cache_path)
 
     rows = docs.select(F.col(id_col).alias("id"), F.octet_length(body).cast("long").alias("n_bytes"), content.alias("content"))
-    counts = _cached(spark, cache_path, version)
+    # written, so that Spark can split the tasks of a digest that very many rows have
+    counts = written(_cached(spark, cache_path, version), "token-counts-read", few_files=True)
     return rows.join(counts, "content", "left").select(
         F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
