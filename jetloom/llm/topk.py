@@ -194,7 +194,7 @@ def top_k(
     spans = queries.select("block", F.posexplode(F.arrays_zip("from", "to")).alias("pivot", "x")).select("block", "pivot", "x.from", "x.to")
     pairs = index.select("ring", "pivot", "lo", "hi").join(spans, "pivot").where("hi >= from and lo <= to")
     pairs = pairs.select("ring", "block", F.greatest(F.col("lo") - F.col("to"), F.col("from") - F.col("hi")).alias("gap"))
-    work = index.join(pairs, "ring").join(queries.drop("from", "to"), "block").withColumn("shard", F.pmod("ring", F.lit(shards)))
+    work = index.join(pairs, "ring").join(queries.drop("from", "to"), "block").withColumn("shard", F.pmod(F.xxhash64("ring"), F.lit(shards)))
     work = work.repartition(parts, "block", "shard").sortWithinPartitions("block", "shard", "gap", "ring")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
