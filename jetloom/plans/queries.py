@@ -47,6 +47,10 @@ def _with_daughters(p: DataFrame) -> DataFrame:
     return p.withColumns({"daughters_begin": F.greatest(F.col("pidx") - 3, F.lit(0)), "daughters_end": F.col("pidx")})
 
 
+def _tau_rows(p: DataFrame) -> DataFrame:
+    return taus.taus_with_daughters(_with_daughters(p))
+
+
 @query
 def p4_kinematics(spark, sf_dir):
     p = _p(spark, sf_dir).withColumn("v", p4.from_cartesian("px", "py", "pz", m="mass"))
@@ -105,13 +109,13 @@ def nearest_match(spark, sf_dir):
 
 @query
 def tau_truth(spark, sf_dir):
-    t = taus.taus_with_daughters(_with_daughters(_p(spark, sf_dir)))
+    t = _tau_rows(_p(spark, sf_dir))
     return t.select("event_id", "tau_id", "charge", "decaymode", r("vis_energy").alias("vis_energy"), r("vis_p4.pt").alias("vis_pt"), r("full_p4.pt").alias("full_pt"))
 
 
 @query
 def tau_daughters(spark, sf_dir):
-    t = taus.taus_with_daughters(_with_daughters(_p(spark, sf_dir)))
+    t = _tau_rows(_p(spark, sf_dir))
     joined = lambda f: F.array_join(F.transform("daughters", lambda d: d[f].cast("string")), ",")
     return t.select("event_id", "tau_id", joined("pidx").alias("daughters"), joined("cand").alias("candidates"), joined("q").alias("charges"))
 
@@ -120,7 +124,7 @@ def tau_daughters(spark, sf_dir):
 def tau_to_jet_left_fill(spark, sf_dir):
     p = _p(spark, sf_dir)
     jets = fixture.generated(p).select("event_id", F.col("pidx").alias("jet_id"), "eta", "phi")
-    out = taus.jet_tau_info(jets, taus.taus_with_daughters(_with_daughters(p)))
+    out = taus.jet_tau_info(jets, _tau_rows(p))
     return out.select("event_id", "jet_id", "decaymode", "charge", r("vis_energy").alias("vis_energy"))
 
 
@@ -253,7 +257,7 @@ def species_flags(spark, sf_dir):
 
 
 def _modes(spark, sf_dir):
-    return taus.taus_with_daughters(_with_daughters(_p(spark, sf_dir))).select("event_id", "tau_id", "decaymode")
+    return _tau_rows(_p(spark, sf_dir)).select("event_id", "tau_id", "decaymode")
 
 
 @query
@@ -457,7 +461,7 @@ def tensor_targets(spark, sf_dir):
 
 @query
 def tensor_labels(spark, sf_dir):
-    rows = taus.taus_with_daughters(_with_daughters(_p(spark, sf_dir)))
+    rows = _tau_rows(_p(spark, sf_dir))
     out = rows.select("event_id", "tau_id", *[v.alias(k) for k, v in tensors.labels("decaymode", "charge").items()])
     return out.select("event_id", "tau_id", "decay_class", "is_tau", F.array_join(F.transform("decay_one_hot", lambda x: x.cast("int").cast("string")), "").alias("one_hot"))
 
@@ -483,10 +487,6 @@ def thrust(spark, sf_dir):
     return clustering.event_thrust(_p(spark, sf_dir))
 
 
-def _tau_rows(p: DataFrame) -> DataFrame:
-    return taus.taus_with_daughters(_with_daughters(p))
-
-
 @query
 def jet_ntuple(spark, sf_dir):
     from .pipelines import jet_ntuple as plan
