@@ -1,7 +1,7 @@
 """License scans by sentence rules, all native.
 
-A text is cut into sentences, each sentence is normalised and mapped to the
-identifier of a known licence sentence, and the identifiers in text order are
+A text is normalised with its sentence and line ends marked, each known licence
+sentence between two ends, wrapped over lines or not, is mapped to its identifier, and the identifiers in text order are
 matched against ordered licence rules. A rule is a run of identifiers; an earlier
 rule takes its identifiers away from later ones, so long forms come first.
 
@@ -13,6 +13,8 @@ known sentence has one.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,22 +62,43 @@ RULES = (
 
 #: Every known sentence has one of these words.
 KEY_WORDS = "licen|permission|software|rights reserved|copyright"
-#: A sentence ends at a line end, at ; or :, or at . ! ? before white space or the end.
-SENTENCE_END = r"[\n;:]+|[.!?]+(?=[\x20\x09-\x0D]|$)"
-#: What becomes one space inside a sentence.
-NOISE = r"[^a-z0-9./-]+"
+#: A sentence ends at ; or :, or at . ! ? before white space (; is cut after the line ends are known).
+SENTENCE_END = r":+|[.!?]+(?=[\x20\x09-\x0D])"
+#: What becomes one space inside a line; | marks a sentence's end and ; may still be a comment mark.
+NOISE = r"[^a-z0-9./\n|;-]+"
+
 
+def marked(text: Column) -> Column:
+    """Normalised text: | at the ends of sentences and paragraphs, ~ at single line ends, comment marks cut.
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences: A-Z lower-cased, every run of other signs a space, outer spaces and dots cut."""
-    cut = F.split(lower_ascii(text), SENTENCE_END)
-    return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
+    A-Z are lower-cased, and every run of other signs is one space.
+    """
+    low = F.concat(F.lit("\n\n"), F.translate(lower_ascii(text), "|~", "  "), F.lit("\n\n"))
+    for pattern, to in (
+        (SENTENCE_END, "|"),
+        (NOISE, " "),
+        (r" [/-]+ ?(?=\n)", ""),  # closing comment marks
+        (r"\n[ ;/-]*\n[ ;/\n-]*", "|"),
+        (r"\n[ ;/-]*", "~"),
+        (" ?([|~;]) ?", "$1"),
+    ):
+        low = F.regexp_replace(low, pattern, to)
+    return F.translate(low, ";", "|")
 
 
 def recognised(text: Column, known: dict[str, str] = SENTENCES) -> Column:
-    """Identifiers of the known sentences of ``text``, in order."""
+    """Identifiers of the known sentences of ``text``, in order.
+
+    A sentence begins and ends at a sentence's or line's end and may go on over single line ends; the
+    longest one that begins at a place counts.
+    """
+    if not known:
+        return F.array().cast("array<string>")
     table = F.create_map(*[F.lit(x) for name, sentence in known.items() for x in (sentence, name)])
-    found = F.filter(F.transform(sentences(text), lambda s: F.try_element_at(table, s)), lambda x: x.isNotNull())
+    longest = sorted(known.values(), key=len, reverse=True)
+    runs = "|".join("[ ~]".join(re.escape(w) for w in s.split(" ")) for s in longest)
+    hits = F.regexp_extract_all(marked(text), F.lit(f"(?<=[|~])(?:{runs})(?=[|~])"), F.lit(0))
+    found = F.transform(hits, lambda s: F.try_element_at(table, F.translate(s, "~", " ")))
     return F.when(lower_ascii(text).rlike(KEY_WORDS), found).otherwise(F.array().cast("array<string>"))
 
 

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import sys
+import textwrap
 from pathlib import Path
 
 import numpy as np
@@ -292,6 +293,22 @@ def test_license_rules_in_order(spark):
     assert licenses.license_scan(hostile(spark)).count() == hostile(spark).count() and licenses.license_scan(empty(spark)).count() == 0
 
 
+def scanned(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.sentence_ids, r.licenses) for r in licenses.license_scan(df, **options).orderBy("doc_id").collect()]
+
+
+def test_wrapped_license_texts(spark):
+    S = licenses.SENTENCES
+    wrap = lambda *names: "\n\n".join(textwrap.fill(S[n].capitalize() + ".", 72) for n in names)
+    grant, gpl = wrap("mit-grant", "mit-keep"), "This program is free software: " + S["gpl-terms"] + "."
+    texts = ["MIT License\n\nCopyright (c) 2020 A\n\n" + grant, textwrap.fill(gpl, 70), grant.replace("\n", "\r\n")]
+    texts += [f"{m} " + grant.replace("\n", f"\n{m} ") for m in ("#", "//", "--", " *", ";;")]
+    texts += ["Released under\n\nthe MIT License.", "It is released under the\nMIT License.", "/* Released under the\n * MIT License */\nint x;"]
+    mit = ("mit-grant mit-keep", "MIT")
+    assert scanned(spark, texts) == [mit, ("gpl-free gpl-terms", "GPL-3.0-or-later"), mit] + 5 * [mit] + 2 * [("", "")] + [("mit-notice", "MIT")]
+
+
 # --- 8
 
 
