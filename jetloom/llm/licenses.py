@@ -62,8 +62,8 @@ RULES = (
 
 #: Every known sentence has one of these words.
 KEY_WORDS = "licen|permission|software|rights reserved|copyright"
-#: A sentence ends at ; or :, or at . ! ? before white space (; is cut after the line ends are known).
-SENTENCE_END = r":+|[.!?]+(?=[\x20\x09-\x0D])"
+#: A sentence ends at ; or : (not in an SPDX tag), or at . ! ? before white space (; is cut after the line ends are known).
+SENTENCE_END = r"(?<!spdx-license-identifier):+|[.!?]+(?=[\x20\x09-\x0D])"
 #: What becomes one space inside a line; | marks a sentence's end and ; may still be a comment mark.
 NOISE = r"[^a-z0-9./\n|;-]+"
 

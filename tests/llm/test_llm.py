@@ -309,6 +309,15 @@ def test_wrapped_license_texts(spark):
     assert scanned(spark, texts) == [mit, ("gpl-free gpl-terms", "GPL-3.0-or-later"), mit] + 5 * [mit] + 2 * [("", "")] + [("mit-notice", "MIT")]
 
 
+def test_every_identifier_is_reached(spark):
+    S = licenses.SENTENCES
+    written_as = lambda s: s.replace("spdx-license-identifier ", "SPDX-License-Identifier: ")
+    texts = [f"Intro.\n{written_as(s)}\nMore text." for s in S.values()]
+    assert [ids for ids, _ in scanned(spark, texts)] == list(S)
+    tags = ["// SPDX-License-Identifier: MIT", "/* SPDX-License-Identifier: GPL-3.0-only */", "<!-- SPDX-License-Identifier:Apache-2.0 -->\n<p>"]
+    assert [licence for _, licence in scanned(spark, tags)] == ["MIT", "GPL-3.0-only", "Apache-2.0"]
+
+
 # --- 8
 
 
