@@ -8,7 +8,7 @@ rule takes its identifiers away from later ones, so long forms come first.
 Defined results: null or empty text has no sentences and no licences; null ids and
 repeated rows are carried through; an empty table gives an empty result. Texts
 without any key word are not cut at all, which changes no result because every
-known sentence has one.
+known sentence has one, and a word is never split by what becomes a space.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ RULES = (
     ("Proprietary", ("reserved",)),
 )
 
-#: Every known sentence has one of these words.
+#: The SQL's prefilter; the scan makes its own from the table given (``key_words``).
 KEY_WORDS = "licen|permission|software|rights reserved|copyright"
 #: A sentence ends at ; or : (not in an SPDX tag), or at . ! ? before white space (; is cut after the line ends are known).
 SENTENCE_END = r"(?<!spdx-license-identifier):+|[.!?]+(?=[\x20\x09-\x0D])"
@@ -68,6 +68,17 @@ SENTENCE_END = r"(?<!spdx-license-identifier):+|[.!?]+(?=[\x20\x09-\x0D])"
 NOISE = r"[^a-z0-9./\n|;-]+"
 
 
+def key_words(known: dict[str, str]) -> list[str]:
+    """Words, long ones where there are any, so that every known sentence has at least one of them."""
+    left, chosen = set(known.values()), []
+    while left:
+        longest = {s: max(s.split(" "), key=len) for s in left}
+        words = {w for s in left for w in s.split(" ") if len(w) >= min(7, len(longest[s]))}
+        chosen.append(max(sorted(words), key=lambda w: (sum(w in s for s in left), len(w))))
+        left = {s for s in left if chosen[-1] not in s}
+    return chosen
+
+
 def marked(text: Column) -> Column:
     """Normalised text: | at the ends of sentences and paragraphs, ~ at single line ends, comment marks cut.
 
@@ -99,7 +110,7 @@ def recognised(text: Column, known: dict[str, str] = SENTENCES) -> Column:
     runs = "|".join("[ ~]".join(re.escape(w) for w in s.split(" ")) for s in longest)
     hits = F.regexp_extract_all(marked(text), F.lit(f"(?<=[|~])(?:{runs})(?=[|~])"), F.lit(0))
     found = F.transform(hits, lambda s: F.try_element_at(table, F.translate(s, "~", " ")))
-    return F.when(lower_ascii(text).rlike(KEY_WORDS), found).otherwise(F.array().cast("array<string>"))
+    return F.when(lower_ascii(text).rlike("|".join(map(re.escape, key_words(known)))), found).otherwise(F.array().cast("array<string>"))
 
 
 def license_scan(

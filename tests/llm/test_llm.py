@@ -318,6 +318,14 @@ def test_every_identifier_is_reached(spark):
     assert [licence for _, licence in scanned(spark, tags)] == ["MIT", "GPL-3.0-only", "Apache-2.0"]
 
 
+def test_prefilter_follows_the_table(spark):
+    assert scanned(spark, ["All  rights\treserved.", "ALL RIGHTS\nRESERVED"]) == 2 * [("reserved", "Proprietary")]
+    known, rules = {"own": "do as you like", "b": "x y"}, (("Own", ("own",)), ("B", ("b",)))
+    assert scanned(spark, ["Do as you like.", "X\tY", "all rights reserved"], known=known, rules=rules) == [("own", "Own"), ("b", "B"), ("", "")]
+    for table in (licenses.SENTENCES, known):
+        assert all(any(w in s for w in licenses.key_words(table)) for s in table.values())
+
+
 # --- 8
 
 
