@@ -125,11 +125,13 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The document that names each component, with the columns that came in.
+    """One document of each component, with the columns that came in.
 
-    Rows with a null id cannot name a component and stay; of repeated rows with the
-    same id, each stays.
+    It is the one with the smallest id; null ids are last, and of repeated rows one stays.
     """
-    found = near_duplicates(docs, id_col, text, **options)
-    lost = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("__lost_id")).distinct()
-    return docs.join(lost, F.col(f"`{id_col}`") == F.col("__lost_id"), "left_anti")
+    key = F.col("row")[id_col]
+    place = F.struct(key.isNull().alias("last"), key.alias("id"), F.monotonically_increasing_id().alias("at"))
+    rows = written(docs.select(F.struct("*").alias("row")).withColumn("place", place), "simhash-rows")
+    found = near_duplicates(rows.select("place", F.col("row")[text].alias("text")), "place", **options)
+    first = found.where(F.col("component_id") == F.col("place")).select("place")
+    return rows.join(first, "place", "left_semi").select("row.*")

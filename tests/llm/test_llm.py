@@ -417,6 +417,12 @@ def test_simhash_equals_brute_force(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_simhash_leaves_one_of_null_ids_and_repeated_rows(spark):
+    same, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
+    df = spark.createDataFrame([(None, same), (None, same), (7, other), (7, other), (None, other), (9, other)], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df).collect()), key=str) == [(7, other), (None, same)]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "u long, v long")
     roots = dict(pairs(components.stars(edges), "node", "root"))
