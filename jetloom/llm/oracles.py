@@ -6,7 +6,7 @@ not; these are tested against plain versions.
 
 from __future__ import annotations
 
-from .licenses import KEY_WORDS, RULES, SENTENCES
+from .licenses import RULES, SENTENCES
 from .quality import STOP_WORDS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,8 +35,19 @@ s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM z GROUP BY s
 s1 AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w, 2.0::DOUBLE*source_size AS cap FROM s0),
 s2 AS (SELECT *, (1.5::DOUBLE*CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap/w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap/w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS step FROM s1),
 s3 AS (SELECT source, source_size, least(cap, max(step) OVER () * w) AS target FROM s2),
-o AS (SELECT z.doc_id, z.size, s3.source_size, s3.target, coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY key, z.doc_id, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM z JOIN s3 ON z.source IS NOT DISTINCT FROM s3.source)
-SELECT doc_id, size, source_size, target, CAST(CASE WHEN size = 0 THEN 0 ELSE (CAST(floor(target) AS BIGINT) // source_size)*size + greatest(0, least(size, CAST(floor(target) AS BIGINT) % source_size - pos)) END AS BIGINT) AS taken FROM o"""
+o AS (SELECT row_number() OVER () AS rid, z.source, z.doc_id, z.size, s3.source_size, s3.target, CAST(coalesce(sum(z.size) OVER (PARTITION BY z.source ORDER BY key, z.doc_id, z.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM z JOIN s3 ON z.source IS NOT DISTINCT FROM s3.source),
+b0 AS (SELECT source, source_size, CAST(floor(target) AS BIGINT) AS lim, (source_size + 1023) // 1024 AS blocks, CAST(floor(target) AS BIGINT) // nullif(source_size, 0) AS passes, CAST(floor(target) AS BIGINT) % nullif(source_size, 0) AS over FROM s3),
+b1 AS (SELECT *, CAST(passes*blocks + (over + 1023) // 1024 AS BIGINT) AS slots FROM b0 WHERE lim > 0),
+b2 AS (SELECT *, CAST(sum(slots) OVER () AS BIGINT) AS total, CAST(sum(slots) OVER (ORDER BY source NULLS FIRST) AS BIGINT) AS upto FROM b1),
+b3 AS (SELECT *, floor((upto - slots)/CAST(total AS DOUBLE)*281474976710656.0::DOUBLE) AS lo, floor(upto/CAST(total AS DOUBLE)*281474976710656.0::DOUBLE) AS hi FROM b2),
+u AS (SELECT k, list_sum(list_transform(range(0, 48), lambda i: ((k >> i) & 1)*pow(2.0::DOUBLE, 47 - i))) AS u FROM range(0, (SELECT max(total) FROM b3)) t(k)),
+y AS (SELECT b3.*, k AS position, row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS rank FROM u JOIN b3 ON u >= lo AND u < hi),
+h AS (SELECT source, count(*) AS have FROM y GROUP BY source),
+t AS (SELECT source, blocks, passes, over, position, rank FROM y WHERE rank < slots UNION ALL
+ SELECT source, blocks, passes, over, total + r, r FROM (SELECT b3.*, unnest(range(coalesce(have, 0), slots)) AS r FROM b3 LEFT JOIN h ON b3.source IS NOT DISTINCT FROM h.source)),
+a AS (SELECT source, position, rank % blocks AS block, CASE WHEN rank // blocks < passes THEN 1024 ELSE least(1024, over - (rank % blocks)*1024) END AS words FROM t),
+f AS (SELECT rid, sum(least(pos + size, block*1024 + words) - greatest(pos, block*1024)) AS taken, min(position) AS first_position FROM o JOIN a ON o.source IS NOT DISTINCT FROM a.source AND pos < block*1024 + words AND pos + size > block*1024 GROUP BY rid)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, CAST(first_position AS BIGINT) AS first_position FROM o LEFT JOIN f USING (rid)"""
 
 
 def _escaped(x: str) -> str:
@@ -62,23 +73,28 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
 def _op7() -> str:
-    known = "CASE s " + " ".join(f"WHEN {_quoted(v)} THEN {_quoted(k)}" for k, v in SENTENCES.items()) + " END"
-    low = f"translate(text, '{UPPER}', '{LOWER}')"
+    def is_known(s: str, pattern: str) -> str:
+        words = _quoted(pattern.strip("* "))
+        return f"{s} = {words}" + (f" OR ends_with({s}, ' ' || {words})" if pattern[0] == "*" else "") + (f" OR starts_with({s}, {words} || ' ')" if pattern[-1] == "*" else "")
+
+    longest = sorted(SENTENCES.items(), key=lambda x: -len(x[1].strip("* ")))
+    known = "CASE " + " ".join(f"WHEN {is_known('s', v)} THEN {_quoted(k)}" for k, v in longest) + " END"
+    low = f"replace(translate(text, '{UPPER}', '{LOWER}'), 'spdx-license-identifier:', 'spdx-license-identifier ')"
     # a full stop ends a sentence only before white space or the end, so such stops become line ends first
     cut = rf"regexp_split_to_array(regexp_replace(regexp_replace({low}, '[.!?]+([\x20\x09-\x0D])', chr(10) || '\1', 'g'), '[.!?]+$', '', 'g'), '[\n;:]+')"
     norm = f"list_transform({cut}, lambda s: trim(regexp_replace(s, '[^a-z0-9./-]+', ' ', 'g'), ' '))"
     ids = f"list_filter(list_transform({norm}, lambda s: {known}), lambda x: x IS NOT NULL)"
-    steps, hits = ["l0 AS (SELECT rid, '|' || list_aggregate(list_transform(ids, lambda x: x || '|'), 'string_agg', '') AS s FROM i WHERE len(ids) > 0)"], []
-    for n, (name, run) in enumerate(RULES):
-        pattern = _quoted("|" + "|".join(run) + "|")
-        steps.append(f"l{n + 1} AS (SELECT * REPLACE (replace(s, {pattern}, '|') AS s), contains(s, {pattern}) AS h{n} FROM l{n})")
-        hits.append((name, f"h{n}"))
-    each = []
-    for name in dict.fromkeys(n for n, _ in hits):
-        each.append(f"CASE WHEN {' OR '.join(h for n, h in hits if n == name)} THEN {_quoted(name)} END")
-    names = f"array_to_string(list_filter([{', '.join(each)}], lambda x: x IS NOT NULL), ' ')"
-    return f"""WITH {D}, i AS (SELECT rid, doc_id, CASE WHEN regexp_matches({low}, '{KEY_WORDS}') THEN {ids} ELSE [] END AS ids FROM d), {', '.join(steps)}
-SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ' ') AS sentence_ids, coalesce({names}, '') AS licenses FROM i LEFT JOIN l{len(RULES)} USING (rid)"""
+    # rules one after another over the list itself: every place where the run begins is emptied
+    rules = ", ".join(f"({n}, {_quoted(name)}, [{', '.join(map(_quoted, run))}])" for n, (name, run) in enumerate(RULES))
+    first = {name: n for n, (name, _) in reversed(list(enumerate(RULES)))}
+    order = "CASE name " + " ".join(f"WHEN {_quoted(k)} THEN {n}" for k, n in first.items()) + " END"
+    begins = "list_filter(range(1, len(ids) + 1), lambda i: ids[i:i + len(run) - 1] = run)"
+    gone = "list_transform(range(1, len(ids) + 1), lambda i: CASE WHEN len(list_filter(places, lambda p: i BETWEEN p AND p + len(run) - 1)) > 0 THEN '-' ELSE ids[i] END)"
+    return f"""WITH RECURSIVE {D}, i AS (SELECT rid, doc_id, {ids} AS ids FROM d), r(n, name, run) AS (VALUES {rules}),
+x AS (SELECT rid, 0 AS n, ids, CAST(NULL AS VARCHAR) AS hit FROM i WHERE len(ids) > 0 UNION ALL
+ SELECT rid, n + 1, {gone}, CASE WHEN len(places) > 0 THEN name END FROM (SELECT x.rid, x.n, x.ids, r.name, r.run, {begins} AS places FROM x JOIN r ON r.n = x.n)),
+o AS (SELECT rid, string_agg(name, ' ' ORDER BY {order}) AS licenses FROM (SELECT DISTINCT rid, hit AS name FROM x WHERE hit IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ' ') AS sentence_ids, coalesce(o.licenses, '') AS licenses FROM i LEFT JOIN o USING (rid)"""
 
 
 OP8 = f"""WITH {D}, b AS (SELECT rid, doc_id, encode(text) AS b FROM d), w AS (SELECT rid, i, b[i:i + 199] AS s FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 198)) AS i FROM b WHERE octet_length(b) >= 200)),
