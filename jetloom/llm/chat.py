@@ -43,6 +43,19 @@ class Template:
         )
     )
 
+    def __post_init__(self):
+        """Refuses templates that could not be read back."""
+        controls, letters = [c for c, _ in self.escapes], [x for _, x in self.escapes]
+        for mark in (self.named, self.closing):
+            if not any(c in mark for c in controls):
+                raise ValueError(f"no control string keeps {mark!r} out of texts")
+            if any(mark.startswith(mark[k:]) for k in range(1, len(mark))):
+                raise ValueError(f"{mark!r} overlaps itself")
+        if len({*letters}) < len(letters) or any(len(x) != 1 or x == "\\" or any(x in c for c in controls) for x in letters):
+            raise ValueError("letters of escapes must be single, different, and in no control string")
+        if any("\\" in c for c in (*controls, self.named, self.closing)):
+            raise ValueError("a control string may hold no backslash")
+
 
 DEFAULT = Template()
 
@@ -116,7 +129,8 @@ def format_conversations(
 
 def read_back(formatted: DataFrame, template: Template = DEFAULT, conv: str = "conv_id") -> DataFrame:
     """The turns parsed from ``formatted`` and the text under the loss flags, both unescaped."""
-    pieces = F.split("formatted", template.closing.replace("\\", "\\\\"))  # the last piece, after the last closing, is empty
+    literally = "\\Q" + template.closing + "\\E"  # a template's closing holds no backslash
+    pieces = F.split("formatted", literally)  # the last piece, after the last closing, is empty
     cut = F.lit(len(template.opening) + 1)
 
     def parsed(piece: Column) -> Column:
