@@ -7,8 +7,11 @@ to the root. Every round is written to the shared folder, so a lost executor cos
 task and numbers do not change between attempts.
 
 After best-fit at most one bin of a node is half full or less, and two bins can only
-be joined if one of them is, so few bins matter above the leaves: a node hands up its
-``max_open`` emptiest bins and finishes the rest as they are (no piece is lost).
+be joined if one of them is. A node of ``fan_in`` children thus joins ``fan_in`` pairs at most, and
+a child's other bins can be needed only there and once for each level above: it hands up its
+emptiest ``fan_in`` bins for each level that a tree of 2**28 leaves has, and finishes the
+rest, which could not all be joined to anything. Any half-empty bin still finds its room, so what is
+gathered in a task is bounded and the number of sequences does not suffer.
 
 Defined results: a null text is empty and has the end token alone; null ids are carried
 through; repeated rows are packed each on its own; an empty table gives an empty result.
@@ -17,6 +20,7 @@ through; repeated rows are packed each on its own; an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +36,8 @@ from .tokenized import encoder
 
 #: Pieces that one best-fit run holds; larger partitions are packed in several runs.
 RUN_PIECES = 200_000
+#: Numbers of nodes, and of bins of a node, have so many bits.
+NODE_BITS = 28
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -78,7 +84,12 @@ def _schema(id_type: T.DataType) -> T.StructType:
     )
 
 
-def _packed(bins: list[list[dict]], node: int, first: int, level: int, capacity: int, slack: int, max_open: int, last: bool) -> list[dict]:
+def handed_up(fan_in: int) -> int:
+    """Bins that a node hands up at most: ``fan_in`` for each level of the largest tree, and the one that is half full or less."""
+    return fan_in * math.ceil(NODE_BITS / math.log2(fan_in)) + 1
+
+
+def _packed(bins: list[list[dict]], node: int, first: int, level: int, capacity: int, slack: int, most: int, last: bool) -> list[dict]:
     """``bins`` (lists of pieces) packed as items of their own; rows of the bins that come out."""
     fills = [sum(p["length"] for p in b) for b in bins]
     out = []
@@ -90,13 +101,13 @@ def _packed(bins: list[list[dict]], node: int, first: int, level: int, capacity:
         out.append(
             {
                 "node": node,
-                "sequence_id": (level << 56) | (node << 28) | (first + k),
+                "sequence_id": (level << 56) | (node << NODE_BITS) | (first + k),
                 "fill": fill,
                 "closed": last or fill + slack >= capacity,
                 "items": pieces,
             }
         )
-    for row in sorted((r for r in out if not r["closed"]), key=lambda r: (r["fill"], r["sequence_id"]))[max_open:]:
+    for row in sorted((r for r in out if not r["closed"]), key=lambda r: (r["fill"], r["sequence_id"]))[most:]:
         row["closed"] = True
     return out
 
@@ -110,9 +121,12 @@ def pack(
     text: str = "text",
     slack: int = 16,
     fan_in: int = 8,
-    max_open: int = 256,
+    run_pieces: int = RUN_PIECES,
 ) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
+    if fan_in < 2:
+        raise ValueError("fan_in must be 2 or more")
+    most = handed_up(fan_in)
     spark, id_type = docs.sparkSession, docs.schema[id_col].dataType
     model = tokenizer_bytes(tokenizer_path)
     version = hashlib.sha256(model).hexdigest()
@@ -121,14 +135,16 @@ def pack(
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, node, made = encoder(version, shipped.value), TaskContext.get().partitionId(), 0
-        kinds, pieces = None, []
+        kinds, pieces, waiting = None, [], []
 
         def run() -> pa.RecordBatch:
+            """Packs what is held; bins that stay open wait for the next run, so that a leaf hands up no more than one run does."""
             nonlocal made
-            rows = _packed([[p] for p in pieces], node, made, 0, capacity, slack, max_open, False)
+            rows = _packed([[p] for p in pieces] + waiting, node, made, 0, capacity, slack, most, False)
             made += len(rows)
             pieces.clear()
-            return pa.RecordBatch.from_pylist(rows, kinds)
+            waiting[:] = [r["items"] for r in rows if not r["closed"]]
+            return pa.RecordBatch.from_pylist([r for r in rows if r["closed"]], kinds)
 
         for batch in batches:
             if kinds is None:
@@ -139,16 +155,18 @@ def pack(
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     pieces.append({"id": doc, "piece": k, "start": at // 4, "length": len(part) // 4, "crc": zlib.crc32(part), "offset": 0})
-                if len(pieces) >= RUN_PIECES:
+                if len(pieces) >= run_pieces:
                     yield run()
         if pieces:
             yield run()
+        if waiting:
+            yield pa.RecordBatch.from_pylist(_packed(waiting, node, made, 0, capacity, slack, most, False), kinds)
 
     def merge(level: int, last: bool):
         def run(key: tuple, table: pa.Table) -> pa.Table:
             rows = sorted(table.to_pylist(), key=lambda r: r["sequence_id"])
             bins = [r["items"] for r in rows]
-            packed = _packed(bins, int(key[0].as_py()), 0, level, capacity, slack, max_open, last)
+            packed = _packed(bins, int(key[0].as_py()), 0, level, capacity, slack, most, last)
             return pa.Table.from_pylist(packed, table.schema)
 
         return run

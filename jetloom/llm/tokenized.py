@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import unicodedata
@@ -43,8 +44,28 @@ def _bytes_as_letters() -> dict[int, int]:
     return {b: 256 + n for n, b in enumerate(hidden)}
 
 
+#: The rules, as a tokenizer's file states them, under which a text falls into parts.
+NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def has_known_rules(model: bytes) -> bool:
+    """Whether normaliser, pre-tokenizer, model and added tokens are those that ``parts`` and ``plain_word`` are made for."""
+    said = json.loads(model)
+    normaliser, pre, bpe = said.get("normalizer") or {}, said.get("pre_tokenizer") or {}, said["model"]
+    steps = pre.get("pretokenizers") or [{}, {}]
+    return (
+        normaliser.get("normalizers") == NORMALISER
+        and len(steps) == 2
+        and (steps[0].get("type"), steps[0].get("pattern"), steps[0].get("invert")) == ("Split", {"Regex": SPLIT}, True)
+        and (steps[1].get("type"), steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == ("ByteLevel", False, False)
+        and (bpe.get("type"), bpe.get("dropout"), bpe.get("byte_fallback")) == ("BPE", None, False)
+        and all(t["content"].startswith("<|") and not t["normalized"] and not t["lstrip"] and not t["rstrip"] for t in said["added_tokens"])
+    )
+
+
 def splits_into_parts(tokenizer, word: Callable[[str], list[int]]) -> bool:
-    """Whether texts fall into chunks and parts, and plain words need no pre-tokens: tried where a merge over a border would show."""
+    """A second look after ``has_known_rules``: texts are tried where a merge over a border would show."""
     probes = ["a b", "a  b\n c\t", " 's t's 1 2", "x ́y", "A B c", "... !!\r\n<", "Σ ΑΣ Σ", "日 本  語 x", "<|endoftext|> a <|startoftext|>b",
               "Don't. it's, X'S.", "12.5, a-b- (C) [9]. _a_", "a\x00. \x1c!", "über-é. Élan, ñandú! 日本語."]
     encode = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
@@ -114,5 +135,5 @@ def encoder(version: str, model: bytes) -> Callable[[pa.Array], Iterator[bytes]]
         for text in texts:
             yield np.array(tokenizer.encode(text.as_py(), add_special_tokens=False).ids, "<u4").tobytes()
 
-    _ENCODERS[version] = by_chunks if splits_into_parts(tokenizer, word) else whole
+    _ENCODERS[version] = by_chunks if has_known_rules(model) and splits_into_parts(tokenizer, word) else whole
     return _ENCODERS[version]
