@@ -42,7 +42,7 @@ class Rule:
     high: float | None = None
 
 
-#: Base rules of the contract, decided in integers: at least 50 words, at most half of them repeated.
+#: Base rules of the contract: at least 50 words, at most half of them repeated (a half of a whole number is exact).
 BASE_RULES = (
     Rule("words", "n_words", low=50),
     Rule("repeats", "n_repeat_words", "n_words", high=0.5),
@@ -121,8 +121,7 @@ def measured(docs: DataFrame, *carried: Column, text: str = "text") -> DataFrame
 
 
 def _verdict(stats: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return stats.withColumn("base_failed", base_failed).withColumn("kept", ~F.col("base_failed") & compiled(rules))
+    return stats.withColumn("base_failed", ~compiled(BASE_RULES)).withColumn("kept", ~F.col("base_failed") & compiled(rules))
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
