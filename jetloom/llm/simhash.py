@@ -1,18 +1,21 @@
 """SimHash near-dedup with pigeonring filtering.
 
 Fingerprints of 64 bits come from XXH64 of word shingles. Equal fingerprints are one
-node from then on. Two fingerprints that differ in ``distance`` = 2 bits at most are
+node from then on. Two fingerprints that differ in ``DISTANCE`` = 2 bits at most are
 linked; links are searched among distinct fingerprints only.
 
-Pigeonring: the 64 bits are three segments on a ring. If the whole differs by 2 bits
+Pigeonring: the 64 bits are seven segments on a ring. If the whole differs by 2 bits
 at most, some segment starts a chain in which every prefix of l segments differs by
-l * 2 / 3 bits at most: the first by none, the first two by one, all by two. Segment
-values are therefore join keys, the chain is tested next, and the full distance last.
+l * 2 / 7 bits at most: the first three by none, the next three by one, all by two. Three
+neighbouring segments (27 or 28 bits) are therefore a join key, seven for a fingerprint;
+the rest of the chain is tested next, and the full distance last.
 
-A segment value that more than ``block`` fingerprints share is not joined with itself:
-its members meet at the 65 fingerprints within one bit of each (two at distance 2
-share one, and all that meet in one are within distance 2). That is exact, linear,
-and no meeting point has more than 65 members.
+A key that more than ``block`` fingerprints share is split by further segments: five of the
+seven are equal whatever two bits differ, so its members meet again under the two of the other
+four segments that are equal too (45 bits or more). Only fingerprints that share five segments
+in large numbers are left; they differ in the last two segments alone, and those of them within two bits meet at the
+patterns of these segments one bit away (a pattern has 20 members at most). That is exact, and no key or
+block is compared with itself beyond ``block`` members.
 
 Defined results: a null text is empty; a text without words has fingerprint 0 and is
 linked like any other; documents with a null id take part and never name a component
@@ -22,8 +25,10 @@ component; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Iterable, Iterator
+from functools import partial, reduce
+from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +37,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import near_copies
 from .common import sliced, text_or_empty, written
 from .components import stars
 
-#: Lowest bit and width of the three segments.
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
+#: Lowest bit and width of the segments, in order on the ring.
+SEGMENTS = ((0, 10), (10, 9), (19, 9), (28, 9), (37, 9), (46, 9), (55, 9))
+#: So many segments of a chain must be equal at its start.
+LEAD = 3
 DISTANCE = 2
 BITS = 64
 
@@ -65,47 +73,83 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
     return rows.mapInArrow(run, T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())]))
 
 
-def _segment(fp: Column, k: int) -> Column:
-    low, width = SEGMENTS[k % len(SEGMENTS)]
-    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1))
+def _mask(segments: Iterable[int]) -> int:
+    """The bits of these segments, as a signed long."""
+    bits = sum(((1 << width) - 1) << low for low, width in (SEGMENTS[k % len(SEGMENTS)] for k in segments))
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
-def _differ(x: Column, k: int) -> Column:
-    return F.bit_count(_segment(x, k))
+def _differ(x: Column, segments: Iterable[int]) -> Column:
+    return F.bit_count(x.bitwiseAND(F.lit(_mask(segments)).cast("long")))
 
 
 def _chain(x: Column, start: int) -> Column:
     """Every prefix of the chain from segment ``start`` is within its proportional budget."""
-    ring, total = F.lit(True), F.lit(0)
-    for n in range(len(SEGMENTS)):
-        total = total + _differ(x, start + n)
-        ring = ring & (total <= (n + 1) * DISTANCE // len(SEGMENTS))
-    return ring
+    prefixes = (range(start, start + n) for n in range(1, len(SEGMENTS) + 1))
+    return reduce(and_, (_differ(x, p) <= len(p) * DISTANCE // len(SEGMENTS) for p in prefixes))
+
+
+def _keyed(rows: DataFrame, masks: Column) -> DataFrame:
+    """``rows`` once for each mask (struct k, mask), with ``key``, the fingerprint's bits under it."""
+    many = rows.select("*", F.explode(masks).alias("m"))
+    return many.select(*rows.columns, F.col("m.k").alias("k"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"))
+
+
+def _masks(sets: Iterable[tuple[int, Iterable[int]]]) -> Column:
+    return F.array(*[F.struct(F.lit(k).alias("k"), F.lit(_mask(s)).cast("long").alias("mask")) for k, s in sets])
+
+
+def _met(keyed: DataFrame, block: int, *more: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that share a key, of small and of large blocks."""
+    keys = [*more, "k", "key"]
+    sizes = keyed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(keyed.join(sizes, keys), "simhash-blocks", few_files=True)
+    return shared.where(F.col("n") <= block), shared.where(F.col("n") > block)
+
+
+def _pairs(small: DataFrame, chain: bool) -> DataFrame:
+    a, b = small.select("k", "key", F.col("fp").alias("u")), small.select("k", "key", F.col("fp").alias("v"))
+    x = F.col("u").bitwiseXOR(F.col("v"))
+    near = (F.col("u") < F.col("v")) & (F.bit_count(x) <= DISTANCE)
+    if chain:  # the key's chain; it is the same test for every k, so one of them holds for a pair within the distance
+        starts = F.lit(False)
+        for k in range(len(SEGMENTS)):
+            starts = F.when(F.col("k") == k, _chain(x, k)).otherwise(starts)
+        near = starts & near
+    return a.join(b, ["k", "key"]).where(near).select("u", "v")
 
 
 def links(nodes: DataFrame, block: int = 64) -> DataFrame:
     """Pairs u < v of ``nodes.fp`` (distinct) that connect all fingerprints within two bits of each other.
 
-    Small blocks give each pair; members of large ones are linked through the smallest
+    Small blocks give each pair; members of the densest ones are linked through the smallest
     fingerprint at each meeting point, which joins the same components.
     """
-    keys = F.array(*[F.struct(F.lit(k).alias("k"), _segment(F.col("fp"), k).alias("value")) for k in range(len(SEGMENTS))])
-    keyed = nodes.select("fp", F.explode(keys).alias("s")).select("fp", "s.k", "s.value")
-    sizes = keyed.groupBy("k", "value").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(sizes, ["k", "value"]), "simhash-blocks", few_files=True)
-
-    small = shared.where(F.col("n") <= block)
-    a, b = small.select("k", "value", F.col("fp").alias("u")), small.select("k", "value", F.col("fp").alias("v"))
-    x = F.col("u").bitwiseXOR(F.col("v"))
-    chains = F.when(F.col("k") == 0, _chain(x, 0)).when(F.col("k") == 1, _chain(x, 1)).otherwise(_chain(x, 2))
-    near = a.join(b, ["k", "value"]).where((F.col("u") < F.col("v")) & chains & (F.bit_count(x) <= DISTANCE)).select("u", "v")
-
-    large = shared.where(F.col("n") > block).select("fp").distinct()
-    flips = F.array(F.lit(0).cast("long"), *[F.lit(-(1 << 63) if i == 63 else 1 << i).cast("long") for i in range(BITS)])
-    points = large.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
-    met = points.groupBy("point").agg(F.array_sort(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
+    ring = range(len(SEGMENTS))
+    small, large = _met(_keyed(nodes.select("fp"), _masks((k, range(k, k + LEAD)) for k in ring)), block)
+    found = _pairs(small, chain=True)
+
+    # five equal segments: the three of a large key and two of the others, numbered by the two that may differ
+    open_pairs = list(combinations(ring, DISTANCE))
+    fives = {k: [n for n, p in enumerate(open_pairs) if not {s % len(SEGMENTS) for s in range(k, k + LEAD)} & {*p}] for k in ring}
+    of_key = F.lit(None)
+    for k in ring:
+        masks = _masks((n, (s for s in ring if s not in open_pairs[n])) for n in fives[k])
+        of_key = F.when(F.col("lead") == k, masks).otherwise(of_key)
+    again = _keyed(large.select("fp", F.col("k").alias("lead")), of_key).select("fp", "k", "key").distinct()
+    small, dense = _met(again, block)
+    found = found.unionByName(_pairs(small, chain=False))
+
+    flips = F.lit(None)
+    for n, pair in enumerate(open_pairs):
+        bits = [low + i for low, width in (SEGMENTS[s] for s in pair) for i in range(width)]
+        signs = [F.lit(-(1 << 63) if i == 63 else 1 << i).cast("long") for i in bits]
+        flips = F.when(F.col("k") == n, F.array(F.lit(0).cast("long"), *signs)).otherwise(flips)
+    points = dense.select("k", "key", "fp", F.explode(flips).alias("flip"))
+    points = points.select("k", "key", "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
+    met = points.groupBy("k", "key", "point").agg(F.array_sort(F.collect_list("fp")).alias("fps")).where(F.size("fps") > 1)
     hubs = met.select(F.get("fps", F.lit(0)).alias("u"), F.explode(F.slice("fps", 2, BITS)).alias("v"))
-    return near.unionByName(hubs).distinct()
+    return found.unionByName(hubs).distinct()
 
 
 def near_duplicates(
@@ -124,14 +168,20 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component, with the columns that came in.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float | None = 0.8, **options) -> DataFrame:
+    """One document of each group, with the columns that came in.
+
+    ``similarity`` None: of each component of fingerprints within two bits. Else of near copies by that
+    Jaccard similarity of their shingles, which ``near_copies`` finds: two fingerprints at 0.8 differ in
+    about ten bits, and pigeonring has no selective segments for so many.
 
     It is the one with the smallest id; null ids are last, and of repeated rows one stays.
     """
+    if similarity is not None:
+        return near_copies.one_of_each(docs, id_col, text, words, similarity, **options)
     key = F.col("row")[id_col]
     place = F.struct(key.isNull().alias("last"), key.alias("id"), F.monotonically_increasing_id().alias("at"))
     rows = written(docs.select(F.struct("*").alias("row")).withColumn("place", place), "simhash-rows")
-    found = near_duplicates(rows.select("place", F.col("row")[text].alias("text")), "place", **options)
+    found = near_duplicates(rows.select("place", F.col("row")[text].alias("text")), "place", words=words, **options)
     first = found.where(F.col("component_id") == F.col("place")).select("place")
     return rows.join(first, "place", "left_semi").select("row.*")
