@@ -27,6 +27,16 @@ def nearest(left: DataFrame, right: DataFrame, max_dr: float = 0.4, left_id: str
     return best.where(near).select("event_id", "left_id", "best.right_id", "best.dr")
 
 
+def nearest_at(eta, phi, others, max_dr: float = 0.4) -> Column:
+    """Place in the list ``others`` (structs with eta, phi, energy) of the object nearest to (eta, phi), NULL if none is near enough.
+
+    The same rules as ``nearest``, inside an event's row: no shuffle.
+    """
+    dr = lambda x, i: F.when(x.energy != 0, F.struct(p4.delta_r(col(eta), col(phi), x.eta, x.phi).alias("dr"), i.alias("at")))
+    best = F.array_min(F.filter(F.transform(col(others), dr), lambda x: x.isNotNull()))
+    return F.when(best["dr"] < max_dr, best["at"])
+
+
 def assign(particles: DataFrame, jets: DataFrame, max_dr: float = 0.8) -> DataFrame:
     """event_id, jet_id, n_particles, particle ids in order, for every jet (none: 0): particles go to the nearest jet within ``max_dr``."""
     near = nearest(particles, jets, max_dr, "pidx", "jet_id", inclusive=True)

@@ -1,7 +1,9 @@
 """Collision events projected from the order tables: an order is an event, its lines are its particles.
 
-``particles`` is the long form (event_id, pidx, ...); ``nested_events`` the nested
-one. Orders without lines are events without particles.
+``particles`` is the long form (event_id, pidx, ...), ``native_events`` the nested schema of converted
+simulation files, with its links, and ``archival_events`` that of the archival data. Orders without lines
+are events without particles. Nothing is an identity that real data have otherwise: index lists are permuted, reference points are
+not zero, a track's direction is not its particle's, and a particle has two tracks of four states.
 """
 
 from __future__ import annotations
@@ -61,10 +63,35 @@ def particles(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_phi": F.pow(0.0005 * line, 2.0),
             "c_z0": F.pow(0.002 * line, 2.0),
             "c_tan": F.pow(0.0004 * line, 2.0),
+            "phi0": F.col("phi") + (F.col("pidx") % 3 - 1) * 0.01,
+            "xr": (F.col("pidx") * 3 % 5 - 2) / 1000.0,
+            "yr": (F.col("pidx") * 5 % 7 - 3) / 1000.0,
+            "zr": (F.col("pidx") * 7 % 11 - 5) / 100.0,
+            "has_track": (F.col("charge") != 0) & (F.col("pidx") % 7 != 6),
+            "dv_x": F.col("pidx") / 100.0,
+            "dv_y": F.col("pidx") % 3 / 50.0,
+            "dv_z": -F.col("pidx") / 200.0,
         }
     ).drop("line")
 
 
+#: Parameters of a particle's track.
+TRACK = ("d0", "z0", "phi0", "tanl", "omega", "xr", "yr", "zr", "c_d0", "c_phi", "c_z0", "c_tan")
+
+
+def tracked(particles_: DataFrame) -> DataFrame:
+    """The particles with NULL track parameters where there is no track."""
+    return particles_.withColumns({c: F.when(F.col("has_track"), F.col(c)) for c in TRACK})
+
+
+def with_daughters(particles_: DataFrame) -> DataFrame:
+    """The particles with ``daughters``: of an event's index list, which is its particles rotated by one, three entries or fewer before their own."""
+    n = particles_.groupBy("event_id").agg(F.count("*").cast("int").alias("n"))
+    rows = particles_.join(n, "event_id").withColumn("begin", F.greatest(F.col("pidx") - 3, F.lit(0)))
+    at = F.when(F.col("begin") < F.col("pidx"), F.sequence("begin", F.col("pidx") - 1)).otherwise(F.array().cast("array<int>"))
+    return rows.withColumn("daughters", F.transform(at, lambda k: ((k + F.col("n") - 1) % F.col("n")).cast("int"))).drop("n", "begin")
+
+
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id and the primary vertex of every event."""
     key = F.col("o_custkey")
@@ -92,3 +119,83 @@ def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = vertices(spark, sf_dir).join(per, "event_id", "left")
     empty = F.array().cast(per.schema["reco"].dataType)
     return joined.select("event_id", F.struct(F.col("pvx").alias("x"), F.col("pvy").alias("y"), F.col("pvz").alias("z")).alias("pv"), F.coalesce("reco", empty).alias("reco"))
+
+
+def _xyz(x, y, z):
+    return F.struct(*[F.col(c).cast("double").alias(n) if isinstance(c, str) else c.cast("double").alias(n) for c, n in ((x, "x"), (y, "y"), (z, "z"))])
+
+
+def native_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in the schema of converted simulation files.
+
+    Particle k links to the index entries 2k and 2k + 1; the first one's track is the k-th from the end, whose first state
+    holds its parameters. Every other state and vertex is a decoy.
+    """
+    from .readers import EVENT_SCHEMA
+
+    p = particles(spark, sf_dir)
+    zero = F.lit(0)
+    none = _xyz(zero, zero, zero)
+    n = F.count("*").over(Window.partitionBy("event_id")).cast("int")
+    rows = p.withColumn("n", n)
+    links = F.when(F.col("charge") != 0, 2).otherwise(0)
+    cov = F.array(*[F.col({0: "c_d0", 2: "c_phi", 9: "c_z0", 14: "c_tan"}[i]) if i in (0, 2, 9, 14) else F.lit(7.0) for i in range(21)])
+    state = lambda k: F.struct(
+        F.lit(k).alias("location"), (F.col("d0") + k).alias("D0"), (F.col("phi0") + k).alias("phi"), F.col("omega").alias("omega"), (F.col("z0") + k).alias("Z0"),
+        F.col("tanl").alias("tanLambda"), F.lit(0.0).alias("time"), _xyz("xr", "yr", "zr").alias("referencePoint"), cov.alias("cov"),
+    )
+    reco = F.struct(
+        "pidx", F.col("pdg").alias("PDG"), F.col("energy"), _xyz("px", "py", "pz").alias("momentum"), none.alias("referencePoint"), F.col("charge"), F.col("mass"), F.lit(1.0).alias("goodnessOfPID"),
+        F.array().cast("array<float>").alias("covMatrix"), *[zero.alias(c) for c in ("clusters_begin", "clusters_end")],
+        (F.col("pidx") * 2).alias("tracks_begin"), (F.col("pidx") * 2 + links).alias("tracks_end"), *[zero.alias(c) for c in ("particles_begin", "particles_end")],
+    )
+    mc = F.struct(
+        "pidx", F.col("pdg").alias("PDG"), F.col("status").alias("generatorStatus"), zero.alias("simulatorStatus"), F.col("charge"), F.lit(0.0).alias("time"), F.col("mass"),
+        none.alias("vertex"), _xyz("dv_x", "dv_y", "dv_z").alias("endpoint"), _xyz("px", "py", "pz").alias("momentum"), none.alias("momentumAtEndpoint"), none.alias("spin"),
+        F.struct(zero.alias("a"), zero.alias("b")).alias("colorFlow"), zero.alias("parents_begin"), zero.alias("parents_end"),
+        F.greatest(F.col("pidx") - 3, zero).alias("daughters_begin"), F.col("pidx").alias("daughters_end"),
+    )
+    first = F.when(F.col("pidx") % 7 == 6, -1).otherwise(F.col("n") - 1 - F.col("pidx"))
+    per = rows.groupBy("event_id").agg(
+        F.array_sort(F.collect_list(reco)).alias("reco"), F.array_sort(F.collect_list(mc)).alias("mc"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pidx", F.array(first, F.col("pidx")).alias("x")))), lambda r: r.x)).alias("idx_track"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("pidx")).alias("k"), F.array(*[state(k) for k in range(4)]).alias("x")))), lambda r: r.x)).alias("track_states"),
+        F.transform(F.sequence(zero, F.count("*").cast("int") - 1), lambda k: ((k + F.count("*") - 1) % F.count("*")).cast("int")).alias("mc_daughters"),
+    )
+    v = vertices(spark, sf_dir).join(per, "event_id", "left")
+    pv = F.array(_xyz("pvx", "pvy", "pvz"), _xyz(F.lit(9), F.lit(9), F.lit(9)))
+    schema = spark.createDataFrame([], EVENT_SCHEMA).schema
+    out = v.withColumns({"pv": pv, "tracks": F.array(), "idx_reco": F.array(), "idx_mc": F.array(), "mc_weight": F.array()})
+    drop = lambda c: F.transform(F.coalesce(c, F.array().cast(per.schema[c].dataType)), lambda x: x.dropFields("pidx"))
+    out = out.withColumns({"reco": drop("reco"), "mc": drop("mc")})
+    return out.select(*[F.coalesce(F.col(f.name), F.array()).cast(f.dataType).alias(f.name) if f.name != "event_id" else F.col("event_id") for f in schema])
+
+
+def _dropping(field: str):
+    return lambda x: x.dropFields(field)
+
+
+def archival_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in the archival schema: one state a track, in reverse order of particles, and every fifth particle as a stored jet; events with a key divisible by 9 have no vertex."""
+    from .readers import ARCHIVAL_SCHEMA
+
+    a = F.abs("pdg")
+    code = F.when(a.isin(211, 321), 0).when(a == 11, 1).when(a == 13, 2).when(a == 22, 4).when(a.isin(130, 111), 5).otherwise(6)
+    rows = particles(spark, sf_dir).withColumns({"n": F.count("*").over(Window.partitionBy("event_id")).cast("int"), "code": code})
+    cov = F.array(*[F.col({0: "c_d0", 2: "c_phi", 9: "c_z0", 14: "c_tan"}[i]) if i in (0, 2, 9, 14) else F.lit(7.0) for i in range(21)])
+    first = F.col("n") - 1 - F.col("pidx")
+    own = F.struct("pidx", F.col("energy"), _xyz("px", "py", "pz").alias("momentum"), F.col("charge"), F.col("mass"), first.alias("tracks_begin"), F.when(F.col("has_track"), first + 1).otherwise(first).alias("tracks_end"))
+    state = F.struct(
+        (-F.col("pidx")).alias("k"), F.col("d0").alias("D0"), F.col("z0").alias("Z0"), F.col("phi0").alias("phi"), F.col("tanl").alias("tanLambda"), F.col("omega"), _xyz("xr", "yr", "zr").alias("referencePoint"), cov.alias("cov"),
+    )
+    jet = F.when(F.col("pidx") % 5 == 0, F.struct("pidx", F.col("energy"), _xyz("px", "py", "pz").alias("momentum"), F.col("mass")))
+    per = rows.groupBy("event_id").agg(
+        F.array_sort(F.collect_list(own)).alias("particles"), F.transform(F.array_sort(F.collect_list(F.struct("pidx", "code"))), lambda x: x.code).alias("particle_type"),
+        F.array_sort(F.collect_list(state)).alias("track_states"), F.array_sort(F.collect_list(jet)).alias("jets"),
+    )
+    v = vertices(spark, sf_dir).join(per, "event_id", "left")
+    found = F.when(F.col("event_id") % 9 != 0, F.array(_xyz("pvx", "pvy", "pvz"))).otherwise(F.array())
+    kinds = spark.createDataFrame([], ARCHIVAL_SCHEMA).schema
+    without = {"particles": "pidx", "track_states": "k", "jets": "pidx"}
+    out = v.withColumns({c: F.transform(c, _dropping(d)) for c, d in without.items()}).withColumn("vertices", found)
+    return out.select(*[F.coalesce(F.col(f.name), F.array()).cast(f.dataType).alias(f.name) if f.name != "event_id" else F.col("event_id") for f in kinds])
