@@ -95,6 +95,16 @@ def mode_name(mode) -> Column:
     )
 
 
+#: Names of species in plots, by absolute code.
+PARTICLE_NAMES = {11: "electron", 13: "muon", 15: "tau", 22: "photon", 111: "neutral pion", 130: "neutral hadron", 211: "charged hadron", 321: "charged kaon"}
+
+
+def particle_name(pdg) -> Column:
+    """The species' name; neutrinos are invisible, the rest other."""
+    name = _lookup(PARTICLE_NAMES, F.abs(col(pdg)))
+    return F.when(visible(pdg), F.coalesce(name, F.lit("other"))).otherwise("invisible")
+
+
 def signature(pdgs) -> Column:
     """Canonical species list: sorted absolute codes."""
     return F.array_sort(F.transform(col(pdgs), F.abs))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def angles(p4: np.ndarray) -> np.ndarray:
@@ -90,6 +91,58 @@ def genkt_jets(p4: np.ndarray, radius: float, power: float = -1.0) -> list[tuple
     return sorted(jets, key=lambda x: (-x[0][0], x[1][0]))
 
 
+def batched_jets(p4: np.ndarray, radius: float, power: float = -1.0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same for many events of n particles at once; p4 is (events, n, 4). (event, four-vector, membership) arrays of each step.
+
+    Every step takes one object from every event, two merged or one gone to the beam, so that all keep the
+    same number. Live objects stay in the order of ``recombine``, which decides ties.
+    """
+    events, n = p4.shape[:2]
+    scale = 1.0 - np.cos(radius) if radius <= np.pi else 3.0 + np.cos(radius)
+    rows, out = np.arange(events), []
+    inside = np.broadcast_to(np.eye(n, dtype=bool), (events, n, n)).copy()
+    live = p4.astype(float)
+    for m in range(n, 0, -1):
+        size = np.linalg.norm(live[:, :, 1:], axis=2)
+        unit = live[:, :, 1:] / np.where(size > 0, size, 1.0)[:, :, None]
+        moving = (size[:, :, None] > 0) & (size[:, None, :] > 0)
+        turned = np.where(moving, 1.0 - np.clip(unit @ unit.transpose(0, 2, 1), -1.0, 1.0), 0.0)
+        e = live[:, :, 0]
+        w = np.where(e > 0, np.where(e > 0, e, 1.0) ** (2 * power), 1.0)
+        d = np.minimum(w[:, :, None], w[:, None, :]) * turned / scale
+        d[:, *np.tril_indices(m)] = np.inf
+        flat = d.reshape(events, -1).argmin(axis=1)
+        i, j, k = flat // m, flat % m, w.argmin(axis=1)
+        pair = d.reshape(events, -1)[rows, flat] <= w[rows, k] if m > 1 else np.zeros(events, bool)
+        beam = np.flatnonzero(~pair)
+        out.append((beam, live[beam, k[beam]], inside[beam, k[beam]]))
+        if m == 1:
+            break
+        gone = np.zeros((events, m), bool)
+        gone[rows, np.where(pair, i, k)] = True
+        gone[rows[pair], j[pair]] = True
+        stay = np.argsort(gone, axis=1, kind="stable")[:, : m - 1]
+        new_p4, new_inside = live[rows, i] + live[rows, j], inside[rows, i] | inside[rows, j]
+        live, inside = live[rows[:, None], stay], inside[rows[:, None], stay]
+        live[pair, -1], inside[pair, -1] = new_p4[pair], new_inside[pair]
+    return out
+
+
+def jets_of_events(events: list[np.ndarray], radius: float, power: float = -1.0, at_once: int = 4096) -> list[list[tuple[np.ndarray, list[int]]]]:
+    """``genkt_jets`` of each event, those of equal size computed together."""
+    found: list[list] = [[] for _ in events]
+    by_size: dict[int, list[int]] = {}
+    for e, p4 in enumerate(events):
+        by_size.setdefault(len(p4), []).append(e)
+    for n, own in by_size.items():
+        for at in range(0, len(own) if n else 0, at_once):
+            part = own[at : at + at_once]
+            for event, p4, inside in batched_jets(np.array([events[e] for e in part]), radius, power):
+                for e, p, members in zip(event.tolist(), p4, inside, strict=True):
+                    found[part[e]].append((p, np.flatnonzero(members).tolist()))
+    return [sorted(jets, key=lambda x: (-x[0][0], x[1][0])) for jets in found]
+
+
 def invariant_mass(p: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, p[0] ** 2 - p[1] ** 2 - p[2] ** 2 - p[3] ** 2)))
 
@@ -166,6 +219,26 @@ def thrust(p3: np.ndarray, rounds: int = 100) -> float:
     return float(np.abs(p3 @ n).sum() / size)
 
 
+def batched_thrust(p3: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """``thrust`` of many events at once; p3 is (events, n, 3), short events filled with zeros."""
+    size, total = np.linalg.norm(p3, axis=2).sum(axis=1), p3.sum(axis=1)
+    length = np.linalg.norm(total, axis=1)
+    ok = (size > 0) & (length > 0)
+    n = total / np.where(length > 0, length, 1.0)[:, None]
+    moving = ok.copy()
+    for _ in range(rounds):
+        own = np.flatnonzero(moving)
+        if not len(own):
+            break
+        new = (np.sign((p3[own] * n[own, None, :]).sum(axis=2))[:, :, None] * p3[own]).sum(axis=1)
+        length = np.linalg.norm(new, axis=1)
+        new = new / np.where(length > 0, length, 1.0)[:, None]
+        done = (length == 0) | np.isclose(new, n[own]).all(axis=1)
+        n[own[~done]] = new[~done]
+        moving[own[done]] = False
+    return np.where(ok, np.abs((p3 * n[:, None, :]).sum(axis=2)).sum(axis=1) / np.where(ok, size, 1.0), np.nan)
+
+
 def massless(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray) -> np.ndarray:
     return np.column_stack([pt * np.cosh(eta), pt * np.cos(phi), pt * np.sin(phi), pt * np.sinh(eta)])
 
@@ -177,22 +250,44 @@ def _gathered(particles: DataFrame, keys: tuple[str, ...], fields: tuple[str, ..
     return particles.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pidx", *fields))).alias("c"))
 
 
-def cluster(particles: DataFrame, radius: float = 0.4, power: float = -1.0, min_pt: float = 0.0) -> DataFrame:
-    """event_id, jet_id, px, py, pz, energy, constituents (pidx) of every jet."""
-    kinds = [("event_id", pa.int64()), ("jet_id", pa.int32()), *[(c, pa.float64()) for c in ("px", "py", "pz", "energy")], ("constituents", pa.list_(pa.int32()))]
+def _vectors(column: pa.ListArray, fields: tuple[str, ...]) -> list[np.ndarray]:
+    """Each row's structs as a matrix, without Python objects for their values; NULL rows are empty."""
+    bounds = column.offsets.to_numpy()
+    values = column.values
+    flat = np.column_stack([values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in fields]) if len(values) else np.zeros((0, len(fields)))
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    return [flat[0:0] if gone else flat[a:b] for a, b, gone in zip(bounds[:-1], bounds[1:], null, strict=True)]
+
+
+JETS = pa.list_(pa.struct([("px", pa.float64()), ("py", pa.float64()), ("pz", pa.float64()), ("energy", pa.float64()), ("constituents", pa.list_(pa.int32()))]))
+JETS_SCHEMA = "array<struct<px: double, py: double, pz: double, energy: double, constituents: array<int>>>"
+
+
+def with_jets(events: DataFrame, radius: dict[str, float], power: float = -1.0, min_pt: float = 0.0) -> DataFrame:
+    """Adds ``<list>_jets`` for each named list of particles (structs with energy, px, py, pz): the list's jets, with constituents by place.
+
+    All lists of an event are clustered in one pass; the other columns go through as they are.
+    """
+    schema = T.StructType([*events.schema.fields, *[T.StructField(f"{c}_jets", T.StructType.fromDDL(f"jets {JETS_SCHEMA}")["jets"].dataType) for c in radius]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for event, parts in zip(batch.column("event_id").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                p4 = np.array([[x["energy"], x["px"], x["py"], x["pz"]] for x in parts])
-                jets = [(p, own) for p, own in genkt_jets(p4, radius, power) if np.hypot(p[1], p[2]) >= min_pt]
-                rows += [(event, n, p[1], p[2], p[3], p[0], [parts[i]["pidx"] for i in own]) for n, (p, own) in enumerate(jets)]
-            columns = list(zip(*rows, strict=True)) or [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=True)], [k for k, _ in kinds])
+            made = []
+            for name, r in radius.items():
+                found = jets_of_events(_vectors(batch.column(name), ("energy", "px", "py", "pz")), r, power)
+                rows = [[{"px": p[1], "py": p[2], "pz": p[3], "energy": p[0], "constituents": own} for p, own in jets if np.hypot(p[1], p[2]) >= min_pt] for jets in found]
+                made.append(pa.array(rows, JETS))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
 
-    schema = "event_id long, jet_id int, px double, py double, pz double, energy double, constituents array<int>"
-    return _gathered(particles, ("event_id",), ("energy", "px", "py", "pz")).mapInArrow(run, schema)
+    return events.mapInArrow(run, schema)
+
+
+def cluster(particles: DataFrame, radius: float = 0.4, power: float = -1.0, min_pt: float = 0.0) -> DataFrame:
+    """event_id, jet_id, px, py, pz, energy, constituents (pidx) of every jet."""
+    lists = with_jets(_gathered(particles, ("event_id",), ("energy", "px", "py", "pz")), {"c": radius}, power, min_pt)
+    rows = lists.select("event_id", "c", F.posexplode("c_jets").alias("jet_id", "j"))
+    ids = F.transform("j.constituents", lambda i: F.get(F.col("c.pidx"), i).cast("int"))
+    return rows.select("event_id", "jet_id", "j.px", "j.py", "j.pz", "j.energy", ids.alias("constituents"))
 
 
 def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "jet_id"), r0: float = 0.8) -> DataFrame:
@@ -218,8 +313,6 @@ def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "
             columns = list(zip(*out, strict=True)) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *[pa.array(c, pa.float64()) for c in columns]], [*keys, *names])
 
-    from pyspark.sql import types as T
-
     return grouped.mapInArrow(run, T.StructType([*fields, *[T.StructField(n, T.DoubleType()) for n in names]]))
 
 
@@ -228,7 +321,10 @@ def event_thrust(particles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [thrust(np.array([[x["px"], x["py"], x["pz"]] for x in parts])) for parts in batch.column("c").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(values, pa.float64())], ["event_id", "thrust"])
+            events = _vectors(batch.column("c"), ("px", "py", "pz"))
+            p3 = np.zeros((len(events), max(map(len, events), default=0), 3))
+            for e, v in enumerate(events):
+                p3[e, : len(v)] = v
+            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(batched_thrust(p3), pa.float64())], ["event_id", "thrust"])
 
     return _gathered(particles, ("event_id",), ("px", "py", "pz")).mapInArrow(run, "event_id long, thrust double")

@@ -62,5 +62,15 @@ def good_events(particles: DataFrame, jets: DataFrame) -> DataFrame:
     return both.where(~F.col("bad_jet") & ~F.coalesce("bad", F.lit(False))).select("event_id")
 
 
+def good_stored_jet(pt, eta, particle_pts) -> Column:
+    """The test of stored jets: positive pt, finite eta, and no particle whose pt is missing, not positive or not finite (energies are not looked at)."""
+    return (col(pt) > 0) & finite(eta) & ~F.exists(col(particle_pts), lambda x: (x <= 0) | (x == PAD) | ~finite(x))
+
+
+def within_beam(jet_energy, particle_pts) -> Column:
+    """The overview's test: jets within the beam's energy whose particles all are."""
+    return (col(jet_energy) <= MAX_JET_ENERGY) & ~F.exists(col(particle_pts), lambda x: x > MAX_PARTICLE_ENERGY)
+
+
 def with_stored_jets(events: DataFrame, jets: str = "jets") -> DataFrame:
     return events.where(F.size(jets) > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jetloom.functions.p4 import col, uniform_bin
+from jetloom.functions.p4 import col, digitize, logspace, uniform_bin
 
 
 def _all_bins(df: DataFrame, bins: int, first: int = 0) -> DataFrame:
@@ -32,6 +32,28 @@ def hist_1d(df: DataFrame, x, lo: float, hi: float, bins: int, weight=None, flow
     return frame.join(counts, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
+def hist_edges(df: DataFrame, x, edges: list[float], weight=None, flow: str = "drop", keys: tuple[str, ...] = ()) -> DataFrame:
+    """As ``hist_1d`` for bins between any ascending edges; with ``flow`` bins, the last edge belongs to the overflow."""
+    w, n = F.lit(1.0) if weight is None else col(weight), len(edges) - 1
+    rows = df.select(*keys, F.inline(F.array(F.struct(col(x).cast("double").alias("x"), w.alias("w")))))
+    rows = rows.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    b = digitize("x", edges) - 1
+    if flow != "bins":
+        b = F.when(F.col("x") == float(edges[-1]), n - 1).otherwise(b)
+    if flow == "sum":
+        b = F.greatest(F.lit(0), F.least(F.lit(n - 1), b))
+    counts = rows.select(*keys, b.cast("int").alias("bin"), "w").groupBy(*keys, "bin").agg(F.sum("w").cast("double").alias("value"))
+    frame = _all_bins(df, n, -1 if flow == "bins" else 0)
+    if keys:
+        frame = counts.select(*keys).distinct().join(F.broadcast(frame))  # one row per bin of the axis
+    return frame.join(counts, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
+def hist_log(df: DataFrame, x, lo_exponent: float, hi_exponent: float, bins: int, **options) -> DataFrame:
+    """``hist_edges`` over a logarithmic axis between two powers of ten."""
+    return hist_edges(df, x, logspace(lo_exponent, hi_exponent, bins + 1), **options)
+
+
 def density(hist: DataFrame, lo: float, hi: float, bins: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """value / (sum * bin width), NULL for an empty histogram."""
     total = F.sum("value").over(Window.partitionBy(*keys))
@@ -74,15 +96,15 @@ def ratio(hist: DataFrame, key: str, base: str) -> DataFrame:
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """value, count, percentage to two places."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    return counts.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2))
+    total = counts.agg(F.sum("n").alias("__total"))
+    return counts.crossJoin(F.broadcast(total)).select(column, "n", F.round(100.0 * F.col("n") / F.col("__total"), 2).alias("percent"))  # one row
 
 
 def confusion(df: DataFrame, a: str, b: str) -> DataFrame:
     """a, b, n and the share of equal pairs in all."""
     counts = df.groupBy(a, b).agg(F.count("*").alias("n"))
-    every = Window.partitionBy()
-    same = F.sum(F.when(F.col(a) == F.col(b), F.col("n")).otherwise(0)).over(every) / F.sum("n").over(every)
-    return counts.withColumn("trace_fraction", same)
+    same = F.sum(F.when(F.col(a) == F.col(b), F.col("n")).otherwise(0)) / F.sum("n")
+    return counts.crossJoin(F.broadcast(counts.agg(same.alias("trace_fraction"))))  # one row
 
 
 def validation_tables(jets: DataFrame, keys: tuple[str, ...] = ()) -> dict[str, DataFrame]:

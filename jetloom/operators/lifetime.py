@@ -25,12 +25,12 @@ def origin(xr, yr, zr, d0, z0, phi) -> dict[str, Column]:
 def with_closest_approach(tracks: DataFrame, two_d: bool = False, suffix: str = "") -> DataFrame:
     """Adds the arc length, the point of closest approach and the distances dxy, dz, d3, each with its error.
 
-    Needs d0, z0, phi0, tanl, the variances c_d0, c_phi, c_z0, c_tan and pvx, pvy, pvz.
+    Needs d0, z0, phi0, tanl, the reference point xr, yr, zr, the variances c_d0, c_phi, c_z0, c_tan and pvx, pvy, pvz.
     ``two_d`` leaves z out of the minimisation, not out of the position.
     """
     s = suffix
     c = F.col
-    t = tracks.withColumns(origin(F.lit(0.0), F.lit(0.0), F.lit(0.0), "d0", "z0", "phi0"))
+    t = tracks.withColumns(origin("xr", "yr", "zr", "d0", "z0", "phi0"))
     t = t.withColumns({"ux": F.cos("phi0"), "uy": F.sin("phi0"), "uz": c("tanl")})
     t = t.withColumns({"e_d": F.sqrt(F.abs("c_d0")), "e_f": F.sqrt(F.abs("c_phi")), "e_z": F.sqrt(F.abs("c_z0")), "e_t": F.sqrt(F.abs("c_tan"))})
     t = t.withColumns(
@@ -97,13 +97,35 @@ def with_closest_approach(tracks: DataFrame, two_d: bool = False, suffix: str =
     return t.drop("x0", "y0", "zz", "ux", "uy", "uz", "e_d", "e_f", "e_z", "e_t", "ax2", "ay2", "az2", "bx2", "by2", "bz2", "num", "den", "num_e2", "den_e2", "dx", "dy", "dzs")
 
 
+#: Lifetime variables by the names that records have -> columns of ``lifetime``.
+VARIABLES = (
+    {v: v for v in ("dxy", "dz", "d3", "d0", "z0", "dxy_2d", "dz_2d", "d3_2d", "pca_x", "pca_y", "pca_z")}
+    | {f"vertex_{c}": f"pv{c}" for c in "xyz"}
+    | {"phi0": "phi0", "tanL": "tanl", "omega": "omega"}
+    | {f"{v}_error": f"{v}_error" for v in ("dxy", "dz", "d3", "d0", "z0", "pca_x", "pca_y", "pca_z")}
+    | {f"{v}_2d_error": f"{v}_error_2d" for v in ("dxy", "dz", "d3")}
+)
+#: Those that also have a sign.
+SIGNED = ("dxy", "dz", "d3", "d0", "z0", "dxy_2d", "dz_2d", "d3_2d")
+
+
 def lifetime(particles: DataFrame, vertices: DataFrame) -> DataFrame:
-    """Every particle with its lifetime variables in 3-D and (suffix _2d) 2-D; particles without a track have the sentinel."""
-    t = particles.join(vertices, "event_id").withColumn("phi0", F.col("phi"))
+    """Every particle with its lifetime variables in 3-D and (suffix _2d) 2-D, with ``VARIABLES``' columns.
+
+    A particle whose track parameters are NULL has no track: all its variables are the sentinel.
+    """
+    t = particles.join(vertices, "event_id").withColumns({"d0_error": F.sqrt(F.abs("c_d0")), "z0_error": F.sqrt(F.abs("c_z0"))})
     t = with_closest_approach(with_closest_approach(t), two_d=True, suffix="_2d")
     names = [f"{v}{e}{s}" for s in ("", "_2d") for v in ("dxy", "dz", "d3", "pca_x", "pca_y", "pca_z") for e in ("", "_error")]
-    tracked = (F.col("charge") != 0) & (F.col("pdg") != 0)
-    return t.withColumns({n: F.when(tracked, F.col(n)).otherwise(SENTINEL) for n in names})
+    names += ["d0_error", "z0_error", "z0", "phi0", "tanl", "omega", "pvx", "pvy", "pvz"]
+    tracked = F.col("d0").isNotNull()
+    rest = {n: F.when(tracked, F.col(n)).otherwise(SENTINEL) for n in names}
+    return t.withColumns(rest | {"d0": F.coalesce("d0", F.lit(SENTINEL))})
+
+
+def jet_signed(x: Column, name: str, jet_x, jet_y, jet_z) -> Column:
+    """The signed variable ``name`` of a particle's struct (by the names of ``VARIABLES``) for a jet; all signs go by the 3-D point."""
+    return signed(x[name], x["pca_x"], x["pca_y"], x["pca_z"], x["vertex_x"], x["vertex_y"], x["vertex_z"], jet_x, jet_y, jet_z)
 
 
 def signed(ip, pca_x, pca_y, pca_z, v_x, v_y, v_z, jet_x, jet_y, jet_z) -> Column:
@@ -124,7 +146,7 @@ def simple_impact(tracks: DataFrame) -> DataFrame:
     """
     c = F.col
     sq = lambda x: x * x
-    t = tracks.withColumns(origin(F.lit(0.0), F.lit(0.0), F.lit(0.0), "d0", "z0", "phi0"))
+    t = tracks.withColumns(origin("xr", "yr", "zr", "d0", "z0", "phi0"))
     t = t.withColumns({"ux": F.cos("phi0"), "uy": F.sin("phi0")})
     num = (c("x0") - c("pvx")) * c("ux") + (c("y0") - c("pvy")) * c("uy") + (c("zz") - c("pvz")) * c("tanl")
     t = t.withColumn("s", -num / (sq(c("ux")) + sq(c("uy")) + sq(c("tanl"))))

@@ -53,15 +53,27 @@ def sphericity(particles: DataFrame) -> DataFrame:
     )
 
 
+#: Columns of ``event_variables`` -> species flag of archival records (fixed values).
+COUNTED = {"n_charged_hadrons": "isChargedHadron", "n_electrons": "isElectron", "n_muons": "isMuon", "n_photons": "isPhoton", "n_neutral_hadrons": "isNeutralHadron"}
+
+
+def species_of_code(code="pdg") -> dict[str, Column]:
+    """The archival species flags by particle code instead."""
+    a = F.abs(col(code))
+    return {"isChargedHadron": a.isin(211, 321), "isElectron": a == 11, "isMuon": a == 13, "isPhoton": a == 22, "isNeutralHadron": a.isin(130, 111)}
+
+
 def event_variables(particles: DataFrame, jets: DataFrame) -> DataFrame:
-    """Missing momentum, summed jet pt and numbers of jets and of each species, per event with particles."""
-    n = lambda cond: F.count(F.when(cond, 1))
-    a = F.abs("pdg")
+    """Missing momentum, summed jet pt and numbers of jets and of each species, per event with particles.
+
+    Species go by the flags where particles have them, else by their code ``pdg``.
+    """
+    flagged = all(c in particles.columns for c in SPECIES)
+    is_species = {c: F.col(c) == 1 for c in SPECIES} if flagged else species_of_code()
     per = particles.groupBy("event_id").agg(
         F.sqrt(F.pow(F.sum("px"), 2.0) + F.pow(F.sum("py"), 2.0)).alias("met"),
-        n(a.isin(211, 321)).alias("n_charged_hadrons"), n(a == 11).alias("n_electrons"), n(a == 13).alias("n_muons"),
-        n(a == 22).alias("n_photons"), n(a.isin(130, 111)).alias("n_neutral_hadrons"),
-    )
+        *[F.count(F.when(is_species[flag], 1)).alias(name) for name, flag in COUNTED.items()],
+    )
     by_jet = jets.groupBy("event_id").agg(F.sum("pt").alias("ht"), F.count("*").alias("n_jets"))
     return per.join(by_jet, "event_id", "left").fillna({"ht": 0.0, "n_jets": 0})
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jetloom.functions import p4, pdg
@@ -16,56 +16,75 @@ UNMATCHED = {"decaymode": -1, "charge": -999.0, "vis_energy": 0.0, "dv_x": -1.0,
 BACKGROUND = UNMATCHED | {"dv_x": 0.0, "dv_y": 0.0, "dv_z": 0.0}
 
 
+#: How the properties of a tau are called in a jet's record.
+PROPERTIES = ("vis_energy", "decaymode", "charge", "full_p4", "p4", "DV_x", "DV_y", "DV_z")
+DAUGHTERS = ("vis_daughter_p4s", "vis_daughter_pdgs", "vis_daughter_charges")
+_P4S = "array<struct<pt:double,eta:double,phi:double,energy:double>>"
+
+
+def fill_values(signal: bool = True, daughters: bool = False) -> dict[str, Column]:
+    """What a jet without a tau gets, by property."""
+    values = UNMATCHED if signal else BACKGROUND
+    out = {c: F.lit(values[c.lower()]) for c in PROPERTIES if not c.endswith("p4")} | {c: p4.zero_p4() for c in ("full_p4", "p4")}
+    if daughters:
+        out |= {c: F.array().cast(t) for c, t in zip(DAUGHTERS, (_P4S, "array<int>", "array<double>"), strict=True)}
+    return out
+
+
 def taus_with_daughters(mc: DataFrame) -> DataFrame:
-    """One row per tau of the long particle table: full and visible four-vector, charge, decay mode, daughters' lists.
+    """One row per tau of the long particle table: full and visible four-vector, charge, decay mode and vertex, visible daughters' lists.
 
-    Daughters are the rows [daughters_begin, daughters_end) of the same event. A tau without
-    visible daughters has a zero visible four-vector and, without any, mode 15.
+    ``daughters`` holds the places of a particle's daughters in its event. A tau without
+    visible daughters has a zero visible four-vector and, without any, mode 15. The charge is that of the tau's code.
     """
     taus = mc.where(is_tau()).select(
-        "event_id", F.col("pidx").alias("tau_id"), "daughters_begin", "daughters_end", F.col("charge").cast("double").alias("charge"),
-        F.struct("pt", "eta", "phi", "energy").alias("full_p4"),
+        "event_id", F.col("pidx").alias("tau_id"), pdg.table_charge("pdg").cast("double").alias("charge"), F.struct("pt", "eta", "phi", "energy").alias("full_p4"),
+        F.struct(F.col("dv_x").alias("DV_x"), F.col("dv_y").alias("DV_y"), F.col("dv_z").alias("DV_z")).alias("dv"),
+        F.posexplode_outer("daughters").alias("place", "pidx"),
     )
-    ids = F.when(F.col("daughters_begin") < F.col("daughters_end"), F.sequence(F.col("daughters_begin"), F.col("daughters_end") - 1))
-    linked = taus.select("*", F.explode_outer(ids).alias("pidx"))
-    kids = mc.select("event_id", "pidx", F.col("pdg").alias("d_pdg"), "px", "py", "pz", F.col("energy").alias("d_e"))
-    both = linked.join(kids, ["event_id", "pidx"], "left")
-    cand = pdg.candidate_id("d_pdg")
+    kids = mc.select("event_id", "pidx", F.col("pdg").alias("d_pdg"), "px", "py", "pz", F.col("energy").alias("d_e"), F.struct("pt", "eta", "phi", "energy").alias("d_p4"))
+    both = taus.join(kids, ["event_id", "pidx"], "left")
+    cand, q = pdg.candidate_id("d_pdg"), pdg.table_charge("d_pdg")
     seen = pdg.visible("d_pdg")
     n = lambda cond: F.count(F.when(cond, 1))
     sums = {c: F.coalesce(F.sum(F.when(seen, F.col(c))), F.lit(0.0)).alias("s_" + c) for c in ("px", "py", "pz", "d_e")}
-    per = both.groupBy("event_id", "tau_id", "charge", "full_p4").agg(
+    daughter = F.struct("place", "pidx", F.col("d_pdg").alias("pdg"), cand.alias("cand"), q.alias("q"), F.col("d_p4").alias("p4"))
+    per = both.groupBy("event_id", "tau_id", "charge", "full_p4", "dv").agg(
         *sums.values(),
         n(cand == 211).alias("n_charged"), n(cand == 130).alias("n_neutral"), n(cand.isin(11, 13)).alias("n_lepton"),
         n(~cand.isin(*pdg.COMMON)).alias("n_other"),
-        F.array_sort(F.collect_list(F.when(seen, F.struct("pidx", cand.alias("cand"), pdg.table_charge("d_pdg").alias("q"))))).alias("daughters"),
+        F.array_sort(F.collect_list(F.when(seen, daughter))).alias("daughters"),
     )
     vis = p4.from_cartesian("s_px", "s_py", "s_pz", energy="s_d_e")
     return per.select(
-        "event_id", "tau_id", "charge", "full_p4",
+        "event_id", "tau_id", "charge", "full_p4", "dv.*",
         pdg.decay_mode("n_charged", "n_neutral", "n_lepton", "n_other").alias("decaymode"),
         vis.alias("vis_p4"), F.col("s_d_e").alias("vis_energy"), "daughters",
     )
 
 
-def jet_tau_info(jets: DataFrame, taus: DataFrame, max_dr: float = 0.4) -> DataFrame:
-    """Each jet with decay mode, charge and visible energy of its tau; of several taus the last one, of none the fill values."""
-    seen = taus.select("event_id", "tau_id", "decaymode", "charge", "vis_energy", F.col("vis_p4.eta").alias("eta"), F.col("vis_p4.phi").alias("phi"))
+def properties(taus: DataFrame, daughters: bool = False) -> DataFrame:
+    """event_id, tau_id, eta, phi of the visible part, and the properties of each tau."""
+    own = {"p4": F.col("vis_p4")}
+    if daughters:
+        lists = (F.col("daughters.p4"), F.col("daughters.pdg"), F.transform("daughters", lambda d: d.q.cast("double")))
+        own |= dict(zip(DAUGHTERS, lists, strict=True))
+    names = (*PROPERTIES, *(DAUGHTERS if daughters else ()))
+    return taus.select("event_id", "tau_id", F.col("vis_p4.eta").alias("eta"), F.col("vis_p4.phi").alias("phi"), *[own.get(c, F.col(c)).alias(c) for c in names])
+
+
+def jet_tau_info(jets: DataFrame, taus: DataFrame, max_dr: float = 0.4, daughters: bool = False) -> DataFrame:
+    """Each jet with the properties of its tau; of several taus the last one, of none the fill values."""
+    seen = properties(taus, daughters)
     found = nearest(seen.where("vis_energy != 0"), jets, max_dr, "tau_id", "jet_id")
     found = found.select("event_id", F.col("left_id").alias("tau_id"), F.col("right_id").alias("jet_id")).join(seen, ["event_id", "tau_id"])
-    fills = {c: UNMATCHED[c] for c in ("decaymode", "charge", "vis_energy")}
-    return fill_last(jets, found, "jet_id", "tau_id", fills)
+    return fill_last(jets, found, "jet_id", "tau_id", fill_values(True, daughters))
 
 
-def background_info(jets: DataFrame, daughters: bool = False) -> DataFrame:
-    """The constant tau block of background jets."""
-    out = jets.withColumns({f"gen_jet_tau_{c}": F.lit(v) for c, v in BACKGROUND.items()})
-    out = out.withColumns({f"gen_jet_tau_{c}": p4.zero_p4() for c in ("p4", "full_p4")})
-    if daughters:
-        kinds = {"p4s": "array<struct<pt:double,eta:double,phi:double,energy:double>>", "pdgs": "array<int>", "charges": "array<double>"}
-        out = out.withColumns({f"gen_jet_tau_vis_daughter_{c}": F.array().cast(t) for c, t in kinds.items()})
-    return out
+def background_info(jets: DataFrame, taus: DataFrame | None = None, max_dr: float = 0.4, daughters: bool = False) -> DataFrame:
+    """The constant tau block of background jets (``taus`` is not looked at)."""
+    return jets.withColumns(fill_values(False, daughters))
 
 
-#: Tau information by kind of sample.
-TAU_INFO = {True: jet_tau_info, False: lambda jets, taus=None: background_info(jets)}
+#: Tau information by kind of sample: signal or not.
+TAU_INFO = {True: jet_tau_info, False: background_info}

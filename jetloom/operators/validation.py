@@ -54,13 +54,15 @@ def jet_shape(rows: DataFrame, by_mode: bool = False, axis=SHAPE) -> DataFrame:
 
 def lifetime_variable(rows: DataFrame, x, axis=LIFETIME, keys: tuple[str, ...] = ()) -> DataFrame:
     """Absolute values of the candidates that have a track."""
-    return hist_1d(rows.where(col(x) > -999), F.abs(col(x)), *axis, keys=keys)
+    rows = rows.select(*keys, F.inline(F.array(F.struct(col(x).alias("x"))))).where("x > -999")  # as in log_sigma
+    return hist_1d(rows, F.abs("x"), *axis, keys=keys)
 
 
 def log_sigma(rows: DataFrame, sigma, axis=LOG_SIGMA) -> DataFrame:
     """Density over the logarithm of an error; errors that are not positive are left out."""
-    rows = rows.where((col(sigma) > 0) & (col(sigma) != -1000.0))
-    return density(hist_1d(rows, F.log10(col(sigma)), *axis), *axis)
+    # a generator of one row: the error may be a long expression, which a filter and the axis would name many times
+    rows = rows.select(F.inline(F.array(F.struct(col(sigma).alias("sigma"))))).where("sigma > 0")
+    return density(hist_1d(rows, F.log10("sigma"), *axis), *axis)
 
 
 def energy_map(rows: DataFrame, gen, reco, bins: int = 50) -> DataFrame:
@@ -94,6 +96,21 @@ def pooled_log_ratio(df: DataFrame, x: str, key: str, base: str, bins: int = 50)
     return share.where(F.col(key) != base).join(below, "bin", "left").select(key, "bin", F.try_divide("share", "base_share").alias("ratio"))
 
 
+#: Published branching fractions of the tau in per cent, with their errors, by decay mode.
+PUBLISHED = {0: (10.82, 0.05), 1: (25.49, 0.09), 2: (9.26, 0.10), 10: (8.99, 0.05), 11: (2.74, 0.07), 16: (35.21, 0.06)}
+
+
+def against_published(rows: DataFrame, decaymode: str = "decaymode", base: int = 0, published: dict = PUBLISHED) -> DataFrame:
+    """decaymode, ratio to the ``base`` mode's count with its statistical error, and the published fractions' ratio."""
+    table = rows.sparkSession.createDataFrame([(k, v / published[base][0]) for k, (v, _) in published.items()], f"{decaymode} int, published double")
+    counts = rows.groupBy(decaymode).agg(F.count("*").alias("n"))
+    both = counts.join(F.broadcast(table), decaymode)  # a row for each published mode
+    all_base = both.agg(F.max(F.when(F.col(decaymode) == base, F.col("n"))).alias("n0"))
+    ratio = F.try_divide("n", "n0")
+    out = both.crossJoin(F.broadcast(all_base))  # one row
+    return out.select(decaymode, ratio.alias("ratio"), (ratio * F.sqrt(F.try_divide(F.lit(1), "n") + F.try_divide(F.lit(1), "n0"))).alias("error"), "published")
+
+
 def species_of(rows: DataFrame, codes: dict[str, tuple[int, ...]]) -> Column:
     """The species' name of each candidate, NULL for others."""
     out = F.lit(None).cast("string")
