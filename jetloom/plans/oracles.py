@@ -11,7 +11,8 @@ P0 = """p0 AS (SELECT l_orderkey AS event_id, pidx, l_extendedprice / 10000.0 AS
  CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS status, l_discount - 0.05 + 0.0 AS d0, l_tax - 0.04 + 0.0 AS z0, l_linenumber AS ln, l_returnflag = 'R' AS is_signal FROM li)"""
 P = f"""{LI}, {P0}, p1 AS (SELECT *, CASE WHEN pdg IN (211, 321) THEN 1 WHEN pdg IN (-211, 11, 13, 15) THEN -1 ELSE 0 END AS charge,
  CAST(CASE abs(pdg) WHEN 211 THEN 0.13957 WHEN 321 THEN 0.49368 WHEN 130 THEN 0.49761 WHEN 111 THEN 0.13498 WHEN 11 THEN 0.000511 WHEN 13 THEN 0.10566 WHEN 15 THEN 1.77686 ELSE 0 END AS DOUBLE) AS mass FROM p0),
-p AS (SELECT *, pt*cos(phi) AS px, pt*sin(phi) AS py, pt*sinh(eta) AS pz, sqrt(pow(pt*cosh(eta), 2) + mass*mass) AS energy, sinh(eta) AS tanl,
+p AS (SELECT *, pt*cos(phi) AS px, pt*sin(phi) AS py, pt*sinh(eta) AS pz, sqrt(pow(pt*cosh(eta), 2) + mass*mass) AS energy, sinh(eta) AS tanl, charge*0.0006/pt AS omega,
+ phi + (pidx % 3 - 1)*0.01 AS phi0, (pidx*3 % 5 - 2)/1000.0 AS xr, (pidx*5 % 7 - 3)/1000.0 AS yr, (pidx*7 % 11 - 5)/100.0 AS zr, charge <> 0 AND pidx % 7 <> 6 AS trk, CAST(count(*) OVER (PARTITION BY event_id) AS INTEGER) AS np,
  pow(0.001*ln, 2) AS c0, pow(0.0005*ln, 2) AS c2, pow(0.002*ln, 2) AS c9, pow(0.0004*ln, 2) AS c14 FROM p1)"""
 V = "v AS (SELECT o_orderkey AS event_id, ((o_custkey % 7) - 3) / 1000.0 AS vx, ((o_custkey % 5) - 2) / 1000.0 AS vy, ((o_custkey % 11) - 5) / 100.0 AS vz FROM orders)"
 G = "g AS (SELECT event_id, pidx, pdg, pt*1.02 AS pt, eta + z0 AS eta, phi + d0 AS phi FROM p WHERE status = 1 AND abs(pdg) NOT IN (12, 14, 16))"
@@ -48,19 +49,20 @@ ASSIGN = f"""ap AS (SELECT p.event_id, p.pidx, j.jet_id, {dr('p.eta', 'p.phi', '
 am AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id, pidx ORDER BY dr, jet_id) AS k FROM ap) WHERE k = 1 AND dr <= 0.8)"""
 CAND = "CASE WHEN abs(d.pdg) IN (211, 321) THEN 211 WHEN abs(d.pdg) IN (130, 111) THEN 130 ELSE abs(d.pdg) END"
 TAUS = f"""t AS (SELECT *, greatest(pidx - 3, 0) AS b0, pidx AS b1 FROM p WHERE abs(pdg) = 15 AND status = 2),
-td AS (SELECT t.event_id, t.pidx AS tau_id, d.pidx AS d_id, d.pdg AS d_pdg, {CAND} AS cand, d.charge AS q, d.px, d.py, d.pz, d.energy, d.pdg NOT IN (12, 14, 16, -12, -14, -16) AS seen
- FROM t JOIN p d ON d.event_id = t.event_id AND d.pidx >= t.b0 AND d.pidx < t.b1),
-tt AS (SELECT t.event_id, t.pidx AS tau_id, CAST(t.charge AS DOUBLE) AS charge, t.pt AS full_pt, count(*) FILTER (cand = 211) AS n211, count(*) FILTER (cand = 130) AS n130, count(*) FILTER (cand IN (11, 13)) AS nlep,
+tk AS (SELECT t.*, k, (k + np - 1) % np AS d FROM t, range(0, 40) r(k) WHERE k >= b0 AND k < b1),
+td AS (SELECT t.event_id, t.pidx AS tau_id, t.k, d.pidx AS d_id, d.pdg AS d_pdg, {CAND} AS cand, d.charge AS q, d.px, d.py, d.pz, d.energy, d.pdg NOT IN (12, 14, 16, -12, -14, -16) AS seen
+ FROM tk t JOIN p d ON d.event_id = t.event_id AND d.pidx = t.d),
+tt AS (SELECT t.event_id, t.pidx AS tau_id, CAST(t.charge AS DOUBLE) AS charge, t.pt AS full_pt, t.energy AS full_e, string_agg(CAST(d_pdg AS VARCHAR), ',' ORDER BY k) FILTER (seen) AS seen_pdgs, count(*) FILTER (cand = 211) AS n211, count(*) FILTER (cand = 130) AS n130, count(*) FILTER (cand IN (11, 13)) AS nlep,
  count(*) FILTER (cand NOT IN (16, 130, 211, 13, 14, 12, 11)) AS nodd, coalesce(sum(td.px) FILTER (seen), 0) AS sx, coalesce(sum(td.py) FILTER (seen), 0) AS sy, coalesce(sum(td.pz) FILTER (seen), 0) AS sz, coalesce(sum(td.energy) FILTER (seen), 0) AS se
  FROM t LEFT JOIN td ON td.event_id = t.event_id AND td.tau_id = t.pidx GROUP BY ALL),
 tm AS (SELECT *, CAST(CASE WHEN nodd > 0 THEN 15 WHEN n211 BETWEEN 1 AND 3 THEN 5*(n211 - 1) + least(n130, 4) WHEN nlep > 0 THEN 16 ELSE 15 END AS INTEGER) AS decaymode FROM tt)"""
 
 
-def life(two_d: bool) -> str:
+def life(two_d: bool, rows: str = "p JOIN v USING (event_id)") -> str:
     s = "_2d" if two_d else ""
     z = "0" if two_d else "1"
-    return f"""o{s} AS (SELECT event_id, pidx, charge, pdg, vx, vy, vz, tanl, cos(phi) AS ux, sin(phi) AS uy, tanl AS uz, sin(phi)*d0 AS x0, -cos(phi)*d0 AS y0, z0 AS zz,
- sqrt(c0) AS ed, sqrt(c2) AS ef, sqrt(c9) AS ez, sqrt(c14) AS et, d0 FROM p JOIN v USING (event_id)),
+    return f"""o{s} AS (SELECT event_id, pidx, charge, trk, pdg, vx, vy, vz, tanl, phi0, omega, z0, cos(phi0) AS ux, sin(phi0) AS uy, tanl AS uz, xr + sin(phi0)*d0 AS x0, yr - cos(phi0)*d0 AS y0, z0 + zr AS zz,
+ sqrt(c0) AS ed, sqrt(c2) AS ef, sqrt(c9) AS ez, sqrt(c14) AS et, d0 FROM {rows}),
 o1{s} AS (SELECT *, uy*uy*ed*ed + ux*ux*d0*d0*ef*ef AS ax, ux*ux*ed*ed + uy*uy*d0*d0*ef*ef AS ay, ez*ez AS az FROM o{s}),
 o2{s} AS (SELECT *, uy*uy*ef*ef + ax AS bx, ux*ux*ef*ef + ay AS bby, et*et + az AS bz, -((x0 - vx)*ux + (y0 - vy)*uy + {z}*(zz - vz)*uz) AS num, ux*ux + uy*uy + {z}*uz*uz AS den FROM o1{s}),
 o3{s} AS (SELECT *, num/den AS s, ax*pow(2*x0 - (x0 + ux) - vx, 2) + bx*pow(vx - (x0 + ux), 2) + ay*pow(2*y0 - (y0 + uy) - vy, 2) + bby*pow(vy - (y0 + uy), 2)
@@ -68,14 +70,14 @@ o3{s} AS (SELECT *, num/den AS s, ax*pow(2*x0 - (x0 + ux) - vx, 2) + bx*pow(vx -
 o4{s} AS (SELECT *, sqrt(ne2/(den*den) + num*num*de2/pow(den, 4)) AS se, x0 + s*ux AS qx, y0 + s*uy AS qy, zz + s*tanl AS qz FROM o3{s}),
 o5{s} AS (SELECT *, sqrt(pow(ux*se, 2) + ax + pow(s*uy*ef, 2)) AS ex, sqrt(pow(uy*se, 2) + ay + pow(s*ux*ef, 2)) AS ey, sqrt(pow(tanl*se, 2) + pow(s*et, 2) + az) AS ezz,
  qx - vx AS dx, qy - vy AS dy, qz - vz AS dz0 FROM o4{s}),
-l{s} AS (SELECT event_id, pidx, charge, qx AS pca_x{s}, qy AS pca_y{s}, qz AS pca_z{s}, vx, vy, vz, sqrt(dx*dx + dy*dy) AS dxy{s}, abs(dz0) AS dz{s}, sqrt(dx*dx + dy*dy + dz0*dz0) AS d3{s},
+l{s} AS (SELECT event_id, pidx, charge, trk, d0, z0, ed AS d0_error, ez AS z0_error, phi0, tanl, omega, qx AS pca_x{s}, qy AS pca_y{s}, qz AS pca_z{s}, vx, vy, vz, sqrt(dx*dx + dy*dy) AS dxy{s}, abs(dz0) AS dz{s}, sqrt(dx*dx + dy*dy + dz0*dz0) AS d3{s},
  ex AS pca_x_error{s}, ey AS pca_y_error{s}, ezz AS pca_z_error{s}, ezz AS dz_error{s},
  CASE WHEN sqrt(dx*dx + dy*dy) > 1e-10 THEN sqrt(pow(dx*ex, 2) + pow(dy*ey, 2)) / sqrt(dx*dx + dy*dy) ELSE 0 END AS dxy_error{s},
  CASE WHEN sqrt(dx*dx + dy*dy + dz0*dz0) > 1e-10 THEN sqrt(pow(dx*ex, 2) + pow(dy*ey, 2) + pow(dz0*ezz, 2)) / sqrt(dx*dx + dy*dy + dz0*dz0) ELSE 0 END AS d3_error{s} FROM o5{s})"""
 
 
-def or_sentinel(names: list[str]) -> str:
-    return ", ".join(rnd(f"CASE WHEN charge <> 0 THEN {n} ELSE -1000.0 END", n) for n in names)
+def or_sentinel(names: list[str], as_name: dict[str, str] = {}, digits: int = 6) -> str:  # noqa: B006
+    return ", ".join(rnd(f"CASE WHEN trk THEN {n} ELSE -1000.0 END", as_name.get(n, n), digits) for n in names)
 
 
 LIFE = f"WITH {P}, {V}, {life(False)}"
@@ -97,7 +99,7 @@ def cbin(x: str, lo: float, hi: float, n: int) -> str:
 
 WAPPLY = f"wx AS (SELECT *, {cbin('theta_deg', 10.0, 170.0, 40)} AS theta_bin, {cbin('pp', 2.0, 55.0, 52)} AS p_bin FROM wa), wy AS (SELECT wx.*, coalesce(weight, 0.0) AS cls_weight FROM wx LEFT JOIN wm ON tb = theta_bin AND pb = p_bin)"
 SIG = """sg AS (SELECT event_id, coalesce(string_agg(CAST(abs(pdg) AS VARCHAR), ' ' ORDER BY abs(pdg)) FILTER (pidx < 2), '') AS gen_sig,
- coalesce(string_agg(CAST(abs(pdg) AS VARCHAR), ' ' ORDER BY abs(pdg)) FILTER (pidx BETWEEN 2 AND 3), '') AS reco_sig FROM p GROUP BY event_id)"""
+ coalesce(string_agg(CAST(abs(pdg) AS VARCHAR), ' ' ORDER BY abs(pdg)) FILTER (pidx >= 2), '') AS reco_sig FROM p GROUP BY event_id)"""
 EIG = """m0 AS (SELECT event_id, sum(px*px) xx, sum(py*py) yy, sum(pz*pz) zz, sum(px*py) xy, sum(px*pz) xz, sum(py*pz) yz FROM p GROUP BY event_id),
 m1 AS (SELECT event_id, xx/(xx+yy+zz) xx, yy/(xx+yy+zz) yy, zz/(xx+yy+zz) zz, xy/(xx+yy+zz) xy, xz/(xx+yy+zz) xz, yz/(xx+yy+zz) yz FROM m0),
 m2 AS (SELECT *, (xx+yy+zz)/3 AS q, xy*xy + xz*xz + yz*yz AS off FROM m1), m3 AS (SELECT *, sqrt((pow(xx-q,2) + pow(yy-q,2) + pow(zz-q,2) + 2*off)/6) AS s FROM m2),
@@ -113,6 +115,19 @@ def hist(source: str, x: str, lo: float, hi: float, n: int, key: str = "") -> st
     return f"SELECT {sel}CAST(b.i AS INTEGER) AS bin, coalesce(h.c, 0.0) AS value FROM {frame}range(0, {n}) b(i) LEFT JOIN (SELECT {k}{ubin(x, lo, hi, n)} AS bin, CAST(count(*) AS DOUBLE) AS c FROM {source} GROUP BY ALL) h ON {on}h.bin = b.i"
 
 
+def hist_list(source: str, x: str, edges: list[float], key: str) -> str:
+    """Counts between any edges, the last one closed."""
+    n, es = len(edges) - 1, "[" + ", ".join(f"{e!r}::DOUBLE" for e in edges) + "]"
+    bin_ = f"CASE WHEN {x} = {edges[-1]!r} THEN {n - 1} ELSE len(list_filter({es}, lambda q: q <= {x})) - 1 END"
+    return f"SELECT k.{key}, CAST(b.i AS INTEGER) AS bin, coalesce(h.c, 0.0) AS value FROM (SELECT DISTINCT {key} FROM {source}) k CROSS JOIN range(0, {n}) b(i) LEFT JOIN (SELECT {key}, {bin_} AS bin, CAST(count(*) AS DOUBLE) AS c FROM {source} GROUP BY ALL) h ON h.{key} = k.{key} AND h.bin = b.i"
+
+
+#: Column of ``b`` -> name of a lifetime variable in records.
+VARIABLES = {v: v for v in ("dxy", "dz", "d3", "d0", "z0", "dxy_2d", "dz_2d", "d3_2d", "pca_x", "pca_y", "pca_z", "phi0", "omega")}
+VARIABLES |= {"tanl": "tanL", "vx": "vertex_x", "vy": "vertex_y", "vz": "vertex_z"} | {f"{v}_error": f"{v}_error" for v in ("dxy", "dz", "d3", "d0", "z0", "pca_x", "pca_y", "pca_z")}
+VARIABLES |= {f"{v}_error_2d": f"{v}_2d_error" for v in ("dxy", "dz", "d3")}
+
+
 def oracle_sql() -> dict[str, str]:
     seed = "(((((42*31 + event_id) * 2654435 + 12345) % 4294967296) * 31 + pidx) * 2654435 + 12345) % 4294967296"
     n_of = lambda *c: f"count(*) FILTER (abs(pdg) IN ({', '.join(map(str, c))}))"
@@ -129,14 +144,15 @@ def oracle_sql() -> dict[str, str]:
  LEFT JOIN p ON p.event_id = am.event_id AND p.pidx = am.pidx WHERE j.pt > 0 AND j.energy <= 91.2 GROUP BY ALL HAVING NOT coalesce(bool_or(p.pt <= 0 OR p.energy >= 45.6), false)""",
         "nearest_match": f"WITH {P}, {G}, {MATCH} SELECT event_id, left_id, right_id, {rnd('dr')} FROM m",
         "tau_truth": f"WITH {P}, {TAUS} SELECT event_id, tau_id, charge, decaymode, {rnd('se', 'vis_energy')}, {rnd('sqrt(sx*sx + sy*sy)', 'vis_pt')}, {rnd('full_pt')} FROM tm",
-        "tau_daughters": f"""WITH {P}, {TAUS} SELECT t.event_id, t.pidx AS tau_id, coalesce(string_agg(CAST(d_id AS VARCHAR), ',' ORDER BY d_id) FILTER (seen), '') AS daughters,
- coalesce(string_agg(CAST(cand AS VARCHAR), ',' ORDER BY d_id) FILTER (seen), '') AS candidates, coalesce(string_agg(CAST(q AS VARCHAR), ',' ORDER BY d_id) FILTER (seen), '') AS charges
+        "tau_daughters": f"""WITH {P}, {TAUS} SELECT t.event_id, t.pidx AS tau_id, coalesce(string_agg(CAST(d_id AS VARCHAR), ',' ORDER BY k) FILTER (seen), '') AS daughters,
+ coalesce(string_agg(CAST(cand AS VARCHAR), ',' ORDER BY k) FILTER (seen), '') AS candidates, coalesce(string_agg(CAST(q AS VARCHAR), ',' ORDER BY k) FILTER (seen), '') AS charges
  FROM t LEFT JOIN td ON td.event_id = t.event_id AND td.tau_id = t.pidx GROUP BY ALL""",
         "tau_to_jet_left_fill": f"""WITH {P}, {G}, {TAUS}, vt AS (SELECT *, asinh(sz/sqrt(sx*sx + sy*sy)) AS teta, atan2(sy, sx) AS tphi FROM tm WHERE se <> 0),
  c AS (SELECT vt.event_id, tau_id, g.pidx AS jet_id, {dr('teta', 'tphi', 'g.eta', 'g.phi')} AS dr FROM vt JOIN g USING (event_id)),
  c1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id, tau_id ORDER BY dr, jet_id) k FROM c) WHERE k = 1 AND dr < 0.4),
  c2 AS (SELECT event_id, jet_id, max(tau_id) AS tau_id FROM c1 GROUP BY ALL)
- SELECT g.event_id, g.pidx AS jet_id, coalesce(decaymode, -1) AS decaymode, coalesce(charge, -999.0) AS charge, {rnd('coalesce(se, 0.0)', 'vis_energy')} FROM g LEFT JOIN c2 ON c2.event_id = g.event_id AND c2.jet_id = g.pidx LEFT JOIN tm ON tm.event_id = c2.event_id AND tm.tau_id = c2.tau_id""",
+ SELECT g.event_id, g.pidx AS jet_id, coalesce(decaymode, -1) AS decaymode, coalesce(charge, -999.0) AS charge, {rnd('coalesce(se, 0.0)', 'vis_energy')}, {rnd('coalesce(sqrt(sx*sx + sy*sy), 0.0)', 'vis_pt')}, {rnd('coalesce(full_e, 0.0)', 'full_energy')},
+ {rnd('coalesce(c2.tau_id/100.0, -1.0)', 'dv_x')}, {rnd('coalesce(c2.tau_id % 3/50.0, -1.0)', 'dv_y')}, {rnd('coalesce(-c2.tau_id/200.0, -1.0)', 'dv_z')}, coalesce(seen_pdgs, '') AS daughter_pdgs FROM g LEFT JOIN c2 ON c2.event_id = g.event_id AND c2.jet_id = g.pidx LEFT JOIN tm ON tm.event_id = c2.event_id AND tm.tau_id = c2.tau_id""",
         "background_tau_block": f"WITH {P}, {J} SELECT event_id, jet_id, -1 AS gen_jet_tau_decaymode, CAST(-999.0 AS DOUBLE) AS gen_jet_tau_charge, CAST(0 AS DOUBLE) AS gen_jet_tau_vis_energy, CAST(0 AS DOUBLE) AS gen_jet_tau_dv_x, CAST(0 AS DOUBLE) AS tau_pt, CAST(0 AS BIGINT) AS n_daughters FROM j",
         "particle_to_jet_assign": f"WITH {P}, {J}, {ASSIGN} SELECT j.event_id, j.jet_id, count(am.pidx) AS n_particles, coalesce(string_agg(CAST(am.pidx AS VARCHAR), ',' ORDER BY am.pidx), '') AS particles FROM j LEFT JOIN am ON am.event_id = j.event_id AND am.jet_id = j.jet_id GROUP BY ALL",
         "track_link_range": f"WITH {P} SELECT event_id, pidx, CAST(CASE WHEN charge <> 0 THEN 1 ELSE 0 END AS BIGINT) AS n_links, CASE WHEN charge <> 0 AND 4*pidx < 4*count(*) OVER (PARTITION BY event_id) - 4 THEN CAST(4*pidx AS BIGINT) END AS state FROM p",
@@ -144,14 +160,14 @@ def oracle_sql() -> dict[str, str]:
  FROM j LEFT JOIN am ON am.event_id = j.event_id AND am.jet_id = j.jet_id LEFT JOIN p ON p.event_id = am.event_id AND p.pidx = am.pidx GROUP BY j.event_id, j.jet_id""",
         "lifetime_3d": f"{LIFE} SELECT event_id, pidx, {or_sentinel(['dxy', 'dz', 'd3', 'pca_x', 'pca_y', 'pca_z'])} FROM l",
         "lifetime_2d": f"{LIFE2} SELECT event_id, pidx, {or_sentinel([x + '_2d' for x in ('dxy', 'dz', 'd3', 'pca_x', 'pca_y', 'pca_z')])} FROM l_2d",
-        "lifetime_errors": f"WITH {P}, {V}, {life(False)}, {life(True)} SELECT l.event_id, l.pidx, {or_sentinel([v + '_error' + s for s in ('', '_2d') for v in ('dxy', 'dz', 'd3', 'pca_x', 'pca_y', 'pca_z')]).replace('WHEN charge', 'WHEN l.charge')} FROM l JOIN l_2d USING (event_id, pidx)",
+        "lifetime_errors": f"WITH {P}, {V}, {life(False)}, {life(True)} SELECT l.event_id, l.pidx, {or_sentinel([v + '_error' + s for s in ('', '_2d') for v in ('dxy', 'dz', 'd3', 'pca_x', 'pca_y', 'pca_z')]).replace('WHEN trk', 'WHEN l.trk')} FROM l JOIN l_2d USING (event_id, pidx)",
         "signed_impact": f"""{LIFE}, s AS (SELECT event_id, sum(px) jx, sum(py) jy, sum(pz) jz FROM p GROUP BY event_id),
  q AS (SELECT l.*, jx, jy, jz, sqrt(pow(pca_x - vx, 2) + pow(pca_y - vy, 2) + pow(pca_z - vz, 2)) AS far FROM l JOIN s USING (event_id)),
  q1 AS (SELECT *, CASE WHEN CASE WHEN far <= 1e-10 THEN jx*jx + jy*jy + jz*jz ELSE (pca_x - vx)*jx + (pca_y - vy)*jy + (pca_z - vz)*jz END >= 0 THEN 1 ELSE -1 END AS sg FROM q)
  SELECT event_id, pidx, {or_sentinel(['sg*abs(dxy)']).replace('AS sg*abs(dxy)', 'AS signed_dxy')}, {or_sentinel(['sg*abs(dz)']).replace('AS sg*abs(dz)', 'AS signed_dz')}, {or_sentinel(['sg*abs(d3)']).replace('AS sg*abs(d3)', 'AS signed_d3')} FROM q1""",
-        "aleph_impact": f"""WITH {P}, {V}, a AS (SELECT *, cos(phi) AS ux, sin(phi) AS uy, sin(phi)*d0 AS x0, -cos(phi)*d0 AS y0 FROM p JOIN v USING (event_id) WHERE charge <> 0),
- b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (z0 - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a),
- c AS (SELECT *, x0 + s*ux - vx AS dx, y0 + s*uy - vy AS dy, z0 + s*tanl - vz AS dz0, pow(ux, 2)*se2 + pow(uy*c0, 2) + pow(ux*d0*c2, 2) + pow(s*uy*c2, 2) AS ex2, pow(uy, 2)*se2 + pow(ux*c0, 2) + pow(uy*d0*c2, 2) + pow(s*ux*c2, 2) AS ey2 FROM b)
+        "aleph_impact": f"""WITH {P}, {V}, a AS (SELECT *, cos(phi0) AS ux, sin(phi0) AS uy, xr + sin(phi0)*d0 AS x0, yr - cos(phi0)*d0 AS y0, z0 + zr AS zz FROM p JOIN v USING (event_id) WHERE trk),
+ b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (zz - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a),
+ c AS (SELECT *, x0 + s*ux - vx AS dx, y0 + s*uy - vy AS dy, zz + s*tanl - vz AS dz0, pow(ux, 2)*se2 + pow(uy*c0, 2) + pow(ux*d0*c2, 2) + pow(s*uy*c2, 2) AS ex2, pow(uy, 2)*se2 + pow(ux*c0, 2) + pow(uy*d0*c2, 2) + pow(s*ux*c2, 2) AS ey2 FROM b)
  SELECT event_id, pidx, {rnd('abs(dz0)', 'dzval')}, {rnd('sqrt(tanl*tanl*se2 + pow(s*c14, 2) + c9*c9)', 'dzerr')}, {rnd('d0', 'd0val')}, {rnd('c0', 'd0err')}, {rnd('sqrt(dx*dx + dy*dy)', 'dxy')}, {rnd('sqrt(dx*dx*ex2 + dy*dy*ey2)/sqrt(dx*dx + dy*dy)', 'dxyerr')} FROM c""",
         "event_replicate": f"WITH {P}, {J}, s AS (SELECT event_id, count(*) AS n, sum(pt) AS t FROM p GROUP BY event_id) SELECT event_id, jet_id, n AS n_event_particles, {rnd('t', 'event_pt')} FROM j JOIN s USING (event_id)",
         "event_counts": f"WITH {P} SELECT event_id, {n_of(211, 321)} AS n_charged_hadrons, {n_of(11)} AS n_electrons, {n_of(13)} AS n_muons, {n_of(22)} AS n_photons, {n_of(130, 111)} AS n_neutral_hadrons, count(*) FILTER (pidx < 2) AS n_jets FROM p GROUP BY event_id",
@@ -177,7 +193,7 @@ def oracle_sql() -> dict[str, str]:
         "hist_1d_flow": f"""WITH b AS (SELECT CASE WHEN value < 10 THEN -1 WHEN value >= 50 THEN 8 ELSE CAST(floor((value - 10)/5) AS INTEGER) END AS bin, CASE WHEN value = 50 THEN 7 ELSE greatest(0, least(7, CAST(floor((value - 10)/5) AS INTEGER))) END AS edge FROM events)
  SELECT CAST(i AS INTEGER) AS bin, CAST((SELECT count(*) FROM b WHERE b.bin = i) AS DOUBLE) AS value, 'bins' AS mode FROM range(-1, 9) r(i) UNION ALL SELECT CAST(i AS INTEGER), CAST((SELECT count(*) FROM b WHERE b.edge = i) AS DOUBLE), 'sum' FROM range(0, 8) r(i)""",
         "hist_reverse_cumulative": f"WITH h AS ({hist('events', 'value', 0.0, 100.0, 20)}) SELECT bin, (SELECT sum(value) FROM h) - sum(value) OVER (ORDER BY bin) AS value FROM h",
-        "hist_density": f"{LIFE}, d AS (SELECT log10(dxy_error) AS x FROM l WHERE charge <> 0 AND dxy_error > 0), h AS ({hist('d', 'x', -4.0, 0.0, 80)}) SELECT bin, {rnd('value / (sum(value) OVER () * 0.05)', 'value')} FROM h",
+        "hist_density": f"{LIFE}, d AS (SELECT log10(dxy_error) AS x FROM l WHERE trk AND dxy_error > 0), h AS ({hist('d', 'x', -4.0, 0.0, 80)}) SELECT bin, {rnd('value / (sum(value) OVER () * 0.05)', 'value')} FROM h",
         "hist_2d_shape": f"""WITH {P}, {S}, q AS (SELECT is_signal, jeta - eta AS de, {dphi('jphi', 'phi')} AS dp, pt FROM e), b AS (SELECT is_signal, CAST({ubin('de', -1.95, 2.05, 20)} AS INTEGER) AS x_bin, CAST({ubin('dp', -1.95, 2.05, 20)} AS INTEGER) AS y_bin, pt FROM q)
  SELECT is_signal, x_bin, y_bin, {rnd('sum(pt)', 'value')} FROM b WHERE x_bin BETWEEN 0 AND 19 AND y_bin BETWEEN 0 AND 19 GROUP BY is_signal, x_bin, y_bin""",
         "hist_energy_2d": f"""WITH {P}, {G}, {MATCH}, q AS (SELECT a.pt AS l, b.pt AS g FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN p b ON b.event_id = m.event_id AND b.pidx = right_id)
@@ -194,27 +210,62 @@ def oracle_sql() -> dict[str, str]:
         "uncommon_particles": f"WITH {P} SELECT event_id, count(DISTINCT abs(pdg)) FILTER (abs(pdg) NOT IN (11, 12, 13, 14, 16, 130, 211)) AS n_uncommon FROM p GROUP BY event_id",
         "pad_clip_tensor": """WITH s AS (SELECT vec_id, embedding[1:CAST(vec_id % 30 + 1 AS INTEGER)] AS v FROM embeddings)
  SELECT vec_id, greatest(1, len(list_filter(v, lambda x: x > 2.5))) AS n_big, CAST(i AS INTEGER) AS i, round(CASE WHEN i < len(v) THEN CAST(v[i + 1] AS DOUBLE) ELSE 0.0 END, 6) + 0.0 AS value, i < len(v) AS valid FROM s, range(0, 20) r(i)""",
-        "feature_matrix": f"""{LIFE}, f AS (SELECT p.event_id, p.pidx, ln(greatest(p.pt, 1e-6)) AS logpt, ln(greatest(p.energy, 1e-6)) AS loge, CAST(p.pdg = 22 AS INTEGER) AS isphoton, p.charge, CASE WHEN p.charge <> 0 THEN l.dz / l.dz_error ELSE 1.0 END AS dz_sig FROM p JOIN l USING (event_id, pidx)),
+        "feature_matrix": f"""{LIFE}, f AS (SELECT p.event_id, p.pidx, ln(greatest(p.pt, 1e-6)) AS logpt, ln(greatest(p.energy, 1e-6)) AS loge, CAST(p.pdg = 22 AS INTEGER) AS isphoton, p.charge, CASE WHEN l.trk THEN l.dz / l.dz_error ELSE 1.0 END AS dz_sig FROM p JOIN l USING (event_id, pidx)),
  ev AS (SELECT DISTINCT event_id FROM p)
  SELECT ev.event_id, CAST(i AS INTEGER) AS i, f.pidx IS NOT NULL AS valid, round(CAST(CAST(coalesce(logpt, 0) AS FLOAT) AS DOUBLE), 3) AS logpt, round(CAST(CAST(coalesce(loge, 0) AS FLOAT) AS DOUBLE), 3) AS loge, CAST(coalesce(isphoton, 0) AS DOUBLE) AS "isPhoton", CAST(coalesce(charge, 0) AS DOUBLE) AS charge, round(CAST(CAST(coalesce(dz_sig, 0) AS FLOAT) AS DOUBLE), 3) AS dz_sig
  FROM ev CROSS JOIN range(0, 8) r(i) LEFT JOIN f ON f.event_id = ev.event_id AND f.pidx = i""",
         "tensor_targets": f"WITH {P}, {S} SELECT event_id, pidx, {rnd('ln(greatest(pt / greatest(jpt, 1e-6), 1e-6))', 'log_pt_ratio', 4)}, {rnd('eta - jeta', 'deta_target', 4)}, {rnd('sin(phi - jphi)', 'sin_dphi', 4)}, {rnd('cos(phi - jphi)', 'cos_dphi', 4)} FROM e WHERE jpt > 0.05",
         "tensor_labels": f"""WITH {P}, {TAUS}, c AS (SELECT event_id, tau_id, decaymode, CAST(CASE WHEN decaymode IN (0, 1) THEN decaymode WHEN decaymode IN (2, 3, 4) THEN 2 WHEN decaymode IN (5, 10) THEN 3 WHEN decaymode IN (15, 16) THEN 5 ELSE 4 END AS INTEGER) AS decay_class FROM tm)
  SELECT event_id, tau_id, decay_class, CAST(decaymode <> -1 AS INTEGER) AS is_tau, repeat('0', decay_class) || '1' || repeat('0', 5 - decay_class) AS one_hot FROM c""",
-        "hist_pt_ratio": f"""WITH {P}, {G}, {MATCH}, q AS (SELECT a.pt / g.pt AS x FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN g ON g.event_id = m.event_id AND g.pidx = right_id WHERE left_id <> right_id),
+        "hist_pt_ratio": f"""WITH {P}, {G}, {MATCH}, q AS (SELECT a.pt / g.pt AS x FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN g ON g.event_id = m.event_id AND g.pidx = right_id),
  h AS ({hist('q', 'x', 0.75, 1.25, 100)}) SELECT bin, {rnd('value / (SELECT count(*) FROM q)', 'value')} FROM h""",
         "hist_log_ratio": f"""WITH e AS (SELECT event_type, log10(value) AS x FROM events WHERE value > 0), r AS (SELECT min(x) AS lo, max(x) AS hi FROM e),
  b AS (SELECT event_type, CAST(least(11, floor((x - lo)/(hi - lo)*12)) AS INTEGER) AS bin, count(*) AS n FROM e, r GROUP BY ALL), s AS (SELECT *, n / sum(n) OVER (PARTITION BY event_type) AS f FROM b)
  SELECT a.event_type, a.bin, {rnd('a.f / c.f', 'ratio')} FROM s a LEFT JOIN s c ON c.bin = a.bin AND c.event_type = 'click' WHERE a.event_type <> 'click'""",
         "hist_decay_modes": f"WITH {P}, {TAUS}, h AS (SELECT CAST(i AS INTEGER) AS bin, CAST((SELECT count(*) FROM tm WHERE least(decaymode, 15) = i) AS DOUBLE) AS value FROM range(0, 16) r(i)) SELECT bin, value, round(100.0*value/sum(value) OVER (), 2) AS percent FROM h",
-        "hist_shape_by_mode": f"""WITH {P}, {S}, {TAUS}, f AS (SELECT event_id, min(decaymode) AS m FROM tm WHERE tau_id < 8 GROUP BY event_id),
+        "hist_shape_by_mode": f"""WITH {P}, {S}, {TAUS}, f AS (SELECT event_id, min(decaymode) AS m FROM tm GROUP BY event_id),
  q AS (SELECT CASE WHEN m IN (0, 1) THEN m WHEN m IN (2, 3, 4) THEN 2 WHEN m = 10 THEN 3 WHEN m BETWEEN 11 AND 14 THEN 4 ELSE 9 END AS mode, event_id, jeta - eta AS de, {dphi('jphi', 'phi')} AS dp, pt FROM e JOIN f USING (event_id)),
  n AS (SELECT mode, count(DISTINCT event_id) AS n FROM q GROUP BY mode), b AS (SELECT mode, CAST({ubin('de', -1.95, 2.05, 20)} AS INTEGER) AS x_bin, CAST({ubin('dp', -1.95, 2.05, 20)} AS INTEGER) AS y_bin, pt FROM q WHERE mode <= 4)
  SELECT CAST(mode AS INTEGER) AS mode, x_bin, y_bin, {rnd('sum(pt) / any_value(n.n)', 'value')} FROM b JOIN n USING (mode) WHERE x_bin BETWEEN 0 AND 19 AND y_bin BETWEEN 0 AND 19 GROUP BY mode, x_bin, y_bin""",
         "hist_jet_pt": f"""WITH {P}, q AS (SELECT is_signal, least(sqrt(pow(sum(px), 2) + pow(sum(py), 2)), 219.0) AS x FROM p GROUP BY event_id, is_signal), h AS ({hist('q', 'x', 0.0, 220.0, 50, 'is_signal')})
  SELECT is_signal, bin, {rnd('value / (sum(value) OVER (PARTITION BY is_signal) * 4.4)', 'value')} FROM h""",
-        "hist_weights": f"""WITH {P}, {wmat()}, {WAPPLY}, q AS (SELECT is_signal, round(cls_weight, 6)*0.999 + 0.0005 AS x FROM wy), h AS ({hist('q', 'x', 0.0, 1.0, 50, 'is_signal')})
+        "hist_weights": f"""WITH {P}, {wmat()}, {WAPPLY}, q AS (SELECT is_signal, round(cls_weight, 6) + 0.0 AS x FROM wy), h AS ({hist('q', 'x', 0.0, 1.0, 50, 'is_signal')})
  SELECT is_signal, bin, {rnd('value / sum(value) OVER (PARTITION BY is_signal)', 'value')} FROM h""",
-        "track_impact_map": f"""{LIFE}, b AS (SELECT CAST({ubin('dz', 0.0, 0.2, 20)} AS INTEGER) AS x_bin, CAST({ubin('dxy', 0.0, 0.2, 20)} AS INTEGER) AS y_bin FROM l WHERE charge <> 0)
+        "track_impact_map": f"""{LIFE}, b AS (SELECT CAST({ubin('dz', 0.0, 0.2, 20)} AS INTEGER) AS x_bin, CAST({ubin('dxy', 0.0, 0.2, 20)} AS INTEGER) AS y_bin FROM l WHERE trk)
  SELECT x_bin, y_bin, CAST(count(*) AS DOUBLE) AS value FROM b WHERE x_bin BETWEEN 0 AND 19 AND y_bin BETWEEN 0 AND 19 GROUP BY ALL""",
+        "native_tracks": f"""WITH {P} SELECT event_id, pidx, pdg, CAST(charge AS DOUBLE) AS charge, {', '.join(f"CASE WHEN trk THEN CAST(CAST({x} AS FLOAT) AS DOUBLE) END AS {n}" for n, x in dict(d0='d0', z0='z0', phi0='phi0', tanl='tanl', omega='omega', c_d0='c0', c_tan='c14').items())},
+ {', '.join(f"CASE WHEN trk THEN CAST({c}r AS DOUBLE) END AS {c}r" for c in 'xyz')} FROM p""",
+        "native_tau_truth": f"""WITH {P}, {TAUS} SELECT event_id, tau_id, charge, decaymode, {rnd('se', 'vis_energy')}, {rnd('full_pt')}, CAST(tau_id/100.0 AS DOUBLE) AS "DV_x", CAST(tau_id % 3/50.0 AS DOUBLE) AS "DV_y", CAST(-tau_id/200.0 AS DOUBLE) AS "DV_z", coalesce(seen_pdgs, '') AS daughter_pdgs FROM tm""",
+        "lifetime_native": f"""WITH {P}, {V}, f AS (SELECT * REPLACE ({', '.join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ('d0', 'z0', 'phi0', 'tanl', 'omega', 'c0', 'c2', 'c9', 'c14'))}) FROM p JOIN v USING (event_id)), {life(False, 'f')}, {life(True, 'f')},
+ b AS (SELECT l.*, l_2d.dxy_2d, l_2d.dz_2d, l_2d.d3_2d, l_2d.dxy_error_2d, l_2d.dz_error_2d, l_2d.d3_error_2d FROM l JOIN l_2d USING (event_id, pidx))
+ SELECT event_id, pidx, {or_sentinel([*VARIABLES], VARIABLES, 4)} FROM b""",
+        "lifetime_track": f"{LIFE} SELECT event_id, pidx, {or_sentinel(['d0', 'z0', 'd0_error', 'z0_error', 'phi0', 'tanl', 'omega', 'vx', 'vy', 'vz'], dict(vx='pvx', vy='pvy', vz='pvz'))} FROM l",
+        "event_signed_impact": f"""{LIFE}, {life(True)}, j AS (SELECT event_id, pidx AS jet_id, px AS jx, py AS jy, pz AS jz FROM p WHERE pidx < 2),
+ q AS (SELECT l.*, dxy_2d, jet_id, jx, jy, jz, sqrt(pow(l.pca_x - l.vx, 2) + pow(l.pca_y - l.vy, 2) + pow(l.pca_z - l.vz, 2)) AS far FROM l JOIN l_2d USING (event_id, pidx) JOIN j USING (event_id)),
+ q1 AS (SELECT *, CASE WHEN CASE WHEN far <= 1e-10 THEN jx*jx + jy*jy + jz*jz ELSE (pca_x - vx)*jx + (pca_y - vy)*jy + (pca_z - vz)*jz END >= 0 THEN 1 ELSE -1 END AS sg FROM q)
+ SELECT event_id, jet_id, pidx, {or_sentinel(['sg*abs(dxy)', 'sg*abs(z0)', 'sg*abs(dxy_2d)'], {'sg*abs(dxy)': 'signed_dxy', 'sg*abs(z0)': 'signed_z0', 'sg*abs(dxy_2d)': 'signed_dxy_2d'})} FROM q1""",
+        "archival_candidates": f"""WITH {P}, {V}, f AS (SELECT * REPLACE ({', '.join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ('d0', 'z0', 'phi0', 'tanl', 'c0', 'c2', 'c9', 'c14'))}, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vx END AS vx, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vy END AS vy, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vz END AS vz) FROM p JOIN v USING (event_id)),
+ a AS (SELECT *, cos(phi0) AS ux, sin(phi0) AS uy, xr + sin(phi0)*d0 AS x0, yr - cos(phi0)*d0 AS y0, z0 + zr AS zz FROM f),
+ b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (zz - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a)
+ SELECT event_id, pidx, CAST(charge AS DOUBLE) AS charge, CAST(abs(pdg) IN (211, 321) AS INTEGER) AS "isChargedHadron", CAST(abs(pdg) = 11 AS INTEGER) AS "isElectron", CAST(abs(pdg) = 13 AS INTEGER) AS "isMuon", CAST(pdg = 22 AS INTEGER) AS "isPhoton", CAST(pdg IN (130, 111) AS INTEGER) AS "isNeutralHadron",
+ {rnd('sqrt(greatest(energy*energy - pow(pt*cosh(eta), 2), 0))', 'mass', 3)}, {rnd('CASE WHEN trk THEN d0 ELSE -999.9 END', 'd0val', 3)}, {rnd('CASE WHEN trk THEN c0 ELSE -999.9 END', 'd0err', 3)}, {rnd('CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END', 'dzval', 3)}, {rnd('CASE WHEN trk THEN sqrt(tanl*tanl*se2 + pow(s*c14, 2) + c9*c9) ELSE -999.9 END', 'dzerr', 3)} FROM b""",
+        "particle_labels": f"""WITH {P}, {S} SELECT event_id, pidx, CASE abs(pdg) WHEN 211 THEN 'charged hadron' WHEN 321 THEN 'charged kaon' WHEN 130 THEN 'neutral hadron' WHEN 111 THEN 'neutral pion' WHEN 22 THEN 'photon' WHEN 11 THEN 'electron' WHEN 13 THEN 'muon' WHEN 15 THEN 'tau' ELSE 'invisible' END AS name,
+ round({dphi('phi', 'jphi')}, 5) AS phirel, CAST(charge = 1 AS INTEGER) AS charge_flag FROM e""",
+        "hist_log_axis": hist_list("events", "value", [10.0 ** (-1 + i * 0.25) for i in range(17)], "event_type"),
+        "hist_variable_edges": f"""WITH {P}, b AS (SELECT is_signal, CASE WHEN pt < 0.1 THEN 0 WHEN pt < 0.5 THEN 1 WHEN pt < 1 THEN 2 WHEN pt < 2.5 THEN 3 WHEN pt < 7.5 THEN 4 ELSE 5 END AS bin, eta FROM p)
+ SELECT k.is_signal, CAST(i AS INTEGER) AS bin, round(coalesce(sum(eta), 0.0), 3) + 0.0 AS value FROM (SELECT DISTINCT is_signal FROM p) k CROSS JOIN range(0, 6) r(i) LEFT JOIN b ON b.is_signal = k.is_signal AND b.bin = i GROUP BY ALL""",
+        "hist_lifetime": f"{LIFE}, q AS (SELECT is_signal, dz FROM l JOIN p USING (event_id, pidx) WHERE l.trk) {hist('q', 'dz', 0.0, 0.25, 40, 'is_signal')}",
+        "hist_log_sigma": f"{LIFE}, d AS (SELECT log10(d3_error) AS x FROM l WHERE trk AND d3_error > 0), h AS ({hist('d', 'x', -4.0, 0.0, 79)}) SELECT bin, {rnd('value / (sum(value) OVER () * (4.0 / 79))', 'value')} FROM h",
+        "hist_energy_map": f"""WITH {P}, {G}, {MATCH}, q0 AS (SELECT a.pt AS r, g.pt AS g FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN g ON g.event_id = m.event_id AND g.pidx = right_id),
+ q AS (SELECT r / t AS r, g / t AS g FROM q0, (SELECT greatest(max(r), max(g)) AS t FROM q0)) SELECT CAST({ubin('g', 0.0, 1.0, 25)} AS INTEGER) AS x_bin, CAST({ubin('r', 0.0, 1.0, 25)} AS INTEGER) AS y_bin, CAST(count(*) AS DOUBLE) AS value FROM q GROUP BY ALL""",
+        "within_beam": f"WITH {P} SELECT event_id FROM p GROUP BY event_id HAVING sum(energy) <= 91.2 AND max(pt*9) <= 45.6",
+        "published_ratios": f"""WITH {P}, {TAUS}, c AS (SELECT decaymode, count(*) AS n FROM tm GROUP BY decaymode), b(decaymode, f) AS (VALUES (0, 10.82), (1, 25.49), (2, 9.26), (10, 8.99), (11, 2.74), (16, 35.21)), z AS (SELECT n AS n0 FROM c WHERE decaymode = 0)
+ SELECT CAST(c.decaymode AS INTEGER) AS decaymode, {rnd('n/n0', 'ratio')}, {rnd('n/n0*sqrt(1/n + 1/n0)', 'error')}, {rnd('CAST(f AS DOUBLE)/10.82', 'published')} FROM c JOIN b USING (decaymode), z""",
+        "validation_tables": f"""WITH {P}, {TAUS}, f AS (SELECT event_id, min(decaymode) AS m FROM tm GROUP BY event_id),
+ q AS (SELECT CASE WHEN is_signal THEN 'signal' ELSE 'background' END AS sample, sqrt(pow(sum(px), 2) + pow(sum(py), 2)) AS pt, sqrt(greatest(pow(sum(energy), 2) - pow(sum(px), 2) - pow(sum(py), 2) - pow(sum(pz), 2), 0)) AS mass, CAST(count(*) AS DOUBLE) AS n, CAST(coalesce(any_value(m), -1) AS DOUBLE) AS mode FROM p LEFT JOIN f USING (event_id) GROUP BY event_id, is_signal)
+ {' UNION ALL '.join(f"SELECT sample, bin, value, '{name}' AS variable FROM ({hist('q', x, 0.0, top, bins, 'sample')})" for name, x, top, bins in (('jet_pt', 'pt', 220.0, 50), ('jet_mass', 'mass', 10.0, 50), ('n_cands', 'n', 50.0, 50), ('decaymode', 'mode', 16.0, 16)))}""",
+        "weighted_samples": f"""WITH {P}, k AS (SELECT *, {seed} AS key FROM p), sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY is_signal ORDER BY key, event_id, pidx) <= floor(count(*) OVER (PARTITION BY is_signal)*0.9) THEN 'train' ELSE 'test' END AS split FROM k),
+ {wmat().replace('FROM p)', 'FROM sp)').replace('is_signal FROM wa)', "is_signal FROM wa WHERE split = 'train')")}, wn AS (SELECT tb, pb, least(coalesce(wt.f, 0), wo.f) / wo.f AS weight FROM wo LEFT JOIN wt USING (tb, pb)),
+ {WAPPLY.replace('FROM wa)', 'FROM wa)').split(', wy AS')[0]}, wy AS (SELECT wx.*, coalesce(CASE WHEN is_signal THEN wm.weight ELSE wn.weight END, 0.0) AS cls_weight FROM wx LEFT JOIN wm ON wm.tb = theta_bin AND wm.pb = p_bin LEFT JOIN wn ON wn.tb = theta_bin AND wn.pb = p_bin)
+ SELECT is_signal, split, count(*) AS n, {rnd('sum(cls_weight)', 'sum_w', 4)} FROM wy GROUP BY is_signal, split""",
     }

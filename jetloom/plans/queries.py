@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from jetloom.functions import arrays, p4, pdg
 from jetloom.operators import clustering, filters, histograms, lifetime, matching, sampling, shapes, taus, tensors, validation, weights
+from jetloom.sources import events as nested
 from jetloom.sources import fixture
 
+from . import pipelines
+
 QUERIES: dict = {}
 
 
@@ -43,12 +46,8 @@ def _event_jet(p: DataFrame) -> DataFrame:
     return p.join(jet, "event_id")
 
 
-def _with_daughters(p: DataFrame) -> DataFrame:
-    return p.withColumns({"daughters_begin": F.greatest(F.col("pidx") - 3, F.lit(0)), "daughters_end": F.col("pidx")})
-
-
 def _tau_rows(p: DataFrame) -> DataFrame:
-    return taus.taus_with_daughters(_with_daughters(p))
+    return taus.taus_with_daughters(fixture.with_daughters(p))
 
 
 @query
@@ -124,8 +123,12 @@ def tau_daughters(spark, sf_dir):
 def tau_to_jet_left_fill(spark, sf_dir):
     p = _p(spark, sf_dir)
     jets = fixture.generated(p).select("event_id", F.col("pidx").alias("jet_id"), "eta", "phi")
-    out = taus.jet_tau_info(jets, _tau_rows(p))
-    return out.select("event_id", "jet_id", "decaymode", "charge", r("vis_energy").alias("vis_energy"))
+    out = taus.jet_tau_info(jets, _tau_rows(p), daughters=True)
+    joined = F.array_join(F.transform("vis_daughter_pdgs", lambda x: x.cast("string")), ",")
+    return out.select(
+        "event_id", "jet_id", "decaymode", "charge", r("vis_energy").alias("vis_energy"), r("p4.pt").alias("vis_pt"), r("full_p4.energy").alias("full_energy"),
+        r("DV_x").alias("dv_x"), r("DV_y").alias("dv_y"), r("DV_z").alias("dv_z"), joined.alias("daughter_pdgs"),
+    )
 
 
 @query
@@ -133,8 +136,8 @@ def background_tau_block(spark, sf_dir):
     jets = _seed_jets(_p(spark, sf_dir)).select("event_id", "jet_id")
     out = taus.background_info(jets, daughters=True)
     return out.select(
-        "event_id", "jet_id", "gen_jet_tau_decaymode", "gen_jet_tau_charge", "gen_jet_tau_vis_energy", "gen_jet_tau_dv_x",
-        F.col("gen_jet_tau_p4.pt").alias("tau_pt"), F.size("gen_jet_tau_vis_daughter_pdgs").cast("long").alias("n_daughters"),
+        "event_id", "jet_id", F.col("decaymode").alias("gen_jet_tau_decaymode"), F.col("charge").alias("gen_jet_tau_charge"), F.col("vis_energy").alias("gen_jet_tau_vis_energy"),
+        F.col("DV_x").alias("gen_jet_tau_dv_x"), F.col("p4.pt").alias("tau_pt"), F.size("vis_daughter_pdgs").cast("long").alias("n_daughters"),
     )
 
 
@@ -172,7 +175,7 @@ def constituent_gather(spark, sf_dir):
 
 
 def _life(spark, sf_dir):
-    return lifetime.lifetime(_p(spark, sf_dir), fixture.vertices(spark, sf_dir))
+    return lifetime.lifetime(fixture.tracked(_p(spark, sf_dir)), fixture.vertices(spark, sf_dir))
 
 
 @query
@@ -202,7 +205,7 @@ def signed_impact(spark, sf_dir):
 
 @query
 def aleph_impact(spark, sf_dir):
-    t = _p(spark, sf_dir).where("charge != 0").join(fixture.vertices(spark, sf_dir), "event_id").withColumn("phi0", F.col("phi"))
+    t = _p(spark, sf_dir).where("has_track").join(fixture.vertices(spark, sf_dir), "event_id")
     names = ["dzval", "dzerr", "d0val", "d0err", "dxy", "dxyerr"]
     return rounded(lifetime.simple_impact(t).select("event_id", "pidx", *names), *names)
 
@@ -282,10 +285,10 @@ def candidate_ids(spark, sf_dir):
 
 
 def _signatures(spark, sf_dir):
-    """Species of an event's first half of particles and of the rest, as canonical strings."""
+    """Species of an event's first two particles and of all the others, as canonical strings."""
     p = _p(spark, sf_dir)
     key = lambda cond: F.array_join(F.transform(pdg.signature(F.collect_list(F.when(cond, F.col("pdg")))), lambda x: x.cast("string")), " ")
-    return p.groupBy("event_id").agg(key(F.col("pidx") < 2).alias("gen_sig"), key(F.col("pidx").between(2, 3)).alias("reco_sig"))
+    return p.groupBy("event_id").agg(key(F.col("pidx") < 2).alias("gen_sig"), key(F.col("pidx") >= 2).alias("reco_sig"))
 
 
 @query
@@ -332,8 +335,8 @@ def weight_matrix(spark, sf_dir):
 
 @query
 def weight_apply(spark, sf_dir):
-    p, w = _weights(spark, sf_dir)
-    out = weights.apply_weights(p.where("is_signal"), w)
+    p = _p(spark, sf_dir)
+    out = weights.apply_both(p.where("is_signal"), weights.both_matrices(p))
     return out.select("event_id", "pidx", "theta_bin", "p_bin", r("cls_weight").alias("cls_weight"))
 
 
@@ -357,7 +360,7 @@ def hist_reverse_cumulative(spark, sf_dir):
 
 @query
 def hist_density(spark, sf_dir):
-    p = _life(spark, sf_dir).where("charge != 0").select(F.log10("dxy_error").alias("x"))
+    p = _life(spark, sf_dir).where("has_track").select(F.log10("dxy_error").alias("x"))
     return rounded(histograms.density(histograms.hist_1d(p, "x", -4.0, 0.0, 80), -4.0, 0.0, 80), "value")
 
 
@@ -466,6 +469,99 @@ def tensor_labels(spark, sf_dir):
     return out.select("event_id", "tau_id", "decay_class", "is_tau", F.array_join(F.transform("decay_one_hot", lambda x: x.cast("int").cast("string")), "").alias("one_hot"))
 
 
+@query
+def native_tracks(spark, sf_dir):
+    """Links and track states followed inside native events."""
+    rows = nested.reco_particles(fixture.native_events(spark, sf_dir))
+    return rows.select("event_id", "pidx", "pdg", "charge", "d0", "z0", "phi0", "tanl", "omega", "xr", "yr", "zr", "c_d0", "c_tan")
+
+
+@query
+def native_tau_truth(spark, sf_dir):
+    """Taus and daughters of native events by their index list."""
+    t = taus.taus_with_daughters(nested.mc_particles(fixture.native_events(spark, sf_dir)))
+    pdgs = F.array_join(F.transform("daughters", lambda d: d.pdg.cast("string")), ",")
+    return t.select("event_id", "tau_id", "charge", "decaymode", r("vis_energy").alias("vis_energy"), r("full_p4.pt").alias("full_pt"), "DV_x", "DV_y", "DV_z", pdgs.alias("daughter_pdgs"))
+
+
+@query
+def lifetime_native(spark, sf_dir):
+    """All lifetime variables of native events' particles (single precision tracks)."""
+    events = fixture.native_events(spark, sf_dir)
+    rows = lifetime.lifetime(nested.reco_particles(events), nested.vertices(events))
+    out = rows.select("event_id", "pidx", *[F.col(c).alias(n) for n, c in lifetime.VARIABLES.items()])
+    return rounded(out, *lifetime.VARIABLES, digits=4)
+
+
+@query
+def lifetime_track(spark, sf_dir):
+    names = ["d0", "z0", "d0_error", "z0_error", "phi0", "tanl", "omega", "pvx", "pvy", "pvz"]
+    return rounded(_life(spark, sf_dir).select("event_id", "pidx", *names), *names)
+
+
+@query
+def event_signed_impact(spark, sf_dir):
+    """Every particle of an event signed by each stand-in jet of it."""
+    own = _life(spark, sf_dir).select("event_id", "pidx", F.struct(*[F.col(c).alias(n) for n, c in lifetime.VARIABLES.items()]).alias("x"))
+    jets = _p(spark, sf_dir).where("pidx < 2").select("event_id", F.col("pidx").alias("jet_id"), F.col("px").alias("jx"), F.col("py").alias("jy"), F.col("pz").alias("jz"))
+    rows = matching.replicate(jets, own)
+    return rows.select("event_id", "jet_id", "pidx", *[r(lifetime.jet_signed(F.col("x"), v, "jx", "jy", "jz")).alias(f"signed_{v}") for v in ("dxy", "z0", "dxy_2d")])
+
+
+@query
+def archival_candidates(spark, sf_dir):
+    """Archival particles with flags and impact parameters; events of which some have no vertex."""
+    events = fixture.archival_native(spark, sf_dir)
+    rows = pipelines.archival_candidates(nested.archival_particles(events), nested.archival_vertices(events, arrays.PAD))
+    out = rows.select("event_id", "pidx", "charge", *shapes.SPECIES, "mass", *pipelines.IMPACT)
+    return rounded(out, "mass", *pipelines.IMPACT, digits=3)
+
+
+@query
+def particle_labels(spark, sf_dir):
+    """Species by name, the phi difference to the event's jet and the log mass ratio of the two."""
+    rows = shapes.relative_features(_event_jet(_p(spark, sf_dir)))
+    t = tensors.targets("pt", "eta", "phi", "energy", "jet_pt", "jet_eta", "jet_phi", "jet_energy")
+    return rows.select("event_id", "pidx", pdg.particle_name("pdg").alias("name"), F.round("phirel", 5).alias("phirel"), (F.col("charge") == 1).cast("int").alias("charge_flag"))
+
+
+@query
+def hist_log_axis(spark, sf_dir):
+    return histograms.hist_log(fixture.table(spark, sf_dir, "events"), "value", -1.0, 3.0, 16, keys=("event_type",))
+
+
+@query
+def hist_variable_edges(spark, sf_dir):
+    return histograms.hist_edges(_p(spark, sf_dir), "pt", [0.0, 0.1, 0.5, 1.0, 2.5, 7.5, 11.0], weight="eta", flow="sum", keys=("is_signal",)).withColumn("value", F.round("value", 3) + 0.0)
+
+
+@query
+def hist_lifetime(spark, sf_dir):
+    return validation.lifetime_variable(_life(spark, sf_dir), "dz", (0.0, 0.25, 40), keys=("is_signal",))
+
+
+@query
+def hist_log_sigma(spark, sf_dir):
+    return rounded(validation.log_sigma(_life(spark, sf_dir), "d3_error"), "value")
+
+
+@query
+def hist_energy_map(spark, sf_dir):
+    return validation.energy_map(_pairs(spark, sf_dir), "gen_pt", "reco_pt", 25)
+
+
+@query
+def within_beam(spark, sf_dir):
+    lists = _p(spark, sf_dir).groupBy("event_id").agg(F.sum("energy").alias("energy"), F.collect_list(F.col("pt") * 9).alias("pts"))
+    return lists.where(filters.within_beam("energy", "pts")).select("event_id")
+
+
+@query
+def published_ratios(spark, sf_dir):
+    """Measured ratios of decay modes beside the published fractions' ratios."""
+    return rounded(validation.against_published(_modes(spark, sf_dir)), "ratio", "error", "published")
+
+
 # rows only: iterative kernels, tested against brute force and invariants
 
 
@@ -487,57 +583,93 @@ def thrust(spark, sf_dir):
     return clustering.event_thrust(_p(spark, sf_dir))
 
 
+def _generated(p: DataFrame) -> DataFrame:
+    return fixture.generated(p).withColumns({"px": p4.px("pt", "phi"), "py": p4.py("pt", "phi"), "pz": p4.pz("pt", "eta"), "energy": p4.p("pt", "eta")})
+
+
 @query
 def jet_ntuple(spark, sf_dir):
-    from .pipelines import jet_ntuple as plan
-
     p = _p(spark, sf_dir)
-    gen = fixture.generated(p).withColumns({"px": p4.px("pt", "phi"), "py": p4.py("pt", "phi"), "pz": p4.pz("pt", "eta"), "energy": p4.p("pt", "eta")})
-    out = plan(p, gen, fixture.vertices(spark, sf_dir), _tau_rows(p))
-    return out.select("event_id", "jet_id", r("reco_jet_p4.pt").alias("pt"), "gen_jet_tau_decaymode", F.size("cands").alias("n_cands"))
+    out = pipelines.jet_ntuple(fixture.tracked(p), _generated(p), fixture.vertices(spark, sf_dir), _tau_rows(p))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, x: s + x)
+    return out.select(
+        "event_id", "jet_id", r("reco_jet_p4.pt").alias("pt"), r("gen_jet_p4.pt").alias("gen_pt"), "gen_jet_tau_decaymode", r("gen_jet_tau_vis_energy").alias("vis_energy"),
+        F.size("reco_cand_pdgs").alias("n_cands"), r(total("reco_cand_signed_dxy"), 4).alias("sum_signed_dxy"), r(total("reco_cand_dxy_2d_error"), 4).alias("sum_error"),
+    )
 
 
 @query
-def weighted_samples(spark, sf_dir):
-    from .pipelines import weighted_samples as plan
+def native_ntuple(spark, sf_dir):
+    """Background records of native events, with all particles of the event in each."""
+    out = pipelines.ntuple_of_events(fixture.native_events(spark, sf_dir), pipelines.NtupleConfig(signal=False, event_lists=True, daughters=True))
+    return out.select(
+        "event_id", "jet_id", r("reco_jet_p4.energy", 4).alias("energy"), "gen_jet_tau_decaymode", F.size("reco_cand_dz").alias("n_cands"),
+        F.size("event_reco_cand_signed_dz").alias("n_event"), F.size("gen_jet_tau_vis_daughter_pdgs").alias("n_daughters"),
+    )
+
 
+@query
+def weighted_samples(spark, sf_dir):
     jets = _p(spark, sf_dir).select("event_id", F.col("pidx").alias("jet_id"), "is_signal", "pt", "eta")
-    out, _, _ = plan(jets)
+    out, _ = pipelines.weighted_samples(jets)
     return rounded(out.groupBy("is_signal", "split").agg(F.count("*").alias("n"), F.sum("cls_weight").alias("sum_w")), "sum_w", digits=4)
 
 
 @query
 def jet_tensors(spark, sf_dir):
-    from .pipelines import jet_tensors as plan
+    """Native events of both kinds to weighted training tensors."""
+    events = fixture.native_events(spark, sf_dir)
+    out = pipelines.simulation_to_tensors(events, events)
+    return out.select(
+        "sample", "event_id", "jet_id", "split", F.size("features").alias("width"), F.size(F.filter("mask", lambda m: m)).alias("n_valid"),
+        F.round(F.get(F.get("kinematics", F.lit(0)), F.lit(3)).cast("double"), 3).alias("first_energy"), "is_tau", F.round(F.col("weight").cast("double"), 4).alias("weight"),
+    )
+
 
-    rows = _event_jet(_life(spark, sf_dir)).withColumn("jet_id", F.lit(0))
-    out = plan(rows)
-    return out.select("event_id", "jet_id", F.size("features").alias("width"), F.size(F.filter("mask", lambda m: m)).alias("n_valid"), F.round(F.get(F.get("kinematics", F.lit(0)), F.lit(3)).cast("double"), 3).alias("first_energy"))
+def _archival(spark, sf_dir):
+    events = fixture.archival_native(spark, sf_dir)
+    return events, nested.archival_particles(events), nested.archival_vertices(events, arrays.PAD)
+
+
+def _archival_columns(out: DataFrame) -> DataFrame:
+    return out.select(
+        "event_id", "jet_id", "jet_nparticles", r("jet_pt", 4).alias("jet_pt"), r("jet_sdmass", 3).alias("sdmass"), r("jet_tau1", 4).alias("tau1"),
+        r("jet_mass_from_p4s", 3).alias("mass_from_p4s"), F.size("part_deltaR").alias("n_parts"), r(F.array_max("part_dzval"), 3).alias("top_dz"),
+    )
 
 
 @query
 def archival_jets(spark, sf_dir):
-    from .pipelines import archival_jets as plan
+    _, particles, vertices = _archival(spark, sf_dir)
+    return _archival_columns(pipelines.archival_jets(particles, vertices))
 
-    out = plan(_p(spark, sf_dir), fixture.vertices(spark, sf_dir))
-    return out.select("event_id", "jet_id", "jet_nparticles", r("jet_pt").alias("jet_pt"), r("sdmass", 4).alias("sdmass"), r("tau1", 4).alias("tau1"), F.size("parts").alias("n_parts"))
+
+@query
+def stored_archival_jets(spark, sf_dir):
+    events, particles, vertices = _archival(spark, sf_dir)
+    return _archival_columns(pipelines.stored_archival_jets(particles, nested.stored_jets(events), vertices))
 
 
 @query
-def archival_events(spark, sf_dir):
-    from .pipelines import archival_events as plan
+def archival_event_records(spark, sf_dir):
+    _, particles, vertices = _archival(spark, sf_dir)
+    out = pipelines.archival_event_records(particles, vertices)
+    return out.select("event_id", r("met", 4).alias("met"), r("thrust", 4).alias("thrust"), "n_charged_hadrons", F.size("jets").alias("n_jet_rows"), F.size("particles").alias("n_particle_rows"))
 
+
+@query
+def archival_events(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return rounded(plan(p, _seed_jets(p)).select("event_id", "met", "ht", "n_jets", "sphericity", "thrust"), "met", "ht", "sphericity", "thrust", digits=4)
+    return rounded(pipelines.archival_events(p, _seed_jets(p)).select("event_id", "met", "ht", "n_jets", "sphericity", "thrust"), "met", "ht", "sphericity", "thrust", digits=4)
 
 
 @query
 def validation_tables(spark, sf_dir):
-    from .pipelines import validate
-
     p = _p(spark, sf_dir)
-    jets = shapes.summed_p4(p, "event_id", "is_signal").select("is_signal", F.col("p4.pt").alias("pt"), "mass", F.col("n").alias("n_cands"), (F.col("n") % 17).alias("decaymode"))
-    tables = validate({"signal": jets.where("is_signal"), "background": jets.where("not is_signal")})
+    modes = _modes(spark, sf_dir).groupBy("event_id").agg(F.min("decaymode").alias("decaymode"))
+    jets = shapes.summed_p4(p, "event_id", "is_signal").select("event_id", "is_signal", F.col("p4.pt").alias("pt"), "mass", F.col("n").alias("n_cands"))
+    jets = jets.join(modes, "event_id", "left").fillna({"decaymode": -1})
+    tables = pipelines.validate({"signal": jets.where("is_signal"), "background": jets.where("not is_signal")})
     out = None
     for name, df in tables.items():
         part = df.withColumn("variable", F.lit(name))
@@ -555,7 +687,7 @@ def _pairs(spark, sf_dir):
 
 @query
 def hist_pt_ratio(spark, sf_dir):
-    return rounded(validation.pt_ratio(_pairs(spark, sf_dir).where("left_id != right_id")), "value")
+    return rounded(validation.pt_ratio(_pairs(spark, sf_dir)), "value")
 
 
 @query
@@ -571,7 +703,7 @@ def hist_decay_modes(spark, sf_dir):
 @query
 def hist_shape_by_mode(spark, sf_dir):
     p = _p(spark, sf_dir)
-    rows = _event_jet(p).withColumn("jet_id", F.lit(0)).join(_modes(spark, sf_dir).where("tau_id < 8").groupBy("event_id").agg(F.min("decaymode").alias("decaymode")), "event_id")
+    rows = _event_jet(p).withColumn("jet_id", F.lit(0)).join(_modes(spark, sf_dir).groupBy("event_id").agg(F.min("decaymode").alias("decaymode")), "event_id")
     return rounded(validation.jet_shape(rows, by_mode=True, axis=(-1.95, 2.05, 20)), "value")
 
 
@@ -584,10 +716,10 @@ def hist_jet_pt(spark, sf_dir):
 @query
 def hist_weights(spark, sf_dir):
     p, w = _weights(spark, sf_dir)
-    return rounded(validation.weight_distribution(weights.apply_weights(p, w).withColumn("cls_weight", r("cls_weight") * 0.999 + 0.0005), keys=("is_signal",)), "value")
+    return rounded(validation.weight_distribution(weights.apply_weights(p, w).withColumn("cls_weight", r("cls_weight")), keys=("is_signal",)), "value")
 
 
 @query
 def track_impact_map(spark, sf_dir):
-    rows = _life(spark, sf_dir).where("charge != 0")
+    rows = _life(spark, sf_dir).where("has_track")
     return histograms.hist_2d(rows, "dz", "dxy", (0.0, 0.2, 20), (0.0, 0.2, 20))
