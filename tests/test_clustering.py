@@ -88,3 +88,115 @@ def test_cluster_partitions_particles_in_any_order(spark, sf_dir):
     got = key(p)
     assert got == key(p.repartition(3, "pidx"))
     assert sorted((e, i) for e, own in got for i in own) == sorted((r.event_id, r.pidx) for r in p.select("event_id", "pidx").collect())
+
+
+def plain_turn(a, b):
+    return math.remainder(a - b, 2 * math.pi)
+
+
+def plain_place(v):
+    return math.asinh(v[3] / math.hypot(v[1], v[2])), math.atan2(v[2], v[1])
+
+
+def plain_tree(p4, distance, stop=1):
+    """Nodes and splits of pairwise recombination until ``stop`` remain: {new: (i, j, distance)}."""
+    nodes, live, split = [list(map(float, p)) for p in p4], list(range(len(p4))), {}
+    while len(live) > stop:
+        d, i, j = min((distance(nodes[i], nodes[j]), i, j) for a, i in enumerate(live) for j in live[a + 1 :])
+        nodes.append([x + y for x, y in zip(nodes[i], nodes[j], strict=True)])
+        split[len(nodes) - 1] = (i, j, d)
+        live = [k for k in live if k not in (i, j)] + [len(nodes) - 1]
+    return nodes, split
+
+
+def plain_delta_r(a, b):
+    (e1, f1), (e2, f2) = plain_place(a), plain_place(b)
+    return math.hypot(e1 - e2, plain_turn(f1, f2))
+
+
+def plain_cos(a, b):
+    return sum(x * y for x, y in zip(a[1:], b[1:], strict=True)) / math.dist(a[1:], (0, 0, 0)) / math.dist(b[1:], (0, 0, 0))
+
+
+def plain_energy(a, b):
+    return min(a[0] ** -2, b[0] ** -2) * (1 - max(-1.0, min(1.0, plain_cos(a, b))))
+
+
+@settings(max_examples=60, deadline=None)
+@given(momenta)
+def test_groomed_masses_equal_plain_loops(rows):
+    p4 = c.massless(*[np.array(x) for x in zip(*rows, strict=True)])
+    for distance, electron in ((plain_delta_r, False), (plain_energy, True)):
+        nodes, split = plain_tree(p4, distance)
+        at, want = len(nodes) - 1, None
+        while at in split and want is None:
+            i, j, _ = split[at]
+            a, b = (math.hypot(*nodes[k][1:3]) for k in (i, j))
+            if min(a, b) / (a + b) > 0.1:  # the exponent of the angle is 0
+                want = at
+            else:
+                at = i if a >= b else j
+        v = nodes[at]
+        mass = math.sqrt(max(0.0, v[0] ** 2 - v[1] ** 2 - v[2] ** 2 - v[3] ** 2)) if len(p4) > 1 else 0.0
+        assert c.groomed_mass(p4, electron=electron) == pytest.approx(mass, abs=1e-4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(momenta, st.integers(1, 4))
+def test_axes_and_subjettiness_equal_plain_loops(rows, n):
+    pt, eta, phi = (np.array(x) for x in zip(*rows, strict=True))
+    n = min(n, len(rows))
+    order = sorted(range(len(rows)), key=lambda i: -rows[i][0])[:n]
+    axes = [(rows[i][1], rows[i][2]) for i in order]
+    for _ in range(5):
+        own = [min(range(n), key=lambda k: (math.hypot(e - axes[k][0], plain_turn(f, axes[k][1])), k)) for _, e, f in rows]
+        moved = []
+        for k in range(n):
+            mine = [r for r, o in zip(rows, own, strict=True) if o == k]
+            total = sum(r[0] for r in mine)
+            moved.append((sum(r[0] * r[1] for r in mine) / (total or 1.0), math.atan2(sum(r[0] * math.sin(r[2]) for r in mine), sum(r[0] * math.cos(r[2]) for r in mine))))
+        axes = moved
+    a_eta, a_phi = c.iterated_axes(pt, eta, phi, n)
+    assert np.allclose(sorted(a_eta), sorted(a for a, _ in axes), atol=1e-6)
+    want = sum(r[0] * min(0.8, min(math.hypot(r[1] - e, plain_turn(r[2], f)) for e, f in axes)) for r in rows) / (0.8 * sum(r[0] for r in rows))
+    assert c.subjettiness(pt, eta, phi, a_eta, a_phi) == pytest.approx(want, abs=1e-6)
+
+
+def test_exclusive_axes_equal_plain_loops():
+    rng = np.random.default_rng(4)
+    for n in (2, 3):
+        for _ in range(40):
+            p4 = c.massless(rng.uniform(1, 9, 6), rng.normal(0, 0.15, 6), rng.normal(0, 0.15, 6))  # near each other: pairs come before the beam
+            nodes, split = plain_tree(p4, plain_energy, n)
+            gone = {i for s in split.values() for i in s[:2]}
+            want = sorted(plain_place(v) for k, v in enumerate(nodes) if k not in gone)
+            eta, phi = c.exclusive_axes(p4, n)
+            assert np.allclose(sorted(zip(eta, phi, strict=True)), want)
+
+
+@settings(max_examples=60, deadline=None)
+@given(momenta)
+def test_thrust_equals_plain_loops(rows):
+    p3 = [(pt * math.cos(phi), pt * math.sin(phi), pt * math.sinh(eta)) for pt, eta, phi in rows]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    unit = lambda v: tuple(x / math.sqrt(dot(v, v)) for x in v)
+    n = unit([sum(x) for x in zip(*p3, strict=True)])
+    for _ in range(100):
+        new = unit([sum(math.copysign(1, dot(p, n)) * p[k] for p in p3) for k in range(3)])
+        if all(abs(a - b) < 1e-9 for a, b in zip(new, n, strict=True)):
+            break
+        n = new
+    want = sum(abs(dot(p, n)) for p in p3) / sum(math.sqrt(dot(p, p)) for p in p3)
+    padded = np.zeros((2, len(rows) + 2, 3))
+    padded[0, : len(rows)] = p3
+    got = c.batched_thrust(padded)
+    assert c.thrust(np.array(p3)) == pytest.approx(want, abs=1e-4) and got[0] == pytest.approx(want, abs=1e-4) and np.isnan(got[1])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(momenta, min_size=1, max_size=6), st.sampled_from([0.4, 0.8, 3.5]))
+def test_batched_jets_equal_single_events(events, radius):
+    vectors = [c.massless(*[np.array(x) for x in zip(*rows, strict=True)]) for rows in events] + [np.zeros((0, 4))]
+    for got, p4 in zip(c.jets_of_events(vectors, radius, at_once=2), vectors, strict=True):
+        want = c.genkt_jets(p4, radius)
+        assert [own for _, own in got] == [own for _, own in want] and all(np.allclose(a, b) for (a, _), (b, _) in zip(got, want, strict=True))

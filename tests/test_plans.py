@@ -2,40 +2,174 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jetloom.functions import p4
+from jetloom.operators import clustering, filters, lifetime, sampling, taus, weights
 from jetloom.plans import pipelines, queries
+from jetloom.sources import events as events_
 from jetloom.sources import fixture, readers, sinks
 from jetloom.streaming.ingest import process_new_files
 
 
-def test_ntuple_rows_obey_the_filters(spark, sf_dir):
+def collections(spark, sf_dir):
     p = fixture.particles(spark, sf_dir)
-    gen = fixture.generated(p).withColumns({"px": p4.px("pt", "phi"), "py": p4.py("pt", "phi"), "pz": p4.pz("pt", "eta"), "energy": p4.p("pt", "eta")})
-    v, t = fixture.vertices(spark, sf_dir), queries._tau_rows(p)
-    background = pipelines.jet_ntuple(p, gen, v, t, pipelines.NtupleConfig(signal=False, event_lists=True)).collect()
-    assert background and all(r.gen_jet_tau_decaymode == -1 and not {11, 13} & {abs(c.pdg) for c in r.cands} for r in background)
-    assert all(len(r.event_reco_cands) >= len(r.cands) for r in background)
-    neutral = [c for r in background for c in r.cands if c.charge == 0]
-    assert neutral and all(c.dxy == -1000.0 and c.signed_dxy == -1000.0 for c in neutral)
+    return fixture.tracked(p), queries._generated(p), fixture.vertices(spark, sf_dir), queries._tau_rows(p)
+
+
+def test_ntuple_rows_obey_the_filters(spark, sf_dir):
+    p, gen, v, t = collections(spark, sf_dir)
+    background = pipelines.jet_ntuple(p, gen, v, t, pipelines.NtupleConfig(signal=False, event_lists=True, daughters=True))
+    rows = background.collect()
+    assert rows and all(r.gen_jet_tau_decaymode == -1 and not {11, 13} & {*r.reco_cand_pdgs} and {*r.reco_cand_pdgs} <= {22, 130, 211, 15, 16} for r in rows)
+    assert all(len(r.event_reco_cand_dz) >= len(r.reco_cand_dz) == len(r.reco_cand_p4s) and r.gen_jet_tau_vis_daughter_pdgs == [] for r in rows)
+    none = [(z, s) for r in rows for q, z, s in zip(r.reco_cand_charges, r.reco_cand_dxy, r.reco_cand_signed_dxy) if q == 0]
+    assert none and set(none) == {(-1000.0, -1000.0)}
+    for prefix in ("reco_cand_", "event_reco_cand_"):  # every variable and signed form of the record
+        assert {f"{prefix}{x}" for x in [*lifetime.VARIABLES, *[f"signed_{s}" for s in lifetime.SIGNED], "p4s", "pdgs", "charges"]} <= {*background.columns}
+    assert len(lifetime.VARIABLES) == 28 and {f"gen_jet_tau_{c}" for c in (*taus.PROPERTIES, *taus.DAUGHTERS)} <= {*background.columns}
     signal = pipelines.jet_ntuple(p, gen, v, t).collect()
-    assert all(r.gen_jet_tau_decaymode not in (-1, 16) for r in signal)
-    assert "dxy" not in pipelines.jet_ntuple(p, gen, v, t, pipelines.NtupleConfig(signal=False, lifetime=False)).schema["cands"].dataType.elementType.names
+    assert signal and all(r.gen_jet_tau_decaymode not in (-1, 16) and r.gen_jet_tau_vis_energy > 0 for r in signal)
+    assert "reco_cand_dxy" not in pipelines.jet_ntuple(p, gen, v, t, pipelines.NtupleConfig(signal=False, lifetime=False)).columns
+
+
+def plain_records(p, gen, taus_, radius=0.4, cut=0.4):
+    """(event, jet) -> (gen energy, decay mode or None, constituents) of matched jets, by loops."""
+    by = lambda rows: {e: sorted((r for r in rows if r.event_id == e), key=lambda r: r[1]) for e in {r.event_id for r in rows}}
+    near = lambda a, many: min(((math.hypot(a[0] - b[0], math.remainder(a[1] - b[1], 2 * math.pi)), k) for k, b in enumerate(many)), default=(9, None))
+    where = lambda v: (math.asinh(v[3] / math.hypot(v[1], v[2])), math.atan2(v[2], v[1]))
+    gens, events, ts, out = by(gen), by(p), by(taus_), {}
+    for e, rows in events.items():
+        mine = gens.get(e, [])
+        vec = lambda rs: np.array([[r.energy, r.px, r.py, r.pz] for r in rs])
+        right = [(v, own) for v, own in clustering.genkt_jets(vec(mine), radius) if not {13, 15} & {abs(mine[i].pdg) for i in own}] if mine else []
+        places = [where(v) for v, _ in right]
+        tau_of = {}
+        for t in ts.get(e, []):
+            dr, k = near((t.eta, t.phi), places) if t.vis_energy else (9, None)
+            if dr < cut:
+                tau_of[k] = t.decaymode
+        for n, (v, own) in enumerate(clustering.genkt_jets(vec(rows), radius)):
+            dr, k = near(where(v), places)
+            if dr < cut:
+                out[e, n] = (right[k][0][0], tau_of.get(k), [rows[i].pidx for i in own], v[0])
+    return out
+
+
+def test_records_equal_plain_loops(spark, sf_dir):
+    p, gen, v, t = collections(spark, sf_dir)
+    few = lambda df: df.where("event_id % 3 = 0")
+    want = plain_records(few(p).collect(), few(gen).collect(), taus.properties(few(t)).collect())
+    codes = {(r.event_id, r.pidx): r.pdg for r in few(p).collect()}
+    hadronic = lambda e, own: not {11, 13} & {abs(codes[e, i]) for i in own}
+    for signal in (True, False):
+        got = pipelines.jet_ntuple(few(p), few(gen), v, few(t), pipelines.NtupleConfig(signal=signal)).collect()
+        keep = {k: x for k, x in want.items() if hadronic(k[0], x[2]) and (not signal or x[1] not in (None, 16))}
+        assert {(r.event_id, r.jet_id) for r in got} == set(keep)
+        for r in got:
+            gen_e, mode, own, e = keep[r.event_id, r.jet_id]
+            assert r.gen_jet_p4.energy == pytest.approx(gen_e) and r.reco_jet_p4.energy == pytest.approx(e) and len(r.reco_cand_dz) == len(own)
+            assert not signal or r.gen_jet_tau_decaymode == mode
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_flows_shuffle_little(spark, sf_dir):
+    events = fixture.native_events(spark, sf_dir)
+    path = spark.conf.get("spark.checkpoint.dir") + "/native"
+    events.write.mode("overwrite").parquet(path)
+    native = spark.read.parquet(path)
+    made = pipelines.ntuple_of_events(native, pipelines.NtupleConfig(event_lists=True))
+    assert exchanges(made) <= 8 and str(made._jdf.queryExecution().executedPlan()).count("MapInArrow") <= 2
+
+
+def test_native_events_to_tensors(spark, sf_dir, tmp_path):
+    source, out = str(tmp_path / "events"), str(tmp_path / "out")
+    fixture.native_events(spark, sf_dir).where("event_id % 2 = 0").write.parquet(source)
+    paths = pipelines.run_simulation(spark, source, source, out)
+    records = readers.load_all(spark, paths["samples"])
+    assert {*sampling.MERGED, "cls_weight", "split", "sample"} <= {*records.columns}
+    assert records.schema["gen_jet_tau_p4"].dataType.names == ["rho", "phi", "eta", "t"]
+    n = {(r["sample"], r["split"]): r["count"] for r in records.groupBy("sample", "split").count().collect()}
+    for s in ("signal", "background"):
+        assert n[s, "train"] == int((n[s, "train"] + n[s, "test"]) * 0.9)
+    tensors_ = spark.read.parquet(paths["tensors"])
+    assert tensors_.count() == records.count()
+    for r in tensors_.collect():
+        assert len(r.features) == len(r.kinematics) == len(r.mask) == 20 and {len(x) for x in r.features} == {17} and {len(x) for x in r.kinematics} == {4}
+        assert len(r.targets) == 5 and sum(r.decay_mode) == 1 and r.is_tau == (r["sample"] == "signal") and 0 <= r.weight <= 1
+    loaded = readers.load_weights(spark, paths["weights"])
+    assert loaded.columns == ["theta_bin", "p_bin", "signal_weight", "background_weight"] and loaded.count() <= 40 * 52
+
+
+def test_flat_branches_become_the_same_events(spark, sf_dir):
+    e = fixture.native_events(spark, sf_dir)
+    flat = {"event_id": F.col("event_id")}
+    for name, prefix in readers.BRANCHES.items():
+        for f in e.schema[name].dataType.elementType:
+            inner = f.dataType.names if f.dataType.typeName() == "struct" else [None]
+            for g in inner:
+                source = "covMatrix.values[21]" if f.name == "cov" else f.name + (f".{g}" if g else "")
+                flat[prefix + source] = F.col(f"{name}.{f.name}" + (f".{g}" if g else ""))
+    flat |= {b: F.col(c) for c, b in readers.INDEX_BRANCHES.items()}
+    wide = e.select(*[c.alias(n) for n, c in flat.items()])
+    again = readers.from_branches(wide)
+    assert again.dtypes == e.dtypes
+    for f in (events_.reco_particles, events_.mc_particles, events_.vertices):
+        assert sorted(map(repr, f(again).collect())) == sorted(map(repr, f(e).collect()))
+    assert readers.from_branches(wide.drop("MCParticles.PDG")).select(F.max(F.get("mc.PDG", F.lit(0)))).first()[0] is None
+
+
+def test_links_that_lead_nowhere_are_no_track(spark):
+    state = "named_struct('location',0,'D0',float(1),'phi',float(0),'omega',float(0),'Z0',float(0),'tanLambda',float(0),'time',float(0),'referencePoint',named_struct('x',0D,'y',0D,'z',0D),'cov',array_repeat(float(1),21))"
+    links = [(0, 1), (0, 0), (1, 2), (2, 3), (9, 10)]  # the first track; none; link -1; a track without states; beyond the list
+    reco = ",".join(f"named_struct('PDG',211,'energy',1D,'momentum',named_struct('x',1D,'y',0D,'z',0D),'charge',float(1),'mass',0D,'tracks_begin',{a},'tracks_end',{b})" for a, b in links)
+    e = spark.sql(f"SELECT 1L AS event_id, array({reco}) AS reco, array(0, -1, 5) AS idx_track, array_repeat({state}, 4) AS track_states, array(named_struct('x',0D,'y',0D,'z',0D)) AS pv")
+    rows = events_.reco_particles(e)
+    assert [r.d0 for r in rows.orderBy("pidx").collect()] == [1.0, None, None, None, None]
+    life = lifetime.lifetime(rows, events_.vertices(e)).orderBy("pidx").collect()
+    assert [r.dxy == -1000.0 for r in life] == [False] + 4 * [True] and life[1].tanl == life[1].pvx == -1000.0
+
+
+def test_archival_records(spark, sf_dir):
+    e, particles, v = queries._archival(spark, sf_dir)
+    rows = pipelines.archival_candidates(particles, v)
+    assert {c for c in pipelines.PART} <= {*rows.columns}
+    without = {(r.event_id, r.pidx) for r in fixture.particles(spark, sf_dir).where("not has_track").collect()}
+    assert {(r.event_id, r.pidx) for r in rows.where("d0val = -999.9 and dzerr = -999.9").collect()} == without
+    for jets in (pipelines.archival_jets(particles, v), pipelines.stored_archival_jets(particles, events_.stored_jets(e), v, good_only=False)):
+        got = jets.collect()
+        assert got and {f"part_{c}" for c in (*pipelines.RELATIVE, *pipelines.PART)} <= {*jets.columns}
+        for r in got:
+            assert len(r.part_pt) == max(1, r.jet_nparticles) and (r.jet_nparticles or r.part_pt == [-999.9])
+            if r.jet_nparticles:
+                m2 = sum(r.part_energy) ** 2 - sum(r.part_px) ** 2 - sum(r.part_py) ** 2 - sum(r.part_pz) ** 2
+                assert r.jet_mass_from_p4s == pytest.approx(math.sqrt(max(0, m2)), abs=1e-3) and max(r.part_deltaR) >= 0
+
+
+def test_both_matrices_are_the_two_weight_matrices(spark, sf_dir):
+    p = fixture.particles(spark, sf_dir)
+    s, b = weights.matrix(p.where("is_signal")), weights.matrix(p.where("not is_signal"))
+    both = {(r.theta_bin, r.p_bin): r for r in weights.both_matrices(p).collect()}
+    for name, one in (("signal_weight", weights.weight_matrix(s, b)), ("background_weight", weights.weight_matrix(b, s))):
+        for r in one.collect():
+            assert both[r.theta_bin, r.p_bin][name] == pytest.approx(r.weight)
+
 
+def test_archival_and_beam_filters(spark):
+    df = spark.createDataFrame([(1.0, 0.5, [1.0]), (0.0, 0.5, [1.0]), (1.0, float("inf"), [1.0]), (1.0, 0.5, [1.0, -999.9]), (1.0, 0.5, [0.0]), (1.0, 0.5, [])], "pt double, eta double, pts array<double>")
+    assert [r[0] for r in df.select(filters.good_stored_jet("pt", "eta", "pts")).collect()] == [True, False, False, False, False, True]
+    assert [r[0] for r in df.select(filters.within_beam(F.col("pt") * 91.2, F.transform("pts", lambda x: x * 45.7))).collect()] == [False, False, False, False, True, True]
 
-@pytest.mark.parametrize("name", ["jet_ntuple", "weighted_samples", "jet_tensors", "archival_jets", "archival_events", "validation_tables"])
+
+@pytest.mark.parametrize("name", ["jet_ntuple", "native_ntuple", "stored_archival_jets", "archival_event_records", "archival_events"])
 def test_flows_give_rows(spark, sf_dir, name):
-    df = queries.QUERIES[name](spark, sf_dir)
-    assert df.count() > 0
-    if name == "weighted_samples":
-        rows = {(r.is_signal, r.split): r for r in df.collect()}
-        for s in (True, False):
-            n = rows[s, "train"].n + rows[s, "test"].n
-            assert rows[s, "train"].n == int(n * 0.9) and 0 < rows[s, "train"].sum_w <= n
-    if name == "jet_tensors":
-        assert all(r.width == 20 and 0 < r.n_valid <= 20 for r in df.collect())
+    assert queries.QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_nested_events_keep_empty_ones(spark, sf_dir):
@@ -55,6 +189,11 @@ def test_paths_and_loads(spark, tmp_path):
         readers.all_paths(spark, f"{where}/none*")
     with pytest.raises(ValueError):
         readers.load_all(spark, [], 0)
+    (tmp_path / "list.txt").write_text(f"{where}/f2.parquet\n\n{where}/f1.parquet\n")
+    assert [p.rsplit("/", 1)[1] for p in readers.all_paths(spark, f"{where}/list.txt")] == ["f1.parquet", "f2.parquet"]
+    (tmp_path / "list.txt").unlink()
+    with pytest.raises(ValueError):
+        readers.load_parquet(spark, f"{where}/f2.parquet", max_rows=1)
     assert readers.load_all(spark, where, columns=["id"]).count() == 6
     assert [r.id for r in readers.load_parquet(spark, f"{where}/f2.parquet", ["id"], 1, ["id"]).collect()] == [2]
     assert readers.file_sizes(readers.load_all(spark, where)).count() >= 3
