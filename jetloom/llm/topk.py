@@ -8,8 +8,9 @@ Index: each vector belongs to its nearest pivot; vectors sorted by (pivot, dista
 id) are cut into annuli of at most ``annulus`` vectors. Search: queries in blocks
 start from the k-th best score in the bounded sample that gave the pivots; a query
 block meets only the annuli that some query's ring reaches, nearest first, and each
-annulus is computed only for the queries it can still improve. Every row is indexed;
-a skipped annulus holds no answer by the bound, so the result is exact.
+annulus is computed only for the queries it can still improve. Scores found on the way shrink
+the rings, and a block's scan ends at the first annulus that lies beyond all of them: the later ones are
+farther still. Every row is indexed; what is not looked at holds no answer by the bound, so the result is exact.
 
 Sorting by id too lets any number of equal vectors be dealt over many partitions.
 
@@ -185,16 +186,19 @@ def top_k(
             s[own[:, None] == sample_ids[None, :]] = np.iinfo(np.int64).min
             least = np.partition(s, len(sample_ids) - k, axis=1)[:, len(sample_ids) - k]
         d, reach = _distances(_lifted(m, top, True), centres), _reach(m, least, top)
-        row = [key[0].as_py(), own.astype("<i8").tobytes(), _pack(m), least.astype("<i8").tobytes(), (d - reach[:, None]).min(axis=0).tolist(), (d + reach[:, None]).max(axis=0).tolist()]
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
-        return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["block", "q_ids", "q_vectors", "least", "from", "to"])
+        reached = ((d - reach[:, None]).min(axis=0), (d + reach[:, None]).max(axis=0), d.min(axis=0), d.max(axis=0))
+        row = [key[0].as_py(), own.astype("<i8").tobytes(), _pack(m), least.astype("<i8").tobytes(), *[x.tolist() for x in reached]]
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), *[pa.list_(pa.float64())] * 4)
+        return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["block", "q_ids", "q_vectors", "least", *ends])
 
-    queries = asked.groupBy("block").applyInArrow(gather, "block int, q_ids binary, q_vectors binary, least binary, from array<double>, to array<double>")
+    ends = ["from", "to", "near", "far"]  # for each pivot: where rings begin and end, and the distances of the block's nearest and farthest query
+    queries = asked.groupBy("block").applyInArrow(gather, "block int, q_ids binary, q_vectors binary, least binary, from array<double>, to array<double>, near array<double>, far array<double>")
     queries = written(queries, "topk-queries")
-    spans = queries.select("block", F.posexplode(F.arrays_zip("from", "to")).alias("pivot", "x")).select("block", "pivot", "x.from", "x.to")
+    spans = queries.select("block", F.posexplode(F.arrays_zip(*ends)).alias("pivot", "x")).select("block", "pivot", "x.*")
     pairs = index.select("ring", "pivot", "lo", "hi").join(spans, "pivot").where("hi >= from and lo <= to")
-    pairs = pairs.select("ring", "block", F.greatest(F.col("lo") - F.col("to"), F.col("from") - F.col("hi")).alias("gap"))
-    work = index.join(pairs, "ring").join(queries.drop("from", "to"), "block").withColumn("shard", F.pmod(F.xxhash64("ring"), F.lit(shards)))
+    # how far the annulus is from any of the block's queries, at least
+    pairs = pairs.select("ring", "block", F.greatest(F.col("lo") - F.col("far"), F.col("near") - F.col("hi"), F.lit(0.0)).alias("gap"))
+    work = index.join(pairs, "ring").join(queries.drop(*ends), "block").withColumn("shard", F.pmod(F.xxhash64("ring"), F.lit(shards)))
     work = work.repartition(parts, "block", "shard").sortWithinPartitions("block", "shard", "gap", "ring")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +209,12 @@ def top_k(
                     if state is not None:
                         yield state.rows()
                     key, state = (row["block"], row["shard"]), _Search(row, centres, dim, top, k)
-                state.ring(row)
+                if not state.ended(row["gap"]):
+                    state.ring(row)
         if state is not None:
             yield state.rows()
 
-    found = work.select("block", "shard", "pivot", "lo", "hi", "ids", "vectors", "q_ids", "q_vectors", "least").mapInArrow(search, "query_id long, vec_id long, score long")
+    found = work.select("block", "shard", "pivot", "lo", "hi", "gap", "ids", "vectors", "q_ids", "q_vectors", "least").mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -234,6 +239,10 @@ class _Search:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
+    def ended(self, gap: float) -> bool:
+        """Whether an annulus at this distance, and so every later one, is beyond all rings."""
+        return gap > self.reach.max(initial=-1.0)
+
     def ring(self, row: dict) -> None:
         d = self.far[:, row["pivot"]]
         live = np.flatnonzero(np.maximum(row["lo"] - d, d - row["hi"]) <= self.reach)
@@ -244,7 +253,7 @@ class _Search:
         i, j = np.nonzero((s >= self.least[live, None]) & (self.ids[live, None] != ids[None, :]))
         self.parts.append((live[i], s[i, j], ids[j]))
         self.size += len(i)
-        if self.size > 4 * self.k * len(self.ids):
+        if self.size > 2 * self.k * len(self.ids):
             self.compact()
 
     def compact(self) -> None:
