@@ -5,9 +5,10 @@ merged, a line whose key is not in the twice-seen filter is certainly in fewer t
 two documents. A second pass shuffles only the digests of suspected keys, pre-added
 per task, for exact document counts and first occurrences. A third pass drops lines.
 
-The filters have a fixed size (``filter_bits``), so what the driver merges and sends
-is bounded at any input; a filter too small for the corpus only makes more lines
-suspects. Confirmed digests are sent to the tasks while they are few
+The filters are sized from the number of lines, eight bits for each, up to ``MAX_FILTER_BITS``, so what the
+driver merges and sends is bounded at any input; a filter too small for the corpus only makes
+more lines suspects. A task's slices are compressed: what it sends grows with its lines and
+not with the filter. Confirmed digests are sent to the tasks while they are few
 (``broadcast_keys``); beyond that they are joined to the texts by content digest.
 
 A line's key is the line with the white space ``[\\x20\\x09-\\x0D]`` cut at both ends
@@ -22,6 +23,8 @@ the order of occurrences; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,6 +39,8 @@ from .common import sliced, text_or_empty, written
 WHITE = b" \t\n\x0b\x0c\r"
 #: The filters travel in slices of so many bytes.
 SLICE = 1 << 16
+#: Bounds of a filter's size: a worker holds two of them, and the driver sends one to each.
+MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 19, 1 << 28
 #: A task hands on its pre-added suspects beyond so many entries.
 HELD = 100_000
 
@@ -93,7 +98,7 @@ class Filters:
     def slices(self) -> Iterator[tuple[int, bytes, bytes]]:
         once, twice = self.once.reshape(-1, SLICE), self.twice.reshape(-1, SLICE)
         for n in np.flatnonzero(once.any(axis=1)):
-            yield int(n), once[n].tobytes(), twice[n].tobytes()
+            yield int(n), zlib.compress(once[n].tobytes(), 1), zlib.compress(twice[n].tobytes(), 1)
 
 
 _SLICES = "slice int, once binary, twice binary"
@@ -103,14 +108,20 @@ def _merge_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     merged: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            once, twice = (np.frombuffer(row[c], np.uint8) for c in ("once", "twice"))
+            once, twice = (np.frombuffer(zlib.decompress(row[c]), np.uint8) for c in ("once", "twice"))
             if row["slice"] in merged:
                 o, t = merged[row["slice"]]
                 merged[row["slice"]] = [o | once, t | twice | (o & once)]
             else:
                 merged[row["slice"]] = [once, twice]
     for n, (o, t) in merged.items():
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([n], pa.int32()), "once": [o.tobytes()], "twice": [t.tobytes()]})
+        yield pa.RecordBatch.from_pydict({"slice": pa.array([n], pa.int32()), "once": [zlib.compress(o.tobytes(), 1)], "twice": [zlib.compress(t.tobytes(), 1)]})
+
+
+def filter_size(texts: DataFrame) -> int:
+    """Bits for a filter over the lines of ``texts.body``: a power of two, eight or more for each line, within the bounds."""
+    lines = texts.agg(F.sum(1 + F.octet_length("body") - F.octet_length(F.translate("body", "\n", "")))).first()[0] or 0
+    return min(MAX_FILTER_BITS, max(MIN_FILTER_BITS, 1 << math.ceil(math.log2(8 * lines + 1))))
 
 
 def twice_seen(texts: DataFrame, filter_bits: int, min_chars: int) -> bytes:
@@ -134,7 +145,7 @@ def twice_seen(texts: DataFrame, filter_bits: int, min_chars: int) -> bytes:
     merged = slices.repartition(max(1, min(64, filter_bits // 8 // SLICE)), "slice").mapInArrow(_merge_slices, _SLICES)
     out = np.zeros((filter_bits // 8 // SLICE, SLICE), np.uint8)
     for row in merged.select("slice", "twice").toLocalIterator():
-        out[row[0]] = np.frombuffer(bytes(row[1]), np.uint8)
+        out[row[0]] = np.frombuffer(zlib.decompress(bytes(row[1])), np.uint8)
     return out.tobytes()
 
 
@@ -151,13 +162,14 @@ def repeated_lines(
     min_chars: int = 1,
     id_col: str = "doc_id",
     text: str = "text",
-    filter_bits: int = 1 << 25,
+    filter_bits: int | None = None,
 ) -> DataFrame:
     """digest (128 bits of the key), n_docs, first_doc, first_line of every key in ``min_docs`` documents or more."""
     if min_docs < 2:
         raise ValueError("min_docs must be 2 or more")
     spark, id_type = docs.sparkSession, docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text).alias("body"))
+    filter_bits = filter_bits or filter_size(rows)
     shipped = spark.sparkContext.broadcast(twice_seen(rows.select("body"), filter_bits, min_chars))
     schema = T.StructType(
         [
@@ -223,7 +235,7 @@ def line_dedup(
     keep_first: bool = False,
     id_col: str = "doc_id",
     text: str = "text",
-    filter_bits: int = 1 << 25,
+    filter_bits: int | None = None,
     broadcast_keys: int = 1 << 18,
 ) -> DataFrame:
     """Columns ``row`` (a struct of the input row without its text), ``kept_text``, ``n_lines``, ``n_dropped``, ``kept_sha256``.
