@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +28,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{where.rstrip('/')}/jetloom-{spark.sparkContext.applicationId}"
 
 
+_RECORDINGS: list[list[str]] = []
+
+
+@contextmanager
+def recording() -> Iterator[list[str]]:
+    """Lists the paths that are given out meanwhile, so that they can be removed when nothing reads them any more."""
+    made: list[str] = []
+    _RECORDINGS.append(made)
+    try:
+        yield made
+    finally:
+        _RECORDINGS.remove(made)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _RECORDINGS:
+        made.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
@@ -44,8 +63,8 @@ def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession) -> None:
-    """Deletes all that this application has written to the shared folder; results that still read it must be written before."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables of the shared folder; what still reads them must have been written before."""
+    for where in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
