@@ -8,17 +8,20 @@ suffixes need sorting at anchors alone (one in about ``(length - gram) / 2`` byt
 only where the anchor's gram occurs twice (its hash is counted first; a hash shared by
 chance only brings an anchor too many).
 
-Merge sort. A task sorts its anchors' suffixes, adds up equal ones, and sends front-coded
-sorted runs to the partition of the gram. There a loser tree merges the runs; it gives the
+Merge sort. Splitters from a sample cut the order of (suffix, context before the anchor) into
+ranges of about equal size, so that the occurrences of one frequent gram, or of one frequent
+suffix, are spread over tasks. A task sorts its anchors' suffixes, adds up equal ones, and sends front-coded
+sorted runs to the ranges. There a loser tree merges the runs; it gives the
 common prefix of neighbours without comparing known prefixes again.
 
 Verdict. A string that starts d bytes before its anchor is repeated if another suffix
 agrees on ``length - d`` bytes after the anchor (a class of the sorted suffixes, from
 their common prefixes) and on the d bytes before it (a class of the sorted reversed
-contexts). Both classes are exact; no verdict rests on a hash.
+contexts). Inside a range both classes are compared byte by byte. A class that a splitter may
+cut, because it agrees with its suffix so far, also hands its string's 128-bit digest to one count over all ranges.
 
-Texts are keyed by 128 bits of their SHA-256 and equal texts are one with a count, so
-copies meet before anything is sorted.
+Digests stand for strings in joins: 128 bits of XXH3 for contexts and strings, 128 bits of SHA-256 for
+texts. Equal texts are one with a count, so copies meet before anything is sorted.
 
 Defined results: a null text is empty; texts shorter than ``length`` bytes keep everything;
 null ids are carried through; repeated rows are copies of each other; an empty table
@@ -27,7 +30,7 @@ gives an empty result. What is kept may end inside a character, so it is bytes.
 
 from __future__ import annotations
 
-import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import sliced, text_or_empty, written
-from .lcp_merge import front_coded, merged
+from .lcp_merge import common, front_coded, merged
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RANDOM.integers(0, 1 << 64, 256, np.uint64)
@@ -48,6 +51,8 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 RUN_ENTRIES = 40_000
 #: Anchors' hashes are added up in a task before so many are sent.
 HELD = 1_000_000
+#: The sample has so many suffixes for each range, from one text in so many (from all, where these give too few).
+SAMPLE_EACH, SAMPLE_TEXTS = 32, 8
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,26 +161,62 @@ def _digest(suffix: bytes, payload: bytes) -> bytes:
     return xxhash.xxh3_128_digest(len(suffix).to_bytes(4, "little") + suffix + payload)
 
 
-def _runs(joined: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
+Splitters = list[tuple[bytes, bytes]]
+
+
+def _splitters(joined: DataFrame, ranges: int, length: int, gram: int) -> Splitters:
+    """At most ``ranges`` - 1 splitters (suffix, payload) from the sampled suffixes with the smallest hashes: they decide where the work is done, not its result."""
+    most = SAMPLE_EACH * ranges
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[bytes, bytes]] = {}
+
+        def least() -> None:
+            for h in sorted(held)[most:]:
+                del held[h]
+
+        for batch in sliced(batches):
+            for body, wanted in zip(batch.column("body").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+                for at, _, suffix, payload in _contexts(body, wanted, length, gram):
+                    held[xxhash.xxh3_64_intdigest(payload + suffix + at.to_bytes(8, "little")) >> 1] = suffix, payload
+            if len(held) > 4 * most:
+                least()
+        least()
+        rows = [(h, *key) for h, key in held.items()]
+        kinds = (pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["h", "suffix", "payload"])
+
+    def sampled(texts: DataFrame) -> Splitters:
+        rows = texts.select("body", "wanted").mapInArrow(run, "h long, suffix binary, payload binary")
+        return sorted((bytes(r.suffix), bytes(r.payload)) for r in rows.orderBy("h").limit(most).collect())
+
+    keys = sampled(joined.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE_TEXTS)) == 0))
+    if len(keys) < most // 2:
+        keys = sampled(joined)
+    return sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+
+
+def _runs(joined: DataFrame, splitters: Splitters, length: int, gram: int) -> DataFrame:
     """part, run: front-coded sorted runs; the payload's first byte is 2 for what a task has twice or more, else 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bytes, bytes], int] = {}
+        held: dict[tuple[bytes, bytes], int] = {}
 
         def flush() -> pa.RecordBatch:
-            out: dict[int, list] = {}
-            for (part, suffix, payload), n in sorted(held.items()):
-                out.setdefault(part, []).append((suffix, bytes((min(n, 2),)) + payload))
+            keys = sorted(held)
+            ends = [bisect_left(keys, s) for s in splitters] + [len(keys)]
+            out = {}
+            for part, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+                if a < b:
+                    out[part] = front_coded((k[0], bytes((min(held[k], 2),)) + k[1]) for k in keys[a:b])
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(out), pa.int32()), pa.array([front_coded(v) for v in out.values()], pa.binary())], ["part", "run"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array(list(out.values()), pa.binary())], ["part", "run"])
 
         for batch in sliced(batches):
             columns = (batch.column(c) for c in ("body", "copies", "wanted"))
             for body, copies, wanted in zip(*[c.cast(pa.binary()).to_pylist() if c.type == pa.string() else c.to_pylist() for c in columns], strict=True):
-                for _, g, suffix, payload in _contexts(body, wanted, length, gram):
-                    key = g % parts, suffix, payload
+                for _, _, suffix, payload in _contexts(body, wanted, length, gram):
+                    key = suffix, payload
                     held[key] = held.get(key, 0) + copies
                 if len(held) >= RUN_ENTRIES:
                     yield flush()
@@ -198,8 +239,17 @@ def _neighbours(rows: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def verdicts(runs: list[bytes], length: int, gram: int) -> list[tuple[bytes, bytes]]:
-    """(digest of a context, bit d set: the string that starts d bytes before the anchor is repeated)."""
+class Verdicts:
+    """Of one range: ``decided``, (digest of a context, bit d set: the string that starts d bytes before the anchor is repeated), and
+    ``cut``, (string's digest, 1 or 2 for more, context's digest, d) of classes that may go on in other ranges."""
+
+    def __init__(self) -> None:
+        self.decided: list[tuple[bytes, bytes]] = []
+        self.cut: list[tuple[bytes, int, bytes, int]] = []
+
+
+def verdicts(runs: list[bytes], length: int, gram: int, low_end: bytes | None = None, high_end: bytes | None = None) -> Verdicts:
+    """The verdicts of a range's runs; ``low_end`` and ``high_end`` are the suffixes of the splitters around it."""
     width = length - gram + 1
     entries: list[list] = []  # [suffix, payload, times], neighbours in order of suffixes
     shared: list[int] = []
@@ -216,12 +266,20 @@ def verdicts(runs: list[bytes], length: int, gram: int) -> list[tuple[bytes, byt
             here[rest] = len(entries)
             entries.append([suffix, rest, times])
             shared.append(prefix)
+    out = Verdicts()
     if not entries:
-        return []
+        return out
     low = np.array([e[1][0] for e in entries])
     high = np.array([e[1][1] for e in entries])
     twice = np.array([e[2] > 1 for e in entries])
     after = np.array(shared)
+    # how far each suffix agrees with a splitter: what agrees there may agree with suffixes beyond it
+    agreed = np.zeros(len(entries), np.int64)
+    if low_end is not None:
+        agreed = np.minimum.accumulate(np.concatenate([[common(low_end, entries[0][0])], after[1:]]))
+    if high_end is not None:
+        back_to_front = np.concatenate([[common(high_end, entries[-1][0])], after[:0:-1]])
+        agreed = np.maximum(agreed, np.minimum.accumulate(back_to_front)[::-1])
     backs = [e[1][2:] for e in entries]
     order = sorted(range(len(backs)), key=backs.__getitem__)
     before = _neighbours([backs[i] for i in order], width)
@@ -234,30 +292,48 @@ def verdicts(runs: list[bytes], length: int, gram: int) -> list[tuple[bytes, byt
             continue
         suffix_class = np.cumsum(after < length - d)[inside]
         back_class = np.cumsum(before < d)[place[inside]]
-        _, group, size = np.unique(suffix_class * (len(entries) + 1) + back_class, return_inverse=True, return_counts=True)
-        masks[inside, d] = (size[group] > 1) | twice[inside]
+        _, first, group, size = np.unique(suffix_class * (len(entries) + 1) + back_class, return_index=True, return_inverse=True, return_counts=True)
+        more = (size > 1) | twice[inside[first]]
+        masks[inside, d] = more[group]
+        for g in np.flatnonzero(agreed[inside[first]] >= length - d).tolist():
+            e = entries[inside[first[g]]]
+            string = xxhash.xxh3_128_digest(e[1][2 : 2 + d][::-1] + e[0][: length - d])
+            out.cut.append((string, 1 + int(more[g]), _digest(e[0], e[1]), d))
     packed = np.packbits(masks, axis=1)
-    return [(_digest(entries[i][0], entries[i][1]), packed[i].tobytes()) for i in np.flatnonzero(packed.any(axis=1))]
+    out.decided = [(_digest(entries[i][0], entries[i][1]), packed[i].tobytes()) for i in np.flatnonzero(packed.any(axis=1))]
+    return out
+
 
+def _verdict_rows(runs: DataFrame, splitters: Splitters, length: int, gram: int) -> DataFrame:
+    """digest, mask of every context with a repeated string."""
+    ends = [None, *[s for s, _ in splitters], None]
+    bytes_ = -(-(length - gram + 1) // 8)
 
-def _verdict_rows(runs: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(found: list) -> pa.RecordBatch:
-            rows = verdicts(found, length, gram)
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["digest", "mask"])
+        def done(part: int, found: list) -> pa.RecordBatch:
+            v = verdicts(found, length, gram, ends[part], ends[part + 1])
+            one = lambda d: (1 << (8 * bytes_ - 1 - d)).to_bytes(bytes_, "big")
+            rows = [(a, m, None, None) for a, m in v.decided] + [(a, one(d), s, n) for s, n, a, d in v.cut]
+            kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["digest", "mask", "string", "n"])
 
         part, found = None, []
         for batch in batches:
             for p, r in zip(batch.column("part").to_pylist(), batch.column("run").to_pylist(), strict=True):
                 if p != part and found:
-                    yield done(found)
+                    yield done(part, found)
                     found = []
                 part = p
                 found.append(r)
         if found:
-            yield done(found)
+            yield done(part, found)
 
-    return runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "digest binary, mask binary")
+    dealt = runs.repartition(len(splitters) + 1, "part").sortWithinPartitions("part")
+    made = written(dealt.mapInArrow(run, "digest binary, mask binary, string binary, n int"), "suffix-verdicts")
+    cut = made.where("string is not null")
+    repeated = cut.groupBy("string").agg(F.sum("n").alias("n")).where("n > 1").select("string")
+    joined = cut.where("n = 1").join(repeated, "string", "left_semi")
+    return made.where("string is null").select("digest", "mask").unionAll(joined.select("digest", "mask"))
 
 
 def _occurrences(joined: DataFrame, length: int, gram: int) -> DataFrame:
@@ -309,7 +385,8 @@ def repeated_strings(docs: DataFrame, text: str = "text", length: int = 200, gra
     joined = distinct.join(wanted, "key").select("key", "body", F.least("copies", F.lit(2)).alias("copies"), "wanted")
     joined = written(joined, "suffix-texts")
 
-    masks = _verdict_rows(_runs(joined, parts, length, gram), parts, length, gram)
+    splitters = _splitters(joined, parts, length, gram)
+    masks = _verdict_rows(_runs(joined, splitters, length, gram), splitters, length, gram)
     spots = _occurrences(joined, length, gram).join(masks, "digest")
     found = spots.groupBy("key").agg(F.collect_list(F.struct("at", "mask")).alias("found"))
 
