@@ -2,49 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jetloom.sources.shared import fresh_path, shared_dir, written  # noqa: F401
+
 #: The six ASCII white-space characters that separate words (fixed values).
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (tests, local use) a temporary folder is
-    made and set, because then driver and executors are one machine.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="jetloom-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
-
-    ``few_files``: a task writes several of the last shuffle's partitions, one after
-    another, so that there are at most two files for each core of the cluster.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    if few_files:
-        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

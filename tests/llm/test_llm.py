@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import sys
 import textwrap
 from pathlib import Path
@@ -85,8 +86,7 @@ def test_token_counts_equal_the_library_and_the_cache_is_used(spark, tmp_path):
     cache = str(tmp_path / "cache")
     first = token_counts.token_counts(df, path, cache)
     assert sorted(map(repr, map(tuple, first.collect()))) == want
-    stored = spark.read.parquet(cache)
-    n = stored.count()
+    n = spark.read.parquet(cache).count()
     assert n == df.select(F.coalesce("text", F.lit(""))).distinct().count()
     assert sorted(map(repr, map(tuple, token_counts.token_counts(df, path, cache).collect()))) == want
     assert spark.read.parquet(cache).count() == n  # nothing was encoded again
@@ -109,6 +109,34 @@ def test_chunked_counts(text):
     assert count(text) == len(sp.encode(text))
 
 
+def test_normalised_content_is_the_key(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path, cache = P.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    texts = ["Some  Words", "some words", "SOME words ", "<|endoftext|> a", "<|ENDOFTEXT|> a", "é", "e\u0301", None, "", "some words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(path)
+    want = [len(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    for _ in range(2):
+        assert [r.n_tokens for r in token_counts.token_counts(df, path, cache).orderBy("doc_id").collect()] == want
+    stored = spark.read.parquet(cache).count()
+    form = token_counts.normal_form(path, Path(path).read_bytes())
+    assert stored == len({form(t or "") for t in texts}) < len({t or "" for t in texts})
+    more = df.unionByName(spark.createDataFrame([(99, "quite new")], "doc_id long, text string"))
+    assert token_counts.token_counts(more, path, cache).count() == len(texts) + 1
+    assert spark.read.parquet(cache).count() == stored + 1
+
+
+def test_normaliser_is_read_from_the_model():
+    model = Path(P.path("piece_bpe_32k.model")).read_bytes()
+    import sentencepiece
+
+    sp, rules = sentencepiece.SentencePieceProcessor(model_proto=model), token_counts.sentencepiece_rules(model)
+    probe = " a  Ａ\tﬁ b "
+    assert (token_counts.normal_form("x.model", model) is None) == (sp.normalize(probe) == "▁" + probe.replace(" ", "▁"))
+    assert rules["rule"] and set(rules) == {"rule", "mapped", "prefix", "squeezed", "escaped", "suffix"}
+
+
 def test_memo_forgets_in_generations(monkeypatch):
     monkeypatch.setattr(token_counts, "MEMO_ENTRIES", 3)
     seen = []
@@ -138,6 +166,17 @@ def test_encoder_equals_the_library(texts):
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_fast_path_rests_on_the_files_rules():
+    import json
+
+    model = json.loads(Path(P.path("word_bpe_49k.json")).read_bytes())
+    model["model"]["vocab"], model["model"]["merges"] = {}, []
+    assert tokenized.has_known_rules(json.dumps(model).encode())
+    for change in ({"normalizer": None}, {"pre_tokenizer": None}, {"added_tokens": [model["added_tokens"][0] | {"content": "##"}]}):
+        assert not tokenized.has_known_rules(json.dumps(model | change).encode())
+    assert not tokenized.has_known_rules(Path(P.path("byte_bpe_50k.json")).read_bytes())
+
+
 def check_packing(rows, want, capacity=4096):
     got, bins = {}, {}
     for r in rows:
@@ -173,6 +212,38 @@ def test_packing_many_nodes_stays_near_the_bound(spark):
     assert len(rows) == 600 and used <= math.ceil(total / 4096) + 2
 
 
+def test_packing_in_several_runs(spark):
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.lit("the"), (F.col("id") * 53 % 800 + 1).cast("int"))).alias("text")).repartition(6)
+    found = [packing.pack(docs, P.path("word_bpe_49k.json"), fan_in=2, run_pieces=n).collect() for n in (7, 10**6)]
+    for rows in found:
+        bins, total = check_packing(rows, {(r.doc_id, 0): (0, r.length, r.ids_crc32) for r in rows})
+        assert len(rows) == 500 and len(bins) <= math.ceil(total / 4096) + 2
+
+
+def merged_up(leaves, capacity, fan_in, most):
+    """Bins that come out of the tree when nodes hand up ``most`` bins; each leaf is a list of sizes."""
+    nodes, closed = [[[{"length": n}] for n in leaf] for leaf in leaves], 0
+    first = True
+    while first or len(nodes) > 1:
+        if not first:
+            nodes = [sum(nodes[i : i + fan_in], []) for i in range(0, len(nodes), fan_in)]
+        first, up = False, []
+        for bins in nodes:
+            rows = packing._packed(bins, 0, 0, 0, capacity, 0, most, False)
+            closed += sum(r["closed"] for r in rows)
+            up.append([r["items"] for r in rows if not r["closed"]])
+        nodes = up
+    return closed + len(nodes[0])
+
+
+def test_handing_up_the_emptiest_bins_costs_no_sequence():
+    rng = random.Random(6)
+    for fan_in in (2, 3, 8):
+        for _ in range(15):
+            leaves = [[rng.choice((rng.randint(1, 1000), rng.randint(500, 700))) for _ in range(rng.randint(1, 400))] for _ in range(rng.randint(2, 12))]
+            assert merged_up(leaves, 1000, fan_in, packing.handed_up(fan_in)) <= merged_up(leaves, 1000, fan_in, 10**9) + 1
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60))
 def test_best_fit(sizes):
@@ -206,14 +277,64 @@ def test_mix_equals_plain_version(spark):
     assert words == {k: v[3] for k, v in want.items() if v[3]}
 
 
+def three_sources(spark):
+    sizes = spark.createDataFrame([("sa", "a", 300000), ("sb", "b", 300000), ("sc", "c", 300000), ("sd", "d", 7)], "source_key string, source string, size long")
+    return mixing.source_targets(sizes)
+
+
 def test_schedule_spreads_sources(spark):
-    sizes = spark.createDataFrame([("sa", "a", 30000), ("sb", "b", 30000), ("sc", "c", 30000)], "source_key string, source string, size long")
-    slots = mixing.schedule(mixing.source_targets(sizes), 100).orderBy("position").collect()
-    share = sum(r.words for r in slots)
-    assert share == 135000 and len({r.position for r in slots}) == len(slots)
-    head = [r.source_key for r in slots[:120]]
-    for k, w in (("sa", 60000), ("sb", 25000), ("sc", 50000)):  # the first source stops at its ceiling, the rest share by weight
-        assert abs(head.count(k) / 120 - w / 135000) < 0.05
+    targets = {r.source_key: r.limit for r in three_sources(spark).collect()}
+    slots = mixing.schedule(three_sources(spark), 100).orderBy("position").collect()
+    n, every = len(slots), {k: sum(r.source_key == k for r in slots) for k in targets}
+    assert {k: sum(r.words for r in slots if r.source_key == k) for k in targets} == targets
+    assert len({r.position for r in slots}) == n
+    late = [r for r in slots if r.position >= n]
+    assert len(late) <= len(targets) * (math.log2(n) * 2 / 3 + 3)  # what follows the schedule is bounded
+    for upto in range(200, n, 371):  # every beginning of the mix has the targets' shares
+        for k in targets:
+            assert abs(sum(r.source_key == k for r in slots[:upto]) - upto * every[k] / n) <= math.log2(n) * 2 / 3 + 3
+    for k in targets:  # ranks counted from digits are those of the order
+        assert [r.rank for r in slots if r.source_key == k] == list(range(every[k]))
+
+
+def test_without_the_points_the_mix_misses_its_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "radical_inverse", lambda k: k.cast("long"))  # all near 0: one source takes every slot
+    got = mixing.schedule(three_sources(spark), 100).groupBy("source_key").agg(F.sum("words").alias("n")).collect()
+    want = {r.source_key: r.limit for r in three_sources(spark).collect()}
+    assert {r.source_key: r.n for r in got} != want
+
+
+def van_der_corput(k):
+    return sum(((k >> i) & 1) / 2 ** (i + 1) for i in range(48))
+
+
+@pytest.mark.parametrize("x", [0, 1, 3 << 46, (1 << 47) + 12345, (1 << 48) - 1, 1 << 48])
+def test_points_below_are_counted_from_digits(spark, x):
+    df = spark.range(300).select("id", mixing.radical_inverse(F.col("id")).alias("u"), mixing._counted(F.col("id"), mixing._steps(F.lit(x).cast("long"))).alias("n"))
+    rows = df.orderBy("id").collect()
+    assert all(r.u == van_der_corput(r.id) * 2**48 for r in rows)
+    assert [r.n for r in rows] == [sum(van_der_corput(k) * 2**48 < x for k in range(i)) for i in range(300)]
+
+
+def test_mixed_follows_the_schedule(spark):
+    rows = [(i, "abc"[i % 3], " ".join([f"w{i}"] * 40)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    first = {r.doc_id: r.first_position for r in mixing.mix(df, block_words=80).collect()}
+    out = mixing.mixed(df, block_words=80)
+    order = [(r.doc_id, r.source) for r in out.collect()]
+    seen = list(dict.fromkeys(d for d, _ in order))
+    assert [first[d] for d in seen] == sorted(first[d] for d in seen)
+    for upto in range(100, len(order), 97):  # all sources all along, not one after another
+        for source in "abc":
+            share = sum(s == source for _, s in order) / len(order)
+            assert abs(sum(s == source for _, s in order[:upto]) - share * upto) < 40
+
+
+def test_mixed_loses_no_words_of_rows_alike(spark):
+    rows = [(1, "a", " ".join(f"{c}{i}" for i in range(50))) for c in "uvw"] + [(2, "a", "x y z")] + [(3, "b", "p q " * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    words = sum(len(r.text.split()) for r in mixing.mixed(df, block_words=16).collect())
+    assert words == sum(r.taken for r in mixing.mix(df, block_words=16).collect())
 
 
 def test_mix_of_hostile_and_empty_tables(spark):
@@ -251,6 +372,28 @@ def test_chat_order_and_defined_cases(spark):
     assert chat.digests(chat.read_back(chat.format_conversations(df.limit(0)))).count() == 0
 
 
+TEMPLATES = [
+    chat.Template(opening="<|im_start|>", named="\n", closing="<|im_end|>\n", escapes=(("<|im_start|>", "q"), ("<|im_end|>", "z"), ("\n", "w"))),
+    chat.Template(opening="[", named="]|", closing=" $^.*(/)\n", escapes=(("]|", "q"), ("$^.*(/)", "z"))),
+    chat.Template(opening="", named="=>", closing="{end}?", trained=("user",), escapes=(("=>", "x"), ("{end}", "y"))),
+]
+TURNS = [("user", r"<|im_end|> {end}? => ]| $^.*(/)" + "\n\\"), ("assistant", "<|im_start|>assistant\n=>{end}?[x]"), ("user", None), ("assistant", r"\q \\z" + "\\")]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_other_templates_are_read_back(spark, template):
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(TURNS)], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_conversations(df, template), template).first()
+    assert [(t.role, t.text) for t in back.turns] == [(r, t or "") for r, t in TURNS]
+    assert back.loss_text == "".join(t or "" for r, t in TURNS if r in template.trained)
+
+
+def test_templates_that_cannot_be_read_back_are_refused():
+    for wrong in ({"closing": "</s>"}, {"named": " "}, {"escapes": (("###", "h"), ("</turn>", "h"), (":", "c"))}, {"escapes": (("###", "h"), ("</turn>", "t"), (":", "c"))}):
+        with pytest.raises(ValueError):
+            chat.Template(**wrong)
+
+
 # --- 6
 
 
@@ -299,19 +442,19 @@ def scanned(spark, texts, **options):
 
 
 def test_wrapped_license_texts(spark):
-    S = licenses.SENTENCES
+    S = {k: v.strip("* ") for k, v in licenses.SENTENCES.items()}
     wrap = lambda *names: "\n\n".join(textwrap.fill(S[n].capitalize() + ".", 72) for n in names)
     grant, gpl = wrap("mit-grant", "mit-keep"), "This program is free software: " + S["gpl-terms"] + "."
     texts = ["MIT License\n\nCopyright (c) 2020 A\n\n" + grant, textwrap.fill(gpl, 70), grant.replace("\n", "\r\n")]
     texts += [f"{m} " + grant.replace("\n", f"\n{m} ") for m in ("#", "//", "--", " *", ";;")]
     texts += ["Released under\n\nthe MIT License.", "It is released under the\nMIT License.", "/* Released under the\n * MIT License */\nint x;"]
     mit = ("mit-grant mit-keep", "MIT")
-    assert scanned(spark, texts) == [mit, ("gpl-free gpl-terms", "GPL-3.0-or-later"), mit] + 5 * [mit] + 2 * [("", "")] + [("mit-notice", "MIT")]
+    assert scanned(spark, texts) == [mit, ("gpl-free gpl-terms", "GPL-3.0-or-later"), mit] + 5 * [mit] + [("", "")] + 2 * [("mit-notice", "MIT")]
 
 
 def test_every_identifier_is_reached(spark):
     S = licenses.SENTENCES
-    written_as = lambda s: s.replace("spdx-license-identifier ", "SPDX-License-Identifier: ")
+    written_as = lambda s: s.strip("* ").replace("spdx-license-identifier ", "SPDX-License-Identifier: ")
     texts = [f"Intro.\n{written_as(s)}\nMore text." for s in S.values()]
     assert [ids for ids, _ in scanned(spark, texts)] == list(S)
     tags = ["// SPDX-License-Identifier: MIT", "/* SPDX-License-Identifier: GPL-3.0-only */", "<!-- SPDX-License-Identifier:Apache-2.0 -->\n<p>"]
@@ -323,7 +466,73 @@ def test_prefilter_follows_the_table(spark):
     known, rules = {"own": "do as you like", "b": "x y"}, (("Own", ("own",)), ("B", ("b",)))
     assert scanned(spark, ["Do as you like.", "X\tY", "all rights reserved"], known=known, rules=rules) == [("own", "Own"), ("b", "B"), ("", "")]
     for table in (licenses.SENTENCES, known):
-        assert all(any(w in s for w in licenses.key_words(table)) for s in table.values())
+        assert all(any(w in s for w in licenses.key_words(table)) for s in map(licenses.phrase, table.values()))
+
+
+def test_taken_identifiers_leave_a_gap(spark):
+    S = licenses.SENTENCES
+    sentence = lambda *names: ".\n\n".join(S[n].strip("* ") for n in names) + "."
+    apart, twice, mixed = sentence("mit-grant", "apache-notice", "mit-keep"), sentence("mit-notice", "mit-notice", "mit-notice"), sentence("bsd-grant", "bsd-source", "bsd-binary", "reserved")
+    assert [x for _, x in scanned(spark, [apart, twice, mixed])] == ["Apache-2.0", "MIT", "BSD-2-Clause Proprietary"]
+    rules = (("Pair", ("a", "b")), ("Alone", ("b",)), ("Other", ("a", "c")))
+    known = {"a": "one", "b": "two", "c": "three"}
+    # the pair is taken out of a a b c, and its neighbours do not become one
+    assert scanned(spark, ["one. one. two. three."], known=known, rules=rules) == [("a a b c", "Pair")]
+
+
+def test_other_words_in_the_sentence(spark):
+    texts = ["This project is released under the MIT License.", "Copyright 2020 X. All rights reserved by X.", "(c) 2020 Y, all rights reserved.", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."]
+    assert [ids for ids, _ in scanned(spark, texts)] == ["mit-notice", "", "reserved", "mpl2-copy"]
+
+
+def plain_scan(text, known, rules):
+    """By the method's words: pieces between hard ends, their words line by line, the longest known sentence at each place; then the rules."""
+    low = brute.lower(text).replace("|", " ").replace("~", " ")
+    ids = []
+    for piece in re.split(r"[.!?]+(?=[ \t-\r])|[:;]+|\n[ \t\x0b-\r]*\n", low + "\n"):
+        words = [(w, i == 0, i + 1 == len(line)) for line in (re.findall(r"[a-z0-9./-]+", x) for x in piece.split("\n")) for i, w in enumerate(line)]
+        at = 0
+        while at < len(words):
+            for name, pattern in sorted(known.items(), key=lambda x: -len(x[1].strip("* "))):
+                own = pattern.strip("* ").split(" ")
+                run = words[at : at + len(own)]
+                if [w for w, _, _ in run] == own and (pattern[0] == "*" or run[0][1]) and (pattern[-1] == "*" or run[-1][2]):
+                    ids.append(name)
+                    at += len(own)
+                    break
+            else:
+                at += 1
+    left, hits = list(ids), []
+    for name, run in rules:
+        at = 0
+        while at + len(run) <= len(left):
+            if tuple(left[at : at + len(run)]) == run:
+                left[at : at + len(run)] = [None] * len(run)
+                hits += [name] * (name not in hits)
+                at += len(run)
+            else:
+                at += 1
+    order = list(dict.fromkeys(n for n, _ in rules))
+    return " ".join(ids), " ".join(sorted(hits, key=order.index))
+
+
+PHRASES = ["one two", "two three", "four", "one two three", "five six", "seven", "x", "one", "three"]
+KNOWN = {"a": "one two", "b": "* two three", "c": "four", "d": "five six *", "e": "one two three", "f": "* seven"}
+SMALL_RULES = (("L1", ("a", "c")), ("L2", ("c", "c")), ("L3", ("e",)), ("L1", ("d", "f")), ("L4", ("b",)), ("L5", ("c",)))
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(PHRASES), st.sampled_from([". ", "\n", "\n\n", " ", "; ", ": ", ", ", "! ", " (", "."])), max_size=14), min_size=1, max_size=12))
+def test_scan_equals_plain_version(spark, texts):
+    texts = ["".join(p.upper() if i % 3 else p + e for i, (p, e) in enumerate(t)) if len(t) % 2 else "".join(p + e for p, e in t) for t in texts]
+    assert scanned(spark, texts, known=KNOWN, rules=SMALL_RULES) == [plain_scan(t, KNOWN, SMALL_RULES) for t in texts]
+
+
+def test_scan_of_the_table_equals_plain_version(spark):
+    rng = random.Random(11)
+    S = [v.strip("* ") for v in licenses.SENTENCES.values()]
+    texts = ["".join(textwrap.fill(rng.choice(S).capitalize(), 60) + rng.choice([".\n", ".\n\n", "; ", "\n\n", ". And so on. "]) for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    assert scanned(spark, texts) == [plain_scan(t, licenses.SENTENCES, licenses.RULES) for t in texts]
 
 
 # --- 8
@@ -366,6 +575,59 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert suffix_dedup.suffix_dedup_report(hostile(spark)).count() == hostile(spark).count()
 
 
+def strings_of(rows, length):
+    """Per (suffix, payload): for each d, whether its string occurs twice in all rows."""
+    from collections import Counter
+
+    of = lambda s, p: {d: p[2 : 2 + d][::-1] + s[: length - d] for d in range(p[0], p[1] + 1)}
+    n = Counter(x for s, p in rows for x in of(s, p).values())
+    return {(s, p): {d for d, x in of(s, p).items() if n[x] > 1} for s, p in rows}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 4))
+def test_ranges_that_cut_classes_give_the_same_verdicts(seed, n_splitters):
+    rng, length, gram = random.Random(seed), 12, 6
+    pick = lambda n: bytes(rng.choice(b"ab") for _ in range(n))
+    rows = []
+    for _ in range(rng.randint(1, 40)):  # one frequent gram, contexts of few letters
+        lo = rng.randint(0, 3)
+        hi = rng.randint(lo, 6)
+        suffix, back = b"gggggg" + pick(length - 6 - lo), pick(hi)
+        rows.append((suffix, bytes((lo, hi)) + back))
+    keys = sorted(set(rows))
+    splitters = sorted(rng.sample(keys, min(n_splitters, len(keys))))
+    cuts = [0, *[sum(k < s for k in keys) for s in splitters], len(keys)]
+    ends = [None, *[s for s, _ in splitters], None]
+    found, cut = {}, []
+    for k in range(len(cuts) - 1):
+        part = keys[cuts[k] : cuts[k + 1]]
+        run = front_coded((s, bytes((min(2, rows.count((s, p))),)) + p) for s, p in part)
+        v = suffix_dedup.verdicts([run], length, gram, ends[k], ends[k + 1])
+        for digest, mask in v.decided:
+            found.setdefault(digest, set()).update(np.flatnonzero(np.unpackbits(np.frombuffer(mask, np.uint8))).tolist())
+        cut += v.cut
+    for string, n, digest, d in cut:
+        if n == 1 and sum(m for s, m, _, _ in cut if s == string) > 1:
+            found.setdefault(digest, set()).add(d)
+    want = strings_of(rows, length)
+    assert {suffix_dedup._digest(*k): v for k, v in want.items() if v} == found
+
+
+@pytest.mark.parametrize("text_sample", [8, 10**9])
+def test_a_frequent_gram_is_spread_over_ranges(spark, monkeypatch, text_sample):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_TEXTS", text_sample)
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = letters(90)  # shorter than the strings: frequent, but repeated only with its surroundings
+    rows = [(i, letters(rng.randint(150, 260)) + passage + letters(rng.randint(150, 260))) for i in range(160)]
+    rows += [(200 + i, rows[i][1][40:-30] + letters(60)) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.suffix_dedup(rows)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup_report(df).collect()} == want
+    assert sum(x[1] > 0 for x in want.values()) >= 24
+
+
 # --- 9
 
 
@@ -373,7 +635,7 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-@pytest.mark.parametrize("block", [64, 2])
+@pytest.mark.parametrize("block", [64, 8, 2])
 def test_links_join_the_same_components(spark, block):
     rng = random.Random(4)
     fps = set()
@@ -412,15 +674,25 @@ def test_simhash_equals_brute_force(spark):
             assert (int(r.fingerprint, 16), r.component_id) == (fps[r.doc_id], want[r.doc_id])
         else:
             assert r.component_id == 5  # the null id's copy
-    kept = simhash.one_of_each(df)
+    kept = simhash.one_of_each(df, words=3, similarity=None)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} - {None} == set(want.values())
-    assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.one_of_each(empty(spark)).count() == 0
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+    for least in (None, 0.8):
+        assert simhash.one_of_each(empty(spark), similarity=least).count() == 0
+
+
+@pytest.mark.parametrize("least", [None, 0.8])
+def test_repeated_ids_with_different_texts_all_stay(spark, least):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    df = spark.createDataFrame([(2, b), (4, a), (4, b), (None, c), (None, a)], "doc_id long, text string")
+    kept = sorted((r.text, r.doc_id) for r in simhash.one_of_each(df, similarity=least).collect())
+    assert kept == sorted([(a, 4), (b, 2), (c, None)], key=lambda x: x[0])
 
 
 def test_simhash_leaves_one_of_null_ids_and_repeated_rows(spark):
     same, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
     df = spark.createDataFrame([(None, same), (None, same), (7, other), (7, other), (None, other), (9, other)], "doc_id long, text string")
-    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df).collect()), key=str) == [(7, other), (None, same)]
+    assert sorted(((r.doc_id, r.text) for r in simhash.one_of_each(df, words=3, similarity=None).collect()), key=str) == [(7, other), (None, same)]
 
 
 def test_components_of_a_long_chain(spark):
@@ -444,6 +716,22 @@ def test_line_dedup_equals_brute_force(spark, few, first):
     assert line_dedup.line_dedup_report(empty(spark), filter_bits=1 << 19).count() == 0
 
 
+def test_filters_follow_the_number_of_lines(spark):
+    df = spark.createDataFrame([("a\nb\nc",), ("",), ("\n".join("x" * 200_000),)], "body string")
+    lines = 3 + 1 + 200_000
+    assert line_dedup.filter_size(df) == 1 << math.ceil(math.log2(8 * lines + 1)) and line_dedup.filter_size(df.limit(0)) == line_dedup.MIN_FILTER_BITS
+
+
+def test_a_block_ends_its_scan_at_the_bound():
+    q = np.array([[3.0, 4.0]])
+    row = {"q_ids": np.array([1], "<i8").tobytes(), "q_vectors": topk._pack(q), "least": np.array([20], "<i8").tobytes()}
+    state = topk._Search(row, np.array([[3.0, 4.0, 0.0]]), 2, 25.0, 1)
+    far = state.reach.max()
+    assert not state.ended(far * 0.99) and state.ended(far * 1.01)
+    state.ring({"pivot": 0, "lo": 0.0, "hi": 0.1, "ids": np.array([7, 8, 9], "<i8").tobytes(), "vectors": topk._pack(np.array([[3.0, 4.0], [4.0, 3.0], [3.0, 3.0]]))})
+    assert state.ended(far * 0.99)  # better scores have shrunk the ring
+
+
 def test_line_dedup_with_a_full_filter_is_still_exact(spark):
     rows = [(i, "\n".join([f"line {i} {k}" for k in range(3000)] + ["common", "Common "])) for i in range(12)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
