@@ -122,12 +122,48 @@ def hist_list(source: str, x: str, edges: list[float], key: str) -> str:
     return f"SELECT k.{key}, CAST(b.i AS INTEGER) AS bin, coalesce(h.c, 0.0) AS value FROM (SELECT DISTINCT {key} FROM {source}) k CROSS JOIN range(0, {n}) b(i) LEFT JOIN (SELECT {key}, {bin_} AS bin, CAST(count(*) AS DOUBLE) AS c FROM {source} GROUP BY ALL) h ON h.{key} = k.{key} AND h.bin = b.i"
 
 
+def jets(radius: float, source: str = "p", tag: str = "") -> str:
+    """Inclusive jets: each step of an event's list merges the closest pair or, if that is farther than the beam, ends the softest-weighted object."""
+    scale = f"(1 - cos({radius}::DOUBLE))"
+    weight = "1/(l[{0}].e*l[{0}].e)"
+    unit = "(l[a].x*l[b].x + l[a].y*l[b].y + l[a].z*l[b].z)/(sqrt(l[a].x*l[a].x + l[a].y*l[a].y + l[a].z*l[a].z)*sqrt(l[b].x*l[b].x + l[b].y*l[b].y + l[b].z*l[b].z))"
+    pairs = f"flatten(list_transform(range(1, len(l)), lambda a: list_transform(range(a + 1, len(l) + 1), lambda b: {{'d': least({weight.format('a')}, {weight.format('b')})*(1 - greatest(-1, least(1, {unit})))/{scale}, 'a': a, 'b': b}})))"
+    beams = f"list_transform(range(1, len(l) + 1), lambda a: {{'w': {weight.format('a')}, 'a': a}})"
+    without = lambda gone: f"list_transform(list_filter(range(1, len(l) + 1), lambda i: i NOT IN ({gone})), lambda i: l[i])"
+    both = ", ".join(f"'{c}': l[p.a].{c} + l[p.b].{c}" for c in ("e", "x", "y", "z"))
+    return f"""s0{tag} AS (SELECT event_id, list({{'e': energy, 'x': px, 'y': py, 'z': pz, 'm': [pidx]}} ORDER BY pidx) AS l FROM {source} GROUP BY event_id),
+st{tag} AS (SELECT event_id, l, CAST(NULL AS STRUCT(e DOUBLE, x DOUBLE, y DOUBLE, z DOUBLE, m INTEGER[])) AS jet FROM s0{tag} UNION ALL
+ SELECT event_id, CASE WHEN p.d <= q.w THEN list_append({without('p.a, p.b')}, {{{both}, 'm': list_concat(l[p.a].m, l[p.b].m)}}) ELSE {without('q.a')} END, CASE WHEN p.d <= q.w THEN NULL ELSE l[q.a] END
+ FROM (SELECT event_id, l, list_sort({pairs})[1] AS p, list_sort({beams})[1] AS q FROM st{tag} WHERE len(l) > 0)),
+jt{tag} AS (SELECT event_id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY jet.e DESC, list_min(jet.m)) - 1 AS INTEGER) AS jet_id, jet.x AS px, jet.y AS py, jet.z AS pz, jet.e AS energy, list_sort(jet.m) AS m FROM st{tag} WHERE jet IS NOT NULL)"""
+
+
+def thrust() -> str:
+    """Per event the axis is moved until it stays, from the total momentum on, 100 times at most."""
+    dot = "(xs[j]*nx + ys[j]*ny + zs[j]*nz)"
+    turned = lambda c: f"list_sum(list_transform(range(1, len(xs) + 1), lambda j: sign({dot})*{c}s[j]))"
+    near = " AND ".join(f"abs(n{c}/m - o{c}) <= 1e-8 + 1e-5*abs(o{c})" for c in "xyz")
+    return f"""e0 AS (SELECT event_id, list(px) AS xs, list(py) AS ys, list(pz) AS zs, sum(px) AS sx, sum(py) AS sy, sum(pz) AS sz, sqrt(pow(sum(px), 2) + pow(sum(py), 2) + pow(sum(pz), 2)) AS s FROM p GROUP BY event_id),
+ax AS (SELECT event_id, 0 AS k, false AS done, xs, ys, zs, sx/s AS nx, sy/s AS ny, sz/s AS nz FROM e0 UNION ALL
+ SELECT event_id, k + 1, {near}, xs, ys, zs, {', '.join(f"CASE WHEN {near} THEN o{c} ELSE n{c}/m END" for c in 'xyz')}
+ FROM (SELECT *, sqrt(nx*nx + ny*ny + nz*nz) AS m FROM (SELECT event_id, k, xs, ys, zs, nx AS ox, ny AS oy, nz AS oz, {', '.join(f"{turned(c)} AS n{c}" for c in 'xyz')} FROM ax WHERE NOT done AND k < 100))),
+th AS (SELECT event_id, list_sum(list_transform(range(1, len(xs) + 1), lambda j: abs({dot})))/list_sum(list_transform(range(1, len(xs) + 1), lambda j: sqrt(xs[j]*xs[j] + ys[j]*ys[j] + zs[j]*zs[j]))) AS thrust
+ FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY k DESC) AS last FROM ax) WHERE last = 1)"""
+
+
 #: Column of ``b`` -> name of a lifetime variable in records.
 VARIABLES = {v: v for v in ("dxy", "dz", "d3", "d0", "z0", "dxy_2d", "dz_2d", "d3_2d", "pca_x", "pca_y", "pca_z", "phi0", "omega")}
 VARIABLES |= {"tanl": "tanL", "vx": "vertex_x", "vy": "vertex_y", "vz": "vertex_z"} | {f"{v}_error": f"{v}_error" for v in ("dxy", "dz", "d3", "d0", "z0", "pca_x", "pca_y", "pca_z")}
 VARIABLES |= {f"{v}_error_2d": f"{v}_2d_error" for v in ("dxy", "dz", "d3")}
 
 
+def archival() -> str:
+    """Archival particles: single-precision tracks, padded vertices, the closest approach."""
+    return f"""{P}, {V}, f AS (SELECT * REPLACE ({', '.join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ('d0', 'z0', 'phi0', 'tanl', 'c0', 'c2', 'c9', 'c14'))}, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vx END AS vx, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vy END AS vy, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vz END AS vz) FROM p JOIN v USING (event_id)),
+ a AS (SELECT *, cos(phi0) AS ux, sin(phi0) AS uy, xr + sin(phi0)*d0 AS x0, yr - cos(phi0)*d0 AS y0, z0 + zr AS zz FROM f),
+ b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (zz - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a)"""
+
+
 def oracle_sql() -> dict[str, str]:
     seed = "(((((42*31 + event_id) * 2654435 + 12345) % 4294967296) * 31 + pidx) * 2654435 + 12345) % 4294967296"
     n_of = lambda *c: f"count(*) FILTER (abs(pdg) IN ({', '.join(map(str, c))}))"
@@ -244,13 +280,11 @@ def oracle_sql() -> dict[str, str]:
  q AS (SELECT l.*, dxy_2d, jet_id, jx, jy, jz, sqrt(pow(l.pca_x - l.vx, 2) + pow(l.pca_y - l.vy, 2) + pow(l.pca_z - l.vz, 2)) AS far FROM l JOIN l_2d USING (event_id, pidx) JOIN j USING (event_id)),
  q1 AS (SELECT *, CASE WHEN CASE WHEN far <= 1e-10 THEN jx*jx + jy*jy + jz*jz ELSE (pca_x - vx)*jx + (pca_y - vy)*jy + (pca_z - vz)*jz END >= 0 THEN 1 ELSE -1 END AS sg FROM q)
  SELECT event_id, jet_id, pidx, {or_sentinel(['sg*abs(dxy)', 'sg*abs(z0)', 'sg*abs(dxy_2d)'], {'sg*abs(dxy)': 'signed_dxy', 'sg*abs(z0)': 'signed_z0', 'sg*abs(dxy_2d)': 'signed_dxy_2d'})} FROM q1""",
-        "archival_candidates": f"""WITH {P}, {V}, f AS (SELECT * REPLACE ({', '.join(f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in ('d0', 'z0', 'phi0', 'tanl', 'c0', 'c2', 'c9', 'c14'))}, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vx END AS vx, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vy END AS vy, CASE WHEN event_id % 9 = 0 THEN -999.9 ELSE vz END AS vz) FROM p JOIN v USING (event_id)),
- a AS (SELECT *, cos(phi0) AS ux, sin(phi0) AS uy, xr + sin(phi0)*d0 AS x0, yr - cos(phi0)*d0 AS y0, z0 + zr AS zz FROM f),
- b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (zz - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a)
+        "archival_candidates": f"""WITH {archival()}
  SELECT event_id, pidx, CAST(charge AS DOUBLE) AS charge, CAST(abs(pdg) IN (211, 321) AS INTEGER) AS "isChargedHadron", CAST(abs(pdg) = 11 AS INTEGER) AS "isElectron", CAST(abs(pdg) = 13 AS INTEGER) AS "isMuon", CAST(pdg = 22 AS INTEGER) AS "isPhoton", CAST(pdg IN (130, 111) AS INTEGER) AS "isNeutralHadron",
  {rnd('sqrt(greatest(energy*energy - pow(pt*cosh(eta), 2), 0))', 'mass', 3)}, {rnd('CASE WHEN trk THEN d0 ELSE -999.9 END', 'd0val', 3)}, {rnd('CASE WHEN trk THEN c0 ELSE -999.9 END', 'd0err', 3)}, {rnd('CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END', 'dzval', 3)}, {rnd('CASE WHEN trk THEN sqrt(tanl*tanl*se2 + pow(s*c14, 2) + c9*c9) ELSE -999.9 END', 'dzerr', 3)} FROM b""",
         "particle_labels": f"""WITH {P}, {S} SELECT event_id, pidx, CASE abs(pdg) WHEN 211 THEN 'charged hadron' WHEN 321 THEN 'charged kaon' WHEN 130 THEN 'neutral hadron' WHEN 111 THEN 'neutral pion' WHEN 22 THEN 'photon' WHEN 11 THEN 'electron' WHEN 13 THEN 'muon' WHEN 15 THEN 'tau' ELSE 'invisible' END AS name,
- round({dphi('phi', 'jphi')}, 5) AS phirel, CAST(charge = 1 AS INTEGER) AS charge_flag FROM e""",
+ {rnd(dphi('phi', 'jphi'), 'phirel', 5)}, CAST(charge = 1 AS INTEGER) AS charge_flag FROM e""",
         "hist_log_axis": hist_list("events", "value", [10.0 ** (-1 + i * 0.25) for i in range(17)], "event_type"),
         "hist_variable_edges": f"""WITH {P}, b AS (SELECT is_signal, CASE WHEN pt < 0.1 THEN 0 WHEN pt < 0.5 THEN 1 WHEN pt < 1 THEN 2 WHEN pt < 2.5 THEN 3 WHEN pt < 7.5 THEN 4 ELSE 5 END AS bin, eta FROM p)
  SELECT k.is_signal, CAST(i AS INTEGER) AS bin, round(coalesce(sum(eta), 0.0), 3) + 0.0 AS value FROM (SELECT DISTINCT is_signal FROM p) k CROSS JOIN range(0, 6) r(i) LEFT JOIN b ON b.is_signal = k.is_signal AND b.bin = i GROUP BY ALL""",
@@ -268,4 +302,40 @@ def oracle_sql() -> dict[str, str]:
  {wmat().replace('FROM p)', 'FROM sp)').replace('is_signal FROM wa)', "is_signal FROM wa WHERE split = 'train')")}, wn AS (SELECT tb, pb, least(coalesce(wt.f, 0), wo.f) / wo.f AS weight FROM wo LEFT JOIN wt USING (tb, pb)),
  {WAPPLY.replace('FROM wa)', 'FROM wa)').split(', wy AS')[0]}, wy AS (SELECT wx.*, coalesce(CASE WHEN is_signal THEN wm.weight ELSE wn.weight END, 0.0) AS cls_weight FROM wx LEFT JOIN wm ON wm.tb = theta_bin AND wm.pb = p_bin LEFT JOIN wn ON wn.tb = theta_bin AND wn.pb = p_bin)
  SELECT is_signal, split, count(*) AS n, {rnd('sum(cls_weight)', 'sum_w', 4)} FROM wy GROUP BY is_signal, split""",
+        "jets_ee_genkt": f"WITH RECURSIVE {P}, {jets(0.4)} SELECT event_id, jet_id, {rnd('px', n=8)}, {rnd('py', n=8)}, {rnd('pz', n=8)}, {rnd('energy', n=8)}, array_to_string(m, ',') AS constituents FROM jt",
+        "thrust": f"WITH RECURSIVE {P}, {thrust()} SELECT event_id, {rnd('thrust', n=5)} FROM th",
+        "archival_events": f"""WITH RECURSIVE {P}, {EIG}, {thrust()}, o AS (SELECT event_id, sqrt(pow(sum(px), 2) + pow(sum(py), 2)) AS met, sum(pt) FILTER (pidx < 2) AS ht, count(*) FILTER (pidx < 2) AS n_jets FROM p GROUP BY event_id
+ HAVING NOT bool_or(pt <= 0 OR energy >= 45.6 OR pt = -999.9) AND NOT bool_or(pidx < 2 AND (pt < 0 OR energy > 91.2)))
+ SELECT event_id, {rnd('met')}, {rnd('ht')}, n_jets, {rnd('1.5*(tr - l3)', 'sphericity', 4)}, {rnd('thrust', n=5)} FROM o JOIN m5 USING (event_id) JOIN th USING (event_id)""",
+        "jet_ntuple": f"""WITH RECURSIVE {P}, {V}, {G}, {TAUS}, {life(False)}, {life(True)}, gp AS (SELECT event_id, pidx, pdg, pt*cos(phi) AS px, pt*sin(phi) AS py, pt*sinh(eta) AS pz, pt*cosh(eta) AS energy FROM g), {jets(0.4)}, {jets(0.4, 'gp', 'g')},
+ rj AS (SELECT *, sqrt(px*px + py*py) AS pt, asinh(pz/sqrt(px*px + py*py)) AS eta, atan2(py, px) AS phi FROM jt),
+ bad AS (SELECT DISTINCT c.event_id, c.jet_id FROM (SELECT event_id, jet_id, unnest(m) AS pidx FROM jtg) c JOIN gp USING (event_id, pidx) WHERE abs(pdg) IN (13, 15)),
+ gj AS (SELECT *, sqrt(px*px + py*py) AS pt, asinh(pz/sqrt(px*px + py*py)) AS eta, atan2(py, px) AS phi FROM jtg ANTI JOIN bad USING (event_id, jet_id)),
+ mt AS (SELECT * FROM (SELECT a.event_id, a.jet_id, b.jet_id AS gen_id, b.pt AS gen_pt, {dr('a.eta', 'a.phi', 'b.eta', 'b.phi')} AS dr, row_number() OVER (PARTITION BY a.event_id, a.jet_id ORDER BY {dr('a.eta', 'a.phi', 'b.eta', 'b.phi')}, b.jet_id) AS k FROM rj a JOIN gj b USING (event_id)) WHERE k = 1 AND dr < 0.4),
+ vt AS (SELECT *, asinh(sz/sqrt(sx*sx + sy*sy)) AS teta, atan2(sy, sx) AS tphi FROM tm WHERE se <> 0),
+ tj AS (SELECT * FROM (SELECT vt.event_id, vt.tau_id, vt.decaymode, vt.se, b.jet_id AS gen_id, {dr('teta', 'tphi', 'b.eta', 'b.phi')} AS dr, row_number() OVER (PARTITION BY vt.event_id, vt.tau_id ORDER BY {dr('teta', 'tphi', 'b.eta', 'b.phi')}, b.jet_id) AS k FROM vt JOIN gj b USING (event_id)) WHERE k = 1 AND dr < 0.4),
+ tl AS (SELECT event_id, gen_id, arg_max(decaymode, tau_id) AS mode, arg_max(se, tau_id) AS se FROM tj GROUP BY ALL),
+ cs AS (SELECT r.event_id, r.jet_id, r.px AS jx, r.py AS jy, r.pz AS jz, unnest(m) AS pidx FROM rj r),
+ ce AS (SELECT cs.event_id, cs.jet_id, p.pdg, l.trk, CASE WHEN sqrt(pow(pca_x - l.vx, 2) + pow(pca_y - l.vy, 2) + pow(pca_z - l.vz, 2)) <= 1e-10 OR (pca_x - l.vx)*jx + (pca_y - l.vy)*jy + (pca_z - l.vz)*jz >= 0 THEN 1 ELSE -1 END AS sg, l.dxy, l_2d.dxy_error_2d
+  FROM cs JOIN p USING (event_id, pidx) JOIN l USING (event_id, pidx) JOIN l_2d USING (event_id, pidx)),
+ ca AS (SELECT event_id, jet_id, count(*) AS n, sum(CASE WHEN trk THEN sg*dxy ELSE -1000 END) AS s1, sum(CASE WHEN trk THEN dxy_error_2d ELSE -1000 END) AS s2, bool_or(abs(pdg) IN (11, 13)) AS lepton FROM ce GROUP BY ALL)
+ SELECT mt.event_id, mt.jet_id, {rnd('rj.pt', 'pt')}, {rnd('mt.gen_pt', 'gen_pt')}, mode AS gen_jet_tau_decaymode, {rnd('tl.se', 'vis_energy')}, CAST(n AS INTEGER) AS n_cands, {rnd('s1', 'sum_signed_dxy', 4)}, {rnd('s2', 'sum_error', 4)}
+ FROM mt JOIN rj USING (event_id, jet_id) JOIN ca USING (event_id, jet_id) JOIN tl ON tl.event_id = mt.event_id AND tl.gen_id = mt.gen_id WHERE NOT lepton AND mode <> 16""",
+        "native_ntuple": f"""WITH RECURSIVE {P}, gp AS (SELECT event_id, pidx, pdg, px, py, pz, energy FROM p WHERE status = 1 AND abs(pdg) NOT IN (12, 14, 16)), {jets(0.4)}, {jets(0.4, 'gp', 'g')},
+ rj AS (SELECT *, asinh(pz/sqrt(px*px + py*py)) AS eta, atan2(py, px) AS phi FROM jt),
+ bad AS (SELECT DISTINCT c.event_id, c.jet_id FROM (SELECT event_id, jet_id, unnest(m) AS pidx FROM jtg) c JOIN gp USING (event_id, pidx) WHERE abs(pdg) IN (13, 15)),
+ gj AS (SELECT *, asinh(pz/sqrt(px*px + py*py)) AS eta, atan2(py, px) AS phi FROM jtg ANTI JOIN bad USING (event_id, jet_id)),
+ mt AS (SELECT a.event_id, a.jet_id FROM rj a JOIN gj b USING (event_id) GROUP BY ALL HAVING min({dr('a.eta', 'a.phi', 'b.eta', 'b.phi')}) < 0.4),
+ ca AS (SELECT c.event_id, c.jet_id, count(*) AS n, any_value(np) AS np, bool_or(abs(pdg) IN (11, 13)) AS lepton FROM (SELECT event_id, jet_id, unnest(m) AS pidx FROM rj) c JOIN p USING (event_id, pidx) GROUP BY ALL)
+ SELECT mt.event_id, mt.jet_id, {rnd('energy', n=4)}, -1 AS gen_jet_tau_decaymode, CAST(n AS INTEGER) AS n_cands, np AS n_event, CAST(0 AS INTEGER) AS n_daughters FROM mt JOIN rj USING (event_id, jet_id) JOIN ca USING (event_id, jet_id) WHERE NOT lepton""",
+        "archival_jets": f"""WITH RECURSIVE {archival()}, pp AS (SELECT *, sqrt(px*px + py*py) AS ppt, asinh(pz/sqrt(px*px + py*py)) AS peta, atan2(py, px) AS pphi FROM b), {jets(0.8)},
+ rj AS (SELECT event_id, jet_id, energy AS je, m, sqrt(px*px + py*py) AS jpt, asinh(pz/sqrt(px*px + py*py)) AS jeta, atan2(py, px) AS jphi FROM jt),
+ c AS (SELECT event_id, jet_id, je, jpt, jeta, jphi, unnest(m) AS pidx FROM rj)
+ SELECT event_id, jet_id, count(*) AS jet_nparticles, {rnd('any_value(jpt)', 'jet_pt', 8)}, {rnd('sqrt(greatest(pow(sum(energy), 2) - pow(sum(px), 2) - pow(sum(py), 2) - pow(sum(pz), 2), 0))', 'mass_from_p4s', 3)}, CAST(count(*) AS INTEGER) AS n_parts,
+ {rnd('max(CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END)', 'top_dz', 3)}, {rnd('sum(ppt/jpt)', 'sum_ptrel', 5)}, {rnd('max(' + dr('peta', 'pphi', 'jeta', 'jphi') + ')', 'max_dr', 5)}, max(CASE WHEN pdg = 22 THEN 1.0::DOUBLE ELSE 0 END) AS photon FROM c JOIN pp USING (event_id, pidx) GROUP BY event_id, jet_id HAVING any_value(jpt) > 0 AND any_value(je) <= 91.2 AND NOT bool_or(ppt <= 0 OR energy >= 45.6)""",
+        "stored_archival_jets": f"""WITH {archival()}, pp AS (SELECT *, sqrt(px*px + py*py) AS ppt, asinh(pz/sqrt(px*px + py*py)) AS peta, atan2(py, px) AS pphi FROM b),
+ sj AS (SELECT event_id, CAST(pidx // 5 AS INTEGER) AS jet_id, 1.03*ppt AS jpt, asinh(0.97*pz/(1.03*ppt)) AS jeta, pphi AS jphi FROM pp WHERE pidx % 5 = 0),
+ n AS (SELECT * FROM (SELECT pp.*, jet_id, jpt, jeta, jphi, {dr('peta', 'pphi', 'jeta', 'jphi')} AS near, row_number() OVER (PARTITION BY event_id, pidx ORDER BY {dr('peta', 'pphi', 'jeta', 'jphi')}, jet_id) AS k FROM pp JOIN sj USING (event_id)) WHERE k = 1 AND near <= 0.8)
+ SELECT event_id, jet_id, count(*) AS jet_nparticles, {rnd('any_value(jpt)', 'jet_pt', 8)}, {rnd('sqrt(greatest(pow(sum(energy), 2) - pow(sum(px), 2) - pow(sum(py), 2) - pow(sum(pz), 2), 0))', 'mass_from_p4s', 3)}, CAST(count(*) AS INTEGER) AS n_parts,
+ {rnd('max(CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END)', 'top_dz', 3)}, {rnd('sum(ppt/jpt)', 'sum_ptrel', 5)}, {rnd('max(' + dr('peta', 'pphi', 'jeta', 'jphi') + ')', 'max_dr', 5)}, max(CASE WHEN pdg = 22 THEN 1.0::DOUBLE ELSE 0 END) AS photon FROM n GROUP BY event_id, jet_id HAVING any_value(jpt) > 0 AND NOT bool_or(ppt <= 0)""",
     }

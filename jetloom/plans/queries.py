@@ -522,7 +522,7 @@ def particle_labels(spark, sf_dir):
     """Species by name, the phi difference to the event's jet and the log mass ratio of the two."""
     rows = shapes.relative_features(_event_jet(_p(spark, sf_dir)))
     t = tensors.targets("pt", "eta", "phi", "energy", "jet_pt", "jet_eta", "jet_phi", "jet_energy")
-    return rows.select("event_id", "pidx", pdg.particle_name("pdg").alias("name"), F.round("phirel", 5).alias("phirel"), (F.col("charge") == 1).cast("int").alias("charge_flag"))
+    return rows.select("event_id", "pidx", pdg.particle_name("pdg").alias("name"), r("phirel", 5).alias("phirel"), (F.col("charge") == 1).cast("int").alias("charge_flag"))
 
 
 @query
@@ -562,12 +562,14 @@ def published_ratios(spark, sf_dir):
     return rounded(validation.against_published(_modes(spark, sf_dir)), "ratio", "error", "published")
 
 
-# rows only: iterative kernels, tested against brute force and invariants
+# iterative kernels: jets and thrust have recursive SQL, the rest is tested against plain loops
 
 
 @query
 def jets_ee_genkt(spark, sf_dir):
-    return clustering.cluster(_p(spark, sf_dir), 0.4)
+    jets = clustering.cluster(_p(spark, sf_dir), 0.4)
+    own = F.array_join(F.transform("constituents", lambda x: x.cast("string")), ",")
+    return jets.select("event_id", "jet_id", *[r(c, 8).alias(c) for c in ("px", "py", "pz", "energy")], own.alias("constituents"))
 
 
 @query
@@ -580,7 +582,7 @@ def jets_substructure(spark, sf_dir):
 
 @query
 def thrust(spark, sf_dir):
-    return clustering.event_thrust(_p(spark, sf_dir))
+    return rounded(clustering.event_thrust(_p(spark, sf_dir)), "thrust", digits=5)
 
 
 def _generated(p: DataFrame) -> DataFrame:
@@ -632,12 +634,22 @@ def _archival(spark, sf_dir):
 
 
 def _archival_columns(out: DataFrame) -> DataFrame:
+    total = F.aggregate("part_ptrel", F.lit(0.0), lambda s, x: s + x)
     return out.select(
-        "event_id", "jet_id", "jet_nparticles", r("jet_pt", 4).alias("jet_pt"), r("jet_sdmass", 3).alias("sdmass"), r("jet_tau1", 4).alias("tau1"),
-        r("jet_mass_from_p4s", 3).alias("mass_from_p4s"), F.size("part_deltaR").alias("n_parts"), r(F.array_max("part_dzval"), 3).alias("top_dz"),
+        "event_id", "jet_id", "jet_nparticles", r("jet_pt", 8).alias("jet_pt"), r("jet_mass_from_p4s", 3).alias("mass_from_p4s"), F.size("part_deltaR").alias("n_parts"),
+        r(F.array_max("part_dzval"), 3).alias("top_dz"), r(total, 5).alias("sum_ptrel"), r(F.array_max("part_deltaR"), 5).alias("max_dr"), F.array_max("part_isPhoton").alias("photon"),
     )
 
 
+@query
+def archival_substructure(spark, sf_dir):
+    """Groomed masses and subjettiness in the records of both kinds of archival jets."""
+    events, particles, vertices = _archival(spark, sf_dir)
+    names = ["jet_sdmass", *[f"jet_tau{n}" for n in range(1, 5)]]
+    pick = lambda df, kind: df.select(F.lit(kind).alias("kind"), "event_id", "jet_id", *[r(c, 4).alias(c) for c in names])
+    return pick(pipelines.archival_jets(particles, vertices), "clustered").unionByName(pick(pipelines.stored_archival_jets(particles, nested.stored_jets(events), vertices), "stored"))
+
+
 @query
 def archival_jets(spark, sf_dir):
     _, particles, vertices = _archival(spark, sf_dir)
@@ -660,7 +672,8 @@ def archival_event_records(spark, sf_dir):
 @query
 def archival_events(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return rounded(pipelines.archival_events(p, _seed_jets(p)).select("event_id", "met", "ht", "n_jets", "sphericity", "thrust"), "met", "ht", "sphericity", "thrust", digits=4)
+    out = pipelines.archival_events(p, _seed_jets(p)).select("event_id", "met", "ht", "n_jets", r("sphericity", 4).alias("sphericity"), r("thrust", 5).alias("thrust"))
+    return rounded(out, "met", "ht")
 
 
 @query
