@@ -290,30 +290,38 @@ def cluster(particles: DataFrame, radius: float = 0.4, power: float = -1.0, min_
     return rows.select("event_id", "jet_id", "j.px", "j.py", "j.pz", "j.energy", ids.alias("constituents"))
 
 
-def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "jet_id"), r0: float = 0.8) -> DataFrame:
-    """keys, sdmass, sdmass_ee, tau1..tau4 (iterated axes) and tau1_ee..tau4_ee (exclusive subjets) of each group of particles (pidx, pt, eta, phi)."""
-    names = ["sdmass", "sdmass_ee", *[f"tau{n}" for n in range(1, 5)], *[f"tau{n}_ee" for n in range(1, 5)]]
-    grouped = _gathered(constituents, keys, ("pt", "eta", "phi"))
-    fields = [grouped.schema[k] for k in keys]
+SUBSTRUCTURE = ("sdmass", "sdmass_ee", *(f"tau{n}" for n in range(1, 5)), *(f"tau{n}_ee" for n in range(1, 5)))
+
+
+def substructure_of(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray, r0: float = 0.8) -> list[float]:
+    """SUBSTRUCTURE of one group of particles: both groomed masses, subjettiness for iterated axes and for exclusive subjets."""
+    p4 = massless(pt, eta, phi)
+    out = [groomed_mass(p4, r0=r0), groomed_mass(p4, r0=r0, electron=True)]
+    for n in range(1, 5):  # fewer particles than axes: the missing axes are at (0, 0)
+        short = np.zeros(max(0, n - len(pt)))
+        a_eta, a_phi = iterated_axes(pt, eta, phi, min(n, len(pt)))
+        out.append(subjettiness(pt, eta, phi, np.concatenate([a_eta, short]), np.concatenate([a_phi, short]), r0))
+    for n in range(1, 5):
+        out.append(0.0 if len(pt) <= n else subjettiness(pt, eta, phi, *exclusive_axes(p4, n, r0), r0))
+    return out
+
+
+def with_substructure(rows: DataFrame, particles: str, r0: float = 0.8) -> DataFrame:
+    """Adds SUBSTRUCTURE of the list ``particles`` (structs with pt, eta, phi) to each row, NULL for an empty list; the other columns go through as they are."""
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in SUBSTRUCTURE]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for parts in batch.column("c").to_pylist():
-                pt, eta, phi = (np.array([x[c] for x in parts], float) for c in ("pt", "eta", "phi"))
-                p4 = massless(pt, eta, phi)
-                row = [groomed_mass(p4, r0=r0), groomed_mass(p4, r0=r0, electron=True)]
-                for n in range(1, 5):  # fewer particles than axes: the missing axes are at (0, 0)
-                    short = np.zeros(max(0, n - len(pt)))
-                    a_eta, a_phi = iterated_axes(pt, eta, phi, min(n, len(pt)))
-                    row.append(subjettiness(pt, eta, phi, np.concatenate([a_eta, short]), np.concatenate([a_phi, short]), r0))
-                for n in range(1, 5):
-                    row.append(0.0 if len(pt) <= n else subjettiness(pt, eta, phi, *exclusive_axes(p4, n, r0), r0))
-                out.append(row)
-            columns = list(zip(*out, strict=True)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *[pa.array(c, pa.float64()) for c in columns]], [*keys, *names])
-
-    return grouped.mapInArrow(run, T.StructType([*fields, *[T.StructField(n, T.DoubleType()) for n in names]]))
+            made = [substructure_of(*v.T, r0) if len(v) else [None] * len(SUBSTRUCTURE) for v in _vectors(batch.column(particles), ("pt", "eta", "phi"))]
+            columns = list(zip(*made, strict=True)) or [[] for _ in SUBSTRUCTURE]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.float64()) for c in columns]], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "jet_id"), r0: float = 0.8) -> DataFrame:
+    """keys and SUBSTRUCTURE of each group of particles (pidx, pt, eta, phi)."""
+    return with_substructure(_gathered(constituents, keys, ("pt", "eta", "phi")), "c", r0).drop("c")
 
 
 def event_thrust(particles: DataFrame) -> DataFrame:

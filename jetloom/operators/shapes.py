@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,16 +86,19 @@ def summed_p4(particles: DataFrame, *keys: str) -> DataFrame:
     return per.withColumns({"mass": F.sqrt(F.greatest(m2, F.lit(0.0))), "p4": p4.from_cartesian("px", "py", "pz", energy="energy")})
 
 
+def relative(get: Callable[[str], Column], jet: Callable[[str], Column]) -> dict[str, Column]:
+    """Ratios and signed and unsigned differences of a particle and its jet, from accessors of pt, eta, phi and energy."""
+    return {
+        "ptrel": F.try_divide(get("pt"), jet("pt")),
+        "erel": F.try_divide(get("energy"), jet("energy")),
+        "deta": p4.delta_eta(get("eta"), jet("eta")),
+        "dphi": p4.delta_phi(get("phi"), jet("phi")),
+        "deltaR": p4.delta_r(get("eta"), get("phi"), jet("eta"), jet("phi")),
+        "etarel": get("eta") - jet("eta"),
+        "phirel": p4.signed_delta_phi(get("phi"), jet("phi")),
+    }
+
+
 def relative_features(rows: DataFrame) -> DataFrame:
-    """Particles joined to their jets (jet_pt, jet_eta, jet_phi, jet_energy): ratios and signed and unsigned differences."""
-    return rows.withColumns(
-        {
-            "ptrel": F.try_divide("pt", "jet_pt"),
-            "erel": F.try_divide("energy", "jet_energy"),
-            "deta": p4.delta_eta("eta", "jet_eta"),
-            "dphi": p4.delta_phi("phi", "jet_phi"),
-            "deltaR": p4.delta_r("eta", "phi", "jet_eta", "jet_phi"),
-            "etarel": F.col("eta") - F.col("jet_eta"),
-            "phirel": p4.signed_delta_phi("phi", "jet_phi"),
-        }
-    )
+    """Adds them to particles joined to their jets (jet_pt, jet_eta, jet_phi, jet_energy)."""
+    return rows.withColumns(relative(F.col, lambda c: F.col(f"jet_{c}")))
