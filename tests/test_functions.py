@@ -72,13 +72,15 @@ def test_weight_matrix_zeros(spark):
 
 
 def test_track_through_the_vertex_and_sentinel(spark):
-    rows = [(1, 0.0, 0.0, 0.3, 0.5, 0.0, 0.0, 0.0, 1, 211), (2, 0.0, 0.0, 0.3, 0.5, 0.0, 0.0, 0.0, 0, 22), (3, 0.01, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1, 211), (4, 0.1, 0.0, 0.3, 0.5, 0.0, 0.0, 0.0, 1, 0)]
-    p = spark.createDataFrame([(r[0], 0, *r[1:5], *r[8:]) for r in rows], "event_id long, pidx int, d0 double, z0 double, phi double, tanl double, charge int, pdg int")
-    p = p.withColumns({c: F.lit(1e-6) for c in ("c_d0", "c_phi", "c_z0", "c_tan")})
+    rows = [(1, 0.0, 0.0, 0.3, 0.5, 0.0, 0.0, 0.0), (2, None, 0.0, 0.3, 0.5, 0.0, 0.0, 0.0), (3, 0.01, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), (5, 0.01, 0.0, 0.0, 0.0, 0.2, 0.3, 0.0)]
+    p = spark.createDataFrame([(r[0], 0, *r[1:5]) for r in rows], "event_id long, pidx int, d0 double, z0 double, phi0 double, tanl double")
+    p = p.withColumns({c: F.lit(1e-6) for c in ("c_d0", "c_phi", "c_z0", "c_tan")} | {"omega": F.lit(0.1), "zr": F.lit(0.0)})
+    p = p.withColumns({"xr": F.when(F.col("event_id") == 5, 0.2).otherwise(0.0), "yr": F.when(F.col("event_id") == 5, 0.31).otherwise(0.0)})
     v = spark.createDataFrame([(r[0], *r[5:8]) for r in rows], "event_id long, pvx double, pvy double, pvz double")
     out = {r.event_id: r for r in lifetime.lifetime(p, v).collect()}
     assert out[1].dxy == out[1].d3 == 0.0 and out[1].dxy_error == out[1].d3_error == 0.0 and out[1].dz_error > 0
-    assert out[2].dxy == out[2].dz_error == out[4].d3 == lifetime.SENTINEL
+    assert {out[2][c] for c in lifetime.VARIABLES.values()} == {lifetime.SENTINEL}  # no track
+    assert out[5].dxy == pytest.approx(0.0, abs=1e-12) and (out[5].pca_x, out[5].pca_y) == pytest.approx((0.2, 0.3))  # the reference point moves the track
     assert out[3].dxy == pytest.approx(0.01) and out[3].pca_y == pytest.approx(-0.01)
     s = lambda ip, q: one(spark, lifetime.signed(F.lit(ip), *map(F.lit, q), F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0), F.lit(0.0)))
     assert s(0.5, (-1.0, 0.0, 0.0)) == -0.5 and s(-0.5, (1.0, 0.0, 0.0)) == 0.5 and s(0.5, (0.0, 0.0, 0.0)) == 0.5 and s(-1000.0, (-1.0, 0.0, 0.0)) == -1000.0
@@ -108,7 +110,7 @@ def test_fill_takes_the_last(spark):
     out = matching.fill_last(jets, found, "jet_id", "tau_id", {"decaymode": -1}).collect()
     assert {r.jet_id: r.decaymode for r in out} == {0: 1, 1: -1}
     b = taus.background_info(jets, daughters=True).first()
-    assert (b.gen_jet_tau_decaymode, b.gen_jet_tau_charge, b.gen_jet_tau_dv_x, b.gen_jet_tau_vis_daughter_p4s) == (-1, -999.0, 0.0, [])
+    assert (b.decaymode, b.charge, b.DV_x, b.vis_daughter_p4s) == (-1, -999.0, 0.0, []) and b.p4.energy == b.full_p4.pt == 0.0
 
 
 def test_array_helpers(spark):
