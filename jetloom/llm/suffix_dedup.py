@@ -51,8 +51,8 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 RUN_ENTRIES = 40_000
 #: Anchors' hashes are added up in a task before so many are sent.
 HELD = 1_000_000
-#: The sample has so many suffixes for each range, from one text in so many (from all, where these give too few).
-SAMPLE_EACH, SAMPLE_TEXTS = 32, 8
+#: The sample has about so many suffixes for each range, from one text in so many (from all, where these give too few).
+SAMPLE_EACH, SAMPLE_TEXTS = 8, 8
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,30 +165,34 @@ Splitters = list[tuple[bytes, bytes]]
 
 
 def _splitters(joined: DataFrame, ranges: int, length: int, gram: int) -> Splitters:
-    """At most ``ranges`` - 1 splitters (suffix, payload) from the sampled suffixes with the smallest hashes: they decide where the work is done, not its result."""
+    """At most ``ranges`` - 1 splitters (suffix, payload) from a sample: they decide where the work is done, not its result.
+
+    A task gives its share of the sample, the suffixes with the smallest hashes, so that the driver gets ``SAMPLE_EACH`` for
+    each range, or one for each task, at any input.
+    """
     most = SAMPLE_EACH * ranges
+    share = max(1, -(-most // joined.rdd.getNumPartitions()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[bytes, bytes]] = {}
 
         def least() -> None:
-            for h in sorted(held)[most:]:
+            for h in sorted(held)[share:]:
                 del held[h]
 
         for batch in sliced(batches):
             for body, wanted in zip(batch.column("body").cast(pa.binary()).to_pylist(), batch.column("wanted").to_pylist(), strict=True):
                 for at, _, suffix, payload in _contexts(body, wanted, length, gram):
                     held[xxhash.xxh3_64_intdigest(payload + suffix + at.to_bytes(8, "little")) >> 1] = suffix, payload
-            if len(held) > 4 * most:
+            if len(held) > 4 * share:
                 least()
         least()
-        rows = [(h, *key) for h, key in held.items()]
-        kinds = (pa.int64(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["h", "suffix", "payload"])
+        keys = list(held.values())
+        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.binary()) for i in (0, 1)], ["suffix", "payload"])
 
     def sampled(texts: DataFrame) -> Splitters:
-        rows = texts.select("body", "wanted").mapInArrow(run, "h long, suffix binary, payload binary")
-        return sorted((bytes(r.suffix), bytes(r.payload)) for r in rows.orderBy("h").limit(most).collect())
+        rows = texts.select("body", "wanted").mapInArrow(run, "suffix binary, payload binary")
+        return sorted((bytes(r.suffix), bytes(r.payload)) for r in rows.collect())
 
     keys = sampled(joined.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE_TEXTS)) == 0))
     if len(keys) < most // 2:
