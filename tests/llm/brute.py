@@ -82,6 +82,15 @@ def components(fps: dict[int, int], distance=2):
     return {d: least[find(f)] for d, f in fps.items()}
 
 
+def shingles(text, k=5):
+    w = WORDS.findall(lower(text or ""))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
 def mix(docs, share=1.5, ceiling=2.0, weights=(3, 1, 2)):
     """docs: (id, source, text); id -> (size, source_size, target, taken)."""
     size = {d: len(WORDS.findall(t or "")) for d, _, t in docs}
