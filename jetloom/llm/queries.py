@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, line_dedup, mixing, packing, quality, simhash, suffix_dedup, token_counts, topk
+from . import chat, cobucket, licenses, line_dedup, mixing, packing, quality, simhash, suffix_dedup, token_counts, topk
 from .common import read_table
 from .oracles import oracle_sql  # noqa: F401
 
@@ -64,6 +64,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_cobucket_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cobucket.sales_pair(read_table(spark, sf_dir, "sales"), read_table(spark, sf_dir, "sale_lines"))
+
+
 def queries() -> dict:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -76,6 +80,7 @@ def queries() -> dict:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "op13_cobucket_pair": op13_cobucket_pair,
     }
 
 
