@@ -113,6 +113,38 @@ k AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINC
 SELECT doc_id, count(*) AS n_lines, count(k.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (k.key IS NULL), '')) AS kept_sha256 FROM l LEFT JOIN k USING (key) GROUP BY rid, doc_id"""
 
 
+#: CRC-32 of a text of ASCII characters, by its polynomial, a bit at a time.
+def _crc32(s: str) -> str:
+    steps = f"flatten(list_transform(range(1, length({s}) + 1), lambda i: [CAST(ascii({s}[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(list_reduce(list_concat([4294967295], {steps}), lambda a, b: {step}), 4294967295)"
+
+
+OP11 = f"""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(role) || md5(text))) AS p, md5(role) || md5(text) AS m, length(text) AS n
+ FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32('s')} % 6 AS h FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM t)),
+k AS (SELECT c.*, least(h, coalesce(z.size, 0)) AS taken FROM c LEFT JOIN (SELECT conv_id, count(*) AS size FROM t GROUP BY conv_id) z ON z.conv_id = c.base),
+r AS (SELECT conv_id, p, m, n FROM t WHERE conv_id % 100 = 0 UNION ALL SELECT k.conv_id, p, m, n FROM k JOIN t ON t.conv_id = base AND p <= taken WHERE k.conv_id <> base
+ UNION ALL SELECT k.conv_id, p - h + taken, m, n FROM k JOIN t USING (conv_id) WHERE conv_id <> base AND p > h),
+x AS (SELECT conv_id, p, n, md5(string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY p)) AS key FROM r UNION ALL SELECT conv_id, 0, 0, '' FROM k),
+y AS (SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY p) AS up, p = max(p) OVER (PARTITION BY conv_id) AS last FROM x),
+o AS (SELECT key, min(p) AS depth, min(conv_id) AS conv_id, min(up) AS up, count(*) AS n_convs, min(n) AS n, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last) AS ends FROM y GROUP BY key),
+d AS (SELECT o.*, coalesce(q.n_children, 0) AS n_children FROM o LEFT JOIN (SELECT up AS key, count(*) AS n_children FROM o WHERE up IS NOT NULL GROUP BY up) q USING (key)),
+s AS (SELECT y.key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * d.n) AS saved FROM d JOIN y ON y.conv_id = d.conv_id AND y.p <= d.depth GROUP BY y.key)
+SELECT d.conv_id, d.depth, u.conv_id AS parent_conv_id, d.n_convs, d.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(d.ends, '')) AS ends_sha256
+FROM d JOIN s USING (key) LEFT JOIN d u ON u.key = d.up"""
+
+_RUN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP12 = rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_RUN}'), []) AS w FROM documents),
+i AS (SELECT item_id, coalesce(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_RUN}'), []) AS w FROM benchmark),
+r AS (SELECT DISTINCT item_id, m, array_to_string(w[k:k + m - 1], ' ') AS run FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM (SELECT *, least(10, len(w)) AS m FROM i WHERE len(w) > 0))),
+p AS (SELECT rid, k, m, array_to_string(w[k:k + m - 1], ' ') AS run FROM (SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM r) WHERE len(w) >= m)),
+o AS (SELECT DISTINCT rid, k, m FROM p SEMI JOIN r USING (m, run)), h AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(k, k + m)) AS k FROM o) GROUP BY rid),
+f AS (SELECT rid, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT rid, item_id FROM p JOIN r USING (m, run)) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN f USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": OP2,
@@ -122,4 +154,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": _op7(),
         "op8_suffix_dedup": OP8,
         "op10_line_dedup": OP10,
+        "op11_prefix_trie": OP11,
+        "op12_decontamination": OP12,
     }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, cobucket, licenses, line_dedup, mixing, packing, quality, simhash, suffix_dedup, token_counts, topk
+from . import chat, cobucket, decontaminate, licenses, line_dedup, mixing, packing, prefix_trie, quality, simhash, suffix_dedup, token_counts, topk
 from .common import read_table
 from .oracles import oracle_sql  # noqa: F401
 
@@ -64,6 +64,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_cobucket_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cobucket.sales_pair(read_table(spark, sf_dir, "sales"), read_table(spark, sf_dir, "sale_lines"))
 
@@ -80,6 +88,8 @@ def queries() -> dict:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_simhash": op9_simhash,
         "op10_line_dedup": op10_line_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_decontamination": op12_decontamination,
         "op13_cobucket_pair": op13_cobucket_pair,
     }
 
