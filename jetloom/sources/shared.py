@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,23 +29,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{where.rstrip('/')}/jetloom-{spark.sparkContext.applicationId}"
 
 
-_RECORDINGS: list[list[str]] = []
+_RECORDINGS: ContextVar[tuple[list[str], ...]] = ContextVar("recordings", default=())
 
 
 @contextmanager
 def recording() -> Iterator[list[str]]:
-    """Lists the paths that are given out meanwhile, so that they can be removed when nothing reads them any more."""
+    """Lists the paths that the block itself is given, in any depth, so that their owner can remove them when nothing reads them any more.
+
+    Each thread has its own: what runs beside the block is not listed.
+    """
     made: list[str] = []
-    _RECORDINGS.append(made)
+    token = _RECORDINGS.set((*_RECORDINGS.get(), made))
     try:
         yield made
     finally:
-        _RECORDINGS.remove(made)
+        _RECORDINGS.reset(token)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    for made in _RECORDINGS:
+    for made in _RECORDINGS.get():
         made.append(path)
     return path
 
@@ -63,7 +67,7 @@ def written(df: DataFrame, name: str, few_files: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, paths: list[str]) -> None:
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Deletes tables of the shared folder; what still reads them must have been written before."""
     for where in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(where)
