@@ -242,12 +242,13 @@ def _automata(items: DataFrame, id_col: str, text: str, window: int, shard_words
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[object, list[bytes]]] = []
-        n = 0
+        n, at = 0, None
         for batch in batches:
-            for name, words in zip(batch.column("name").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                if held and n + len(words) > shard_words:  # the bound holds whatever the hash does
+            for name, words, deal in zip(*(batch.column(c).to_pylist() for c in ("name", "words", "deal")), strict=True):
+                if held and (deal != at or n + len(words) > shard_words):  # the bound holds whatever the hash does
                     yield packed(held)
                     held, n = [], 0
+                at = deal
                 held.append((name, words))
                 n += len(words)
         if held:
@@ -256,7 +257,8 @@ def _automata(items: DataFrame, id_col: str, text: str, window: int, shard_words
     def packed(held: list[tuple[object, list[bytes]]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Automaton(window).build(held), 5)], pa.binary())], ["automaton"])
 
-    dealt = pieces.repartition(max(1, shards), F.xxhash64("name", "words"))
+    dealt = pieces.withColumn("deal", F.pmod(F.xxhash64("name", "words"), F.lit(max(1, shards))))
+    dealt = dealt.repartition(max(1, shards), "deal").sortWithinPartitions("deal")
     return written(dealt.mapInArrow(build, "automaton binary").withColumn("shard", F.monotonically_increasing_id()), "decontaminate-automata")
 
 
