@@ -164,6 +164,70 @@ def archival() -> str:
  b AS (SELECT *, -((x0 - vx)*ux + (y0 - vy)*uy + (zz - vz)*tanl)/(ux*ux + uy*uy + tanl*tanl) AS s, c0*c0 + c2*c2 AS se2 FROM a)"""
 
 
+def _permuted(particles: str, key: str, seed: int = 42, rounds: int = 6) -> str:
+    """Rounds of the bijection one after another, again for those that are not below n."""
+
+    def mixed(x: str, k: int) -> str:
+        one = f"(({x} % 2147483647) * 48271 + {(k + 1) * 69621 + seed * 39373 % 2147483647}) % 2147483647"
+        two = f"(({one}) * 16807 + (({one}) >> 11)) % 2147483647"
+        return f"(({two}) * 40692 + (({two}) >> 13)) % 2147483647"
+
+    def once(rel: str) -> str:
+        sql = f"SELECT id, x // b AS l, x % b AS r, a, b, n FROM {rel}"
+        for k in range(rounds):
+            sql = f"SELECT id, l, (r + {mixed('l', k)}) % b AS r, a, b, n FROM ({sql})" if k % 2 else f"SELECT id, (l + {mixed('r', k)}) % a AS l, r, a, b, n FROM ({sql})"
+        return f"SELECT id, l * b + r AS x, a, b, n FROM ({sql})"
+
+    return f"""WITH RECURSIVE {particles}, k AS (SELECT event_id, pidx, {key} AS key FROM p), t AS (SELECT event_id, pidx, row_number() OVER (ORDER BY key, event_id, pidx) - 1 AS id FROM k),
+s AS (SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a, CAST(ceil(n / (CAST(floor(sqrt(n - 1)) AS BIGINT) + 1)) AS BIGINT) AS b FROM (SELECT count(*) AS n FROM p)),
+w AS ({once('(SELECT id, id AS x, a, b, n FROM t, s)')} UNION ALL {once('(SELECT * FROM w WHERE x >= n)')})
+SELECT event_id, pidx, x AS place, CAST(x * 8 // n AS INTEGER) AS file FROM w JOIN t USING (id) WHERE x < n"""
+
+
+def _one_scan() -> str:
+    """Each validation table as a query of its own over jets (j) and their candidates (c); ends of axes from the row e."""
+    edges = lambda lo, hi, n: f"list_transform(range(0, {n} + 1), lambda i: {lo} + i*(({hi} - {lo})/{n}))"
+    powers = lambda lo, hi, n: f"list_transform({edges(lo, hi, n)}, lambda q: pow(10.0, q))"
+
+    def place(x: str, axis: tuple) -> str:
+        kind, lo, hi, n = axis[:4]
+        lo, hi = (f"{v}e0" if isinstance(v, float) else v for v in (lo, hi))
+        all_edges, first, last = edges(lo, hi, n), lo, hi
+        if kind in ("log", "span log"):
+            a, b = (lo, hi) if kind == "log" else (f"log10({lo})", f"log10({hi})")
+            all_edges, first, last = powers(a, b, n), *((f"pow(10.0, {lo})", f"pow(10.0, {hi})") if kind == "log" else (lo, hi))
+        inside = f"CASE WHEN {x} = {last} THEN {n - 1} ELSE greatest(0, least({n - 1}, len(list_filter({all_edges}, lambda q: q <= {x})) - 1)) END"
+        return inside if axis[4:] == ("sum",) else f"CASE WHEN {x} >= {first} AND {x} <= {last} THEN {inside} END"
+
+    span = lambda v: ("span", f"e.lo_{v}", f"e.hi_{v}", 50)
+    square = ("span", "0e0", "e.top", 50)
+    mode = "CASE WHEN mode IN (0, 1) THEN mode WHEN mode BETWEEN 2 AND 4 THEN 2 WHEN mode = 10 THEN 3 WHEN mode BETWEEN 11 AND 14 THEN 4 WHEN mode BETWEEN 5 AND 9 OR mode = 15 THEN 5 ELSE -1 END"
+    shape = (-1.95, 2.05)
+    tables = [(f"gen_jet_{v}", "j", v, span(v), None, None, "w", "true") for v in ("pt", "eta", "theta", "p", "mass")]
+    tables += [("n_cands", "j", "n", span("n"), None, None, "w", "true"), ("n_particles", "j", "n", ("u", 0.0, 50.0, 50), None, None, "1.0", "true")]
+    tables += [("reco_jet_pt", "j", "pt", ("u", 0.0, 220.0, 50, "sum"), None, None, "1.0", "true"), ("reco_jet_mass", "j", "mass", ("u", 0.0, 10.0, 50), None, None, "1.0", "true")]
+    tables += [("n_cands_by_pt", "j", "n", ("u", 0.0, 50.0, 50), "pt", ("span log", "e.lo_apt", "e.hi_apt", 50), "1.0", "true"), ("decaymode", "j", "mode", ("u", 0.0, 16.0, 16), None, None, "1.0", "true")]
+    tables += [(f"n_cands_mode{k}", "j", "n", ("u", 1.0, 11.0, 10), None, None, "1.0", f"({mode}) = {k}") for k in range(6)]
+    tables.append(("energy_map", "j", "energy/2", square, "energy", square, "1.0", "mode <> -1"))
+    for name, hi in (("dxy", 1.0), ("dz", 1.0), ("d3", 2.0)):
+        tables += [(f"reco_cand_{name}", "c", f"abs({name})", ("log", -3.0, hi, 79), None, None, "1.0", "trk"), (f"reco_cand_{name}_error", "c", f"{name}_error", ("log", -4.0, 0.0, 79), None, None, "1.0", f"trk AND {name}_error > 0")]
+    tables.append(("dz_by_dxy", "c", "dz", ("u", 0.0, 2.0, 99), "dxy", ("u", 0.0, 10.0, 99), "1.0", "trk"))
+    both = ("jeta - eta", ("u", *shape, 20), dphi("jphi", "phi"), ("u", *shape, 20), "cpt")
+    tables += [("shape", "c", *both, "true"), *[(f"shape_mode{k}", "c", *both, f"({mode}) = {k}") for k in range(5)], ("cls_weight", "j", "w", ("u", 0.0, 1.0, 50), None, None, "1.0", "true")]
+    parts = []
+    for name, rel, x, xa, y, ya, w, cond in tables:
+        q = f"SELECT is_signal, CAST({place('x', xa)} AS INTEGER) AS x_bin, CAST({place('y', ya) if ya else 'NULL'} AS INTEGER) AS y_bin, w FROM (SELECT is_signal, CAST({x} AS DOUBLE) AS x, CAST({y or 0} AS DOUBLE) AS y, {w} AS w FROM {rel} WHERE {cond}), e"
+        parts.append(f"SELECT is_signal, '{name}' AS name, x_bin, y_bin, count(*) AS n, {rnd('sum(w)', 'value', 4)} FROM ({q}) WHERE x_bin IS NOT NULL{' AND y_bin IS NOT NULL' if ya else ''} GROUP BY is_signal, x_bin, y_bin")
+    ends = ", ".join(f"min({v}) FILTER (NOT is_signal) AS lo_{v}, max({v}) FILTER (NOT is_signal) AS hi_{v}" for v in ("pt", "eta", "theta", "p", "mass", "n"))
+    return f"""{LIFE}, {TAUS}, f AS (SELECT event_id, min(decaymode) AS m FROM tm GROUP BY event_id),
+j0 AS (SELECT event_id, bool_or(is_signal) AS is_signal, sum(px) AS jx, sum(py) AS jy, sum(pz) AS jz, sum(energy) AS energy, CAST(count(*) AS DOUBLE) AS n FROM p GROUP BY event_id),
+j1 AS (SELECT j0.*, sqrt(jx*jx + jy*jy) AS pt, asinh(jz / sqrt(jx*jx + jy*jy)) AS eta, atan2(jy, jx) AS phi, coalesce(m, -1) AS mode, (event_id % 7 + 1) / 8.0 AS w FROM j0 LEFT JOIN f USING (event_id)),
+j AS (SELECT *, degrees({th('eta')}) AS theta, pt*cosh(eta) AS p, sqrt(greatest(energy*energy - pow(pt*cosh(eta), 2), 0)) AS mass FROM j1),
+c AS (SELECT j.is_signal, j.mode, j.eta AS jeta, j.phi AS jphi, p.pt AS cpt, p.eta, p.phi, l.trk, l.dxy, l.dz, l.d3, l.dxy_error, l.dz_error, l.d3_error FROM l JOIN p USING (event_id, pidx) JOIN j USING (event_id)),
+e AS (SELECT {ends}, min(pt) AS lo_apt, max(pt) AS hi_apt, max(greatest(energy, energy/2)) FILTER (mode <> -1) AS top FROM j)
+{' UNION ALL '.join(parts)}"""
+
+
 def oracle_sql() -> dict[str, str]:
     seed = "(((((42*31 + event_id) * 2654435 + 12345) % 4294967296) * 31 + pidx) * 2654435 + 12345) % 4294967296"
     n_of = lambda *c: f"count(*) FILTER (abs(pdg) IN ({', '.join(map(str, c))}))"
@@ -221,6 +285,8 @@ def oracle_sql() -> dict[str, str]:
         "signature_confusion": f"WITH {P}, {SIG} SELECT gen_sig, reco_sig, count(*) AS n, {rnd('sum(CASE WHEN gen_sig = reco_sig THEN count(*) ELSE 0 END) OVER () / sum(count(*)) OVER ()', 'trace_fraction')} FROM sg GROUP BY gen_sig, reco_sig",
         "signature_topk": f"WITH {P}, {SIG} SELECT reco_sig, count(*) AS n FROM sg GROUP BY reco_sig ORDER BY n DESC, length(reco_sig), reco_sig LIMIT 10",
         "seeded_split": f"WITH {P}, k AS (SELECT event_id, pidx, is_signal, {seed} AS key FROM p) SELECT event_id, pidx, CASE WHEN row_number() OVER (PARTITION BY is_signal ORDER BY key, event_id, pidx) <= floor(count(*) OVER (PARTITION BY is_signal)*0.9) THEN 'train' ELSE 'test' END AS split FROM k",
+        "validation_one_scan": _one_scan(),
+        "permuted_rows": _permuted(P, seed.replace("42*31", "0*31")),
         "chunk_ntile": "SELECT chunk, count(*) AS n, min(s_suppkey) AS first_key FROM (SELECT s_suppkey, CAST(ntile(20) OVER (ORDER BY s_suppkey) AS INTEGER) AS chunk FROM supplier) GROUP BY chunk",
         "union_schema_normalise": f"WITH {P} SELECT CASE WHEN is_signal THEN 'signal' ELSE 'background' END AS sample, event_id, pidx, {rnd('pt', 'rho')}, {rnd('energy', 't')} FROM p",
         "weight_matrix": f"WITH {P}, {wmat()} SELECT CAST(tb AS INTEGER) AS theta_bin, CAST(pb AS INTEGER) AS p_bin, {rnd('weight')} FROM wm",

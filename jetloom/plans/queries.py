@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jetloom.functions import arrays, p4, pdg
-from jetloom.operators import clustering, filters, histograms, lifetime, matching, sampling, shapes, taus, tensors, validation, weights
+from jetloom.operators import clustering, filters, histograms, histset, lifetime, matching, permutation, sampling, shapes, taus, tensors, validation, weights
 from jetloom.sources import events as nested
-from jetloom.sources import fixture
+from jetloom.sources import fixture, readers, versions
+from jetloom.sources.shared import fresh_path
 
-from . import pipelines
+from . import pipelines, workflow
 
 QUERIES: dict = {}
 
@@ -736,3 +739,67 @@ def hist_weights(spark, sf_dir):
 def track_impact_map(spark, sf_dir):
     rows = _life(spark, sf_dir).where("has_track")
     return histograms.hist_2d(rows, "dz", "dxy", (0.0, 0.2, 20), (0.0, 0.2, 20))
+
+
+@query
+def permuted_rows(spark, sf_dir):
+    """The new place of every particle in a seeded permutation of all of them, and the file of eight that holds it."""
+    p = _p(spark, sf_dir).select("event_id", "pidx")
+    n = p.count()
+    mixed = permutation.permuted(p, ("event_id", "pidx"), 42, 8, n=n).withColumn("file", F.spark_partition_id())
+    return mixed.select("event_id", "pidx", "place", "file")
+
+
+def _stored_files(spark, sf_dir, where: str, files: int = 5) -> str:
+    """The native events in one Parquet file for each of ``files``, numbered by the event."""
+    events = fixture.native_events(spark, sf_dir)
+    for k in range(files):
+        events.where(F.pmod("event_id", F.lit(files)) == k).coalesce(1).write.parquet(f"{where}/part{k}")
+    return f"{where}/part*/*.parquet"
+
+
+@query
+def stale_only_run(spark, sf_dir):
+    """Rows of each split of both samples after a run over files, a change of one file, and a run of what that made stale."""
+    root = fresh_path(spark, "stale-run")
+    inputs = _stored_files(spark, sf_dir, f"{root}/in")
+    data = {"signal": workflow.Dataset(inputs, signal=True), "background": workflow.Dataset(inputs, train_fraction=0.5)}
+    config = workflow.RunConfig(f"{root}/out", data, options=pipelines.NtupleConfig(lifetime=True))
+    first = workflow.run(spark, config)
+    changed = spark.read.parquet(f"{root}/in/part0").where("event_id % 2 = 0").repartition(1)
+    versions.publish(changed, f"{root}/changed")
+    changed_file = readers.all_paths(spark, versions.pointer(spark, f"{root}/changed")["path"] + "/*.parquet")[0]
+    moved = workflow.RunConfig(config.out, {k: replace(d, input=[*readers.all_paths(spark, f"{root}/in/part[1-4]/*.parquet"), changed_file]) for k, d in data.items()}, options=config.options)
+    second = workflow.run(spark, moved)
+    out = None
+    for name in data:
+        rows = versions.load(spark, f"{config.out}/weighted/{name}").groupBy("sample", "split").agg(F.count("*").alias("n"), F.countDistinct("source").alias("n_files"), F.min("place").alias("first_place"))
+        out = rows if out is None else out.unionByName(rows)
+    made = {f"made_{k}": F.lit(len(v[step])).cast("long") for k, v in (("first", first), ("second", second)) for step in ["records"]}
+    return out.withColumns(made)
+
+
+def _merged_jets(spark, sf_dir):
+    """An event's particles as one jet in the merged format with the lifetime lists, weighted by its number; the visible tau has half of its energy."""
+    life = _life(spark, sf_dir)
+    values = {f"reco_cand_{c}{e}": F.col(f"{c}{e}") for c in histset.IMPACT_AXES for e in ("", "_error")}
+    vector = lambda pt, eta, phi, t: F.struct(F.col(pt).alias("rho"), F.col(phi).alias("phi"), F.col(eta).alias("eta"), t.alias("t"))
+    one = F.struct("pidx", vector("pt", "eta", "phi", F.col("energy")).alias("p4"), *[F.when(F.col("has_track"), c).otherwise(-1000.0).alias(n) for n, c in values.items()])
+    lists = life.groupBy("event_id").agg(F.array_sort(F.collect_list(one)).alias("c"), F.bool_or("is_signal").alias("is_signal"))
+    jet = shapes.summed_p4(_p(spark, sf_dir), "event_id").select("event_id", "p4")
+    modes = _modes(spark, sf_dir).groupBy("event_id").agg(F.min("decaymode").alias("gen_jet_tau_decaymode"))
+    rows = lists.join(jet, "event_id").join(modes, "event_id", "left").fillna({"gen_jet_tau_decaymode": -1})
+    whole = lambda t: vector("p4.pt", "p4.eta", "p4.phi", t)
+    return rows.select(
+        "event_id", "is_signal", "gen_jet_tau_decaymode", whole(F.col("p4.energy")).alias("gen_jet_p4"), whole(F.col("p4.energy")).alias("reco_jet_p4"),
+        whole(F.col("p4.energy") / 2).alias("gen_jet_tau_p4"), F.col("c.p4").alias("reco_cand_p4s"), *[F.col(f"c.{n}").alias(n) for n in values],
+        ((F.col("event_id") % 7 + 1) / 8.0).alias("cls_weight"),
+    )
+
+
+@query
+def validation_one_scan(spark, sf_dir):
+    """All validation tables of weighted jets, of signal and background."""
+    jets = _merged_jets(spark, sf_dir)
+    wide = [replace(t, axis=replace(t.axis, lo=-1.95, hi=2.05, bins=20), y_axis=replace(t.y_axis, lo=-1.95, hi=2.05, bins=20)) if t.name.startswith("shape") else t for t in histset.standard_tables(jets.columns)]
+    return rounded(histset.filled(jets, wide, ("is_signal",)), "value", digits=4)
