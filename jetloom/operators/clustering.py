@@ -1,226 +1,279 @@
 """Sequential recombination and what needs its trees: jets, groomed masses, subjettiness, thrust.
 
-Merging is sequential by nature, so an event's (or jet's) particles are gathered into one
-row and a NumPy kernel runs over Arrow batches. Groups are as large as an event; one
-exchange on the event key is all that is shuffled.
+Merging is sequential by nature, so an event's (or jet's) particles are gathered into one row, and a NumPy kernel takes all
+rows of an Arrow batch that have equally many particles through the same step at once. Every object knows its nearest later
+neighbour, and a merge renews only the rows that it touches: memory grows with the particles of a batch and not with their
+pairs, and work with the square of an event's particles in the usual case. Batches are cut at ``BUDGET`` bytes.
+
+Kernels are Arrow functions of the lists that they need; the rest of a record stays where it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
-def angles(p4: np.ndarray) -> np.ndarray:
-    """1 - cos of the angle between every two momenta (rows are E, px, py, pz); 0 if one has no momentum."""
-    size = np.linalg.norm(p4[:, 1:], axis=1)
-    unit = p4[:, 1:] / np.where(size > 0, size, 1.0)[:, None]
-    return np.where((size[:, None] > 0) & (size[None, :] > 0), 1.0 - np.clip(unit @ unit.T, -1.0, 1.0), 0.0)
+#: Bytes of the arrays of the rows that are worked on at once.
+BUDGET = 64 << 20
 
 
 def eta_phi(p4: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pt = np.hypot(p4[:, 1], p4[:, 2])
-    return np.where(pt > 0, np.arcsinh(p4[:, 3] / np.where(pt > 0, pt, 1.0)), 0.0), np.where(pt > 0, np.arctan2(p4[:, 2], p4[:, 1]), 0.0)
-
-
-def delta_r(p4: np.ndarray) -> np.ndarray:
-    eta, phi = eta_phi(p4)
-    d = phi[:, None] - phi[None, :]
-    return np.hypot(eta[:, None] - eta[None, :], np.arctan2(np.sin(d), np.cos(d)))
+    """Pseudorapidity and azimuth of four-vectors (E, px, py, pz); 0 without transverse momentum."""
+    pt = np.hypot(p4[..., 1], p4[..., 2])
+    return np.where(pt > 0, np.arcsinh(p4[..., 3] / np.where(pt > 0, pt, 1.0)), 0.0), np.where(pt > 0, np.arctan2(p4[..., 2], p4[..., 1]), 0.0)
 
 
 def weight(p4: np.ndarray, power: float = -1.0) -> np.ndarray:
     """E to twice the power; an object without energy counts as 1."""
-    e = p4[:, 0]
+    e = p4[..., 0]
     return np.where(e > 0, np.where(e > 0, e, 1.0) ** (2 * power), 1.0)
 
 
-def energy_distance(p4: np.ndarray) -> np.ndarray:
-    w = weight(p4)
-    return np.minimum(w[:, None], w[None, :]) * angles(p4)
+def massless(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray) -> np.ndarray:
+    return np.stack([pt * np.cosh(eta), pt * np.cos(phi), pt * np.sin(phi), pt * np.sinh(eta)], axis=-1)
 
 
-def recombine(p4: np.ndarray, pair: Callable, beam: Callable | None = None, stop: int = 1) -> tuple[list, list, np.ndarray]:
-    """Smallest distance first until ``stop`` objects remain.
+def invariant_mass(p: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0.0, p[..., 0] ** 2 - p[..., 1] ** 2 - p[..., 2] ** 2 - p[..., 3] ** 2))
 
-    Returns (merges as (i, j, distance, new node), nodes taken by the beam, four-vectors of
-    all nodes). Without ``beam`` only pairs merge. Ties go to the smaller (i, j), a pair
-    before the beam. Four-vectors are added.
-    """
-    nodes, live = [np.asarray(x, float) for x in p4], list(range(len(p4)))
-    merges, final = [], []
-    while len(live) > (stop if beam is None or stop > 1 else 0):
-        now = np.array([nodes[i] for i in live])
-        best, where = np.inf, None
-        if len(live) > 1:
-            d = pair(now)
-            d[np.tril_indices(len(live))] = np.inf
-            k = int(np.argmin(d))
-            best, where = d.flat[k], divmod(k, len(live))
-        if beam is not None:
-            b = beam(now)
-            k = int(np.argmin(b))
-            if b[k] < best:
-                final.append(live.pop(k))
-                continue
-        if where is None:
-            break
-        i, j = live[where[0]], live[where[1]]
-        merges.append((i, j, float(best), len(nodes)))
-        nodes.append(nodes[i] + nodes[j])
-        live = [x for x in live if x not in (i, j)] + [len(nodes) - 1]
-    return merges, final + (live if beam is not None and stop > 1 else []), np.array(nodes)
 
+def turned(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The azimuth from b to a, in one turn."""
+    return np.arctan2(np.sin(a - b), np.cos(a - b))
 
-def genkt_jets(p4: np.ndarray, radius: float, power: float = -1.0) -> list[tuple[np.ndarray, list[int]]]:
-    """Inclusive jets of the e+e- generalised kt algorithm: (four-vector, constituents), by energy, then first constituent."""
-    if not len(p4):
-        return []
-    scale = 1.0 - np.cos(radius) if radius <= np.pi else 3.0 + np.cos(radius)
-    pair = lambda n: np.minimum(weight(n, power)[:, None], weight(n, power)[None, :]) * angles(n) / scale
-    merges, final, nodes = recombine(p4, pair, lambda n: weight(n, power))
-    inside = {i: [i] for i in range(len(p4))}
-    for i, j, _, new in merges:
-        inside[new] = inside[i] + inside[j]
-    jets = [(nodes[k], sorted(inside[k])) for k in final]
-    return sorted(jets, key=lambda x: (-x[0][0], x[1][0]))
 
+@dataclass(frozen=True)
+class Metric:
+    """``features`` of four-vectors, from which ``pair`` gives the distance of two objects."""
+
+    features: Callable[[np.ndarray], np.ndarray]
+    pair: Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def energy_metric(scale: float = 1.0, power: float = -1.0) -> Metric:
+    """The smaller weight of two objects times 1 - cos of their angle, over ``scale``; 0 if one has no momentum."""
+
+    def features(p4: np.ndarray) -> np.ndarray:
+        size = np.linalg.norm(p4[..., 1:], axis=-1)
+        unit = p4[..., 1:] / np.where(size > 0, size, 1.0)[..., None]
+        return np.concatenate([unit, weight(p4, power)[..., None], (size > 0)[..., None]], axis=-1)
+
+    def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        cos = a[..., 0] * b[..., 0] + a[..., 1] * b[..., 1] + a[..., 2] * b[..., 2]
+        return np.minimum(a[..., 3], b[..., 3]) * np.where(a[..., 4] * b[..., 4] > 0, 1.0 - np.clip(cos, -1.0, 1.0), 0.0) / scale
+
+    return Metric(features, pair)
 
-def batched_jets(p4: np.ndarray, radius: float, power: float = -1.0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The same for many events of n particles at once; p4 is (events, n, 4). (event, four-vector, membership) arrays of each step.
 
-    Every step takes one object from every event, two merged or one gone to the beam, so that all keep the
-    same number. Live objects stay in the order of ``recombine``, which decides ties.
+ANGULAR = Metric(lambda p4: np.stack(eta_phi(p4), axis=-1), lambda a, b: np.hypot(a[..., 0] - b[..., 0], turned(a[..., 1], b[..., 1])))
+
+
+@dataclass(frozen=True)
+class History:
+    """What was merged in many events of n objects each. Objects n, n + 1, ... are those that step 0, 1, ... made.
+
+    left, right: (event, step), the smaller and the larger of the two merged; right is -1 where left went to the beam. distance:
+    of the step. nodes: (event, object) four-vectors.
     """
-    events, n = p4.shape[:2]
-    scale = 1.0 - np.cos(radius) if radius <= np.pi else 3.0 + np.cos(radius)
-    rows, out = np.arange(events), []
-    inside = np.broadcast_to(np.eye(n, dtype=bool), (events, n, n)).copy()
-    live = p4.astype(float)
-    for m in range(n, 0, -1):
-        size = np.linalg.norm(live[:, :, 1:], axis=2)
-        unit = live[:, :, 1:] / np.where(size > 0, size, 1.0)[:, :, None]
-        moving = (size[:, :, None] > 0) & (size[:, None, :] > 0)
-        turned = np.where(moving, 1.0 - np.clip(unit @ unit.transpose(0, 2, 1), -1.0, 1.0), 0.0)
-        e = live[:, :, 0]
-        w = np.where(e > 0, np.where(e > 0, e, 1.0) ** (2 * power), 1.0)
-        d = np.minimum(w[:, :, None], w[:, None, :]) * turned / scale
-        d[:, *np.tril_indices(m)] = np.inf
-        flat = d.reshape(events, -1).argmin(axis=1)
-        i, j, k = flat // m, flat % m, w.argmin(axis=1)
-        pair = d.reshape(events, -1)[rows, flat] <= w[rows, k] if m > 1 else np.zeros(events, bool)
-        beam = np.flatnonzero(~pair)
-        out.append((beam, live[beam, k[beam]], inside[beam, k[beam]]))
-        if m == 1:
-            break
-        gone = np.zeros((events, m), bool)
-        gone[rows, np.where(pair, i, k)] = True
-        gone[rows[pair], j[pair]] = True
-        stay = np.argsort(gone, axis=1, kind="stable")[:, : m - 1]
-        new_p4, new_inside = live[rows, i] + live[rows, j], inside[rows, i] | inside[rows, j]
-        live, inside = live[rows[:, None], stay], inside[rows[:, None], stay]
-        live[pair, -1], inside[pair, -1] = new_p4[pair], new_inside[pair]
-    return out
 
+    left: np.ndarray
+    right: np.ndarray
+    distance: np.ndarray
+    nodes: np.ndarray
 
-def jets_of_events(events: list[np.ndarray], radius: float, power: float = -1.0, at_once: int = 4096) -> list[list[tuple[np.ndarray, list[int]]]]:
-    """``genkt_jets`` of each event, those of equal size computed together."""
-    found: list[list] = [[] for _ in events]
+
+def recombined(p4: np.ndarray, metric: Metric, beam: Callable[[np.ndarray], np.ndarray] | None = None) -> History:
+    """Smallest distance first, in all events of ``p4`` (event, object, 4) together, until one object is left, or with ``beam`` none.
+
+    Ties go to the smaller pair, a pair before the beam.
+    """
+    events, n = p4.shape[:2]
+    steps = n if beam else n - 1
+    size = n + max(steps, 0)
+    rows = np.arange(events)
+    nodes, f = np.zeros((events, size, 4)), None
+    nodes[:, :n] = p4
+    first = metric.features(nodes[:, :n])
+    f = np.zeros((events, size, first.shape[-1]))
+    f[:, :n] = first
+    alive = np.zeros((events, size), bool)
+    alive[:, :n] = True
+    near, far = np.zeros((events, size), np.int32), np.full((events, size), np.inf)  # nearest later object and its distance
+    for i in range(n - 1):
+        d = metric.pair(f[:, i, None], f[:, i + 1 : n])
+        near[:, i] = i + 1 + d.argmin(axis=1)
+        far[:, i] = d[rows, near[:, i] - i - 1]
+    out = np.full((events, size), np.inf)
+    if beam:
+        out[:, :n] = beam(nodes[:, :n])
+    left, right, distance = np.zeros((events, steps), np.int32), np.full((events, steps), -1, np.int32), np.zeros((events, steps))
+    at_once = max(1, BUDGET // (8 * size * 8))
+    for step in range(steps):
+        new = n + step
+        i = far.argmin(axis=1)
+        d = far[rows, i]
+        j = near[rows, i]
+        gone = np.zeros(events, bool)
+        if beam:
+            k = out.argmin(axis=1)
+            gone = out[rows, k] < d
+            i = np.where(gone, k, i)
+            d = np.where(gone, out[rows, k], d)
+        pair = np.flatnonzero(~gone)
+        left[:, step], distance[:, step] = i, d
+        right[pair, step] = j[pair]
+        for e, x in ((rows, i), (pair, j[pair])):
+            alive[e, x], far[e, x], out[e, x] = False, np.inf, np.inf
+        made = nodes[pair, i[pair]] + nodes[pair, j[pair]]
+        nodes[pair, new], alive[pair, new] = made, True
+        f[pair, new] = metric.features(made)
+        if beam:
+            out[pair, new] = beam(made)
+        # rows whose neighbour is gone look for another among all later objects; the others only at the new one
+        lost = alive & np.isfinite(far) & ((near == i[:, None]) | ((near == j[:, None]) & ~gone[:, None]))
+        if len(pair):
+            to_new = np.where(alive[pair, :new] & ~lost[pair, :new], metric.pair(f[pair, :new], f[pair, new, None]), np.inf)
+            closer = to_new < far[pair, :new]
+            e, k = np.nonzero(closer)
+            far[pair[e], k], near[pair[e], k] = to_new[e, k], new
+        e, k = np.nonzero(lost)
+        for at in range(0, len(e), at_once):
+            ee, kk = e[at : at + at_once], k[at : at + at_once]
+            d = metric.pair(f[ee, kk, None], f[ee, : new + 1])
+            d[~alive[ee, : new + 1] | (np.arange(new + 1) <= kk[:, None])] = np.inf
+            near[ee, kk] = d.argmin(axis=1)
+            far[ee, kk] = d[np.arange(len(ee)), near[ee, kk]]
+    return History(left, right, distance, nodes)
+
+
+def _by_size(groups: list[np.ndarray], width: int = 600) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Places of groups with equally many rows, at most ``BUDGET`` bytes at a time by ``width`` bytes a row, and their rows as one array."""
     by_size: dict[int, list[int]] = {}
-    for e, p4 in enumerate(events):
-        by_size.setdefault(len(p4), []).append(e)
+    for g, rows in enumerate(groups):
+        by_size.setdefault(len(rows), []).append(g)
     for n, own in by_size.items():
-        for at in range(0, len(own) if n else 0, at_once):
-            part = own[at : at + at_once]
-            for event, p4, inside in batched_jets(np.array([events[e] for e in part]), radius, power):
-                for e, p, members in zip(event.tolist(), p4, inside, strict=True):
-                    found[part[e]].append((p, np.flatnonzero(members).tolist()))
-    return [sorted(jets, key=lambda x: (-x[0][0], x[1][0])) for jets in found]
+        step = max(1, BUDGET // (width * max(n, 1)))
+        for at in range(0, len(own) if n else 0, step):
+            part = own[at : at + step]
+            yield part, np.array([groups[g] for g in part], float)
 
 
-def invariant_mass(p: np.ndarray) -> float:
-    return float(np.sqrt(max(0.0, p[0] ** 2 - p[1] ** 2 - p[2] ** 2 - p[3] ** 2)))
+def jets_of_events(events: list[np.ndarray], radius: float, power: float = -1.0) -> list[list[tuple[np.ndarray, list[int]]]]:
+    """Inclusive jets of the e+e- generalised kt algorithm in each event (rows are E, px, py, pz): (four-vector, constituents), by energy, then first constituent."""
+    scale = 1.0 - np.cos(radius) if radius <= np.pi else 3.0 + np.cos(radius)
+    found: list[list] = [[] for _ in events]
+    for part, p4 in _by_size(events):
+        n = p4.shape[1]
+        h = recombined(p4, energy_metric(scale, power), lambda x: weight(x, power))
+        rows = np.arange(len(part))
+        final = np.broadcast_to(np.arange(2 * n), (len(part), 2 * n)).copy()  # the jet of each object, the last ones first
+        for step in range(n - 1, -1, -1):
+            merged = h.right[:, step] >= 0
+            for side in (h.left, h.right):
+                own = rows[merged]
+                final[own, side[merged, step]] = final[own, n + step]
+        members = final[:, :n]
+        order = np.argsort(members, axis=1, kind="stable")
+        sorted_jets = np.take_along_axis(members, order, axis=1)
+        for e, jets, place in zip(range(len(part)), sorted_jets, order, strict=True):
+            cuts = np.flatnonzero(np.diff(jets)) + 1
+            for own in np.split(place, cuts):
+                found[part[e]].append((h.nodes[e, members[e, own[0]]], own.tolist()))
+    return [sorted(jets, key=lambda x: (-x[0][0], x[1][0])) for jets in found]
 
 
-def groomed_mass(p4: np.ndarray, z_cut: float = 0.1, beta: float = 0.0, r0: float = 0.8, electron: bool = False) -> float:
-    """SoftDrop mass: the tree (angular, or by ``electron`` energy-weighted) is opened from its root until a split is balanced."""
-    if len(p4) <= 1:
-        return 0.0
-    merges, _, nodes = recombine(p4, energy_distance if electron else delta_r)
-    split = {new: (i, j, d) for i, j, d, new in merges}
-    at = len(nodes) - 1
-    while at in split:
-        i, j, d = split[at]
-        a, b = np.hypot(*nodes[i][1:3]), np.hypot(*nodes[j][1:3])
-        if a + b == 0:
-            return 0.0
+def groomed_masses(p4: np.ndarray, z_cut: float = 0.1, beta: float = 0.0, r0: float = 0.8, electron: bool = False) -> np.ndarray:
+    """SoftDrop mass of many jets of n particles: trees (angular, or by ``electron`` energy-weighted) are opened from their roots until a split is balanced."""
+    jets, n = p4.shape[:2]
+    if n <= 1:
+        return np.zeros(jets)
+    h = recombined(p4, energy_metric() if electron else ANGULAR)
+    pt = np.hypot(h.nodes[..., 1], h.nodes[..., 2])
+    rows, at = np.arange(jets), np.full(jets, 2 * n - 2)
+    walking, empty = np.ones(jets, bool), np.zeros(jets, bool)
+    while walking.any():
+        own = rows[walking]
+        step = at[own] - n
+        i, j, d = h.left[own, step], h.right[own, step], h.distance[own, step]
+        a, b = pt[own, i], pt[own, j]
+        both = a + b
         if electron:
-            d = d / min(weight(nodes[[i, j]])) / (1.0 - np.cos(r0))
+            d = d / np.minimum(weight(h.nodes[own, i]), weight(h.nodes[own, j])) / (1.0 - np.cos(r0))
         else:
             d = d / r0
-        if min(a, b) / (a + b) > z_cut * d**beta:
-            break
-        at = i if a >= b else j
-    return invariant_mass(nodes[at])
+        ends = (both == 0) | (np.minimum(a, b) / np.where(both == 0, 1.0, both) > z_cut * d**beta)
+        empty[own[both == 0]] = True
+        at[own[~ends]] = np.where(a >= b, i, j)[~ends]
+        walking[own[ends]] = False
+        walking &= at >= n
+    return np.where(empty, 0.0, invariant_mass(h.nodes[rows, at]))
 
 
-def subjettiness(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray, axes_eta: np.ndarray, axes_phi: np.ndarray, r0: float = 0.8) -> float:
-    """Sum of pt * min(nearest axis, r0), over the summed pt * r0."""
-    d = phi[:, None] - axes_phi[None, :]
-    near = np.minimum(np.hypot(eta[:, None] - axes_eta[None, :], np.arctan2(np.sin(d), np.cos(d))).min(axis=1), r0)
-    return float((pt * near).sum() / (pt.sum() * r0))
+def subjettiness(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray, axes_eta: np.ndarray, axes_phi: np.ndarray, r0: float = 0.8) -> np.ndarray:
+    """Sum of pt * min(nearest axis, r0), over the summed pt * r0, of many jets (jet, particle) with axes (jet, axis)."""
+    near = np.full(pt.shape, r0)
+    for k in range(axes_eta.shape[1]):
+        near = np.minimum(near, np.hypot(eta - axes_eta[:, k, None], turned(phi, axes_phi[:, k, None])))
+    return (pt * near).sum(axis=1) / (pt.sum(axis=1) * r0)
 
 
 def iterated_axes(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray, n: int, rounds: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Axes from the n hardest particles, moved to their particles' centres; an axis that loses all its particles goes to (0, 0)."""
-    top = np.argsort(-pt, kind="stable")[:n]
-    a_eta, a_phi = eta[top], phi[top]
+    """Axes from the n hardest particles of each jet, moved to their particles' centres; an axis that loses all its particles goes to (0, 0)."""
+    top = np.argsort(-pt, axis=1, kind="stable")[:, :n]
+    a_eta, a_phi = np.take_along_axis(eta, top, axis=1), np.take_along_axis(phi, top, axis=1)
     for _ in range(rounds):
-        d = phi[:, None] - a_phi[None, :]
-        own = np.hypot(eta[:, None] - a_eta[None, :], np.arctan2(np.sin(d), np.cos(d))).argmin(axis=1)[None, :] == np.arange(n)[:, None]
-        w = pt * own
-        total = w.sum(axis=1)
-        a_eta = (w * eta).sum(axis=1) / np.where(total > 0, total, 1.0)
-        a_phi = np.arctan2((w * np.sin(phi)).sum(axis=1), (w * np.cos(phi)).sum(axis=1))
+        d = np.stack([np.hypot(eta - a_eta[:, k, None], turned(phi, a_phi[:, k, None])) for k in range(a_eta.shape[1])])
+        own = d.argmin(axis=0)
+        for k in range(a_eta.shape[1]):
+            w = pt * (own == k)
+            total = w.sum(axis=1)
+            a_eta[:, k] = (w * eta).sum(axis=1) / np.where(total > 0, total, 1.0)
+            a_phi[:, k] = np.arctan2((w * np.sin(phi)).sum(axis=1), (w * np.cos(phi)).sum(axis=1))
     return a_eta, a_phi
 
 
-def exclusive_axes(p4: np.ndarray, n: int, radius: float = 0.8) -> tuple[np.ndarray, np.ndarray]:
-    scale = 1.0 - np.cos(radius)
-    if n > 1:
-        _, last, nodes = recombine(p4, lambda x: energy_distance(x) / scale, weight, stop=n)
-        taken = nodes[last[-n:]]
-    else:  # the last object before the beam takes it
-        merges, final, nodes = recombine(p4, lambda x: energy_distance(x) / scale, weight)
-        taken = nodes[final[-1:]]
-    return eta_phi(taken)
-
-
-def thrust(p3: np.ndarray, rounds: int = 100) -> float:
-    """Largest sum of |p . n| over the summed |p|, by iteration from the total momentum (a local maximum); NaN without momentum."""
-    size = np.linalg.norm(p3, axis=1).sum()
-    n = p3.sum(axis=0)
-    if size == 0 or np.linalg.norm(n) == 0:
-        return float("nan")
-    n = n / np.linalg.norm(n)
-    for _ in range(rounds):
-        new = (np.sign(p3 @ n)[:, None] * p3).sum(axis=0)
-        if np.linalg.norm(new) == 0:
-            break
-        new = new / np.linalg.norm(new)
-        if np.allclose(new, n):
-            break
-        n = new
-    return float(np.abs(p3 @ n).sum() / size)
+def exclusive_axes(h: History, n_particles: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n objects that are left before the last n steps of histories with a beam; fewer steps cut the same tree higher up."""
+    steps = n_particles - n
+    alive = np.zeros((len(h.left), 2 * n_particles), bool)
+    alive[:, :n_particles] = True
+    rows = np.arange(len(h.left))
+    for step in range(steps):
+        pair = h.right[:, step] >= 0
+        alive[rows, h.left[:, step]] = False
+        alive[rows[pair], h.right[pair, step]] = False
+        alive[rows[pair], n_particles + step] = True
+    taken = np.argsort(~alive, axis=1, kind="stable")[:, :n]
+    return eta_phi(np.take_along_axis(h.nodes, taken[:, :, None], axis=1))
+
+
+SUBSTRUCTURE = ("sdmass", "sdmass_ee", *(f"tau{n}" for n in range(1, 5)), *(f"tau{n}_ee" for n in range(1, 5)))
+
+
+def substructure_of(groups: list[np.ndarray], r0: float = 0.8) -> np.ndarray:
+    """SUBSTRUCTURE of each group of particles (rows are pt, eta, phi), NaN for an empty one: both groomed masses, subjettiness for iterated axes and for exclusive subjets."""
+    out = np.full((len(groups), len(SUBSTRUCTURE)), np.nan)
+    for part, rows in _by_size(groups):
+        pt, eta, phi = rows[..., 0], rows[..., 1], rows[..., 2]
+        n, p4 = rows.shape[1], massless(pt, eta, phi)
+        made = [groomed_masses(p4, r0=r0), groomed_masses(p4, r0=r0, electron=True)]
+        for k in range(1, 5):  # fewer particles than axes: the missing axes are at (0, 0)
+            short = np.zeros((len(part), max(0, k - n)))
+            a_eta, a_phi = iterated_axes(pt, eta, phi, min(k, n))
+            made.append(subjettiness(pt, eta, phi, np.hstack([a_eta, short]), np.hstack([a_phi, short]), r0))
+        h = recombined(p4, energy_metric(1.0 - np.cos(r0)), weight)
+        made += [subjettiness(pt, eta, phi, *exclusive_axes(h, n, k), r0) if n > k else np.zeros(len(part)) for k in range(1, 5)]
+        out[part] = np.stack(made, axis=1)
+    return out
 
 
 def batched_thrust(p3: np.ndarray, rounds: int = 100) -> np.ndarray:
-    """``thrust`` of many events at once; p3 is (events, n, 3), short events filled with zeros."""
+    """Largest sum of |p . n| over the summed |p| by iteration from the total momentum (a local maximum), NaN without momentum; p3 is (events, n, 3), short events filled with zeros."""
     size, total = np.linalg.norm(p3, axis=2).sum(axis=1), p3.sum(axis=1)
     length = np.linalg.norm(total, axis=1)
     ok = (size > 0) & (length > 0)
@@ -239,10 +292,6 @@ def batched_thrust(p3: np.ndarray, rounds: int = 100) -> np.ndarray:
     return np.where(ok, np.abs((p3 * n[:, None, :]).sum(axis=2)).sum(axis=1) / np.where(ok, size, 1.0), np.nan)
 
 
-def massless(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray) -> np.ndarray:
-    return np.column_stack([pt * np.cosh(eta), pt * np.cos(phi), pt * np.sin(phi), pt * np.sinh(eta)])
-
-
 # --- over DataFrames -------------------------------------------------------------------------------
 
 
@@ -250,13 +299,16 @@ def _gathered(particles: DataFrame, keys: tuple[str, ...], fields: tuple[str, ..
     return particles.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pidx", *fields))).alias("c"))
 
 
-def _vectors(column: pa.ListArray, fields: tuple[str, ...]) -> list[np.ndarray]:
-    """Each row's structs as a matrix, without Python objects for their values; NULL rows are empty."""
-    bounds = column.offsets.to_numpy()
-    values = column.values
-    flat = np.column_stack([values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in fields]) if len(values) else np.zeros((0, len(fields)))
-    null = column.is_null().to_numpy(zero_copy_only=False)
-    return [flat[0:0] if gone else flat[a:b] for a, b, gone in zip(bounds[:-1], bounds[1:], null, strict=True)]
+def _groups(*lists: pa.Array) -> list[np.ndarray]:
+    """Each row's lists as the columns of a matrix, without Python objects for their values; NULL rows are empty."""
+    first = lists[0]
+    values = [x.values.to_numpy(zero_copy_only=False).astype(float) for x in lists]
+    bounds = [x.offsets.to_numpy() for x in lists]
+    null = first.is_null().to_numpy(zero_copy_only=False)
+    out = []
+    for r in range(len(first)):
+        out.append(np.zeros((0, len(lists))) if null[r] else np.column_stack([v[b[r] : b[r + 1]] for v, b in zip(values, bounds, strict=True)]))
+    return out
 
 
 JETS = pa.list_(pa.struct([("px", pa.float64()), ("py", pa.float64()), ("pz", pa.float64()), ("energy", pa.float64()), ("constituents", pa.list_(pa.int32()))]))
@@ -266,20 +318,19 @@ JETS_SCHEMA = "array<struct<px: double, py: double, pz: double, energy: double,
 def with_jets(events: DataFrame, radius: dict[str, float], power: float = -1.0, min_pt: float = 0.0) -> DataFrame:
     """Adds ``<list>_jets`` for each named list of particles (structs with energy, px, py, pz): the list's jets, with constituents by place.
 
-    All lists of an event are clustered in one pass; the other columns go through as they are.
+    All lists of an event are clustered in one pass, and only the four numbers of each particle go to it.
     """
-    schema = T.StructType([*events.schema.fields, *[T.StructField(f"{c}_jets", T.StructType.fromDDL(f"jets {JETS_SCHEMA}")["jets"].dataType) for c in radius]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for name, r in radius.items():
-                found = jets_of_events(_vectors(batch.column(name), ("energy", "px", "py", "pz")), r, power)
-                rows = [[{"px": p[1], "py": p[2], "pz": p[3], "energy": p[0], "constituents": own} for p, own in jets if np.hypot(p[1], p[2]) >= min_pt] for jets in found]
-                made.append(pa.array(rows, JETS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
+    def kernel(r: float) -> Callable:
+        def jets(energy: pa.Array, px: pa.Array, py: pa.Array, pz: pa.Array) -> pa.Array:
+            found = jets_of_events(_groups(energy, px, py, pz), r, power)
+            rows = [[{"px": p[1], "py": p[2], "pz": p[3], "energy": p[0], "constituents": own} for p, own in jets if np.hypot(p[1], p[2]) >= min_pt] for jets in found]
+            return pa.array(rows, JETS)
 
-    return events.mapInArrow(run, schema)
+        return F.arrow_udf(jets, JETS_SCHEMA)
+
+    made = {f"{name}_jets": kernel(r)(*[F.col(f"{name}.{c}") for c in ("energy", "px", "py", "pz")]) for name, r in radius.items()}
+    return events.withColumns(made)
 
 
 def cluster(particles: DataFrame, radius: float = 0.4, power: float = -1.0, min_pt: float = 0.0) -> DataFrame:
@@ -290,33 +341,17 @@ def cluster(particles: DataFrame, radius: float = 0.4, power: float = -1.0, min_
     return rows.select("event_id", "jet_id", "j.px", "j.py", "j.pz", "j.energy", ids.alias("constituents"))
 
 
-SUBSTRUCTURE = ("sdmass", "sdmass_ee", *(f"tau{n}" for n in range(1, 5)), *(f"tau{n}_ee" for n in range(1, 5)))
-
-
-def substructure_of(pt: np.ndarray, eta: np.ndarray, phi: np.ndarray, r0: float = 0.8) -> list[float]:
-    """SUBSTRUCTURE of one group of particles: both groomed masses, subjettiness for iterated axes and for exclusive subjets."""
-    p4 = massless(pt, eta, phi)
-    out = [groomed_mass(p4, r0=r0), groomed_mass(p4, r0=r0, electron=True)]
-    for n in range(1, 5):  # fewer particles than axes: the missing axes are at (0, 0)
-        short = np.zeros(max(0, n - len(pt)))
-        a_eta, a_phi = iterated_axes(pt, eta, phi, min(n, len(pt)))
-        out.append(subjettiness(pt, eta, phi, np.concatenate([a_eta, short]), np.concatenate([a_phi, short]), r0))
-    for n in range(1, 5):
-        out.append(0.0 if len(pt) <= n else subjettiness(pt, eta, phi, *exclusive_axes(p4, n, r0), r0))
-    return out
-
-
 def with_substructure(rows: DataFrame, particles: str, r0: float = 0.8) -> DataFrame:
-    """Adds SUBSTRUCTURE of the list ``particles`` (structs with pt, eta, phi) to each row, NULL for an empty list; the other columns go through as they are."""
-    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, T.DoubleType()) for n in SUBSTRUCTURE]])
+    """Adds SUBSTRUCTURE of the list ``particles`` (structs with pt, eta, phi) to each row, NULL for an empty list; only these three lists leave the row."""
+    kind = pa.struct([(n, pa.float64()) for n in SUBSTRUCTURE])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [substructure_of(*v.T, r0) if len(v) else [None] * len(SUBSTRUCTURE) for v in _vectors(batch.column(particles), ("pt", "eta", "phi"))]
-            columns = list(zip(*made, strict=True)) or [[] for _ in SUBSTRUCTURE]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.float64()) for c in columns]], schema.names)
+    def values(pt: pa.Array, eta: pa.Array, phi: pa.Array) -> pa.Array:
+        made = substructure_of(_groups(pt, eta, phi), r0)
+        return pa.StructArray.from_arrays([pa.array(c, pa.float64(), from_pandas=True) for c in made.T], fields=list(kind))
 
-    return rows.mapInArrow(run, schema)
+    kernel = F.arrow_udf(values, "struct<" + ", ".join(f"{n}: double" for n in SUBSTRUCTURE) + ">")
+    out = rows.withColumn("__made", kernel(*[F.col(f"{particles}.{c}") for c in ("pt", "eta", "phi")]))
+    return out.select(*rows.columns, *[F.col(f"__made.{n}").alias(n) for n in SUBSTRUCTURE])
 
 
 def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "jet_id"), r0: float = 0.8) -> DataFrame:
@@ -324,15 +359,16 @@ def substructure(constituents: DataFrame, keys: tuple[str, ...] = ("event_id", "
     return with_substructure(_gathered(constituents, keys, ("pt", "eta", "phi")), "c", r0).drop("c")
 
 
-def event_thrust(particles: DataFrame) -> DataFrame:
-    """event_id, thrust."""
+def thrust_of(events: list[np.ndarray]) -> np.ndarray:
+    """Thrust of each event (rows are px, py, pz), NaN without momentum."""
+    out = np.full(len(events), np.nan)
+    for part, p3 in _by_size(events, 120):
+        out[part] = batched_thrust(p3)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            events = _vectors(batch.column("c"), ("px", "py", "pz"))
-            p3 = np.zeros((len(events), max(map(len, events), default=0), 3))
-            for e, v in enumerate(events):
-                p3[e, : len(v)] = v
-            yield pa.RecordBatch.from_arrays([batch.column("event_id"), pa.array(batched_thrust(p3), pa.float64())], ["event_id", "thrust"])
 
-    return _gathered(particles, ("event_id",), ("px", "py", "pz")).mapInArrow(run, "event_id long, thrust double")
+def event_thrust(particles: DataFrame) -> DataFrame:
+    """event_id, thrust."""
+    kernel = F.arrow_udf(lambda px, py, pz: pa.array(thrust_of(_groups(px, py, pz)), pa.float64()), "double")
+    lists = _gathered(particles, ("event_id",), ("px", "py", "pz"))
+    return lists.select("event_id", kernel("c.px", "c.py", "c.pz").alias("thrust"))

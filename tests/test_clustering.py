@@ -9,7 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from jetloom.operators import clustering as c
+import plain_clustering as c
+from jetloom.operators import clustering as batched
 
 
 def plain_jets(p4, radius):
@@ -194,10 +195,74 @@ def test_thrust_equals_plain_loops(rows):
     assert c.thrust(np.array(p3)) == pytest.approx(want, abs=1e-4) and got[0] == pytest.approx(want, abs=1e-4) and np.isnan(got[1])
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(momenta, min_size=1, max_size=6), st.sampled_from([0.4, 0.8, 3.5]))
 def test_batched_jets_equal_single_events(events, radius):
     vectors = [c.massless(*[np.array(x) for x in zip(*rows, strict=True)]) for rows in events] + [np.zeros((0, 4))]
-    for got, p4 in zip(c.jets_of_events(vectors, radius, at_once=2), vectors, strict=True):
+    for got, p4 in zip(batched.jets_of_events(vectors, radius), vectors, strict=True):
         want = c.genkt_jets(p4, radius)
         assert [own for _, own in got] == [own for _, own in want] and all(np.allclose(a, b) for (a, _), (b, _) in zip(got, want, strict=True))
+
+
+def random_jets(seed, sizes):
+    rng = np.random.default_rng(seed)
+    return [np.column_stack([rng.exponential(2, n) + 0.05, rng.normal(0, 0.3, n), rng.normal(0, 0.3, n)]) for n in sizes]
+
+
+@pytest.mark.parametrize("sizes", [[1, 2, 3, 4, 5, 5, 5, 8, 0, 30], [60, 60], [300]])
+def test_batched_trees_equal_single_jets(sizes):
+    jets = random_jets(len(sizes), sizes)
+    made = batched.substructure_of(jets)
+    for got, jet in zip(made, jets, strict=True):
+        if len(jet):
+            assert np.allclose(got, c.substructure_of(*jet.T), atol=1e-6)
+        else:
+            assert np.isnan(got).all()
+    for rows, jet in zip(batched.jets_of_events([batched.massless(*j.T) for j in jets], 0.4), jets, strict=True):
+        assert [own for _, own in rows] == [own for _, own in c.genkt_jets(batched.massless(*jet.T), 0.4)]
+
+
+def test_objects_without_momentum_or_energy_and_ties():
+    still = np.array([[1.0, 0, 0, 0], [0.0, 0, 0, 0], [2.0, 1, 0, 0], [2.0, 1, 0, 0], [2.0, 1, 0, 0]])
+    for p4 in (still, still[::-1], still[2:]):
+        got = batched.jets_of_events([p4, p4], 0.4)
+        assert [own for _, own in got[0]] == [own for _, own in got[1]] == [own for _, own in c.genkt_jets(p4, 0.4)]
+
+
+def test_memory_of_a_batch_has_a_bound(monkeypatch):
+    """4,096 events of 300 particles: what is held at once follows the budget and not the events' pairs."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    one = batched.massless(rng.exponential(2, (4096, 300)) + 0.05, rng.normal(0, 1, (4096, 300)), rng.uniform(-3, 3, (4096, 300)))
+    monkeypatch.setattr(batched, "BUDGET", 64 << 20)
+    work = list(batched._by_size(list(one)))
+    assert len(work) > 4 and sum(len(part) for part, _ in work) == 4096
+    tracemalloc.start()
+    h = batched.recombined(work[0][1], batched.energy_metric(0.1), batched.weight)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20 and (h.right < 0).any(axis=1).all()
+
+
+def test_only_the_kernels_lists_go_to_python(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3).select(F.col("id").alias("event_id"), F.array(F.struct(*[F.lit(1.0).alias(x) for x in ("energy", "px", "py", "pz", "pt", "eta", "phi")], F.lit("kept").alias("rest"))).alias("c"))
+    plan = batched.with_substructure(batched.with_jets(rows, {"c": 0.4}), "c")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    out = batched.with_jets(rows, {"c": 0.4}).select("c.rest", F.size("c_jets").alias("n")).collect()
+    assert [(r.rest, r.n) for r in out] == [(["kept"], 1)] * 3
+
+
+def test_substructure_query_equals_single_jets_over_the_whole_table(spark, sf_dir):
+    from jetloom.plans.queries import QUERIES
+    from jetloom.sources import fixture
+
+    particles = {(r.event_id, r.pidx): (r.pt, r.eta, r.phi) for r in fixture.particles(spark, sf_dir).collect()}
+    jets = {(r.event_id, r.jet_id): r.constituents for r in c.cluster(fixture.particles(spark, sf_dir), 0.8).collect()}
+    rows = {(r.event_id, r.jet_id): r for r in QUERIES["jets_substructure"](spark, sf_dir).collect()}
+    assert rows.keys() == jets.keys() and len(rows) > 1000
+    for key, own in jets.items():
+        want = c.substructure_of(*np.array([particles[key[0], i] for i in sorted(own)]).T)
+        assert np.allclose([rows[key][n] for n in batched.SUBSTRUCTURE], want, atol=1e-5)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import plain_clustering
 import pytest
 from pyspark.sql import functions as F
 
-from jetloom.operators import clustering, filters, lifetime, sampling, taus, weights
+from jetloom.operators import filters, lifetime, sampling, taus, weights
 from jetloom.plans import pipelines, queries
 from jetloom.sources import events as events_
 from jetloom.sources import fixture, readers, sinks
@@ -45,14 +46,14 @@ def plain_records(p, gen, taus_, radius=0.4, cut=0.4):
     for e, rows in events.items():
         mine = gens.get(e, [])
         vec = lambda rs: np.array([[r.energy, r.px, r.py, r.pz] for r in rs])
-        right = [(v, own) for v, own in clustering.genkt_jets(vec(mine), radius) if not {13, 15} & {abs(mine[i].pdg) for i in own}] if mine else []
+        right = [(v, own) for v, own in plain_clustering.genkt_jets(vec(mine), radius) if not {13, 15} & {abs(mine[i].pdg) for i in own}] if mine else []
         places = [where(v) for v, _ in right]
         tau_of = {}
         for t in ts.get(e, []):
             dr, k = near((t.eta, t.phi), places) if t.vis_energy else (9, None)
             if dr < cut:
                 tau_of[k] = t.decaymode
-        for n, (v, own) in enumerate(clustering.genkt_jets(vec(rows), radius)):
+        for n, (v, own) in enumerate(plain_clustering.genkt_jets(vec(rows), radius)):
             dr, k = near(where(v), places)
             if dr < cut:
                 out[e, n] = (right[k][0][0], tau_of.get(k), [rows[i].pidx for i in own], v[0])
