@@ -300,7 +300,7 @@ def _scanned(rows: DataFrame, pair: Pair, folder: str) -> DataFrame:
                 scan.take(batch)
         yield _as_batch(scan.end(), out)
 
-    return written(_ordered(rows, "bucket", "key", "tag").mapInArrow(run, schema), "cobucket-scan", few_files=True)
+    return written(_ordered(rows, "bucket", "key", "tag").mapInArrow(run, schema), "cobucket-scan")
 
 
 def _in_runs(rows: DataFrame, pair: Pair, folder: str) -> DataFrame:
@@ -327,7 +327,7 @@ def _in_runs(rows: DataFrame, pair: Pair, folder: str) -> DataFrame:
             lines.append(_line(part, *at, "run", open_run.close()))
         yield _as_batch(lines, out)
 
-    return written(_ordered(rows, "tag", "file", "key").mapInArrow(run, schema), "cobucket-runs", few_files=True)
+    return written(_ordered(rows, "tag", "file", "key").mapInArrow(run, schema), "cobucket-runs")
 
 
 def _whole(files: DataFrame, pair: Pair, folder: str, prefix: str, staging: str) -> DataFrame:
