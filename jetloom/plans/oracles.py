@@ -231,7 +231,7 @@ e AS (SELECT {ends}, min(pt) AS lo_apt, max(pt) AS hi_apt, max(greatest(energy,
 def oracle_sql() -> dict[str, str]:
     seed = "(((((42*31 + event_id) * 2654435 + 12345) % 4294967296) * 31 + pidx) * 2654435 + 12345) % 4294967296"
     n_of = lambda *c: f"count(*) FILTER (abs(pdg) IN ({', '.join(map(str, c))}))"
-    return {
+    found = {
         "p4_kinematics": f"WITH {P} SELECT event_id, pidx, {rnd('pt')}, {rnd('eta')}, {rnd('phi')}, {rnd('energy')}, {rnd('pt*cosh(eta)', 'p')}, {rnd('degrees(' + th('eta') + ')', 'theta_deg')}, {rnd('mass', n=4)} FROM p".replace("round(phi, 6)", "round(atan2(py, px), 6)"),
         "angular_features": f"""WITH {P} SELECT a.event_id, a.pidx, b.pidx AS b_pidx, {rnd('abs(' + dphi('a.phi', 'b.phi') + ')', 'dphi')}, {rnd('cos(a.phi - b.phi)', 'cos_dphi')}, {rnd('abs(a.eta - b.eta)', 'deta')},
  {rnd(f'abs({th("a.eta")} - {th("b.eta")})', 'dtheta')}, {rnd(dr('a.eta', 'a.phi', 'b.eta', 'b.phi'), 'dr')}, {rnd(f'sqrt(pow({th("a.eta")} - {th("b.eta")}, 2) + pow({dphi("a.phi", "b.phi")}, 2))', 'dr_theta')},
@@ -405,3 +405,4 @@ def oracle_sql() -> dict[str, str]:
  SELECT event_id, jet_id, count(*) AS jet_nparticles, {rnd('any_value(jpt)', 'jet_pt', 8)}, {rnd('sqrt(greatest(pow(sum(energy), 2) - pow(sum(px), 2) - pow(sum(py), 2) - pow(sum(pz), 2), 0))', 'mass_from_p4s', 3)}, CAST(count(*) AS INTEGER) AS n_parts,
  {rnd('max(CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END)', 'top_dz', 3)}, {rnd('sum(ppt/jpt)', 'sum_ptrel', 5)}, {rnd('max(' + dr('peta', 'pphi', 'jeta', 'jphi') + ')', 'max_dr', 5)}, max(CASE WHEN pdg = 22 THEN 1.0::DOUBLE ELSE 0 END) AS photon FROM n GROUP BY event_id, jet_id HAVING any_value(jpt) > 0 AND NOT bool_or(ppt <= 0)""",
     }
+    return found | {"jets_by_sql": found["jets_ee_genkt"], "thrust_by_sql": found["thrust"]}

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jetloom.functions import arrays, p4, pdg
+from jetloom.functions import arrays, p4, pdg, tables
 from jetloom.operators import clustering, filters, histograms, histset, lifetime, matching, permutation, sampling, shapes, taus, tensors, validation, weights
 from jetloom.sources import events as nested
 from jetloom.sources import fixture, readers, versions
@@ -803,3 +804,21 @@ def validation_one_scan(spark, sf_dir):
     jets = _merged_jets(spark, sf_dir)
     wide = [replace(t, axis=replace(t.axis, lo=-1.95, hi=2.05, bins=20), y_axis=replace(t.y_axis, lo=-1.95, hi=2.05, bins=20)) if t.name.startswith("shape") else t for t in histset.standard_tables(jets.columns)]
     return rounded(histset.filled(jets, wide, ("is_signal",)), "value", digits=4)
+
+
+@query
+def jets_by_sql(spark, sf_dir):
+    """Jets from a statement over a view of the particles."""
+    tables.register(spark)
+    view = f"particles_{uuid4().hex}"
+    _p(spark, sf_dir).select("event_id", "pidx", "energy", "px", "py", "pz").createOrReplaceTempView(view)
+    return spark.sql(f"""SELECT event_id, jet_id, round(px, 8) + 0.0D AS px, round(py, 8) + 0.0D AS py, round(pz, 8) + 0.0D AS pz, round(energy, 8) + 0.0D AS energy,
+        concat_ws(',', constituents) AS constituents FROM jets(TABLE({view}) PARTITION BY (event_id), 0.4)""")
+
+
+@query
+def thrust_by_sql(spark, sf_dir):
+    tables.register(spark)
+    view = f"particles_{uuid4().hex}"
+    _p(spark, sf_dir).select("event_id", "px", "py", "pz").createOrReplaceTempView(view)
+    return spark.sql(f"SELECT event_id, round(thrust, 5) + 0.0D AS thrust FROM thrust(TABLE({view}) PARTITION BY event_id)")
