@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +109,24 @@ def confusion(df: DataFrame, a: str, b: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(counts.agg(same.alias("trace_fraction"))))  # one row
 
 
+def ordered_confusion(df: DataFrame, a: str, b: str, label: Callable[[Column], Column]) -> DataFrame:
+    """The confusion matrix of two lists of codes: a_index, b_index, a_label, b_label, n, and the share of the diagonal in all.
+
+    Rows and columns are in the order of the number of codes, then the codes; the order is over the distinct lists.
+    """
+    counts = df.groupBy(a, b).agg(F.count("*").alias("n"))
+    text = lambda c: F.array_join(F.transform(c, label), ", ")
+
+    def indexed(c: str) -> DataFrame:
+        order = Window.orderBy(F.size(c), c)
+        return counts.select(c).distinct().select(c, (F.row_number().over(order) - 1).cast("int").alias(f"{c}_index"), text(c).alias(f"{c}_label"))
+
+    placed = counts.join(indexed(a), a).join(indexed(b), b)
+    diagonal = F.sum(F.when(F.col(f"{a}_index") == F.col(f"{b}_index"), F.col("n")).otherwise(0)) / F.sum("n")
+    out = placed.crossJoin(F.broadcast(placed.agg(diagonal.alias("diagonal"))))  # one row
+    return out.select(f"{a}_index", f"{b}_index", f"{a}_label", f"{b}_label", "n", "diagonal")
+
+
 def validation_tables(jets: DataFrame, keys: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """The standard set over jet rows with pt, mass, n_cands, decaymode and long candidate rows' columns."""
     return {

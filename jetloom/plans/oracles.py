@@ -184,6 +184,16 @@ w AS ({once('(SELECT id, id AS x, a, b, n FROM t, s)')} UNION ALL {once('(SELECT
 SELECT event_id, pidx, x AS place, CAST(x * 8 // n AS INTEGER) AS file FROM w JOIN t USING (id) WHERE x < n"""
 
 
+def codes(text: str) -> str:
+    return f"CASE WHEN {text} = '' THEN [] ELSE CAST(string_split({text}, ' ') AS INTEGER[]) END"
+
+
+def labels(text: str) -> str:
+    names = {211: "charged hadron", 321: "charged kaon", 130: "neutral hadron", 111: "neutral pion", 22: "photon", 11: "electron", 13: "muon", 15: "tau"}
+    name = "CASE x " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in names.items()) + " ELSE 'invisible' END"
+    return f"array_to_string(list_transform({codes(text)}, lambda x: {name}), ', ')"
+
+
 def _one_scan() -> str:
     """Each validation table as a query of its own over jets (j) and their candidates (c); ends of axes from the row e."""
     edges = lambda lo, hi, n: f"list_transform(range(0, {n} + 1), lambda i: {lo} + i*(({hi} - {lo})/{n}))"
@@ -283,7 +293,11 @@ def oracle_sql() -> dict[str, str]:
         "dm_percentages": f"WITH {P}, {TAUS} SELECT decaymode, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (), 2) AS percent FROM tm GROUP BY decaymode",
         "candidate_ids": f"WITH {P} SELECT event_id, pidx, CAST({CAND.replace('d.', '')} AS INTEGER) AS from_table, CAST({CAND.replace('d.', '')} AS INTEGER) AS from_track, charge AS q FROM p",
         "signature_confusion": f"WITH {P}, {SIG} SELECT gen_sig, reco_sig, count(*) AS n, {rnd('sum(CASE WHEN gen_sig = reco_sig THEN count(*) ELSE 0 END) OVER () / sum(count(*)) OVER ()', 'trace_fraction')} FROM sg GROUP BY gen_sig, reco_sig",
-        "signature_topk": f"WITH {P}, {SIG} SELECT reco_sig, count(*) AS n FROM sg GROUP BY reco_sig ORDER BY n DESC, length(reco_sig), reco_sig LIMIT 10",
+        "signature_topk": f"WITH {P}, {SIG} SELECT reco_sig, count(*) AS n FROM sg GROUP BY reco_sig ORDER BY n DESC, len({codes('reco_sig')}), {codes('reco_sig')} LIMIT 10",
+        "signature_matrix": f"""WITH {P}, {SIG}, c AS (SELECT gen_sig, reco_sig, count(*) AS n FROM sg GROUP BY ALL),
+ g AS (SELECT gen_sig, CAST(row_number() OVER (ORDER BY len({codes('gen_sig')}), {codes('gen_sig')}) - 1 AS INTEGER) AS gi FROM (SELECT DISTINCT gen_sig FROM c)),
+ r AS (SELECT reco_sig, CAST(row_number() OVER (ORDER BY len({codes('reco_sig')}), {codes('reco_sig')}) - 1 AS INTEGER) AS ri FROM (SELECT DISTINCT reco_sig FROM c))
+ SELECT gi AS gen_codes_index, ri AS reco_codes_index, {labels('gen_sig')} AS gen_codes_label, {labels('reco_sig')} AS reco_codes_label, n, {rnd('sum(CASE WHEN gi = ri THEN n ELSE 0 END) OVER () / sum(n) OVER ()', 'diagonal')} FROM c JOIN g USING (gen_sig) JOIN r USING (reco_sig)""",
         "seeded_split": f"WITH {P}, k AS (SELECT event_id, pidx, is_signal, {seed} AS key FROM p) SELECT event_id, pidx, CASE WHEN row_number() OVER (PARTITION BY is_signal ORDER BY key, event_id, pidx) <= floor(count(*) OVER (PARTITION BY is_signal)*0.9) THEN 'train' ELSE 'test' END AS split FROM k",
         "validation_one_scan": _one_scan(),
         "permuted_rows": _permuted(P, seed.replace("42*31", "0*31")),
@@ -310,13 +324,13 @@ def oracle_sql() -> dict[str, str]:
         "near_fraction": f"WITH {P}, {S} SELECT is_signal, {rnd('avg(CASE WHEN abs(eta - jeta) < 0.8 THEN 1.0 ELSE 0.0 END)', 'near_eta', 5)}, {rnd('max(' + dr('eta', 'phi', 'jeta', 'jphi') + ')', 'max_dr', 5)} FROM e GROUP BY is_signal",
         "branching_ratios": f"WITH {P}, {TAUS}, c AS (SELECT decaymode, count(*) AS n FROM tm GROUP BY decaymode), z AS (SELECT n AS n0 FROM c WHERE decaymode = 0) SELECT decaymode, {rnd('n/n0', 'ratio')}, {rnd('n/n0*sqrt(1/n + 1/n0)', 'error')} FROM c, z",
         "uncommon_particles": f"WITH {P} SELECT event_id, count(DISTINCT abs(pdg)) FILTER (abs(pdg) NOT IN (11, 12, 13, 14, 16, 130, 211)) AS n_uncommon FROM p GROUP BY event_id",
-        "pad_clip_tensor": """WITH s AS (SELECT vec_id, embedding[1:CAST(vec_id % 30 + 1 AS INTEGER)] AS v FROM embeddings)
- SELECT vec_id, greatest(1, len(list_filter(v, lambda x: x > 2.5))) AS n_big, CAST(i AS INTEGER) AS i, round(CASE WHEN i < len(v) THEN CAST(v[i + 1] AS DOUBLE) ELSE 0.0 END, 6) + 0.0 AS value, i < len(v) AS valid FROM s, range(0, 20) r(i)""",
+        "pad_clip_tensor": """WITH s AS (SELECT vec_id, embedding AS v FROM embeddings)
+ SELECT vec_id, CAST(w AS INTEGER) AS width, greatest(1, len(list_filter(v, lambda x: x > 2.5))) AS n_big, CAST(i AS INTEGER) AS i, round(CASE WHEN i < len(v) THEN CAST(v[i + 1] AS DOUBLE) ELSE 0.0 END, 6) + 0.0 AS value, i < len(v) AS valid FROM s, (VALUES (20), (80)) q(w), range(0, 80) r(i) WHERE i < w""",
         "feature_matrix": f"""{LIFE}, f AS (SELECT p.event_id, p.pidx, ln(greatest(p.pt, 1e-6)) AS logpt, ln(greatest(p.energy, 1e-6)) AS loge, CAST(p.pdg = 22 AS INTEGER) AS isphoton, p.charge, CASE WHEN l.trk THEN l.dz / l.dz_error ELSE 1.0 END AS dz_sig FROM p JOIN l USING (event_id, pidx)),
  ev AS (SELECT DISTINCT event_id FROM p)
  SELECT ev.event_id, CAST(i AS INTEGER) AS i, f.pidx IS NOT NULL AS valid, round(CAST(CAST(coalesce(logpt, 0) AS FLOAT) AS DOUBLE), 3) AS logpt, round(CAST(CAST(coalesce(loge, 0) AS FLOAT) AS DOUBLE), 3) AS loge, CAST(coalesce(isphoton, 0) AS DOUBLE) AS "isPhoton", CAST(coalesce(charge, 0) AS DOUBLE) AS charge, round(CAST(CAST(coalesce(dz_sig, 0) AS FLOAT) AS DOUBLE), 3) AS dz_sig
  FROM ev CROSS JOIN range(0, 8) r(i) LEFT JOIN f ON f.event_id = ev.event_id AND f.pidx = i""",
-        "tensor_targets": f"WITH {P}, {S} SELECT event_id, pidx, {rnd('ln(greatest(pt / greatest(jpt, 1e-6), 1e-6))', 'log_pt_ratio', 4)}, {rnd('eta - jeta', 'deta_target', 4)}, {rnd('sin(phi - jphi)', 'sin_dphi', 4)}, {rnd('cos(phi - jphi)', 'cos_dphi', 4)} FROM e WHERE jpt > 0.05",
+        "tensor_targets": f"WITH {P}, {S} SELECT event_id, pidx, {rnd('ln(greatest(pt / greatest(jpt, 1e-6), 1e-6))', 'log_pt_ratio', 4)}, {rnd('eta - jeta', 'deta_target', 4)}, {rnd('sin(phi - jphi)', 'sin_dphi', 4)}, {rnd('cos(phi - jphi)', 'cos_dphi', 4)} FROM e",
         "tensor_labels": f"""WITH {P}, {TAUS}, c AS (SELECT event_id, tau_id, decaymode, CAST(CASE WHEN decaymode IN (0, 1) THEN decaymode WHEN decaymode IN (2, 3, 4) THEN 2 WHEN decaymode IN (5, 10) THEN 3 WHEN decaymode IN (15, 16) THEN 5 ELSE 4 END AS INTEGER) AS decay_class FROM tm)
  SELECT event_id, tau_id, decay_class, CAST(decaymode <> -1 AS INTEGER) AS is_tau, repeat('0', decay_class) || '1' || repeat('0', 5 - decay_class) AS one_hot FROM c""",
         "hist_pt_ratio": f"""WITH {P}, {G}, {MATCH}, q AS (SELECT a.pt / g.pt AS x FROM m JOIN p a ON a.event_id = m.event_id AND a.pidx = left_id JOIN g ON g.event_id = m.event_id AND g.pidx = right_id),
@@ -350,7 +364,8 @@ def oracle_sql() -> dict[str, str]:
  SELECT event_id, pidx, CAST(charge AS DOUBLE) AS charge, CAST(abs(pdg) IN (211, 321) AS INTEGER) AS "isChargedHadron", CAST(abs(pdg) = 11 AS INTEGER) AS "isElectron", CAST(abs(pdg) = 13 AS INTEGER) AS "isMuon", CAST(pdg = 22 AS INTEGER) AS "isPhoton", CAST(pdg IN (130, 111) AS INTEGER) AS "isNeutralHadron",
  {rnd('sqrt(greatest(energy*energy - pow(pt*cosh(eta), 2), 0))', 'mass', 3)}, {rnd('CASE WHEN trk THEN d0 ELSE -999.9 END', 'd0val', 3)}, {rnd('CASE WHEN trk THEN c0 ELSE -999.9 END', 'd0err', 3)}, {rnd('CASE WHEN trk THEN abs(zz + s*tanl - vz) ELSE -999.9 END', 'dzval', 3)}, {rnd('CASE WHEN trk THEN sqrt(tanl*tanl*se2 + pow(s*c14, 2) + c9*c9) ELSE -999.9 END', 'dzerr', 3)} FROM b""",
         "particle_labels": f"""WITH {P}, {S} SELECT event_id, pidx, CASE abs(pdg) WHEN 211 THEN 'charged hadron' WHEN 321 THEN 'charged kaon' WHEN 130 THEN 'neutral hadron' WHEN 111 THEN 'neutral pion' WHEN 22 THEN 'photon' WHEN 11 THEN 'electron' WHEN 13 THEN 'muon' WHEN 15 THEN 'tau' ELSE 'invisible' END AS name,
- {rnd(dphi('phi', 'jphi'), 'phirel', 5)}, CAST(charge = 1 AS INTEGER) AS charge_flag FROM e""",
+ {rnd(dphi('phi', 'jphi'), 'phirel', 5)}, CAST(charge = 1 AS INTEGER) AS charge_flag,
+ {rnd('CASE WHEN mass > 0.01 AND sqrt(greatest(je*je - jx*jx - jy*jy - jz*jz, 0)) > 0.05 THEN ln(greatest(mass / sqrt(greatest(je*je - jx*jx - jy*jy - jz*jz, 0)), 1e-6)) END', 'log_mass_ratio', 4)} FROM e""",
         "hist_log_axis": hist_list("events", "value", [10.0 ** (-1 + i * 0.25) for i in range(17)], "event_type"),
         "hist_variable_edges": f"""WITH {P}, b AS (SELECT is_signal, CASE WHEN pt < 0.1 THEN 0 WHEN pt < 0.5 THEN 1 WHEN pt < 1 THEN 2 WHEN pt < 2.5 THEN 3 WHEN pt < 7.5 THEN 4 ELSE 5 END AS bin, eta FROM p)
  SELECT k.is_signal, CAST(i AS INTEGER) AS bin, round(coalesce(sum(eta), 0.0), 3) + 0.0 AS value FROM (SELECT DISTINCT is_signal FROM p) k CROSS JOIN range(0, 6) r(i) LEFT JOIN b ON b.is_signal = k.is_signal AND b.bin = i GROUP BY ALL""",

@@ -291,8 +291,10 @@ def candidate_ids(spark, sf_dir):
 def _signatures(spark, sf_dir):
     """Species of an event's first two particles and of all the others, as canonical strings."""
     p = _p(spark, sf_dir)
-    key = lambda cond: F.array_join(F.transform(pdg.signature(F.collect_list(F.when(cond, F.col("pdg")))), lambda x: x.cast("string")), " ")
-    return p.groupBy("event_id").agg(key(F.col("pidx") < 2).alias("gen_sig"), key(F.col("pidx") >= 2).alias("reco_sig"))
+    codes = lambda cond: pdg.signature(F.collect_list(F.when(cond, F.col("pdg"))))
+    both = p.groupBy("event_id").agg(codes(F.col("pidx") < 2).alias("gen_codes"), codes(F.col("pidx") >= 2).alias("reco_codes"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), " ")
+    return both.withColumns({"gen_sig": text("gen_codes"), "reco_sig": text("reco_codes")})
 
 
 @query
@@ -302,8 +304,14 @@ def signature_confusion(spark, sf_dir):
 
 @query
 def signature_topk(spark, sf_dir):
-    counts = _signatures(spark, sf_dir).groupBy("reco_sig").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), F.length("reco_sig"), "reco_sig").limit(10)
+    counts = _signatures(spark, sf_dir).groupBy("reco_codes", "reco_sig").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), F.size("reco_codes"), "reco_codes").limit(10).select("reco_sig", "n")
+
+
+@query
+def signature_matrix(spark, sf_dir):
+    """The confusion matrix with its rows and columns in order, their labels, and the share on its diagonal."""
+    return rounded(histograms.ordered_confusion(_signatures(spark, sf_dir), "gen_codes", "reco_codes", pdg.particle_name), "diagonal")
 
 
 @query
@@ -440,10 +448,15 @@ def uncommon_particles(spark, sf_dir):
 
 @query
 def pad_clip_tensor(spark, sf_dir):
-    e = fixture.table(spark, sf_dir, "embeddings").withColumn("short", F.slice("embedding", 1, (F.col("vec_id") % 30 + 1).cast("int")))
-    e = e.select("vec_id", arrays.pad_or_clip(F.transform("short", lambda x: x.cast("double")), 20).alias("v"), arrays.validity("short", 20).alias("m"), arrays.at_least_one(F.filter(F.transform("short", lambda x: x.cast("double")), lambda x: x > 2.5)).alias("big"))
-    rows = e.select("vec_id", F.size("big").cast("long").alias("n_big"), F.posexplode(F.arrays_zip("v", "m")).alias("i", "x"))
-    return rows.select("vec_id", "n_big", "i", r("x.v").alias("value"), F.col("x.m").alias("valid"))
+    """Whole vectors clipped to 20 and padded to 80 components."""
+    e = fixture.table(spark, sf_dir, "embeddings").withColumn("all", F.transform("embedding", lambda x: x.cast("double")))
+    big = F.size(arrays.at_least_one(F.filter("all", lambda x: x > 2.5))).cast("long").alias("n_big")
+    out = None
+    for width in (20, 80):
+        packed = e.select("vec_id", big, F.posexplode(F.arrays_zip(arrays.pad_or_clip("all", width).alias("v"), arrays.validity("all", width).alias("m"))).alias("i", "x"))
+        rows = packed.select("vec_id", F.lit(width).alias("width"), "n_big", "i", r("x.v").alias("value"), F.col("x.m").alias("valid"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _candidates(spark, sf_dir):
@@ -463,7 +476,7 @@ def feature_matrix(spark, sf_dir):
 def tensor_targets(spark, sf_dir):
     rows = _event_jet(_p(spark, sf_dir))
     t = tensors.targets("pt", "eta", "phi", "energy", "jet_pt", "jet_eta", "jet_phi", "jet_energy")
-    return rounded(rows.where("jet_pt > 0.05").select("event_id", "pidx", *[t[n].alias(n) for n in ("log_pt_ratio", "deta_target", "sin_dphi", "cos_dphi")]), "log_pt_ratio", "deta_target", "sin_dphi", "cos_dphi", digits=4)
+    return rounded(rows.select("event_id", "pidx", *[t[n].alias(n) for n in ("log_pt_ratio", "deta_target", "sin_dphi", "cos_dphi")]), "log_pt_ratio", "deta_target", "sin_dphi", "cos_dphi", digits=4)
 
 
 @query
@@ -523,10 +536,14 @@ def archival_candidates(spark, sf_dir):
 
 @query
 def particle_labels(spark, sf_dir):
-    """Species by name, the phi difference to the event's jet and the log mass ratio of the two."""
+    """Species by name, the phi difference to the event's jet and the log mass ratio of the two (NULL where a mass is only rounding)."""
     rows = shapes.relative_features(_event_jet(_p(spark, sf_dir)))
     t = tensors.targets("pt", "eta", "phi", "energy", "jet_pt", "jet_eta", "jet_phi", "jet_energy")
-    return rows.select("event_id", "pidx", pdg.particle_name("pdg").alias("name"), r("phirel", 5).alias("phirel"), (F.col("charge") == 1).cast("int").alias("charge_flag"))
+    heavy = (F.col("mass") > 0.01) & (p4.mass("jet_pt", "jet_eta", "jet_energy") > 0.05)
+    return rows.select(
+        "event_id", "pidx", pdg.particle_name("pdg").alias("name"), r("phirel", 5).alias("phirel"), (F.col("charge") == 1).cast("int").alias("charge_flag"),
+        r(F.when(heavy, t["log_mass_ratio"]), 4).alias("log_mass_ratio"),
+    )
 
 
 @query
