@@ -782,12 +782,12 @@ def stale_only_run(spark, sf_dir):
     root = fresh_path(spark, "stale-run")
     inputs = _stored_files(spark, sf_dir, f"{root}/in")
     data = {"signal": workflow.Dataset(inputs, signal=True), "background": workflow.Dataset(inputs, train_fraction=0.5)}
-    config = workflow.RunConfig(f"{root}/out", data, options=pipelines.NtupleConfig(lifetime=True))
+    config = workflow.RunConfig(f"{root}/out", data, at_once=8)
     first = workflow.run(spark, config)
     changed = spark.read.parquet(f"{root}/in/part0").where("event_id % 2 = 0").repartition(1)
     versions.publish(changed, f"{root}/changed")
     changed_file = readers.all_paths(spark, versions.pointer(spark, f"{root}/changed")["path"] + "/*.parquet")[0]
-    moved = workflow.RunConfig(config.out, {k: replace(d, input=[*readers.all_paths(spark, f"{root}/in/part[1-4]/*.parquet"), changed_file]) for k, d in data.items()}, options=config.options)
+    moved = workflow.RunConfig(config.out, {k: replace(d, input=[*readers.all_paths(spark, f"{root}/in/part[1-4]/*.parquet"), changed_file]) for k, d in data.items()}, at_once=8)
     second = workflow.run(spark, moved)
     out = None
     for name in data:
