@@ -28,11 +28,11 @@ def nearest(left: DataFrame, right: DataFrame, max_dr: float = 0.4, left_id: str
 
 
 def nearest_at(eta, phi, others, max_dr: float = 0.4, inclusive: bool = False, with_energy: bool = True) -> Column:
-    """Place in the list ``others`` (structs with eta, phi, energy) of the object nearest to (eta, phi), NULL if none is near enough.
+    """Place in the list ``others`` (structs with eta, phi and, ``with_energy``, energy) of the object nearest to (eta, phi), NULL if none is near enough.
 
     The same rules as ``nearest``, inside an event's row: no shuffle. Objects without energy count unless ``with_energy``.
     """
-    dr = lambda x, i: F.when((x.energy != 0) | F.lit(not with_energy), F.struct(p4.delta_r(col(eta), col(phi), x.eta, x.phi).alias("dr"), i.alias("at")))
+    dr = lambda x, i: F.when((x.energy != 0) if with_energy else F.lit(True), F.struct(p4.delta_r(col(eta), col(phi), x.eta, x.phi).alias("dr"), i.alias("at")))
     best = F.array_min(F.filter(F.transform(col(others), dr), lambda x: x.isNotNull()))
     return F.when(best["dr"] <= max_dr if inclusive else best["dr"] < max_dr, best["at"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jetloom.functions import p4, pdg
 
 from .filters import is_tau
-from .matching import fill_last, nearest
+from .matching import nearest_at
 
 #: What a jet without a tau gets: decay mode, charge, visible energy, vertex (fixed values).
 UNMATCHED = {"decaymode": -1, "charge": -999.0, "vis_energy": 0.0, "dv_x": -1.0, "dv_y": -1.0, "dv_z": -1.0}
@@ -74,11 +74,20 @@ def properties(taus: DataFrame, daughters: bool = False) -> DataFrame:
 
 
 def jet_tau_info(jets: DataFrame, taus: DataFrame, max_dr: float = 0.4, daughters: bool = False) -> DataFrame:
-    """Each jet with the properties of its tau; of several taus the last one, of none the fill values."""
-    seen = properties(taus, daughters)
-    found = nearest(seen.where("vis_energy != 0"), jets, max_dr, "tau_id", "jet_id")
-    found = found.select("event_id", F.col("left_id").alias("tau_id"), F.col("right_id").alias("jet_id")).join(seen, ["event_id", "tau_id"])
-    return fill_last(jets, found, "jet_id", "tau_id", fill_values(True, daughters))
+    """Each jet with the properties of its tau; of several taus the last one, of none the fill values.
+
+    Jets and taus of an event are gathered in one row and matched there: one exchange for each of the two.
+    """
+    seen = properties(taus, daughters).where("vis_energy != 0")
+    listed = lambda df, first, name: df.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct(first, *[c for c in df.columns if c not in ("event_id", first)]))).alias(name))
+    both = listed(jets, "jet_id", "jets").join(listed(seen, "tau_id", "taus"), "event_id", "left")
+    at = F.transform("taus", lambda t: nearest_at(t.eta, t.phi, "jets", max_dr, with_energy=False))
+    rows = both.withColumn("at", at).select("event_id", "taus", "at", F.posexplode("jets").alias("place", "jet"))
+    mine = F.filter("taus", lambda t, i: F.get(F.col("at"), i) == F.col("place"))
+    rows = rows.withColumn("tau", F.get(mine, F.size(mine) - 1))
+    fills = {c: v if isinstance(v, Column) else F.lit(v) for c, v in fill_values(True, daughters).items()}
+    own = [F.col("event_id") if c == "event_id" else F.col(f"jet.{c}").alias(c) for c in jets.columns]
+    return rows.select(*own, *[F.coalesce(F.col(f"tau.{c}"), v).alias(c) for c, v in fills.items()])
 
 
 def background_info(jets: DataFrame, taus: DataFrame | None = None, max_dr: float = 0.4, daughters: bool = False) -> DataFrame:
