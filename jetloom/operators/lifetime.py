@@ -112,7 +112,8 @@ SIGNED = ("dxy", "dz", "d3", "d0", "z0", "dxy_2d", "dz_2d", "d3_2d")
 def lifetime(particles: DataFrame, vertices: DataFrame) -> DataFrame:
     """Every particle with its lifetime variables in 3-D and (suffix _2d) 2-D, with ``VARIABLES``' columns.
 
-    A particle whose track parameters are NULL has no track: all its variables are the sentinel.
+    A particle whose track parameters are NULL has no track: all its variables are the sentinel. ``vertices`` has a row for
+    every event (``sources.events`` makes one for events without a vertex too); particles of events that it lacks are left out.
     """
     t = particles.join(vertices, "event_id").withColumns({"d0_error": F.sqrt(F.abs("c_d0")), "z0_error": F.sqrt(F.abs("c_z0"))})
     t = with_closest_approach(with_closest_approach(t), two_d=True, suffix="_2d")
