@@ -218,7 +218,7 @@ def _one_scan() -> str:
     tables += [("reco_jet_pt", "j", "pt", ("u", 0.0, 220.0, 50, "sum"), None, None, "1.0", "true"), ("reco_jet_mass", "j", "mass", ("u", 0.0, 10.0, 50), None, None, "1.0", "true")]
     tables += [("n_cands_by_pt", "j", "n", ("u", 0.0, 50.0, 50), "pt", ("span log", "e.lo_apt", "e.hi_apt", 50), "1.0", "true"), ("decaymode", "j", "mode", ("u", 0.0, 16.0, 16), None, None, "1.0", "true")]
     tables += [(f"n_cands_mode{k}", "j", "n", ("u", 1.0, 11.0, 10), None, None, "1.0", f"({mode}) = {k}") for k in range(6)]
-    tables.append(("energy_map", "j", "energy/2", square, "energy", square, "1.0", "mode <> -1"))
+    tables.append(("energy_map", "j", "energy*0.45", square, "energy", square, "1.0", "mode <> -1"))
     for name, hi in (("dxy", 1.0), ("dz", 1.0), ("d3", 2.0)):
         tables += [(f"reco_cand_{name}", "c", f"abs({name})", ("log", -3.0, hi, 79), None, None, "1.0", "trk"), (f"reco_cand_{name}_error", "c", f"{name}_error", ("log", -4.0, 0.0, 79), None, None, "1.0", f"trk AND {name}_error > 0")]
     tables.append(("dz_by_dxy", "c", "dz", ("u", 0.0, 2.0, 99), "dxy", ("u", 0.0, 10.0, 99), "1.0", "trk"))
@@ -234,7 +234,7 @@ j0 AS (SELECT event_id, bool_or(is_signal) AS is_signal, sum(px) AS jx, sum(py)
 j1 AS (SELECT j0.*, sqrt(jx*jx + jy*jy) AS pt, asinh(jz / sqrt(jx*jx + jy*jy)) AS eta, atan2(jy, jx) AS phi, coalesce(m, -1) AS mode, (event_id % 7 + 1) / 8.0 AS w FROM j0 LEFT JOIN f USING (event_id)),
 j AS (SELECT *, degrees({th('eta')}) AS theta, pt*cosh(eta) AS p, sqrt(greatest(energy*energy - pow(pt*cosh(eta), 2), 0)) AS mass FROM j1),
 c AS (SELECT j.is_signal, j.mode, j.eta AS jeta, j.phi AS jphi, p.pt AS cpt, p.eta, p.phi, l.trk, l.dxy, l.dz, l.d3, l.dxy_error, l.dz_error, l.d3_error FROM l JOIN p USING (event_id, pidx) JOIN j USING (event_id)),
-e AS (SELECT {ends}, min(pt) AS lo_apt, max(pt) AS hi_apt, max(greatest(energy, energy/2)) FILTER (mode <> -1) AS top FROM j)
+e AS (SELECT {ends}, min(pt) AS lo_apt, max(pt) AS hi_apt, max(greatest(energy, energy*0.45)) FILTER (mode <> -1) AS top FROM j)
 {' UNION ALL '.join(parts)}"""
 
 

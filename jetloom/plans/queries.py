@@ -798,7 +798,7 @@ def stale_only_run(spark, sf_dir):
 
 
 def _merged_jets(spark, sf_dir):
-    """An event's particles as one jet in the merged format with the lifetime lists, weighted by its number; the visible tau has half of its energy."""
+    """An event's particles as one jet in the merged format with the lifetime lists, weighted by its number; the visible tau has 45 per cent of its energy."""
     life = _life(spark, sf_dir)
     values = {f"reco_cand_{c}{e}": F.col(f"{c}{e}") for c in histset.IMPACT_AXES for e in ("", "_error")}
     vector = lambda pt, eta, phi, t: F.struct(F.col(pt).alias("rho"), F.col(phi).alias("phi"), F.col(eta).alias("eta"), t.alias("t"))
@@ -810,7 +810,7 @@ def _merged_jets(spark, sf_dir):
     whole = lambda t: vector("p4.pt", "p4.eta", "p4.phi", t)
     return rows.select(
         "event_id", "is_signal", "gen_jet_tau_decaymode", whole(F.col("p4.energy")).alias("gen_jet_p4"), whole(F.col("p4.energy")).alias("reco_jet_p4"),
-        whole(F.col("p4.energy") / 2).alias("gen_jet_tau_p4"), F.col("c.p4").alias("reco_cand_p4s"), *[F.col(f"c.{n}").alias(n) for n in values],
+        whole(F.col("p4.energy") * 0.45).alias("gen_jet_tau_p4"), F.col("c.p4").alias("reco_cand_p4s"), *[F.col(f"c.{n}").alias(n) for n in values],
         ((F.col("event_id") % 7 + 1) / 8.0).alias("cls_weight"),
     )
 
