@@ -221,8 +221,9 @@ def mixed(
     ceiling: float = 2.0,
     weights: tuple[int, ...] = WEIGHTS,
     block_words: int = 1024,
+    ordered: bool = True,
 ) -> DataFrame:
-    """The mix itself in the schedule's order, with the columns that came in.
+    """The mix itself in the schedule's order, with the columns that came in; without ``ordered`` the same rows in any order.
 
     There is a row for each whole time a document is taken, and one with its first words for a rest; each
     stands where the slot stands that takes its beginning.
@@ -238,4 +239,4 @@ def mixed(
     head = F.array_join(F.slice(spaced, 1, words.cast("int")), "")
     cut = F.when(words < F.col("size"), head).otherwise(body)
     columns = [cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
-    return out.orderBy("position", "at", "time").select(*columns)
+    return (out.orderBy("position", "at", "time") if ordered else out).select(*columns)
