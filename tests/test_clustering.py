@@ -266,3 +266,24 @@ def test_substructure_query_equals_single_jets_over_the_whole_table(spark, sf_di
     for key, own in jets.items():
         want = c.substructure_of(*np.array([particles[key[0], i] for i in sorted(own)]).T)
         assert np.allclose([rows[key][n] for n in batched.SUBSTRUCTURE], want, atol=1e-5)
+
+
+def test_distances_are_those_of_the_definition_bit_by_bit():
+    """Pairs that are equally far but for rounding are decided by the order of operations: (a . b) / (|a| |b|) and 1 / e**2."""
+    rng = np.random.default_rng(3)
+    p = rng.normal(size=(400, 2, 4))
+    p[..., 0] = np.abs(p[..., 0]) + 1
+    metric = batched.energy_metric(0.3)
+    found = metric.pair(metric.features(p[:, 0]), metric.features(p[:, 1]))
+    for (a, b), d in zip(p.tolist(), found.tolist(), strict=True):
+        size = [math.sqrt(x[1] * x[1] + x[2] * x[2] + x[3] * x[3]) for x in (a, b)]
+        dot = (a[1] * b[1] + a[2] * b[2] + a[3] * b[3]) / (size[0] * size[1])
+        assert d == min(1 / (a[0] * a[0]), 1 / (b[0] * b[0])) * (1 - max(-1.0, min(1.0, dot))) / 0.3
+
+
+def test_named_substructure_alone_is_made():
+    rng = np.random.default_rng(4)
+    groups = batched.Groups.of([np.abs(rng.normal(size=(n, 3))) for n in (0, 1, 2, 5, 5, 9)], 3)
+    whole = batched.substructure_in(groups)
+    names = ("tau2_ee", "sdmass")
+    assert np.array_equal(batched.substructure_in(groups, names=names), whole[:, [batched.SUBSTRUCTURE.index(n) for n in names]], equal_nan=True)
