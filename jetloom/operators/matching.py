@@ -2,29 +2,86 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jetloom.functions import p4
 from jetloom.functions.p4 import col
 
+from .clustering import _groups, _offsets, _runs
+
+#: Pairs that are worked on at once, and what a distance may be off by rounding.
+PAIRS, ROUNDING = 1 << 21, 1e-9
+
+
+def _exact_dr(d_eta: float, d_phi: float) -> float:
+    """The distance by the C library, one operation after another, as in SQL."""
+    return math.sqrt(math.pow(d_eta, 2.0) + math.pow(math.atan2(math.sin(d_phi), math.cos(d_phi)), 2.0))
+
+
+def nearest_places(left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, max_dr: float, inclusive: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Place (-1: none near enough) and distance of each left object's nearest right one of the same event; rows are (eta, phi), events one after another.
+
+    Distances that rounding could order either way, or put on either side of ``max_dr``, are made again by ``_exact_dr``. Ties go to
+    the smaller place; an object without a direction takes no part.
+    """
+    counts, starts = np.repeat(n_right, n_left), np.repeat(np.cumsum(n_right) - n_right, n_left)
+    at, best = np.full(len(left), -1), np.full(len(left), np.inf)
+    some = np.flatnonzero(counts > 0)
+    cuts = np.flatnonzero(np.diff(np.cumsum(counts[some]) // PAIRS)) + 1
+    for own in np.split(some, cuts) if len(some) else ():
+        n = counts[own]
+        first, of, to = np.cumsum(n) - n, np.repeat(own, n), _runs(starts[own], n)
+        d_eta, d_phi = left[of, 0] - right[to, 0], left[of, 1] - right[to, 1]
+        turn = np.arctan2(np.sin(d_phi), np.cos(d_phi))
+        dr = np.sqrt(d_eta * d_eta + turn * turn)
+        dr[np.isnan(dr)] = np.inf
+        low = np.repeat(np.minimum.reduceat(dr, first), n)
+        near = np.isfinite(dr) & (dr <= low + ROUNDING)
+        unsure = np.repeat(np.add.reduceat(near.astype(int), first) > 1, n) | (np.abs(low - max_dr) <= ROUNDING)
+        for k in np.flatnonzero(near & unsure):
+            dr[k] = _exact_dr(float(d_eta[k]), float(d_phi[k]))
+        low = np.minimum.reduceat(dr, first)
+        place = to - np.repeat(starts[own], n)
+        at[own] = np.minimum.reduceat(np.where(dr == np.repeat(low, n), place, np.iinfo(int).max), first)
+        best[own] = low
+    at[~((best <= max_dr) if inclusive else (best < max_dr))] = -1
+    return at, best
+
+
+def nearest_in_lists(left: str, right: str, max_dr: float, inclusive: bool = False) -> Column:
+    """array<struct<at, dr>>: for each struct (with eta, phi) of the list ``left`` the place of the nearest one in ``right``, -1 if none is near enough. Only these four lists leave the row."""
+
+    def run(l_eta: pa.Array, l_phi: pa.Array, r_eta: pa.Array, r_phi: pa.Array) -> pa.Array:
+        a, b = _groups(l_eta, l_phi), _groups(r_eta, r_phi)
+        at, dr = nearest_places(a.values, a.sizes, b.values, b.sizes, max_dr, inclusive)
+        return pa.ListArray.from_arrays(_offsets(a.sizes), pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(dr)], ["at", "dr"]))
+
+    return F.arrow_udf(run, "array<struct<at: int, dr: double>>")(*[F.col(f"{x}.{c}") for x in (left, right) for c in ("eta", "phi")])
+
+
+def _directions(objects: DataFrame, own_id: str, name: str) -> DataFrame:
+    return objects.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct(F.col(own_id).alias("id"), F.col("eta").cast("double").alias("eta"), F.col("phi").cast("double").alias("phi")))).alias(name))
+
 
 def nearest(left: DataFrame, right: DataFrame, max_dr: float = 0.4, left_id: str = "pidx", right_id: str = "pidx", inclusive: bool = False, energy: str | None = None) -> DataFrame:
     """event_id, left_id, right_id, dr: for each left object the nearest right one of its event, if near enough.
 
     Ties go to the smaller right id; several left objects may share a right one;
-    objects without energy take no part. An equi-join on the event with a minimum per
-    left object, added up on the map side.
+    objects without energy take no part. An event's objects are gathered in one row and matched
+    there: one exchange for each collection, and no row for each pair.
     """
     a, b = left, right
     if energy:
         a, b = a.where(F.col(energy) != 0), b.where(F.col(energy) != 0)
-    a = a.select("event_id", F.col(left_id).alias("left_id"), F.col("eta").alias("l_eta"), F.col("phi").alias("l_phi"))
-    b = b.select("event_id", F.col(right_id).alias("right_id"), F.col("eta").alias("r_eta"), F.col("phi").alias("r_phi"))
-    dr = p4.delta_r("l_eta", "l_phi", "r_eta", "r_phi")
-    best = a.join(b, "event_id").groupBy("event_id", "left_id").agg(F.min(F.struct(dr.alias("dr"), "right_id")).alias("best"))
-    near = F.col("best.dr") <= max_dr if inclusive else F.col("best.dr") < max_dr
-    return best.where(near).select("event_id", "left_id", "best.right_id", "best.dr")
+    both = _directions(a, left_id, "l").join(_directions(b, right_id, "r"), "event_id")
+    found = both.withColumn("found", nearest_in_lists("l", "r", max_dr, inclusive))
+    rows = found.select("event_id", "r", F.inline(F.arrays_zip(F.col("l.id").alias("left_id"), F.col("found.at").alias("at"), F.col("found.dr").alias("dr")))).where("at >= 0")
+    return rows.select("event_id", "left_id", F.get("r.id", F.col("at")).alias("right_id"), "dr")
 
 
 def nearest_at(eta, phi, others, max_dr: float = 0.4, inclusive: bool = False, with_energy: bool = True) -> Column:
@@ -39,11 +96,12 @@ def nearest_at(eta, phi, others, max_dr: float = 0.4, inclusive: bool = False, w
 
 def assign(particles: DataFrame, jets: DataFrame, max_dr: float = 0.8) -> DataFrame:
     """event_id, jet_id, n_particles, particle ids in order, for every jet (none: 0): particles go to the nearest jet within ``max_dr``."""
-    near = nearest(particles, jets, max_dr, "pidx", "jet_id", inclusive=True)
-    per = near.groupBy("event_id", F.col("right_id").alias("jet_id")).agg(F.array_sort(F.collect_list("left_id")).alias("particles"))
-    out = jets.select("event_id", "jet_id").join(per, ["event_id", "jet_id"], "left")
-    empty = F.array().cast(per.schema["particles"].dataType)
-    return out.select("event_id", "jet_id", F.coalesce(F.size("particles"), F.lit(0)).cast("long").alias("n_particles"), F.coalesce("particles", empty).alias("particles"))
+    both = _directions(jets, "jet_id", "r").join(_directions(particles, "pidx", "l"), "event_id", "left")
+    found = both.withColumn("at", nearest_in_lists("l", "r", max_dr, inclusive=True)["at"])
+    rows = found.select("event_id", "l", "at", F.posexplode("r.id").alias("place", "jet_id"))
+    own = F.filter(F.col("l.id"), lambda x, i: F.get(F.col("at"), i) == F.col("place"))
+    out = rows.select("event_id", "jet_id", F.coalesce(own, F.array().cast(f"array<{particles.schema['pidx'].dataType.simpleString()}>")).alias("particles"))
+    return out.select("event_id", "jet_id", F.size("particles").cast("long").alias("n_particles"), "particles")
 
 
 def fill_last(jets: DataFrame, found: DataFrame, jet_id: str, order: str, fills: dict) -> DataFrame:
