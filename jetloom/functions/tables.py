@@ -50,12 +50,16 @@ class _Gathered:
     def __init__(self) -> None:
         self.rows: list[tuple] = []
         self.at = None
+        self.places: tuple[int, ...] = ()
 
     def eval(self, row: Row, *_) -> None:
-        if self.rows and row[self.key] != self.at:
+        if not self.rows:
+            names = row.__fields__
+            self.places = tuple(names.index(c) for c in (self.key, *self.columns))
+            self.at = row[self.places[0]]
+        elif row[self.places[0]] != self.at:
             raise ValueError(f"the table must be partitioned by {self.key}")
-        self.at = row[self.key]
-        self.rows.append(tuple(row[c] for c in self.columns))
+        self.rows.append(tuple(row[k] for k in self.places[1:]))
 
     def ordered(self) -> np.ndarray:
         return np.array(sorted(self.rows), float).reshape(len(self.rows), len(self.columns))
@@ -98,7 +102,7 @@ class Thrust(_Gathered):
 
     def terminate(self) -> Iterator[tuple]:
         if self.rows:
-            value = float(clustering.thrust_of([np.array(self.rows, float)])[0])
+            value = clustering.single_thrust(self.rows)
             yield self.at, None if np.isnan(value) else value
 
 

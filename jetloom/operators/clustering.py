@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from math import cos
+from math import cos, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -440,6 +440,34 @@ def thrust_of(events: list[np.ndarray]) -> np.ndarray:
     return thrust_in(Groups.of(events, 3))
 
 
+def single_thrust(rows: list[tuple], rounds: int = 100, few: int = 100) -> float:
+    """``batched_thrust`` of one event: for few particles in plain numbers, because an array operation costs more than such an event."""
+    if len(rows) > few or any(x is None for row in rows for x in row):
+        return float(thrust_of([np.array(rows, float)])[0])
+    size = sum(sqrt(x * x + y * y + z * z) for x, y, z in rows)
+    sums = [sum(c) for c in zip(*rows, strict=True)]
+    length = sqrt(sum(c * c for c in sums))
+    if not (size > 0 and length > 0):
+        return float("nan")
+    a, b, c = (v / length for v in sums)
+    for _ in range(rounds):
+        p = q = r = 0.0
+        for x, y, z in rows:
+            d = x * a + y * b + z * c
+            if d > 0:
+                p, q, r = p + x, q + y, r + z
+            elif d < 0:
+                p, q, r = p - x, q - y, r - z
+        length = sqrt(p * p + q * q + r * r)
+        if length == 0:
+            break
+        p, q, r = p / length, q / length, r / length
+        if all(abs(new - old) <= 1e-8 + 1e-5 * abs(old) for new, old in ((p, a), (q, b), (r, c))):
+            break
+        a, b, c = p, q, r
+    return sum(abs(x * a + y * b + z * c) for x, y, z in rows) / size
+
+
 def event_thrust(particles: DataFrame) -> DataFrame:
     """event_id, thrust."""
     kernel = F.arrow_udf(lambda px, py, pz: pa.array(thrust_in(_groups(px, py, pz)), pa.float64()), "double")

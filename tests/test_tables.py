@@ -49,3 +49,14 @@ def test_substructure_by_any_key(spark, view):
 def test_wrong_arguments_are_refused_at_analysis(spark, view, call, why):
     with pytest.raises(AnalysisException, match=why):
         spark.sql(f"SELECT * FROM {call}").schema  # noqa: B018
+
+
+def test_one_events_thrust_is_that_of_the_batch():
+    import numpy as np
+
+    from jetloom.operators import clustering
+
+    rng = np.random.default_rng(5)
+    events = [rng.normal(size=(n, 3)) for n in (1, 2, 3, 5, 17, 99, 101) for _ in range(50)] + [np.zeros((2, 3)), np.array([[1.0, 0, 0], [-1.0, 0, 0]])]
+    one = [clustering.single_thrust([tuple(r) for r in e.tolist()]) for e in events]
+    assert np.allclose(one, clustering.thrust_of(events), atol=1e-12, equal_nan=True) and np.isnan(one[-2:]).all()
