@@ -13,8 +13,8 @@ pairs for each member, all members with some of them, drawn by hash; then all pa
 Pairs that cannot be near by their sizes and by how many of their first tokens others have are not formed. Every pair is confirmed on the two whole shingle sets, by 64-bit hashes. No near pair is lost, and the result
 does not depend on how blocks are worked on.
 
-Fingerprints of 64 bits do not serve here: at similarity 0.8 two of them differ in
-about ten bits, and a search within so many bits has no selective segments.
+Fingerprints of 64 bits alone do not serve here: at similarity 0.8 two of them differ in
+about ten bits, and a search within so many bits has no selective segments. ``simhash`` proposes the pairs within two bits first.
 
 Defined results: a null text is empty; texts without words are copies of each other; the
 smallest id of a group stays, null ids are last, and of repeated rows one stays. An empty table gives an empty result.
@@ -22,7 +22,7 @@ smallest id of a group stays, null ids are last, and of repeated rows one stays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -229,21 +229,25 @@ def _pairs(left: DataFrame, right: DataFrame, least: float, once: bool = False)
 
 
 def one_of_each(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, least: float = SIMILARITY, cross: int = CROSS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, least: float = SIMILARITY, cross: int = CROSS, first: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
-    """One document of each group, with the columns that came in. ``cross`` decides how large blocks are worked on, and not the result."""
+    """One document of each group, with the columns that came in.
+
+    ``cross`` decides how large blocks are worked on, and not the result. ``first`` gives pairs (u < v) of a table of texts (at, text) that
+    another search proposes: they are confirmed like the others, before them, so that what it finds is not searched again.
+    """
     spark = docs.sparkSession
     with recording() as scratch:
         with recording() as kept:
             made = _noded(docs, id_col, text)
-        stays = _first_of_groups(made, text, words, least, cross)
+        stays = _first_of_groups(made, text, words, least, cross, first)
         with recording() as last:
             stays = written(stays, "near-stays", few_files=True)
     remove(spark, {*scratch} - {*kept, *last})  # the result reads these two
     return made.join(stays, "place", "left_semi").select("row.*")
 
 
-def _first_of_groups(made: DataFrame, text: str, words: int, least: float, cross: int) -> DataFrame:
+def _first_of_groups(made: DataFrame, text: str, words: int, least: float, cross: int, proposed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """place of the first document of each group."""
     spark = made.sparkSession
     nodes = made.groupBy("node").agg(F.min("place").alias("place"), F.min("at").alias("at"))
@@ -254,6 +258,8 @@ def _first_of_groups(made: DataFrame, text: str, words: int, least: float, cross
     blocks = written(_blocks(written(_prefixes(texts, levels, words, least), "near-tokens", few_files=True)), "near-blocks", few_files=True)
 
     groups = _Groups(texts, words, least)
+    if proposed:
+        groups.compare(proposed(texts))
     first = blocks.groupBy("token").agg(F.min(F.struct("at", "set")).alias("f")).select("token", F.col("f.at").alias("u"), F.col("f.set").alias("u_set"))
     groups.compare(blocks.join(first, "token").where((F.col("at") != F.col("u")) & _may("u_set", "set", least)).select("u", F.col("at").alias("v")))
     left = groups.open(blocks)

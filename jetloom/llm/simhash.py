@@ -168,17 +168,24 @@ def near_duplicates(
     )
 
 
+def fingerprint_pairs(texts: DataFrame, words: int = 3) -> DataFrame:
+    """u, v: the first of each component of fingerprints with each other member, of texts (at, text)."""
+    found = near_duplicates(texts, "at", words=words)
+    return found.where("component_id < at").select(F.col("component_id").alias("u"), F.col("at").alias("v"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float | None = 0.8, **options) -> DataFrame:
     """One document of each group, with the columns that came in.
 
     ``similarity`` None: of each component of fingerprints within two bits. Else of near copies by that
-    Jaccard similarity of their shingles, which ``near_copies`` finds: two fingerprints at 0.8 differ in
-    about ten bits, and pigeonring has no selective segments for so many.
+    Jaccard similarity of their shingles: the components of fingerprints are found first, by pigeonring, and confirmed on the exact
+    sets; ``near_copies`` then finds what is left, because two fingerprints at 0.8 differ in about ten bits, and pigeonring has no
+    selective segments for so many.
 
     It is the one with the smallest id; null ids are last, and of repeated rows one stays.
     """
     if similarity is not None:
-        return near_copies.one_of_each(docs, id_col, text, words, similarity, **options)
+        return near_copies.one_of_each(docs, id_col, text, words, similarity, first=partial(fingerprint_pairs, words=words), **options)
     key = F.col("row")[id_col]
     place = F.struct(key.isNull().alias("last"), key.alias("id"), F.monotonically_increasing_id().alias("at"))
     rows = written(docs.select(F.struct("*").alias("row")).withColumn("place", place), "simhash-rows")

@@ -89,3 +89,17 @@ def test_two_runs_at_once_and_one_result_each(spark, sf_dir):
         counts = [df.count() for df in pool.map(lambda _: corpus_pipeline.run(spark, sf_dir), range(2))]
     assert counts[0] == counts[1] > 0
     assert sorted(n.rsplit("-", 1)[0] for n in tables() - before) == ["pipeline-best-fit-packing"] * 2
+
+
+def test_near_dedup_goes_through_the_fingerprints_first(spark, monkeypatch):
+    from jetloom.llm import near_copies, simhash
+
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(words[:330]), " ".join(f"y{i}" for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    compare = near_copies._Groups.compare
+    monkeypatch.setattr(near_copies._Groups, "compare", lambda self, pairs: (seen.append(pairs.count()), compare(self, pairs))[1])
+    proposed = simhash.fingerprint_pairs(docs.withColumnRenamed("doc_id", "at"), 5).count()
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 3]
+    assert proposed > 0 and seen[0] == proposed
