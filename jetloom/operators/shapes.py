@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +103,16 @@ def relative(get: Callable[[str], Column], jet: Callable[[str], Column]) -> dict
 def relative_features(rows: DataFrame) -> DataFrame:
     """Adds them to particles joined to their jets (jet_pt, jet_eta, jet_phi, jet_energy)."""
     return rows.withColumns(relative(F.col, lambda c: F.col(f"jet_{c}")))
+
+
+def phirel(rows_phi="phi", jet_x="jet_px", jet_y="jet_py", jet_phi="jet_phi") -> Column:
+    """Signed azimuth from the jet to the particle. At half a turn the last bit of the jet's azimuth decides the sign; there it is made by the C library, as in SQL."""
+
+    def run(phi: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+        turns = [None if a is None else a - math.atan2(c, b) for a, b, c in zip(phi.to_pylist(), x.to_pylist(), y.to_pylist(), strict=True)]
+        return pa.array([None if d is None else math.atan2(math.sin(d), math.cos(d)) for d in turns], pa.float64())
+
+    plain = p4.signed_delta_phi(rows_phi, jet_phi)
+    half = F.abs(plain) > math.pi - 1e-9
+    again = F.arrow_udf(run, "double")(*[F.when(half, col(c)) for c in (rows_phi, jet_x, jet_y)])
+    return F.coalesce(again, plain)

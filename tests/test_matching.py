@@ -51,3 +51,17 @@ def test_assignment_keeps_jets_without_particles_and_events_without_any(spark):
     particles = spark.createDataFrame([(1, 1, 0.1, 0.0), (1, 0, 0.0, 0.1), (3, 0, 0.0, 0.0)], "event_id long, pidx int, eta double, phi double")
     rows = sorted((r.event_id, r.jet_id, r.n_particles, r.particles) for r in matching.assign(particles, jets).collect())
     assert rows == [(1, 0, 2, [0, 1]), (1, 1, 0, []), (2, 0, 0, [])]
+
+
+def test_half_a_turn_has_the_sign_that_the_c_library_gives(spark):
+    from jetloom.operators import shapes
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in rng.integers(0, 360, 3000).tolist():
+        phi, size = (k - 180) * math.pi / 180.0, float(rng.uniform(0.1, 9))
+        rows.append((phi, -size * math.cos(phi), -size * math.sin(phi)))
+    df = spark.createDataFrame(rows, "phi double, jet_px double, jet_py double").selectExpr("*", "atan2(jet_py, jet_px) AS jet_phi")
+    for r in df.withColumn("turn", shapes.phirel()).collect():
+        d = r.phi - math.atan2(r.jet_py, r.jet_px)
+        assert r.turn == math.atan2(math.sin(d), math.cos(d))
