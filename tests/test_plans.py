@@ -239,3 +239,22 @@ def test_native_events_are_widened_after_their_last_exchange(spark, sf_dir):
     plan = fixture.native_events(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "trackstates" in line.lower().replace("_", "") or "covmatrix" in line.lower()]
     assert wide and not any(x in line for line in wide for x in ("Exchange", "Sort ", "SortMergeJoin", "Aggregate"))
+
+
+def test_stored_files_are_written_in_one_pass(spark, sf_dir, tmp_path):
+    files = queries._stored_files(spark, sf_dir, f"{tmp_path}/in")
+    assert isinstance(files, list) and len(files) == 5
+    for k, path in enumerate(files):
+        assert [r.rest for r in spark.read.parquet(path).select((F.col("event_id") % 5).alias("rest")).distinct().collect()] == [k]
+    plain = lambda df: df.select("event_id", F.size("reco").alias("n"), F.get("reco.energy", F.lit(0)).alias("first")).orderBy("event_id").collect()
+    assert plain(spark.read.parquet(*files)) == plain(fixture.native_events(spark, sf_dir))
+
+
+def test_signal_records_look_only_at_events_with_taus(spark, sf_dir):
+    e = fixture.native_events(spark, sf_dir)
+    mc, config = events_.mc_particles(e), pipelines.NtupleConfig(lifetime=False)
+    made = pipelines.ntuple_of_events(e, config)
+    assert "exists(" in made._jdf.queryExecution().optimizedPlan().toString()
+    whole = pipelines.jet_ntuple(events_.reco_particles(e), mc.where(filters.stable_visible()), events_.vertices(e), taus.taus_with_daughters(mc), config)
+    plain = lambda df: sorted(tuple(r) for r in df.select("event_id", "jet_id", "gen_jet_tau_decaymode", "reco_cand_pdgs").collect())
+    assert plain(made) and plain(made) == plain(whole)
