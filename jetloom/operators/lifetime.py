@@ -1,11 +1,13 @@
 """Track lifetime variables: point of closest approach, impact parameters, their errors and signs.
 
-All of it is arithmetic on the long table (one row per particle with its track and its
-event's vertex), so it runs inside whole-stage code without any user function.
+All of it is arithmetic on the long table (one row per particle with its track and its event's vertex). The closest approach is an
+Arrow function of a track's numbers, the rest generated code.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,79 +24,89 @@ def origin(xr, yr, zr, d0, z0, phi) -> dict[str, Column]:
     return {"x0": col(xr) + F.sin(col(phi)) * col(d0), "y0": col(yr) - F.cos(col(phi)) * col(d0), "zz": col(z0) + col(zr)}
 
 
+#: Columns that the closest approach is made of.
+INPUTS = ("d0", "z0", "phi0", "tanl", "xr", "yr", "zr", "c_d0", "c_phi", "c_z0", "c_tan", "pvx", "pvy", "pvz")
+#: What it adds, each with an error.
+APPROACH = ("dxy", "dz", "d3", "pca_x", "pca_y", "pca_z")
+
+
+def closest_approach(d0, z0, phi0, tanl, xr, yr, zr, c_d0, c_phi, c_z0, c_tan, pvx, pvy, pvz, two_d: bool = False) -> dict[str, np.ndarray]:
+    """The arc length, the point of closest approach and the distances dxy, dz, d3 of tracks, each with its error; arrays of one value a track.
+
+    ``two_d`` leaves z out of the minimisation, not out of the position.
+    """
+    ux, uy = np.cos(phi0), np.sin(phi0)
+    x0, y0, zz = xr + uy * d0, yr - ux * d0, z0 + zr
+    e_d, e_f, e_z, e_t = (np.sqrt(np.abs(c)) for c in (c_d0, c_phi, c_z0, c_tan))
+    # squared errors of the origin a and of b = a + u
+    ax2 = uy * uy * e_d * e_d + ux * ux * d0 * d0 * e_f * e_f
+    ay2 = ux * ux * e_d * e_d + uy * uy * d0 * d0 * e_f * e_f
+    az2 = e_z * e_z
+    bx2, by2, bz2 = uy * uy * e_f * e_f + ax2, ux * ux * e_f * e_f + ay2, e_t * e_t + az2
+    axes = [(x0, ux, pvx, ax2, bx2), (y0, uy, pvy, ay2, by2)] + ([] if two_d else [(zz, tanl, pvz, az2, bz2)])
+    add = lambda terms: sum(terms[1:], terms[0])
+    num = -add([(a - v) * u for a, u, v, _, _ in axes])
+    den = add([u * u for _, u, _, _, _ in axes])
+    # b - a = u; the errors of numerator and denominator by the rule that this table fixes
+    num_e2 = add([ea * (2 * a - (a + u) - v) ** 2 + eb * (v - (a + u)) ** 2 for a, u, v, ea, eb in axes])
+    den_e2 = add([(eb + ea) * (2 * u) ** 2 for _, u, _, ea, eb in axes])
+    s = num / den
+    s_err = np.sqrt(num_e2 / (den * den) + num * num * den_e2 / den**4)
+    out = {"s": s, "s_err": s_err, "pca_x": x0 + s * ux, "pca_y": y0 + s * uy, "pca_z": zz + s * tanl}
+    ex = np.sqrt((ux * s_err) ** 2 + ax2 + (s * uy * e_f) ** 2)
+    ey = np.sqrt((uy * s_err) ** 2 + ay2 + (s * ux * e_f) ** 2)
+    ez = np.sqrt((tanl * s_err) ** 2 + (s * e_t) ** 2 + az2)
+    dx, dy, dz = out["pca_x"] - pvx, out["pca_y"] - pvy, out["pca_z"] - pvz
+    out |= {"dxy": np.sqrt(dx * dx + dy * dy), "dz": np.abs(dz), "d3": np.sqrt(dx * dx + dy * dy + dz * dz)}
+
+    def error(total: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        zero = distance <= TINY
+        return np.where(zero, 0.0, np.sqrt(total) / np.where(zero, 1.0, distance))
+
+    plane = (dx * ex) ** 2 + (dy * ey) ** 2
+    out |= {"pca_x_error": ex, "pca_y_error": ey, "pca_z_error": ez, "dz_error": ez}
+    return out | {"dxy_error": error(plane, out["dxy"]), "d3_error": error(plane + (dz * ez) ** 2, out["d3"])}
+
+
+def approach(names: dict[str, tuple[str, bool]], sentinel: bool = False) -> Column:
+    """A struct of the columns ``names``: name -> (variable of ``closest_approach``, whether in two dimensions).
+
+    One Arrow function of the tracks' numbers: as generated code these expressions make a method that is too large for the JVM to compile, so that it
+    is interpreted. What depends on a NULL is NULL; with ``sentinel`` everything of a particle without d0 is the sentinel.
+    """
+    kind = pa.struct([(n, pa.float64()) for n in names])
+
+    def run(*columns: pa.Array) -> pa.Array:
+        values = [c.to_numpy(zero_copy_only=False) for c in columns]
+        missing = np.zeros(len(columns[0]), bool)
+        for c in columns:
+            if c.null_count:
+                missing |= c.is_null().to_numpy(zero_copy_only=False)
+        absent = columns[0].is_null().to_numpy(zero_copy_only=False)
+        with np.errstate(all="ignore"):
+            made = {two_d: closest_approach(*values, two_d=two_d) for two_d in {d for _, d in names.values()}}
+        lists = []
+        for variable, two_d in names.values():
+            x = made[two_d][variable]
+            null = missing & np.isnan(x)
+            if sentinel:
+                x, null = np.where(absent, SENTINEL, x), null & ~absent
+            lists.append(pa.array(x, pa.float64(), mask=null))
+        return pa.StructArray.from_arrays(lists, fields=list(kind))
+
+    return F.arrow_udf(run, "struct<" + ", ".join(f"{n}: double" for n in names) + ">")(*[F.col(c).cast("double") for c in INPUTS])
+
+
 def with_closest_approach(tracks: DataFrame, two_d: bool = False, suffix: str = "") -> DataFrame:
     """Adds the arc length, the point of closest approach and the distances dxy, dz, d3, each with its error.
 
     Needs d0, z0, phi0, tanl, the reference point xr, yr, zr, the variances c_d0, c_phi, c_z0, c_tan and pvx, pvy, pvz.
     ``two_d`` leaves z out of the minimisation, not out of the position.
     """
-    s = suffix
-    c = F.col
-    t = tracks.withColumns(origin("xr", "yr", "zr", "d0", "z0", "phi0"))
-    t = t.withColumns({"ux": F.cos("phi0"), "uy": F.sin("phi0"), "uz": c("tanl")})
-    t = t.withColumns({"e_d": F.sqrt(F.abs("c_d0")), "e_f": F.sqrt(F.abs("c_phi")), "e_z": F.sqrt(F.abs("c_z0")), "e_t": F.sqrt(F.abs("c_tan"))})
-    t = t.withColumns(
-        {
-            # squared errors of the origin a and of b = a + u
-            "ax2": c("uy") * c("uy") * c("e_d") * c("e_d") + c("ux") * c("ux") * c("d0") * c("d0") * c("e_f") * c("e_f"),
-            "ay2": c("ux") * c("ux") * c("e_d") * c("e_d") + c("uy") * c("uy") * c("d0") * c("d0") * c("e_f") * c("e_f"),
-            "az2": c("e_z") * c("e_z"),
-        }
-    )
-    t = t.withColumns(
-        {
-            "bx2": c("uy") * c("uy") * c("e_f") * c("e_f") + c("ax2"),
-            "by2": c("ux") * c("ux") * c("e_f") * c("e_f") + c("ay2"),
-            "bz2": c("e_t") * c("e_t") + c("az2"),
-        }
-    )
-    axes = [("x0", "ux", "pvx", "ax2", "bx2"), ("y0", "uy", "pvy", "ay2", "by2")] + ([] if two_d else [("zz", "uz", "pvz", "az2", "bz2")])
-    add = lambda terms: sum(terms[1:], terms[0])
-    num = -add([(c(a) - c(v)) * c(u) for a, u, v, _, _ in axes])
-    den = add([c(u) * c(u) for _, u, _, _, _ in axes])
-    # b - a = u; the errors of numerator and denominator by the rule that this table fixes
-    num_err2 = add([c(ea) * F.pow(2 * c(a) - (c(a) + c(u)) - c(v), 2.0) + c(eb) * F.pow(c(v) - (c(a) + c(u)), 2.0) for a, u, v, ea, eb in axes])
-    den_err2 = add([(c(eb) + c(ea)) * F.pow(2 * c(u), 2.0) for _, u, _, ea, eb in axes])
-    t = t.withColumns({"num": num, "den": den, "num_e2": num_err2, "den_e2": den_err2})
-    t = t.withColumns(
-        {
-            "s" + s: c("num") / c("den"),
-            "s_err" + s: F.sqrt(c("num_e2") / (c("den") * c("den")) + c("num") * c("num") * c("den_e2") / F.pow("den", 4.0)),
-        }
-    )
-    arc, arc_e = c("s" + s), c("s_err" + s)
-    t = t.withColumns(
-        {
-            "pca_x" + s: c("x0") + arc * c("ux"),
-            "pca_y" + s: c("y0") + arc * c("uy"),
-            "pca_z" + s: c("zz") + arc * c("tanl"),
-            "pca_x_error" + s: F.sqrt(F.pow(c("ux") * arc_e, 2.0) + c("ax2") + F.pow(arc * c("uy") * c("e_f"), 2.0)),
-            "pca_y_error" + s: F.sqrt(F.pow(c("uy") * arc_e, 2.0) + c("ay2") + F.pow(arc * c("ux") * c("e_f"), 2.0)),
-            "pca_z_error" + s: F.sqrt(F.pow(c("tanl") * arc_e, 2.0) + F.pow(arc * c("e_t"), 2.0) + c("az2")),
-        }
-    )
-    dx, dy, dz = (c(f"pca_{k}{s}") - c("pv" + k) for k in "xyz")
-    t = t.withColumns({"dx": dx, "dy": dy, "dzs": dz})
-    t = t.withColumns(
-        {
-            "dxy" + s: F.sqrt(c("dx") * c("dx") + c("dy") * c("dy")),
-            "dz" + s: F.abs("dzs"),
-            "d3" + s: F.sqrt(c("dx") * c("dx") + c("dy") * c("dy") + c("dzs") * c("dzs")),
-        }
-    )
-    parts = {k: F.pow(c(d) * c(f"pca_{k}_error{s}"), 2.0) for k, d in (("x", "dx"), ("y", "dy"), ("z", "dzs"))}
-
-    def error(total: Column, distance: Column) -> Column:
-        return F.when(distance <= TINY, 0.0).otherwise(F.sqrt(total) / F.when(distance <= TINY, 1.0).otherwise(distance))
-
-    t = t.withColumns(
-        {
-            "dxy_error" + s: error(parts["x"] + parts["y"], c("dxy" + s)),
-            "dz_error" + s: c("pca_z_error" + s),
-            "d3_error" + s: error(parts["x"] + parts["y"] + parts["z"], c("d3" + s)),
-        }
-    )
-    return t.drop("x0", "y0", "zz", "ux", "uy", "uz", "e_d", "e_f", "e_z", "e_t", "ax2", "ay2", "az2", "bx2", "by2", "bz2", "num", "den", "num_e2", "den_e2", "dx", "dy", "dzs")
+    names = {f"{v}{suffix}": (v, two_d) for v in ("s", "s_err", *APPROACH, *[f"{v}_error" for v in APPROACH])}
+    names = {(f"{v.removesuffix('_error')}_error{suffix}" if v.endswith("_error") else n): (v, d) for n, (v, d) in names.items()}
+    made = tracks.withColumn("__made", approach(names))
+    return made.withColumns({n: F.col(f"__made.{n}") for n in names}).drop("__made")
 
 
 #: Lifetime variables by the names that records have -> columns of ``lifetime``.
@@ -115,13 +127,12 @@ def lifetime(particles: DataFrame, vertices: DataFrame) -> DataFrame:
     A particle whose track parameters are NULL has no track: all its variables are the sentinel. ``vertices`` has a row for
     every event (``sources.events`` makes one for events without a vertex too); particles of events that it lacks are left out.
     """
-    t = particles.join(vertices, "event_id").withColumns({"d0_error": F.sqrt(F.abs("c_d0")), "z0_error": F.sqrt(F.abs("c_z0"))})
-    t = with_closest_approach(with_closest_approach(t), two_d=True, suffix="_2d")
-    names = [f"{v}{e}{s}" for s in ("", "_2d") for v in ("dxy", "dz", "d3", "pca_x", "pca_y", "pca_z") for e in ("", "_error")]
-    names += ["d0_error", "z0_error", "z0", "phi0", "tanl", "omega", "pvx", "pvy", "pvz"]
+    names = {f"{v}{e}{'_2d' if two_d else ''}": (f"{v}{e}", two_d) for two_d in (False, True) for v in APPROACH for e in ("", "_error")}
+    t = particles.join(vertices, "event_id").withColumn("__made", approach(names, sentinel=True))
     tracked = F.col("d0").isNotNull()
-    rest = {n: F.when(tracked, F.col(n)).otherwise(SENTINEL) for n in names}
-    return t.withColumns(rest | {"d0": F.coalesce("d0", F.lit(SENTINEL))})
+    rest = {"d0_error": F.sqrt(F.abs("c_d0")), "z0_error": F.sqrt(F.abs("c_z0"))} | {n: F.col(n) for n in ("z0", "phi0", "tanl", "omega", "pvx", "pvy", "pvz")}
+    out = {n: F.col(f"__made.{n}") for n in names} | {n: F.when(tracked, c).otherwise(SENTINEL) for n, c in rest.items()}
+    return t.withColumns(out | {"d0": F.coalesce("d0", F.lit(SENTINEL))}).drop("__made")
 
 
 def jet_signed(x: Column, name: str, jet_x, jet_y, jet_z) -> Column:
@@ -129,14 +140,28 @@ def jet_signed(x: Column, name: str, jet_x, jet_y, jet_z) -> Column:
     return signed(x[name], x["pca_x"], x["pca_y"], x["pca_z"], x["vertex_x"], x["vertex_y"], x["vertex_z"], jet_x, jet_y, jet_z)
 
 
-def signed(ip, pca_x, pca_y, pca_z, v_x, v_y, v_z, jet_x, jet_y, jet_z) -> Column:
-    """|ip| with the sign of (closest point - vertex) . jet; the sentinel stays; a point on the vertex counts as along the jet."""
+def jet_sign(x: Column, jet_x, jet_y, jet_z) -> Column:
+    """The sign that all variables of a particle's struct have for a jet."""
+    return sign_along(x["pca_x"], x["pca_y"], x["pca_z"], x["vertex_x"], x["vertex_y"], x["vertex_z"], jet_x, jet_y, jet_z)
+
+
+def sign_along(pca_x, pca_y, pca_z, v_x, v_y, v_z, jet_x, jet_y, jet_z) -> Column:
+    """The sign of (closest point - vertex) . jet; a point on the vertex counts as along the jet."""
     d = [col(a) - col(b) for a, b in ((pca_x, v_x), (pca_y, v_y), (pca_z, v_z))]
     j = [col(x) for x in (jet_x, jet_y, jet_z)]
     size = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
     along = [F.when(size <= TINY, b).otherwise(a) for a, b in zip(d, j, strict=True)]
-    dot = along[0] * j[0] + along[1] * j[1] + along[2] * j[2]
-    return F.when(col(ip) == SENTINEL, col(ip)).otherwise(sign_from(dot) * F.abs(col(ip)))
+    return sign_from(along[0] * j[0] + along[1] * j[1] + along[2] * j[2])
+
+
+def signed_by(ip, sign) -> Column:
+    """|ip| with a sign; the sentinel stays."""
+    return F.when(col(ip) == SENTINEL, col(ip)).otherwise(col(sign) * F.abs(col(ip)))
+
+
+def signed(ip, pca_x, pca_y, pca_z, v_x, v_y, v_z, jet_x, jet_y, jet_z) -> Column:
+    """|ip| with the sign of (closest point - vertex) . jet; the sentinel stays; a point on the vertex counts as along the jet."""
+    return signed_by(ip, sign_along(pca_x, pca_y, pca_z, v_x, v_y, v_z, jet_x, jet_y, jet_z))
 
 
 def simple_impact(tracks: DataFrame) -> DataFrame:

@@ -145,3 +145,34 @@ def test_histogram_flows(spark):
     assert get() == {0: 2.0, 1: 2.0} and get(flow="bins") == {-1: 1.0, 0: 2.0, 1: 1.0, 2: 2.0} and get(flow="sum") == {0: 3.0, 1: 3.0}
     h = histograms.reverse_cumulative(histograms.hist_1d(df, "x", 0.0, 2.0, 2))
     assert {r.bin: r.value for r in h.collect()} == {0: 2.0, 1: 0.0}
+
+
+def method_sizes(spark, df):
+    """Bytes of the largest method of each generated stage; the JVM interprets methods of 8,000 or more."""
+    import re
+
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))]
+
+
+@pytest.mark.parametrize("name", ["lifetime_errors", "event_signed_impact"])
+def test_lifetime_code_is_small_enough_to_be_compiled(spark, sf_dir, name):
+    from jetloom.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = method_sizes(spark, QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
+
+
+def test_closest_approach_of_missing_numbers(spark):
+    names = ", ".join(f"{n} double" for n in lifetime.INPUTS)
+    full = (0.02, 0.1, 0.3, 0.5, 0.0, 0.0, 0.0, 1e-4, 1e-6, 1e-4, 1e-6, 0.001, 0.002, 0.01)
+    no_z = full[:-1] + (None,)
+    nan_z = full[:-1] + (float("nan"),)
+    rows = spark.createDataFrame([(i, *x) for i, x in enumerate((full, no_z, nan_z))], f"k int, {names}")
+    a, b, c = lifetime.with_closest_approach(lifetime.with_closest_approach(rows), two_d=True, suffix="_2d").orderBy("k").collect()
+    assert b.dxy is None and b.dz_2d is None and b.dxy_2d == a.dxy_2d and b.dxy_error_2d == a.dxy_error_2d > 0
+    assert math.isnan(c.dxy) and math.isnan(c.dz_2d) and c.dxy_2d == a.dxy_2d
