@@ -8,7 +8,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from jetloom.operators import matching
-from jetloom.plans import oracles, queries
+from jetloom.plans import oracles, pipelines, queries
 from jetloom.sources import fixture
 
 LINES = """(55118, 2, 2602, 801, '1995-05-21', 31, 24332.35, 0.09, 0.02, 'R', 'O'), (55118, 2, 11281, 210, '1997-10-16', 49, 59602.74, 0.09, 0.04, 'A', 'F'),
@@ -58,3 +58,18 @@ def test_objects_without_a_direction_are_not_matched_by_their_momenta(spark):
     df = spark.createDataFrame(rows, "k int, l array<struct<px: double, py: double, pz: double>>, r array<struct<eta: double, phi: double>>")
     at = matching.nearest_in_lists("l", "r", 0.8, by=(matching.MOMENTA, matching.ANGLES))["at"]
     assert [r.at for r in df.select("k", at.alias("at")).orderBy(F.col("k")).collect()] == [[0, -1, 0], [-1], []]
+
+
+def test_jets_just_within_or_beyond_the_cone_are_matched_as_in_sql(spark):
+    """Two jets at one azimuth whose eta differs by 0.4: which are nearer than that is a matter of the last bit."""
+    v = lambda k, phi: (math.cos(phi), math.sin(phi), math.sinh(k / 10.0), math.cosh(k / 10.0))
+    events = [(k * 1000 + d, v(k, (d - 180) * math.pi / 180.0), v(k + 4, (d - 180) * math.pi / 180.0)) for k in range(-20, 20) for d in range(0, 360, 4)]
+    kinds = "event_id long, reco array<struct<px: double, py: double, pz: double, energy: double>>, gen array<struct<pdg: int, px: double, py: double, pz: double, energy: double>>"
+    df = spark.createDataFrame([(e, [a], [(211, *b)]) for e, a, b in events], kinds)
+    found = {r.event_id for r in pipelines.matched_jets(df, pipelines.NtupleConfig(signal=False)).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (e BIGINT, ax DOUBLE, ay DOUBLE, az DOUBLE, bx DOUBLE, by_ DOUBLE, bz DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?, ?, ?)", [(e, *a[:3], *b[:3]) for e, a, b in events])
+    angles = ", ".join(f"asinh({s}z/sqrt({s}x*{s}x + {y}*{y})) AS {s}eta, atan2({y}, {s}x) AS {s}phi" for s, y in (("a", "ay"), ("b", "by_")))
+    want = {e for (e,) in con.execute(f"SELECT e FROM (SELECT e, {angles} FROM t) WHERE {oracles.dr('aeta', 'aphi', 'beta', 'bphi')} < 0.4").fetchall()}
+    assert found == want and 0 < len(want) < len(events)
