@@ -150,6 +150,18 @@ def resolved(df: DataFrame, tables: list[Table]) -> list[Table]:
     return [replace(t, axis=fixed(t.axis, f"x{n}"), y_axis=fixed(t.y_axis, f"y{n}")) for n, t in enumerate(tables)]
 
 
+def exact_sum(x: str) -> Column:
+    """The sum of a column as if rounded once, so that it does not hang on the order of its rows.
+
+    The part of each value above 2^-20 adds up without rounding until the sum is 2^33, and what is left of the values is too small for its rounding to count.
+    Values of 2^33 and more, and infinite ones, are added as they are.
+    """
+    value, unit = F.col(x), 2.0**20
+    high = F.when(F.abs(value) < 2.0**33, F.rint(value * unit) / unit).otherwise(value)
+    low = F.when(F.abs(value) < 2.0**33, value - F.rint(value * unit) / unit).otherwise(0.0)
+    return F.sum(high) + F.sum(low)
+
+
 def filled(df: DataFrame, tables: list[Table], keys: tuple[str, ...] = ()) -> DataFrame:
     """keys, name, x_bin, y_bin (NULL for one dimension), n (entries), value (sum of weights) of the bins that have something."""
     if len({t.name for t in tables}) < len(tables):
@@ -157,7 +169,7 @@ def filled(df: DataFrame, tables: list[Table], keys: tuple[str, ...] = ()) -> Da
     tables = resolved(df, tables)
     entries = reduce(lambda a, b: F.concat(a, b), [_entries(t, n) for n, t in enumerate(tables)])
     rows = df.select(*keys, F.inline(entries))
-    sums = rows.groupBy(*keys, "t", "x_bin", "y_bin").agg(F.count("*").alias("n"), F.sum("w").alias("value"))
+    sums = rows.groupBy(*keys, "t", "x_bin", "y_bin").agg(F.count("*").alias("n"), exact_sum("w").alias("value"))
     name = F.get(F.array(*[F.lit(t.name) for t in tables]), F.col("t"))
     return sums.select(*keys, name.alias("name"), "x_bin", "y_bin", "n", "value")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +84,17 @@ def test_one_scan_and_one_exchange(spark, rows, tmp_path):
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
 
 
+def test_sums_of_weights_do_not_hang_on_the_order_of_rows(spark):
+    weights = [0.1] * 10 + [k / 1e6 for k in range(90_000, 10_500_000, 9973)] + [-3.3, 1e-9]
+    for ws in (weights, weights[::-1], sorted(weights, key=lambda w: w % 0.001)):
+        df = spark.createDataFrame([(w,) for w in ws], "w double").repartition(3)
+        (row,) = filled(df, [Table("t", F.lit(0.5), Axis(), weight="w")]).collect()
+        assert row.value == math.fsum(weights)
+    for ws in ([1e300, 1.0], [math.inf, 1.0], [2.0**33, 0.5]):
+        (row,) = filled(spark.createDataFrame([(w,) for w in ws], "w double"), [Table("t", F.lit(0.5), Axis(), weight="w")]).collect()
+        assert row.value == sum(ws)
+
+
 def test_shares_names_and_empty(spark, rows):
     tables = [Table("a", "x", Axis(-3.0, 5.0, 4)), Table("b", "y", Axis(0.0, 9.0, 3), weight="y")]
     sums = shares(filled(rows, tables)).groupBy("name").agg(F.sum("n_share").alias("n"), F.sum("value_share").alias("v")).collect()

@@ -73,3 +73,15 @@ def test_jets_just_within_or_beyond_the_cone_are_matched_as_in_sql(spark):
     angles = ", ".join(f"asinh({s}z/sqrt({s}x*{s}x + {y}*{y})) AS {s}eta, atan2({y}, {s}x) AS {s}phi" for s, y in (("a", "ay"), ("b", "by_")))
     want = {e for (e,) in con.execute(f"SELECT e FROM (SELECT e, {angles} FROM t) WHERE {oracles.dr('aeta', 'aphi', 'beta', 'bphi')} < 0.4").fetchall()}
     assert found == want and 0 < len(want) < len(events)
+
+
+def test_sums_on_half_a_unit_are_rounded_as_in_sql(spark):
+    con = duckdb.connect()
+    values = [16.55175, -16.55175, 0.0, 1.5, 123456789.00005, *[k / 100_000 for k in range(5, 2_000_000, 970)]]
+    con.execute("CREATE TABLE t (k BIGINT, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    want = con.execute("SELECT k, round(x, 4) + 0.0 FROM t").fetchall()
+    df = spark.createDataFrame(list(enumerate(values)), "k long, x double")
+    assert sorted(map(tuple, df.select("k", queries.r_by_power("x", 4)).collect())) == sorted(want)
+    plain = dict(map(tuple, df.select("k", queries.r("x", 4)).collect()))
+    assert plain[0] != dict(want)[0]
