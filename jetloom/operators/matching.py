@@ -120,6 +120,18 @@ def nearest(left: DataFrame, right: DataFrame, max_dr: float = 0.4, left_id: str
     return rows.select("event_id", "left_id", F.get("r.id", F.col("at")).alias("right_id"), "dr")
 
 
+def paired(rows: DataFrame, left: Column, right: Column, max_dr: float = 0.4, inclusive: bool = False) -> DataFrame:
+    """event_id, left, right, dr: ``nearest`` for two collections that are made of the same rows, with whatever else the two structs hold.
+
+    ``left`` and ``right`` are structs of a row that begin with the object's number and have eta and phi, NULL where the row gives no such object. Both lists
+    come from one aggregation, so the rows are shuffled once.
+    """
+    both = rows.groupBy("event_id").agg(F.array_sort(F.collect_list(left)).alias("l"), F.array_sort(F.collect_list(right)).alias("r"))
+    found = both.where(F.size("r") > 0).withColumn("found", nearest_in_lists("l", "r", max_dr, inclusive))
+    each = found.select("event_id", "r", F.inline(F.arrays_zip(F.col("l").alias("left"), F.col("found.at").alias("at"), F.col("found.dr").alias("dr")))).where("at >= 0")
+    return each.select("event_id", "left", F.get("r", F.col("at")).alias("right"), "dr")
+
+
 def nearest_at(eta, phi, others, max_dr: float = 0.4, inclusive: bool = False, with_energy: bool = True) -> Column:
     """Place in the list ``others`` (structs with eta, phi and, ``with_energy``, energy) of the object nearest to (eta, phi), NULL if none is near enough.
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jetloom.functions import p4, pdg
-from jetloom.functions.p4 import col
+from jetloom.functions.p4 import col, uniform_bin
 
-from .histograms import density, hist_1d, hist_2d, value_shares
+from .histograms import _all_bins, density, hist_1d, hist_2d, value_shares
 
 # Fixed values: (low, high, bins) of the usual axes.
 JET_PT, N_CANDS, SHAPE, LIFETIME = (0.0, 220.0, 50), (0.0, 50.0, 50), (-0.05, 0.05, 69), (0.0, 5.0, 99)
@@ -79,9 +79,10 @@ def weight_distribution(jets: DataFrame, weight: str = "cls_weight", keys: tuple
 
 def pt_ratio(pairs: DataFrame, reco="reco_pt", gen="gen_pt") -> DataFrame:
     """Share of pairs by reconstructed over generated pt; pairs out of range count in the total."""
-    n = pairs.agg(F.count("*").alias("n"))
-    h = hist_1d(pairs, F.try_divide(col(reco), col(gen)), *PT_RATIO)
-    return h.crossJoin(F.broadcast(n)).select("bin", F.try_divide(F.col("value"), F.col("n")).alias("value"))  # one row
+    placed = pairs.select(F.inline(F.array(F.struct(F.try_divide(col(reco), col(gen)).alias("x"))))).select(uniform_bin("x", *PT_RATIO).alias("bin"))
+    counts = placed.groupBy("bin").agg(F.count("*").alias("n"))  # of every bin and what is beyond, so that the pairs are made once
+    both = _all_bins(pairs, PT_RATIO[2]).join(F.broadcast(counts), "bin", "left").crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))  # one row
+    return both.select("bin", F.try_divide(F.coalesce("n", F.lit(0)).cast("double"), F.col("total")).alias("value"))
 
 
 def pooled_log_ratio(df: DataFrame, x: str, key: str, base: str, bins: int = 50) -> DataFrame:
