@@ -8,11 +8,14 @@ partitioned by a key, and a radius must be a positive constant.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf, udtf
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from jetloom.operators import clustering
@@ -20,6 +23,10 @@ from jetloom.operators import clustering
 DOUBLE, INT = T.DoubleType(), T.IntegerType()
 NUMBERS = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType)
 
+MOMENTUM = ("energy", "px", "py", "pz")
+#: Particles of an event up to which plain numbers are quicker than arrays.
+FEW, INFINITE = 30, (float("inf"), float("-inf"))
+
 
 def _checked(table: AnalyzeArgument, key: str, needed: tuple[str, ...]) -> T.DataType:
     """The key's type, if the table has it and numbers in the needed columns."""
@@ -46,20 +53,26 @@ class _Gathered:
 
     columns: tuple[str, ...] = ()
     key = "event_id"
+    #: The key's and the columns' places by the names of a table's columns: a key's rows are few, so they are looked up once for all keys.
+    known: dict[tuple, tuple] = {}
 
     def __init__(self) -> None:
         self.rows: list[tuple] = []
         self.at = None
-        self.places: tuple[int, ...] = ()
+        self.own = itemgetter(0)
+        self.place = 0
 
     def eval(self, row: Row, *_) -> None:
+        values = tuple(row)
         if not self.rows:
-            names = row.__fields__
-            self.places = tuple(names.index(c) for c in (self.key, *self.columns))
-            self.at = row[self.places[0]]
-        elif row[self.places[0]] != self.at:
+            names = (self.columns, *row.__fields__)
+            if names not in self.known:
+                self.known[names] = (names.index(self.key, 1) - 1, itemgetter(*[names.index(c, 1) - 1 for c in self.columns]))
+            self.place, self.own = self.known[names]
+            self.at = values[self.place]
+        elif values[self.place] != self.at:
             raise ValueError(f"the table must be partitioned by {self.key}")
-        self.rows.append(tuple(row[k] for k in self.places[1:]))
+        self.rows.append(self.own(values))
 
     def ordered(self) -> np.ndarray:
         return np.array(sorted(self.rows), float).reshape(len(self.rows), len(self.columns))
@@ -69,7 +82,7 @@ class _Gathered:
 class Jets(_Gathered):
     """event_id, jet_id, px, py, pz, energy, constituents: inclusive jets of particles (event_id, pidx, energy, px, py, pz) by a radius."""
 
-    columns = ("pidx", "energy", "px", "py", "pz")
+    columns = ("pidx", *MOMENTUM)
 
     @staticmethod
     def analyze(table: AnalyzeArgument, radius: AnalyzeArgument) -> AnalyzeResult:
@@ -80,10 +93,15 @@ class Jets(_Gathered):
 
     def eval(self, row: Row, radius: float) -> None:
         super().eval(row)
-        self.radius = float(radius)
+        self.radius = radius
 
     def terminate(self) -> Iterator[tuple]:
-        if self.rows:
+        if self.rows and len(self.rows) <= FEW and not any(x is None or x != x or x in INFINITE for r in self.rows for x in r):
+            rows = sorted(self.rows)
+            for n, (p, own) in enumerate(clustering.single_jets([tuple(map(float, r[1:])) for r in rows], float(self.radius))):
+                yield self.at, n, p[1], p[2], p[3], p[0], [int(rows[i][0]) for i in own]
+        elif self.rows:
+            self.radius = float(self.radius)
             rows = self.ordered()
             for n, (p, own) in enumerate(clustering.jets_of_events([rows[:, 1:]], self.radius)[0]):
                 yield self.at, n, float(p[1]), float(p[2]), float(p[3]), float(p[0]), [int(rows[i, 0]) for i in own]
@@ -127,7 +145,31 @@ class Substructure(_Gathered):
             yield (self.at, *map(float, clustering.substructure_of([np.array(self.rows, float)], self.r0)[0]))
 
 
-FUNCTIONS = {"jets": Jets, "thrust": Thrust, "substructure": Substructure}
+@arrow_udtf(returnType="event_id bigint, jet_id int, px double, py double, pz double, energy double, constituents array<int>")
+class EventJets:
+    """As ``Jets`` of events that are rows already (event_id, a long, and the list ``particles`` of structs pidx, energy, px, py, pz), many at a time.
+
+    Functions of batches cannot look at their arguments before a job runs; wrong ones fail in it.
+    """
+
+    def eval(self, events: pa.RecordBatch, radius: pa.Array) -> Iterator[pa.Table]:
+        if not (len(radius) and radius[0].is_valid and radius[0].as_py() > 0):
+            raise ValueError("the radius is a positive constant")
+        lists = events.column("particles")
+        particles = lists.flatten()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(int)
+        column = lambda c: pc.struct_field(particles, c).to_numpy(zero_copy_only=False).astype(float)
+        found = clustering.jets_of(clustering.Groups(sizes, np.column_stack([column(c) for c in MOMENTUM])), float(radius[0].as_py()))
+        event = np.repeat(np.arange(len(sizes)), found.counts)  # of each jet
+        first = np.repeat((np.cumsum(sizes) - sizes)[event], found.sizes)
+        ids = pa.array(pc.struct_field(particles, "pidx").to_numpy(zero_copy_only=False)[first + found.constituents], pa.int32())
+        own = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(found.sizes)]), pa.int32()), ids)
+        number = np.arange(len(event)) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
+        columns = [events.column("event_id").cast(pa.int64()).take(pa.array(event)), pa.array(number, pa.int32()), *[pa.array(np.ascontiguousarray(found.p4[:, k])) for k in (1, 2, 3, 0)], own]
+        yield pa.table(columns, names=["event_id", "jet_id", "px", "py", "pz", "energy", "constituents"])
+
+
+FUNCTIONS = {"jets": Jets, "event_jets": EventJets, "thrust": Thrust, "substructure": Substructure}
 
 
 def register(spark: SparkSession) -> None:

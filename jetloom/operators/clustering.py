@@ -243,6 +243,62 @@ def jets_of_events(events: list[np.ndarray], radius: float, power: float = -1.0)
     return [jets[a:b] for a, b in zip(ends - found.counts, ends, strict=True)]
 
 
+def single_jets(rows: list[tuple], radius: float) -> list[tuple[tuple, list[int]]]:
+    """``jets_of`` of one event of few particles (E, px, py, pz) in plain numbers, bit by bit the same: an array operation costs more than such an event."""
+    scale = 1.0 - cos(radius) if radius <= np.pi else 3.0 + cos(radius)
+
+    def made(e: float, x: float, y: float, z: float) -> tuple:
+        w = e if e > 0 else 1.0
+        return x, y, z, sqrt(x * x + y * y + z * z), 1.0 / (w * w), e
+
+    def distance(a: tuple, b: tuple) -> float:
+        size = a[3] * b[3]
+        far = 1.0 - max(-1.0, min(1.0, (a[0] * b[0] + a[1] * b[1] + a[2] * b[2]) / size)) if size > 0 else 0.0
+        return min(a[4], b[4]) * far / scale
+
+    n = len(rows)
+    objects = [made(*r) for r in rows]
+    own = [[k] for k in range(n)]
+    alive = list(range(n))  # ascending
+    near, far = {}, {}  # nearest later object and its distance
+
+    def search(i: int, later: list[int]) -> None:
+        near[i], far[i] = -1, float("inf")
+        for j in later:
+            d = distance(objects[i], objects[j])
+            if d < far[i]:
+                near[i], far[i] = j, d
+
+    for at, i in enumerate(alive):
+        search(i, alive[at + 1 :])
+    jets = []
+    while alive:
+        i, k = min(alive, key=far.__getitem__), min(alive, key=lambda x: objects[x][4])
+        if objects[k][4] < far[i] or near[i] < 0:
+            jets.append((objects[k], sorted(own[k])))
+            alive.remove(k)
+            gone = (k,)
+        else:
+            j, new = near[i], len(objects)
+            a, b = objects[i], objects[j]
+            objects.append(made(a[5] + b[5], a[0] + b[0], a[1] + b[1], a[2] + b[2]))
+            own.append(own[i] + own[j])
+            alive = [x for x in alive if x != i and x != j]
+            gone = (i, j)
+        for at, x in enumerate(alive):
+            if near[x] in gone:
+                search(x, alive[at + 1 :])
+        if len(gone) == 2:
+            for x in alive:
+                d = distance(objects[x], objects[new])
+                if d < far[x]:
+                    near[x], far[x] = new, d
+            alive.append(new)
+            near[new], far[new] = -1, float("inf")
+    jets.sort(key=lambda q: (-q[0][5], q[1][0]))
+    return [((q[5], q[0], q[1], q[2]), c) for q, c in jets]
+
+
 def groomed_masses(p4: np.ndarray, z_cut: float = 0.1, beta: float = 0.0, r0: float = 0.8, electron: bool = False) -> np.ndarray:
     """SoftDrop mass of many jets of n particles: trees (angular, or by ``electron`` energy-weighted) are opened from their roots until a split is balanced."""
     jets, n = p4.shape[:2]
