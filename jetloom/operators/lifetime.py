@@ -138,13 +138,14 @@ def lifetime(particles: DataFrame, vertices: DataFrame) -> DataFrame:
     return t.withColumns(out | {"d0": F.coalesce("d0", F.lit(SENTINEL))}).drop("__made")
 
 
-def in_lists(tracks: str) -> Column:
-    """array<struct<VARIABLES>>: ``lifetime`` of each struct of the list ``tracks``, with the row's vertex pvx, pvy, pvz.
+def in_lists(tracks: str, names: tuple[str, ...] = tuple(VARIABLES)) -> Column:
+    """array<struct>: ``lifetime`` (``names`` of ``VARIABLES``) of each struct of the list ``tracks``, with the row's vertex pvx, pvy, pvz.
 
     One Arrow function of the lists; a track without d0 has the sentinel everywhere.
     """
     own = [c for c in INPUTS if not c.startswith("pv")]
-    kind = pa.struct([(n, pa.float64()) for n in VARIABLES])
+    kind = pa.struct([(n, pa.float64()) for n in names])
+    columns_ = [VARIABLES[n] for n in names]
 
     def run(omega: pa.Array, *columns: pa.Array) -> pa.Array:
         sizes = pc.fill_null(pc.list_value_length(columns[0]), 0).to_numpy(zero_copy_only=False).astype(int)
@@ -156,9 +157,9 @@ def in_lists(tracks: str) -> Column:
         gone |= {n: np.repeat(c.is_null().to_numpy(zero_copy_only=False), sizes) for n, c in zip(("pvx", "pvy", "pvz"), columns[len(own) :], strict=True)}
         missing = np.logical_or.reduce([gone[c] for c in INPUTS])
         with np.errstate(all="ignore"):
-            made = {two_d: closest_approach(*[values[c] for c in INPUTS], two_d=two_d) for two_d in (False, True)}
+            made = {two_d: closest_approach(*[values[c] for c in INPUTS], two_d=two_d) for two_d in {c.endswith("_2d") for c in columns_} | {False}}
         lists = []
-        for column in VARIABLES.values():
+        for column in columns_:
             variable, two_d = column.removesuffix("_2d"), column.endswith("_2d")
             if variable in made[two_d]:
                 x = made[two_d][variable]
@@ -172,7 +173,7 @@ def in_lists(tracks: str) -> Column:
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(lists, fields=list(kind)))
 
-    kernel = F.arrow_udf(run, "array<struct<" + ", ".join(f"{n}: double" for n in VARIABLES) + ">>")
+    kernel = F.arrow_udf(run, "array<struct<" + ", ".join(f"{n}: double" for n in names) + ">>")
     return kernel(F.col(f"{tracks}.omega"), *[F.col(f"{tracks}.{c}") for c in own], *[F.col(c).cast("double") for c in ("pvx", "pvy", "pvz")])
 
 

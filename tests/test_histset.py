@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from jetloom.functions.p4 import digitize
 from jetloom.operators import histograms
 from jetloom.operators.histset import Axis, Table, edges_of, filled, log_axis, shares, standard_tables
 
@@ -114,3 +115,18 @@ def test_tables_whose_columns_are_missing_are_left_out():
     assert standard_tables(["event_id"]) == []
     names = {t.name for t in standard_tables(["gen_jet_p4", "reco_cand_dz"])}
     assert names == {"gen_jet_pt", "gen_jet_eta", "gen_jet_theta", "gen_jet_p", "gen_jet_mass", "reco_cand_dz"}
+
+
+def test_values_on_and_beside_the_edges_of_a_log_axis_are_placed_as_by_a_look_at_every_edge(spark):
+    axis = log_axis(-3.0, 1.0, 79, "bins")
+    edges = axis.all_edges()
+    values = [v for e in edges for v in (e, math.nextafter(e, 0), math.nextafter(e, 99), e * 1.01)] + [0.0, -1.0, 1e-300, 1e300, math.inf]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(axis.place(F.col("x")).alias("got"), (digitize("x", edges) - 1).alias("want"))
+    assert all(r.got == r.want for r in df.collect())
+
+
+def test_a_condition_on_the_row_spares_the_list(spark):
+    df = spark.createDataFrame([(1, [0.5, 0.6]), (2, [0.7]), (None, [0.8])], "k int, vs array<double>")
+    for where in (F.col("k") == 1, "one"):
+        plan = filled(df.withColumn("one", F.col("k") == 1), [Table("t", lambda e: e, Axis(), where=where, each="vs")])
+        assert [(r.n, r.x_bin) for r in plan.orderBy("x_bin").collect()] == [(1, 25), (1, 30)]
