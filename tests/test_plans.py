@@ -260,7 +260,7 @@ def test_signal_records_look_only_at_events_with_taus(spark, sf_dir):
     assert plain(made) and plain(made) == plain(whole)
 
 
-def exchanges(spark, df) -> int:
+def exchanges_of(spark, df) -> int:
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
@@ -270,4 +270,4 @@ def exchanges(spark, df) -> int:
 
 @pytest.mark.parametrize("name, most", [("archival_events", 2), ("tau_to_jet_left_fill", 3)])
 def test_rows_are_found_where_their_event_is(spark, sf_dir, name, most):
-    assert exchanges(spark, queries.QUERIES[name](spark, sf_dir)) <= most
+    assert exchanges_of(spark, queries.QUERIES[name](spark, sf_dir)) <= most
